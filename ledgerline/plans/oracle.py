@@ -273,3 +273,146 @@ FROM (SELECT COUNT(*) AS translated_count FROM district_dim),
         SELECT DISTINCT ship_to_district_name FROM (
           SELECT ship_to_district_name FROM raw_dataset_2
           UNION ALL SELECT ship_to_district_name FROM raw_mapping)))""")
+
+# ------------------------------------------------------------------ quality
+_ERRORS = r"""
+checks_2 AS (
+  SELECT *,
+    order_time_pst BETWEEN 50000 AND 120000 AS ok_time,
+    rptg_amt >= 0 AS ok_amt,
+    currency_cd IN ('USD', 'RMB') AS ok_cur,
+    CASE WHEN order_qty IS NULL THEN NULL ELSE COALESCE(order_qty > 0, FALSE) END AS ok_qty
+  FROM raw_dataset_2),
+errs AS (
+  SELECT order_id, 'order_time_pst' AS field, 'ORDER_TIME_PST must be a numeric string' AS message, 'feed1' AS source
+    FROM checks_1 WHERE COALESCE(NOT ok_time, FALSE) OR order_time_pst IS NULL
+  UNION ALL SELECT order_id, 'city_district_id',
+    'CITY_DISTRICT_ID must be a positive integer and must exist in RAW_MAPPING', 'feed1'
+    FROM checks_1 WHERE COALESCE(NOT (city_district_id > 0 AND ok_id), FALSE) OR city_district_id IS NULL
+  UNION ALL SELECT order_id, 'rptg_amt', 'RPTG_AMT must be non-negative', 'feed1'
+    FROM checks_1 WHERE COALESCE(NOT ok_amt, FALSE) OR rptg_amt IS NULL
+  UNION ALL SELECT order_id, 'currency_cd', 'CURRENCY_CD must be one of USD, RMB', 'feed1'
+    FROM checks_1 WHERE COALESCE(NOT ok_cur, FALSE) OR currency_cd IS NULL
+  UNION ALL SELECT order_id, 'order_qty', 'ORDER_QTY must be a positive integer', 'feed1'
+    FROM checks_1 WHERE COALESCE(NOT ok_qty, FALSE) OR order_qty IS NULL
+  UNION ALL SELECT order_id, 'order_time_pst',
+    'ORDER_TIME_PST must be an integer between 50000 and 120000 (5 AM to 12 PM)', 'feed2'
+    FROM checks_2 WHERE COALESCE(NOT ok_time, FALSE) OR order_time_pst IS NULL
+  UNION ALL SELECT order_id, 'rptg_amt', 'RPTG_AMT must be non-negative', 'feed2'
+    FROM checks_2 WHERE COALESCE(NOT ok_amt, FALSE) OR rptg_amt IS NULL
+  UNION ALL SELECT order_id, 'currency_cd', 'CURRENCY_CD must be one of USD, RMB', 'feed2'
+    FROM checks_2 WHERE COALESCE(NOT ok_cur, FALSE) OR currency_cd IS NULL
+  UNION ALL SELECT order_id, 'order_qty', 'ORDER_QTY must be a positive integer', 'feed2'
+    FROM checks_2 WHERE COALESCE(NOT ok_qty, FALSE) OR order_qty IS NULL)"""
+
+_q("exceptions_all_errors", "SELECT * FROM errs", _ERRORS)
+_q("exceptions_json", """
+SELECT order_id,
+       to_json(list(struct_pack(field := field, message := message, n := n) ORDER BY field, message, n))
+         AS error_message
+FROM (SELECT order_id, field, message, COUNT(*) AS n FROM errs GROUP BY order_id, field, message)
+GROUP BY order_id""", _ERRORS)
+
+_LAYER_TABLES = [("qualified_dataset_1", "qualified_1"), ("qualified_dataset_2", "qualified_2"),
+                 ("processed_dataset", "silver"), ("curated_dataset", "gold")]
+
+
+def _dq(table: str, column: str, test: str, failing: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{test}' AS test_name, "
+            f"(SELECT COUNT(*) FROM ({failing})) AS failures")
+
+
+_q("dq_unique", "\nUNION ALL\n".join(
+    _dq(t, "order_id", "unique",
+        f"SELECT order_id FROM {v} WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) > 1")
+    for t, v in _LAYER_TABLES))
+_q("dq_not_null", "\nUNION ALL\n".join(
+    [_dq(t, "order_id", "not_null", f"SELECT 1 FROM {v} WHERE order_id IS NULL") for t, v in _LAYER_TABLES]
+    + [_dq(t, "rptg_amt", "not_null", f"SELECT 1 FROM {v} WHERE rptg_amt IS NULL") for t, v in _LAYER_TABLES[:3]]
+    + [_dq("qualified_dataset_2", "ship_to_district_name", "not_null",
+           "SELECT 1 FROM qualified_2 WHERE ship_to_district_name IS NULL")]))
+_q("dq_relationships", "\nUNION ALL\n".join(
+    _dq(t, "city_district_id", "relationships",
+        f"SELECT 1 FROM {v} c WHERE c.city_district_id IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM raw_mapping p WHERE p.city_district_id = c.city_district_id)")
+    for t, v in [("qualified_dataset_1", "qualified_1"), ("raw_dataset_1", "raw_dataset_1")]))
+_q("dq_accepted_values", "\nUNION ALL\n".join(
+    _dq(t, "currency_cd", "accepted_values",
+        f"SELECT currency_cd FROM {v} WHERE currency_cd IS NOT NULL AND currency_cd NOT IN ('USD', 'RMB') "
+        f"GROUP BY currency_cd")
+    for t, v in _LAYER_TABLES[:3]))
+
+# ------------------------------------------------------------------ dimensions
+_q("city_dimension_d", "SELECT ship_to_city_cd, ship_to_city_cd_eng, province, per_capita_usd, total_gdp_usd "
+                       "FROM city_dim")
+_q("city_dimension_s", """
+SELECT d.ship_to_city_cd, d.ship_to_city_cd_eng,
+       COALESCE(NULLIF(replace(COALESCE(k.m_province, ''), '"', ''), ''), d.ship_to_city_cd_eng) AS province,
+       d.per_capita_usd, d.total_gdp_usd
+FROM city_dim d JOIN city_kv k ON d.ship_to_city_cd = k.ship_to_city_cd""")
+_q("district_dimension", """
+SELECT ship_to_district_name, ship_to_district_name_eng,
+       to_json(MAP {'Segment': ship_to_district_name}) AS metadata
+FROM district_dim""")
+_q("metadata_explode", "SELECT ship_to_city_cd, meta_key, meta_value FROM city_meta")
+
+# ------------------------------------------------------------------ profile
+_q("duplicate_orders", """
+SELECT s.*, d.n_records
+FROM silver s
+JOIN (SELECT order_id, COUNT(*) AS n_records FROM silver GROUP BY order_id HAVING COUNT(*) > 1) d
+  ON s.order_id = d.order_id""")
+_q("feed_overlap", """
+SELECT a.order_id,
+       a.order_time_pst AS f1_order_time_pst, a.city_district_id AS f1_city_district_id,
+       a.rptg_amt AS f1_rptg_amt, a.currency_cd AS f1_currency_cd, a.order_qty AS f1_order_qty,
+       b.order_time_pst AS f2_order_time_pst, b.ship_to_district_name AS f2_ship_to_district_name,
+       b.ship_to_city_cd AS f2_ship_to_city_cd, b.rptg_amt AS f2_rptg_amt,
+       b.currency_cd AS f2_currency_cd, b.order_qty AS f2_order_qty
+FROM raw_dataset_1 a JOIN raw_dataset_2 b ON a.order_id = b.order_id""")
+_q("unmapped_ids", """
+SELECT * FROM raw_dataset_1 r
+WHERE NOT EXISTS (SELECT 1 FROM raw_mapping m WHERE m.city_district_id = r.city_district_id)""")
+_q("unjoinable_reasons", """
+SELECT COUNT_IF(NOT c_ok OR NOT d_ok) AS unjoinable_rows, COUNT_IF(NOT d_ok) AS due_to_district,
+       COUNT_IF(NOT c_ok) AS due_to_city, COUNT_IF(NOT c_ok AND NOT d_ok) AS due_to_both
+FROM (SELECT COALESCE(ship_to_city_cd IN (SELECT ship_to_city_cd FROM raw_mapping), FALSE) AS c_ok,
+             COALESCE(ship_to_district_name IN (SELECT ship_to_district_name FROM raw_mapping), FALSE) AS d_ok
+      FROM raw_dataset_2)""")
+_q("missing_dimension_values", """
+SELECT 'ship_to_city_cd' AS column_name, value FROM (
+  SELECT ship_to_city_cd AS value FROM raw_dataset_2 EXCEPT SELECT ship_to_city_cd FROM raw_mapping)
+UNION ALL
+SELECT 'ship_to_district_name', value FROM (
+  SELECT ship_to_district_name AS value FROM raw_dataset_2 EXCEPT SELECT ship_to_district_name FROM raw_mapping)""")
+_q("city_name_contains_match", """
+SELECT v.ship_to_city_cd,
+       EXISTS (SELECT 1 FROM city_src n WHERE contains(n.ship_to_city_cd, v.ship_to_city_cd)) AS city_match
+FROM (SELECT DISTINCT ship_to_city_cd FROM raw_dataset_2) v""")
+
+_FEED_COLUMNS = {
+    "raw_dataset_1": [("order_id", "string"), ("order_time_pst", "string"), ("city_district_id", "int"),
+                      ("rptg_amt", "decimal(18,2)"), ("currency_cd", "string"), ("order_qty", "string")],
+    "raw_dataset_2": [("order_id", "string"), ("order_time_pst", "bigint"), ("ship_to_district_name", "string"),
+                      ("ship_to_city_cd", "string"), ("rptg_amt", "decimal(18,2)"), ("currency_cd", "string"),
+                      ("order_qty", "int")],
+}
+_q("profile_columns", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{ty}' AS data_type, COUNT({c}) AS non_null_count, "
+    f"COUNT(*) - COUNT({c}) AS null_count, "
+    f"COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_unique FROM {t}"
+    for t, cols in _FEED_COLUMNS.items() for c, ty in cols))
+
+
+def _failure_counts(feed: str) -> str:
+    q = "TRY_CAST(order_qty AS DOUBLE)"
+    a = "TRY_CAST(rptg_amt AS DOUBLE)"
+    return f"""SELECT '{feed}' AS feed, COUNT(*) AS n_rows,
+  COUNT_IF(CASE WHEN {q} IS NULL OR isnan({q}) THEN TRUE WHEN {q} >= 1 THEN {q} <> floor({q}) END) AS not_integer_qty,
+  COUNT_IF(currency_cd IS DISTINCT FROM 'RMB') AS not_rmb_currency,
+  COUNT_IF(NOT COALESCE({a} IS NOT NULL AND round({a}, 2) = {a} AND {a} > 0, FALSE)) AS invalid_amount,
+  COUNT_IF(NOT COALESCE(regexp_full_match(CAST(order_time_pst AS VARCHAR), '[0-9]+'), FALSE)) AS non_numeric_time
+FROM {feed}"""
+
+
+_q("rule_failure_counts", _failure_counts("raw_dataset_1") + "\nUNION ALL\n" + _failure_counts("raw_dataset_2"))

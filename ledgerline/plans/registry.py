@@ -46,3 +46,67 @@ register("coverage_cities")(lambda w: reports.translation_coverage(
 register("coverage_districts")(lambda w: reports.translation_coverage(
     w.raw_dataset_2.select("ship_to_district_name").unionByName(w.raw_mapping.select("ship_to_district_name")),
     w.district_dim, "ship_to_district_name"))
+
+# ------------------------------------------------------------------ quality
+from ledgerline.functions import rules as R  # noqa: E402
+from ledgerline.operators import dimensions, profile, quality  # noqa: E402
+
+ACCEPTED_CURRENCIES = ["USD", "RMB"]
+
+
+def _all_errors(w: Warehouse) -> DataFrame:
+    """Every failing rule of both feeds (row-contract variant)."""
+    e1 = quality.exceptions_all(w.flagged_1, R.feed1_contract(), source="feed1")
+    e2 = quality.exceptions_all(w.raw_dataset_2, R.feed2_contract(), source="feed2")
+    return e1.unionByName(e2)
+
+
+register("exceptions_all_errors")(_all_errors)
+register("exceptions_json")(lambda w: quality.exceptions_json(_all_errors(w)))
+
+
+def _layers(w: Warehouse):
+    return [("qualified_dataset_1", w.qualified_1), ("qualified_dataset_2", w.qualified_2),
+            ("processed_dataset", w.silver), ("curated_dataset", w.gold)]
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+register("dq_unique")(lambda w: _union([quality.dq_unique(df, n, "order_id") for n, df in _layers(w)]))
+register("dq_not_null")(lambda w: _union(
+    [quality.dq_not_null(df, n, "order_id") for n, df in _layers(w)]
+    + [quality.dq_not_null(df, n, "rptg_amt") for n, df in _layers(w)[:3]]
+    + [quality.dq_not_null(w.qualified_2, "qualified_dataset_2", "ship_to_district_name")]))
+register("dq_relationships")(lambda w: _union([
+    quality.dq_relationships(w.qualified_1, "qualified_dataset_1", "city_district_id", w.raw_mapping,
+                             "city_district_id"),
+    quality.dq_relationships(w.raw_dataset_1, "raw_dataset_1", "city_district_id", w.raw_mapping,
+                             "city_district_id")]))
+register("dq_accepted_values")(lambda w: _union(
+    [quality.dq_accepted_values(df, n, "currency_cd", ACCEPTED_CURRENCIES) for n, df in _layers(w)[:3]]))
+
+# ------------------------------------------------------------------ dimensions
+register("city_dimension_d")(lambda w: w.city_dim.drop("metadata"))
+register("city_dimension_s")(lambda w: dimensions.city_dimension(w.city_source, "city").drop("metadata"))
+register("district_dimension")(lambda w: dimensions.metadata_json(w.district_dim))
+register("metadata_explode")(lambda w: dimensions.explode_metadata(w.city_dim))
+register("city_mapping_preview")(lambda w: dimensions.preview(dimensions.metadata_json(w.city_dim), 10))
+
+# ------------------------------------------------------------------ profile
+register("duplicate_orders")(lambda w: profile.duplicate_rows(w.silver, "order_id"))
+register("feed_overlap")(lambda w: profile.feed_overlap(w.raw_dataset_1, w.raw_dataset_2))
+register("unmapped_ids")(lambda w: profile.unmapped_rows(w.raw_dataset_1, w.raw_mapping, "city_district_id"))
+register("unjoinable_reasons")(lambda w: profile.unjoinable_reasons(w.raw_dataset_2, w.raw_mapping))
+register("missing_dimension_values")(lambda w: profile.missing_values(
+    w.raw_dataset_2, w.raw_mapping, ["ship_to_city_cd", "ship_to_district_name"]))
+register("city_name_contains_match")(lambda w: profile.contains_match(
+    w.raw_dataset_2, w.city_source, "ship_to_city_cd", "ship_to_city_cd"))
+register("profile_columns")(lambda w: profile.column_profile(w.raw_dataset_1, "raw_dataset_1")
+                            .unionByName(profile.column_profile(w.raw_dataset_2, "raw_dataset_2")))
+register("rule_failure_counts")(lambda w: profile.rule_failure_counts(w.raw_dataset_1, "raw_dataset_1")
+                                .unionByName(profile.rule_failure_counts(w.raw_dataset_2, "raw_dataset_2")))
