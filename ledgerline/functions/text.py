@@ -75,7 +75,7 @@ def province_or_city(english_name: Column, metadata: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """NBSP and any run of (Unicode) whitespace -> one space, then trim."""
-    return F.trim(F.regexp_replace(text, r"(?U)[ \s]+", " "))
+    return py_strip(F.regexp_replace(text, r"(?U)[\u00a0\s]+", " "))
 
 
 def strip_bullet(key: Column) -> Column:
@@ -85,7 +85,12 @@ def strip_bullet(key: Column) -> Column:
 
 def clean_title(title: Column) -> Column:
     """drop the site suffix and trim."""
-    return F.trim(F.replace(title, F.lit(TITLE_SUFFIX), F.lit("")))
+    return py_strip(F.replace(title, F.lit(TITLE_SUFFIX), F.lit("")))
+
+
+def py_strip(s: Column) -> Column:
+    """Strip leading and trailing (Unicode) whitespace, like Python's ``str.strip()``."""
+    return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
 
 
 def percent(numerator: Column, denominator: Column) -> Column:

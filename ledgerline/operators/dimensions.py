@@ -2,23 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text
-
-
-def latest_per_key(df: DataFrame, keys: list[str], order_col: str | None) -> DataFrame:
-    """Keep one row per key: the one with the highest ``order_col`` (load order).
-
-    Without an order column the input is taken as keyed already.  The window
-    is partitioned by the key, so only rows of one key meet in a task, and
-    Spark's window-group-limit keeps one row per key before the shuffle.
-    """
-    if order_col is None:
-        return df
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+from ledgerline.sources.sinks import latest_per_key
 
 
 def city_dimension(source: DataFrame, province_policy: str = "region",
@@ -29,7 +17,7 @@ def city_dimension(source: DataFrame, province_policy: str = "region",
     Autonomous region, else NULL.  ``'city'``: Province, else the English name.
     Per-capita and total GDP are read from their metadata texts.
     """
-    src = latest_per_key(source, ["ship_to_city_cd"], order_col)
+    src = latest_per_key(source, ["ship_to_city_cd"], [order_col]) if order_col else source
     eng, meta = F.col("ship_to_city_cd_eng"), F.col("metadata")
     if province_policy == "region":
         province = text.province_by_region(eng, meta)
@@ -46,7 +34,7 @@ def city_dimension(source: DataFrame, province_policy: str = "region",
 
 def district_dimension(source: DataFrame, order_col: str | None = None) -> DataFrame:
     """TRANSLATIONS_DISTRICT_MAPPING: one row per district name."""
-    src = latest_per_key(source, ["ship_to_district_name"], order_col)
+    src = latest_per_key(source, ["ship_to_district_name"], [order_col]) if order_col else source
     return src.select("ship_to_district_name", "ship_to_district_name_eng", "metadata")
 
 

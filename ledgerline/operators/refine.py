@@ -41,6 +41,12 @@ def fuse(fused_1: DataFrame, qualified_2: DataFrame) -> DataFrame:
     return _silver_types(fused_1).unionByName(_silver_types(qualified_2))
 
 
+def silver_parts(qualified_1: DataFrame, qualified_2: DataFrame,
+                 mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both feeds in the silver schema, before the union (for keyed loads)."""
+    return _silver_types(resolve_places(qualified_1, mapping)), _silver_types(qualified_2)
+
+
 def silver(qualified_1: DataFrame, qualified_2: DataFrame, mapping: DataFrame) -> DataFrame:
     """PROCESSED_DATASET."""
     return fuse(resolve_places(qualified_1, mapping), qualified_2)

@@ -416,3 +416,75 @@ FROM {feed}"""
 
 
 _q("rule_failure_counts", _failure_counts("raw_dataset_1") + "\nUNION ALL\n" + _failure_counts("raw_dataset_2"))
+
+# ------------------------------------------------------------------ sources and sinks
+_q("csv_roundtrip", "SELECT * FROM raw_dataset_1")
+_q("json_roundtrip", "SELECT * FROM raw_dataset_2")
+_q("translations_json_roundtrip", "SELECT ship_to_city_cd, ship_to_city_cd_eng, province, per_capita_usd, "
+                                  "total_gdp_usd FROM city_dim")
+_q("full_refresh", """
+SELECT order_id, COALESCE(
+    CASE WHEN NOT ok_time THEN 'Invalid ORDER_TIME_PST' END,
+    CASE WHEN NOT ok_id THEN 'Invalid CITY_DISTRICT_ID' END,
+    CASE WHEN NOT ok_amt THEN 'Invalid RPTG_AMT' END,
+    CASE WHEN NOT ok_cur THEN 'Invalid CURRENCY_CD' END,
+    CASE WHEN NOT ok_qty THEN 'Invalid ORDER_QTY' END) AS validation_error
+FROM checks_1
+WHERE NOT ok_time OR NOT ok_id OR NOT ok_amt OR NOT ok_cur OR NOT ok_qty""")
+_SILVER_PARTS = """
+s1 AS (
+  SELECT q.order_id, TRY_CAST(q.order_time_pst AS BIGINT) AS order_time_pst, q.rptg_amt, q.currency_cd,
+         TRY_CAST(q.order_qty AS INTEGER) AS order_qty, m.ship_to_city_cd, m.ship_to_district_name
+  FROM qualified_1 q LEFT JOIN raw_mapping m ON q.city_district_id = m.city_district_id),
+s2 AS (
+  SELECT order_id, order_time_pst, rptg_amt, currency_cd, order_qty, ship_to_city_cd, ship_to_district_name
+  FROM qualified_2)"""
+_q("window_overwrite", """
+SELECT *, '20240723' AS dt, 'window1' AS load_window FROM s1
+UNION ALL SELECT *, '20240723' AS dt, 'window2' AS load_window FROM s2""", _SILVER_PARTS)
+_q("upsert_orders", """
+SELECT * FROM s1 WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE s2.order_id = s1.order_id)
+UNION ALL SELECT * FROM s2""", _SILVER_PARTS)
+_q("load_metrics", """
+SELECT 'raw_dataset_1' AS table_name, COUNT(*) AS num_rows FROM raw_dataset_1
+UNION ALL SELECT 'raw_dataset_2', COUNT(*) FROM raw_dataset_2
+UNION ALL SELECT 'raw_mapping', COUNT(*) FROM raw_mapping""")
+
+# ------------------------------------------------------------------ tiers
+_TOTALS = """
+totals AS (
+  SELECT ship_to_city_cd, CAST(SUM(rmb_dollars) AS DOUBLE) AS rmb_dollars
+  FROM gold WHERE ship_to_city_cd IS NOT NULL GROUP BY ship_to_city_cd),
+city_totals AS (
+  SELECT t.ship_to_city_cd, t.rmb_dollars, d.ship_to_city_cd_eng, d.province, d.per_capita_usd
+  FROM totals t LEFT JOIN city_dim d ON t.ship_to_city_cd = d.ship_to_city_cd)"""
+_q("city_zscores", """
+SELECT *, ROUND((rmb_dollars - AVG(rmb_dollars) OVER ()) / STDDEV_POP(rmb_dollars) OVER (), 8) AS normalized_sales
+FROM city_totals""", _TOTALS)
+_q("city_tiers_ntile", """
+SELECT ship_to_city_cd, rmb_dollars,
+       NTILE(3) OVER (ORDER BY rmb_dollars ASC NULLS LAST, ship_to_city_cd ASC NULLS LAST) AS tier
+FROM city_totals""", _TOTALS)
+
+# ------------------------------------------------------------------ page facts
+_q("page_titles", r"""
+SELECT page_id,
+  regexp_replace(replace(
+    replace(replace(replace(replace(replace(
+      regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1),
+      '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+    '- Wikipedia', ''), '^\s+|\s+$', '', 'g') AS title
+FROM pages WHERE regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""")
+_q("page_failures", """
+SELECT 10000000 + n_nationkey AS page_id, 'no title in page' AS error_message
+FROM nation WHERE n_nationkey NOT IN (SELECT nk FROM city_src)""")
+_q("page_infobox", """
+SELECT 10000000 + s.nk AS page_id, m.meta_key, m.meta_value
+FROM city_meta m JOIN city_src s ON m.ship_to_city_cd = s.ship_to_city_cd""")
+_q("page_city_dimension", "SELECT ship_to_city_cd, ship_to_city_cd_eng, province, per_capita_usd, total_gdp_usd "
+                          "FROM city_dim")
+_q("translation_worklist", """
+SELECT ship_to_city_cd FROM (
+  SELECT DISTINCT ship_to_city_cd FROM (
+    SELECT ship_to_city_cd FROM raw_dataset_2 UNION ALL SELECT ship_to_city_cd FROM raw_mapping)) u
+WHERE NOT EXISTS (SELECT 1 FROM city_dim d WHERE d.ship_to_city_cd = u.ship_to_city_cd)""")

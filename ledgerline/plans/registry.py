@@ -110,3 +110,114 @@ register("profile_columns")(lambda w: profile.column_profile(w.raw_dataset_1, "r
                             .unionByName(profile.column_profile(w.raw_dataset_2, "raw_dataset_2")))
 register("rule_failure_counts")(lambda w: profile.rule_failure_counts(w.raw_dataset_1, "raw_dataset_1")
                                 .unionByName(profile.rule_failure_counts(w.raw_dataset_2, "raw_dataset_2")))
+
+# ------------------------------------------------------------------ sources and sinks
+from pyspark.sql import functions as F  # noqa: E402
+
+from ledgerline import schemas  # noqa: E402
+from ledgerline.operators import pagefacts, refine, tiers  # noqa: E402
+from ledgerline.session import scratch_path  # noqa: E402
+from ledgerline.sources import files, fixtures, sinks  # noqa: E402
+
+LOAD_DATE = "20240723"
+
+
+@register("csv_roundtrip")
+def _csv_roundtrip(w: Warehouse) -> DataFrame:
+    """Feed 1 written as a headed CSV export and read back typed."""
+    path = scratch_path(w.spark, "feed1_csv")
+    files.write_feed1_csv(w.raw_dataset_1, path)
+    return files.read_feed1_csv(w.spark, path)
+
+
+@register("json_roundtrip")
+def _json_roundtrip(w: Warehouse) -> DataFrame:
+    """S3: feed 2 written as JSON records and read back with the declared schema."""
+    path = scratch_path(w.spark, "feed2_json")
+    files.write_feed2_json(w.raw_dataset_2, path)
+    return files.read_feed2_json(w.spark, path)
+
+
+@register("translations_json_roundtrip")
+def _translations_roundtrip(w: Warehouse) -> DataFrame:
+    """S4 + F5-F8: city records through JSON (metadata as a map), then the dimension."""
+    path = scratch_path(w.spark, "city_translations_json")
+    files.write_translations(w.city_source, path)
+    src = files.read_translations(w.spark, path, "city")
+    return dimensions.city_dimension(src, w.province_policy).drop("metadata")
+
+
+@register("full_refresh")
+def _full_refresh(w: Warehouse) -> DataFrame:
+    """The exception table rebuilt twice; the second version replaces the first."""
+    path = scratch_path(w.spark, "exceptions_table")
+    sinks.full_refresh(w.exceptions, path)
+    return sinks.full_refresh(w.exceptions, path)
+
+
+def _with_window(df: DataFrame, window: str) -> DataFrame:
+    return df.withColumn("dt", F.lit(LOAD_DATE)).withColumn("load_window", F.lit(window))
+
+
+@register("window_overwrite")
+def _window_overwrite(w: Warehouse) -> DataFrame:
+    """Load both windows, then re-run window1 (backfill); the table must be unchanged."""
+    path = scratch_path(w.spark, "silver_windows")
+    part1, part2 = refine.silver_parts(w.qualified_1, w.qualified_2, w.raw_mapping)
+    both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
+    sinks.overwrite_windows(both, path, ("dt", "load_window"))
+    sinks.overwrite_windows(_with_window(part1, "window1"), path, ("dt", "load_window"))
+    schema = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
+    return w.spark.read.schema(schema).parquet(path)
+
+
+@register("upsert_orders")
+def _upsert_orders(w: Warehouse) -> DataFrame:
+    """Feed-2 rows upserted on order_id into the feed-1 rows (later load wins)."""
+    part1, part2 = refine.silver_parts(w.qualified_1, w.qualified_2, w.raw_mapping)
+    return sinks.upsert(part1, part2, ["order_id"])
+
+
+@register("load_metrics")
+def _load_metrics(w: Warehouse) -> DataFrame:
+    """Bronze tables written once, row counts observed during the write."""
+    root = scratch_path(w.spark, "bronze")
+    return sinks.write_with_metrics({"raw_dataset_1": w.raw_dataset_1, "raw_dataset_2": w.raw_dataset_2,
+                                     "raw_mapping": w.raw_mapping}, root)
+
+
+# ------------------------------------------------------------------ tiers
+def _totals(w: Warehouse) -> DataFrame:
+    return tiers.city_totals(w.gold, w.city_dim)
+
+
+register("city_zscores")(lambda w: tiers.zscores(_totals(w)).withColumn(
+    "normalized_sales", F.round("normalized_sales", 8)))
+register("city_tiers_kmeans")(lambda w: tiers.kmeans_tiers(_totals(w), 3))
+register("tier_elbow")(lambda w: tiers.elbow(tiers.zscores(_totals(w))))
+register("city_tiers_ntile")(lambda w: tiers.ntile_tiers(_totals(w), 3))
+
+# ------------------------------------------------------------------ page facts
+
+
+def _all_pages(w: Warehouse) -> DataFrame:
+    return w.t.pages.select("page_id", "url", "html").unionByName(
+        fixtures.city_pages(w.t).select("page_id", "url", "html"))
+
+
+register("page_titles")(lambda w: pagefacts.page_titles(pagefacts.parse_pages(w.t.pages)))
+register("page_failures")(lambda w: pagefacts.page_failures(pagefacts.parse_pages(_all_pages(w))))
+register("page_infobox")(lambda w: pagefacts.infobox_facts(pagefacts.parse_pages(_all_pages(w))))
+register("page_city_dimension")(lambda w: dimensions.city_dimension(
+    pagefacts.translation_records(pagefacts.parse_pages(fixtures.city_pages(w.t)),
+                                  fixtures.city_pages(w.t).select("page_id", "ship_to_city_cd")),
+    w.province_policy).drop("metadata"))
+
+
+@register("translation_worklist")
+def _worklist(w: Warehouse) -> DataFrame:
+    """H2: distinct city codes of feed 2 and the mapping that have no translation yet."""
+    ids = (w.raw_dataset_2.select("ship_to_city_cd")
+           .unionByName(w.raw_mapping.select("ship_to_city_cd")).distinct())
+    done = w.city_dim.select(F.col("ship_to_city_cd").alias("_done"))
+    return ids.join(done, ids.ship_to_city_cd == done._done, "left_anti")

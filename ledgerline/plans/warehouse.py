@@ -15,21 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions import rules as R
 from ledgerline.operators import dimensions, enrich, quality, refine
-from ledgerline.session import scratch_path
 from ledgerline.sources import fixtures
+from ledgerline.sources.sinks import materialize
 from ledgerline.sources.tables import Tables
 
 _CACHE: dict[tuple[str, str, tuple], "Warehouse"] = {}
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 class Warehouse:
     """Bronze, silver and gold frames with their dimensions.
 

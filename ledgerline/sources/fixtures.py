@@ -174,3 +174,46 @@ def district_translation_source(mapping: DataFrame) -> DataFrame:
             .where(name != UNTRANSLATED_DISTRICT)
             .select(name, eng.alias("ship_to_district_name_eng"),
                     F.create_map(F.lit("Segment"), name).alias("metadata")))
+
+
+# Page ids of the rendered city pages start here (clear of the driver's page ids).
+CITY_PAGE_ID_BASE = 10_000_000
+
+
+def _html_escape(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def city_pages(t: Tables) -> DataFrame:
+    """Encyclopedia-style pages rendered from the city translation records.
+
+    Each page has a ``<title>`` with the site suffix and an infobox table
+    whose rows carry the metadata, written the way scraped pages look: keys
+    behind list bullets, non-breaking and repeated spaces in values, and a
+    decoy ``Total`` row (an area) before the GDP one, which must win.
+    A city without a translation record gets an empty page (a failed fetch).
+    Returns (page_id, url, html) plus the city code for the id mapping.
+    """
+    nations = t.nation.select(F.col("n_name").alias("ship_to_city_cd"), "n_nationkey")
+    src = nations.join(city_translation_source(t), "ship_to_city_cd", "left")
+
+    def row(key: Column, value: Column) -> Column:
+        return F.concat(F.lit("<tr><th scope=\"row\">"), key, F.lit("</th><td>"), value, F.lit("</td></tr>"))
+
+    entries = F.map_entries("metadata")
+    cells = F.transform(entries, lambda e: row(
+        F.when(e["key"] == "Per capita", F.lit("• Per capita")).otherwise(_html_escape(e["key"])),
+        F.regexp_replace(_html_escape(e["value"]), " ", " \u00a0 ")))
+    decoy = row(F.lit("Total"), F.lit("<span>1,234 km<sup>2</sup></span>"))
+    body = F.concat(F.lit("<table class=\"infobox ib-settlement vcard\"><tbody>"), decoy,
+                    F.array_join(cells, ""), F.lit("</tbody></table>"))
+    html = F.concat(F.lit("<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>"),
+                    _html_escape(F.col("ship_to_city_cd_eng")), F.lit(" - Wikipedia</title></head><body><h1>"),
+                    _html_escape(F.col("ship_to_city_cd_eng")), F.lit("</h1>"), body,
+                    F.lit("<p>Text of the article.</p></body></html>"))
+    # A city without a translation record stands for a failed fetch: empty page.
+    html = F.when(F.col("ship_to_city_cd_eng").isNull(), F.lit("")).otherwise(html)
+    return src.select((F.lit(CITY_PAGE_ID_BASE) + F.col("n_nationkey")).cast("bigint").alias("page_id"),
+                      F.concat(F.lit("https://pages.example/wiki/"), F.col("ship_to_city_cd")).alias("url"),
+                      html.alias("html"), "ship_to_city_cd")
