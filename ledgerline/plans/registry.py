@@ -221,3 +221,22 @@ def _worklist(w: Warehouse) -> DataFrame:
            .unionByName(w.raw_mapping.select("ship_to_city_cd")).distinct())
     done = w.city_dim.select(F.col("ship_to_city_cd").alias("_done"))
     return ids.join(done, ids.ship_to_city_cd == done._done, "left_anti")
+
+# ------------------------------------------------------------------ streaming
+from ledgerline.streaming import ingest  # noqa: E402
+
+
+@register("stream_ingest_feed2")
+def _stream_ingest(w: Warehouse) -> DataFrame:
+    """Feed 2 landed as two window folders, ingested by the streaming job, read back."""
+    landing = scratch_path(w.spark, "landing_feed2")
+    raw = w.raw_dataset_2
+    even = F.col("event_hour") % 2 == 0
+    staged = raw.withColumn("event_hour", F.floor(F.col("order_time_pst") / 10000))
+    files.write_feed2_json(staged.where(even).drop("event_hour"), f"{landing}/window=1")
+    files.write_feed2_json(staged.where(~even | F.col("event_hour").isNull()).drop("event_hour"),
+                           f"{landing}/window=2")
+    table = scratch_path(w.spark, "feed2_streamed")
+    q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"))
+    q.awaitTermination()
+    return sinks.read_table(w.spark, table)
