@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 # broadcast at run time from measured sizes).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# Row counts already checked, keyed by (application, plan hash, bound): the
+# same dimension plan is checked once per session, not once per query.
+_CHECKED: dict[tuple[str, int, int], bool] = {}
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` holds at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast for ``df`` only if it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Callers pass frames that
-    are cheap to count (materialised dimensions or tiny inputs); beyond the
-    bound the frame is returned unhinted and the planner shuffles both sides.
+    Callers pass frames that are cheap to count (materialised dimensions or
+    tiny inputs); beyond the bound the frame is returned unhinted and the
+    planner shuffles both sides (AQE may still convert at run time).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -13,17 +13,21 @@ from pyspark.sql import functions as F
 from ledgerline.functions.rules import CITY_KNOWN, DISTRICT_KNOWN
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.operators.quality import with_membership
+from ledgerline.sources.sinks import materialize
 
 
-def duplicate_rows(df: DataFrame, key: str = "order_id") -> DataFrame:
+def duplicate_rows(df: DataFrame, key: str = "order_id", max_broadcast_keys: int = 5_000_000) -> DataFrame:
     """Every row whose key occurs more than once, with the key's row count.
 
-    Keys are counted with a partial (map-side) aggregate and joined back, so a
-    key holding a large share of the rows never lands in one window partition;
-    the join on that key is split by AQE's skew handling.
+    Keys are counted with a partial (map-side) aggregate, so a key holding a
+    large share of the rows never lands in one window partition.  The
+    duplicated keys are written to the shared folder; when they pass the size
+    check they are broadcast and the rows are streamed past them without a
+    second shuffle, otherwise the join shuffles (AQE splits a skewed key).
     """
-    dup = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1"))
-    return df.join(dup, key, "inner")
+    dup = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1"),
+                      "duplicate_keys")
+    return df.join(bounded_broadcast(dup, max_broadcast_keys), key, "inner")
 
 
 def feed_overlap(feed1: DataFrame, feed2: DataFrame, key: str = "order_id") -> DataFrame:

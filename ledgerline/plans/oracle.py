@@ -470,9 +470,9 @@ FROM city_totals""", _TOTALS)
 _q("page_titles", r"""
 SELECT page_id,
   regexp_replace(replace(
-    replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(
       regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1),
-      '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+      '&quot;?', '"', 'g'), '&#39;', ''''), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'),
     '- Wikipedia', ''), '^\s+|\s+$', '', 'g') AS title
 FROM pages WHERE regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""")
 _q("page_failures", """

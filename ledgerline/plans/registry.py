@@ -205,7 +205,7 @@ def _all_pages(w: Warehouse) -> DataFrame:
         fixtures.city_pages(w.t).select("page_id", "url", "html"))
 
 
-register("page_titles")(lambda w: pagefacts.page_titles(pagefacts.parse_pages(w.t.pages)))
+register("page_titles")(lambda w: pagefacts.page_titles(pagefacts.parse_pages(w.t.pages, titles_only=True)))
 register("page_failures")(lambda w: pagefacts.page_failures(pagefacts.parse_pages(_all_pages(w))))
 register("page_infobox")(lambda w: pagefacts.infobox_facts(pagefacts.parse_pages(_all_pages(w))))
 register("page_city_dimension")(lambda w: dimensions.city_dimension(

@@ -1,10 +1,13 @@
 """The layered plan (bronze -> silver -> gold) over one input directory.
 
-Layers are lazy DataFrames; Catalyst fuses each chain into one plan and only
-an action or a sink runs it.  Dimensions derived from large inputs are
-written once to the shared checkpoint folder and read back, which cuts their
-lineage (a lost executor does not re-run the scan that built them) and makes
-the broadcast size check a cheap read.
+Each layer is a DataFrame; Catalyst fuses the chain between two written
+layers into one plan.  Bronze (the landed feeds and the mapping), the city
+dimension and gold are written once to the shared checkpoint folder and read
+back, as a medallion pipeline stores them: reports scan the gold files
+(only the columns they need) instead of re-running the feed joins, the
+lineage is cut (a lost executor does not re-run upstream stages), and
+broadcast size checks on dimensions are cheap reads.  Silver and the
+qualified feeds are map-only projections of bronze and stay lazy.
 """
 
 from __future__ import annotations
@@ -30,13 +33,13 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, rate_type: str = "decimal",
-                 province_policy: str = "region", materialize_dims: bool = True):
+                 province_policy: str = "region", materialize_layers: bool = True):
         self.spark = spark
         self.root = root
         self.t = Tables(spark, root)
         self.rate_type = rate_type
         self.province_policy = province_policy
-        self.materialize_dims = materialize_dims
+        self.materialize_layers = materialize_layers
 
     @classmethod
     def of(cls, spark: SparkSession, root: str, **options) -> "Warehouse":
@@ -45,21 +48,21 @@ class Warehouse:
             _CACHE[key] = cls(spark, root, **options)
         return _CACHE[key]
 
-    def _dim(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.materialize_dims else df
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.materialize_layers else df
 
     # ------------------------------------------------------------ bronze
     @cached_property
     def raw_mapping(self) -> DataFrame:
-        return self._dim(fixtures.raw_mapping(self.t), "raw_mapping")
+        return self._stored(fixtures.raw_mapping(self.t), "raw_mapping")
 
     @cached_property
     def raw_dataset_1(self) -> DataFrame:
-        return fixtures.raw_dataset_1(self.t)
+        return self._stored(fixtures.raw_dataset_1(self.t), "raw_dataset_1")
 
     @cached_property
     def raw_dataset_2(self) -> DataFrame:
-        return fixtures.raw_dataset_2(self.t)
+        return self._stored(fixtures.raw_dataset_2(self.t), "raw_dataset_2")
 
     @cached_property
     def currency(self) -> DataFrame:
@@ -76,7 +79,7 @@ class Warehouse:
     # ------------------------------------------------------------ dimensions
     @cached_property
     def city_dim(self) -> DataFrame:
-        return self._dim(dimensions.city_dimension(self.city_source, self.province_policy), "city_dim")
+        return self._stored(dimensions.city_dimension(self.city_source, self.province_policy), "city_dim")
 
     @cached_property
     def district_dim(self) -> DataFrame:
@@ -107,4 +110,5 @@ class Warehouse:
 
     @cached_property
     def gold(self) -> DataFrame:
-        return enrich.gold(self.silver, self.city_dim, self.district_dim, self.currency, self.rate_type)
+        return self._stored(enrich.gold(self.silver, self.city_dim, self.district_dim, self.currency,
+                                        self.rate_type), "curated_dataset")

@@ -51,11 +51,13 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as a set operation.
 
     Target rows whose key is updated are dropped (anti join) and the deduped
-    updates appended by name.  The update keys are broadcast when a size check
-    allows it, so the target is streamed without a shuffle; larger update sets
-    fall back to a shuffled anti join.
+    updates appended by name.  The deduped updates are written once to the
+    shared folder (so the size check and both uses read files, not a re-run
+    of the dedup), and their keys are broadcast when the check allows it:
+    the target is then streamed without a shuffle; larger update sets fall
+    back to a shuffled anti join.
     """
-    dedup = latest_per_key(updates, keys, order_cols)
+    dedup = materialize(latest_per_key(updates, keys, order_cols), "upsert_updates")
     upd_keys = bounded_broadcast(dedup.select(*keys), max_broadcast_keys)
     kept = target.join(upd_keys, list(keys), "left_anti")
     return kept.unionByName(dedup.select(*target.columns))

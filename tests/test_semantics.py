@@ -176,3 +176,10 @@ def test_infobox_facts_follow_dict_semantics(spark):
     assert facts["Total"] == "second"
     failures = sorted(r.page_id for r in pagefacts.page_failures(parsed).collect())
     assert failures == [2, 3]
+
+
+def test_titles_only_parse_agrees_with_full_parse():
+    pages = [PAGE, "<html><title>a &lt;b&gt;</title><title>second</title></html>", "<title>open", "<p>x</p>"]
+    for html in pages:
+        full, quick = pagefacts.parse_page(html), pagefacts.parse_page(html, titles_only=True)
+        assert full[:2] == quick[:2]
