@@ -240,3 +240,16 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
     q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"))
     q.awaitTermination()
     return sinks.read_table(w.spark, table)
+
+# ------------------------------------------------------------------ variants
+register("top_city_per_hour_english")(lambda w: reports.top_city_per_hour_english(w.gold))
+
+
+@register("silver_orders_contract")
+def _silver_contract(w: Warehouse) -> DataFrame:
+    """Row-contract variant of silver: feed 1 repaired by its contract rules, feed 2 only
+    validated (values kept), both upserted by order id with the feed-2 load winning."""
+    q1 = quality.qualify(w.flagged_1, R.feed1_contract())
+    q2 = quality.qualify(w.raw_dataset_2, R.feed2_contract(), mode="log")
+    part1, part2 = refine.silver_parts(q1, q2, w.raw_mapping)
+    return sinks.upsert(part1, part2, ["order_id"])

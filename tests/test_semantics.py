@@ -183,3 +183,17 @@ def test_titles_only_parse_agrees_with_full_parse():
     for html in pages:
         full, quick = pagefacts.parse_page(html), pagefacts.parse_page(html, titles_only=True)
         assert full[:2] == quick[:2]
+
+
+def test_place_rules_are_optional_and_flag_unknown_places(spark):
+    assert [r.field for r in rules.feed2_contract()] == ["order_time_pst", "rptg_amt", "currency_cd", "order_qty"]
+    feed = spark.createDataFrame(
+        [("B1", 60000, "D1", "C1", 1.0, "RMB", 1), ("B2", 60000, "Dx", "Cx", 1.0, "RMB", 1)],
+        "order_id string, order_time_pst bigint, ship_to_district_name string, ship_to_city_cd string, "
+        "rptg_amt double, currency_cd string, order_qty int")
+    mapping = spark.createDataFrame([(1, "C1", "D1")], "city_district_id int, ship_to_city_cd string, "
+                                                       "ship_to_district_name string")
+    flagged = quality.with_membership(quality.with_membership(feed, mapping, "ship_to_city_cd", rules.CITY_KNOWN),
+                                      mapping, "ship_to_district_name", rules.DISTRICT_KNOWN)
+    errs = {(r.order_id, r.field) for r in quality.exceptions_all(flagged, rules.feed2_contract(True)).collect()}
+    assert errs == {("B2", "ship_to_city_cd"), ("B2", "ship_to_district_name")}
