@@ -87,20 +87,51 @@ def kmeans_tiers(totals: DataFrame, k: int = 3) -> DataFrame:
     z = _iteration_input(zscores(totals))
     model, _ = fit_kmeans(z, k)
     spark = totals.sparkSession
-    centres = spark.createDataFrame([(i, float(c[0])) for i, c in enumerate(model.clusterCenters())],
-                                    "cluster int, centre double")
-    ranked = centres.withColumn("tier", F.dense_rank().over(Window.orderBy("centre")) - 1)
+    # k centres (a model parameter, not data): ranked on the driver, broadcast as a k-row table.
+    order = sorted(range(k), key=lambda i: float(model.clusterCenters()[i][0]))
+    ranked = spark.createDataFrame([(cluster, tier) for tier, cluster in enumerate(order)], "cluster int, tier int")
     pred = model.transform(_features(z, "normalized_sales")).withColumnRenamed("prediction", "cluster")
-    return (pred.join(F.broadcast(ranked.select("cluster", "tier")), "cluster")
+    return (pred.join(F.broadcast(ranked), "cluster")
             .select("ship_to_city_cd", "rmb_dollars", "ship_to_city_cd_eng", "province", "per_capita_usd",
                     "normalized_sales", F.col("cluster").cast("int").alias("cluster"), "tier"))
 
 
+def global_row_number(df: DataFrame, order: list, partitions: int | None = None) -> DataFrame:
+    """Exact 1-based row number in ``order`` without moving all rows to one task.
+
+    Rows are range-partitioned on the order (sampled bounds), numbered within
+    their partition, and shifted by the row count of all earlier partitions;
+    the per-partition counts are one small aggregate that is broadcast back.
+    The ordered frame is written once so the partition ids are stable.
+    """
+    parts = partitions or df.sparkSession.sparkContext.defaultParallelism
+    ranged = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id()), "ordered_rows")
+    # One count per partition (``parts`` numbers, not data) -> cumulative offsets, as zipWithIndex does.
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, running = [], 0
+    for pid, n in counts:
+        offsets.append((pid, running))
+        running += n
+    spark = df.sparkSession
+    earlier = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _offset bigint")
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
+    return (ranged.join(F.broadcast(earlier), "_pid")
+            .withColumn("_rn", F.col("_offset") + local).drop("_pid", "_offset"))
+
+
 def ntile_tiers(totals: DataFrame, n: int = 3) -> DataFrame:
-    """M5: ``n`` tiers of equal city count by spend (ties broken by city code).
+    """M5: ``n`` tiers of equal city count by spend (ties broken by city code), SQL NTILE semantics.
 
-    One ordered window over the per-city totals; the frame has one row per
-    city (bounded by the dimension), never one row per order.
+    With N rows, q = N // n and r = N % n, the first r tiers hold q + 1 rows.
     """
-    w = Window.orderBy(F.col("rmb_dollars").asc_nulls_last(), F.col("ship_to_city_cd").asc_nulls_last())
-    return totals.select("ship_to_city_cd", "rmb_dollars", (F.ntile(n).over(w)).alias("tier"))
+    order = [F.col("rmb_dollars").asc_nulls_last(), F.col("ship_to_city_cd").asc_nulls_last()]
+    numbered = global_row_number(totals.select("ship_to_city_cd", "rmb_dollars"), order)
+    total = totals.agg(F.count(F.lit(1)).alias("_N"))
+    q, r = F.floor(F.col("_N") / n), F.col("_N") % n
+    big = r * (q + 1)
+    rn = F.col("_rn")
+    tier = F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1)
+    joined = numbered.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
+    return joined.select("ship_to_city_cd", "rmb_dollars", tier.cast("int").alias("tier"))

@@ -124,3 +124,26 @@ def test_streaming_ingest_replays_to_same_table(spark):
     q2 = ingest.start_feed2_ingest(spark, landing, table, ckpt)
     q2.awaitTermination()
     assert _rows(sinks.read_table(spark, table)) == _rows(got)
+
+
+def py_ntile(n_rows, n):
+    q, r = divmod(n_rows, n)
+    out = []
+    for tier in range(1, n + 1):
+        out += [tier] * (q + 1 if tier <= r else q)
+    return out
+
+
+def test_global_row_number_and_ntile_match_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    for n_rows, n in [(1, 3), (7, 3), (10, 4), (50, 7), (33, 1)]:
+        rows = [(f"c{i:03d}", float(rnd.randint(0, 5))) for i in range(n_rows)]
+        df = spark.createDataFrame(rows, "ship_to_city_cd string, rmb_dollars double")
+        got = sorted((r.rmb_dollars, r.ship_to_city_cd, r.tier) for r in tiers.ntile_tiers(df, n).collect())
+        expect_order = sorted((v, c) for c, v in rows)
+        assert [t for _, _, t in got] == py_ntile(n_rows, n)
+        assert [(v, c) for v, c, _ in got] == expect_order
+        numbered = tiers.global_row_number(df, [F.col("rmb_dollars"), F.col("ship_to_city_cd")], partitions=3)
+        assert sorted((r.rmb_dollars, r.ship_to_city_cd, r._rn) for r in numbered.collect()) == \
+            [(v, c, i + 1) for i, (v, c) in enumerate(expect_order)]
