@@ -106,6 +106,25 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
                        "non_null_count", "null_count", "n_unique")
 
 
+def describe_numeric(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """Count, mean, sample standard deviation, min and max of numeric columns, one pass.
+
+    All statistics of all columns are one aggregation (partial per task);
+    the single result row is unpivoted to one row per column.
+    """
+    aggs = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        aggs += [F.count(c).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    wide = df.agg(*aggs)
+    rows = F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
+        F.round(f"{c}__mean", 6).alias("mean"), F.round(f"{c}__std", 6).alias("std"),
+        F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in columns]))
+    return wide.select(rows).select(F.lit(table).alias("table_name"), "*")
+
+
 def not_integer_flag(value: Column) -> Column:
     """TRUE if not convertible or fractional, FALSE for a whole positive value,
     NULL (not counted) when it truncates to <= 0."""

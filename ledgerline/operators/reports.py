@@ -125,6 +125,16 @@ def top_city_hour_pairs(gold: DataFrame, k: int = 10, hour: str = "round") -> Da
                 F.asc_nulls_last("ship_to_city_cd"), F.asc_nulls_last("order_hour_pst"))
 
 
+def top_city_hour_pairs_english(gold: DataFrame, k: int = 5, hour: str = "round") -> DataFrame:
+    """O5 with the English city name: top-k (city, English name, hour) by spend."""
+    sales = (gold.select("ship_to_city_cd", "ship_to_city_cd_eng",
+                         hour_of(F.col("order_time_pst"), hour).alias("order_hour_pst"), "rmb_dollars")
+             .groupBy("ship_to_city_cd", "ship_to_city_cd_eng", "order_hour_pst")
+             .agg(_sum_money().alias("total_sales")))
+    return _top(sales, k, F.desc_nulls_last("total_sales"), F.asc_nulls_last("ship_to_city_cd"),
+                F.asc_nulls_last("ship_to_city_cd_eng"), F.asc_nulls_last("order_hour_pst"))
+
+
 def top_city_per_hour_english(gold: DataFrame, hour: str = "round") -> DataFrame:
     """W1 with the English city name carried through the aggregate."""
     sales = (gold.select("ship_to_city_cd", "ship_to_city_cd_eng",

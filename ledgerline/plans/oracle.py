@@ -507,3 +507,21 @@ SELECT * FROM s1 WHERE NOT EXISTS (SELECT 1 FROM raw_dataset_2 r WHERE r.order_i
 UNION ALL
 SELECT order_id, order_time_pst, rptg_amt, currency_cd, order_qty, ship_to_city_cd, ship_to_district_name
 FROM raw_dataset_2""", _SILVER_PARTS)
+_q("top_city_hour_pairs_english", """
+SELECT ship_to_city_cd, ship_to_city_cd_eng, ROUND(CAST(order_time_pst AS BIGINT) / 10000) AS order_hour_pst,
+       CAST(SUM(rmb_dollars) AS DECIMAL(38,2)) AS total_sales
+FROM gold GROUP BY ship_to_city_cd, ship_to_city_cd_eng, ROUND(CAST(order_time_pst AS BIGINT) / 10000)
+ORDER BY total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST, ship_to_city_cd_eng ASC NULLS LAST,
+         order_hour_pst ASC NULLS LAST
+LIMIT 5""")
+
+
+def _describe(table: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT({c}) AS count, "
+        f"ROUND(AVG(CAST({c} AS DOUBLE)), 6) AS mean, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 6) AS std, "
+        f"MIN(CAST({c} AS DOUBLE)) AS min, MAX(CAST({c} AS DOUBLE)) AS max FROM {table}" for c in cols)
+
+
+_q("describe_columns", _describe("raw_dataset_1", ["city_district_id", "rptg_amt"]) + "\nUNION ALL\n"
+   + _describe("raw_dataset_2", ["order_time_pst", "rptg_amt", "order_qty"]))

@@ -253,3 +253,7 @@ def _silver_contract(w: Warehouse) -> DataFrame:
     q2 = quality.qualify(w.raw_dataset_2, R.feed2_contract(), mode="log")
     part1, part2 = refine.silver_parts(q1, q2, w.raw_mapping)
     return sinks.upsert(part1, part2, ["order_id"])
+register("top_city_hour_pairs_english")(lambda w: reports.top_city_hour_pairs_english(w.gold, 5))
+register("describe_columns")(lambda w: profile.describe_numeric(
+    w.raw_dataset_1, "raw_dataset_1", ["city_district_id", "rptg_amt"]).unionByName(profile.describe_numeric(
+        w.raw_dataset_2, "raw_dataset_2", ["order_time_pst", "rptg_amt", "order_qty"])))

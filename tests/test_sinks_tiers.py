@@ -147,3 +147,12 @@ def test_global_row_number_and_ntile_match_brute_force(spark):
         numbered = tiers.global_row_number(df, [F.col("rmb_dollars"), F.col("ship_to_city_cd")], partitions=3)
         assert sorted((r.rmb_dollars, r.ship_to_city_cd, r._rn) for r in numbered.collect()) == \
             [(v, c, i + 1) for i, (v, c) in enumerate(expect_order)]
+
+
+def test_currency_upsert_updates_rate_by_code(spark):
+    current = spark.sql("SELECT * FROM VALUES ('RMB', 1.0), ('USD', 7.28) AS v(currency_cd, multiplier)")
+    updates = spark.sql("SELECT * FROM VALUES ('USD', 7.30), ('USD', 7.31), ('EUR', 7.9) "
+                        "AS v(currency_cd, multiplier)").withColumn("seq", F.monotonically_increasing_id())
+    merged = sinks.upsert(current, sinks.latest_per_key(updates, ["currency_cd"], ["seq"]).drop("seq"),
+                          ["currency_cd"])
+    assert {r.currency_cd: float(r.multiplier) for r in merged.collect()} == {"RMB": 1.0, "USD": 7.31, "EUR": 7.9}
