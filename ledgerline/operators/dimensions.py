@@ -15,9 +15,11 @@ def city_dimension(source: DataFrame, province_policy: str = "region",
 
     ``province_policy='region'``: municipality, else Province, else
     Autonomous region, else NULL.  ``'city'``: Province, else the English name.
-    Per-capita and total GDP are read from their metadata texts.
+    Per-capita and total GDP are read from their metadata texts.  One row
+    per city code: the record with the highest ``order_col`` (load order), or
+    a deterministic pick without one, so the gold join never duplicates orders.
     """
-    src = latest_per_key(source, ["ship_to_city_cd"], [order_col]) if order_col else source
+    src = latest_per_key(source, ["ship_to_city_cd"], [order_col] if order_col else None)
     eng, meta = F.col("ship_to_city_cd_eng"), F.col("metadata")
     if province_policy == "region":
         province = text.province_by_region(eng, meta)
@@ -34,7 +36,7 @@ def city_dimension(source: DataFrame, province_policy: str = "region",
 
 def district_dimension(source: DataFrame, order_col: str | None = None) -> DataFrame:
     """TRANSLATIONS_DISTRICT_MAPPING: one row per district name."""
-    src = latest_per_key(source, ["ship_to_district_name"], [order_col]) if order_col else source
+    src = latest_per_key(source, ["ship_to_district_name"], [order_col] if order_col else None)
     return src.select("ship_to_district_name", "ship_to_district_name_eng", "metadata")
 
 

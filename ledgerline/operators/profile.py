@@ -30,11 +30,24 @@ def duplicate_rows(df: DataFrame, key: str = "order_id", max_broadcast_keys: int
     return df.join(bounded_broadcast(dup, max_broadcast_keys), key, "inner")
 
 
+OVERLAP_COLUMNS = ("order_time_pst", "rptg_amt", "currency_cd", "order_qty")
+
+
 def feed_overlap(feed1: DataFrame, feed2: DataFrame, key: str = "order_id") -> DataFrame:
-    """Rows of both feeds that share a key (expected empty), columns prefixed per feed."""
-    a = feed1.select(key, *[F.col(c).alias(f"f1_{c}") for c in feed1.columns if c != key])
-    b = feed2.select(key, *[F.col(c).alias(f"f2_{c}") for c in feed2.columns if c != key])
-    return a.join(b, key, "inner")
+    """The rows of either feed whose key also occurs in the other feed (expected empty).
+
+    The shared keys are the intersection of the two distinct key sets (each
+    reduced by a partial aggregate), and each feed is semi-joined with them,
+    so a key repeated in both feeds yields its rows once each, never the
+    cross product of its rows.  Rows are tagged with their feed and carry the
+    columns both feeds have (as text where the types differ).
+    """
+    shared = feed1.select(key).distinct().join(feed2.select(key).distinct(), key, "inner")
+
+    def rows(feed: DataFrame, name: str) -> DataFrame:
+        return feed.join(shared, key, "left_semi").select(
+            key, F.lit(name).alias("feed"), *[F.col(c).cast("string").alias(c) for c in OVERLAP_COLUMNS])
+    return rows(feed1, "feed1").unionByName(rows(feed2, "feed2"))
 
 
 def unmapped_rows(feed: DataFrame, dim: DataFrame, key: str) -> DataFrame:

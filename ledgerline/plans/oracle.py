@@ -363,13 +363,12 @@ FROM silver s
 JOIN (SELECT order_id, COUNT(*) AS n_records FROM silver GROUP BY order_id HAVING COUNT(*) > 1) d
   ON s.order_id = d.order_id""")
 _q("feed_overlap", """
-SELECT a.order_id,
-       a.order_time_pst AS f1_order_time_pst, a.city_district_id AS f1_city_district_id,
-       a.rptg_amt AS f1_rptg_amt, a.currency_cd AS f1_currency_cd, a.order_qty AS f1_order_qty,
-       b.order_time_pst AS f2_order_time_pst, b.ship_to_district_name AS f2_ship_to_district_name,
-       b.ship_to_city_cd AS f2_ship_to_city_cd, b.rptg_amt AS f2_rptg_amt,
-       b.currency_cd AS f2_currency_cd, b.order_qty AS f2_order_qty
-FROM raw_dataset_1 a JOIN raw_dataset_2 b ON a.order_id = b.order_id""")
+SELECT order_id, 'feed1' AS feed, order_time_pst, CAST(rptg_amt AS VARCHAR) AS rptg_amt, currency_cd, order_qty
+FROM raw_dataset_1 a WHERE EXISTS (SELECT 1 FROM raw_dataset_2 b WHERE b.order_id = a.order_id)
+UNION ALL
+SELECT order_id, 'feed2', CAST(order_time_pst AS VARCHAR), CAST(rptg_amt AS VARCHAR), currency_cd,
+       CAST(order_qty AS VARCHAR)
+FROM raw_dataset_2 b WHERE EXISTS (SELECT 1 FROM raw_dataset_1 a WHERE a.order_id = b.order_id)""")
 _q("unmapped_ids", """
 SELECT * FROM raw_dataset_1 r
 WHERE NOT EXISTS (SELECT 1 FROM raw_mapping m WHERE m.city_district_id = r.city_district_id)""")

@@ -12,6 +12,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.session import scratch_path
@@ -30,19 +31,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return False
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return True
+
+
 def latest_per_key(updates: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
-    """One update row per key: the highest ``order_cols`` (load sequence) wins.
+    """One update row per key: the highest ``order_cols`` (load order) wins.
 
-    Without an order the remaining columns decide (largest wins), so the
-    result is deterministic.  Written as a ``max`` over a struct grouped by
-    key: an aggregation with a map-side partial step, so a key holding a
+    Without an order the remaining (orderable) columns decide, largest wins,
+    so the result is deterministic.  Written as ``max_by(row, order)`` grouped
+    by key: an aggregation with a map-side partial step, so a key holding a
     large share of the updates is reduced before the shuffle.
     """
     others = [c for c in updates.columns if c not in keys]
-    order = list(order_cols or [])
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                      *[F.col(c) for c in others])
-    best = updates.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    types = dict((f.name, f.dataType) for f in updates.schema.fields)
+    order = list(order_cols) if order_cols else [c for c in others if _orderable(types[c])]
+    if not order:
+        order = list(keys)
+    rank = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    best = updates.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), rank).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in others]).select(*updates.columns)
 
 
@@ -63,8 +76,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     return kept.unionByName(dedup.select(*target.columns))
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Complete versions under ``path`` on whatever file system the path names."""
+def _versions(spark: SparkSession, path: str, complete_only: bool = True) -> list[str]:
+    """Version directories under ``path`` (by default only complete ones), on any file system."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -72,7 +85,7 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [st.getPath().getName() for st in fs.listStatus(hpath)]
     return sorted(n for n in names if n.startswith(VERSION_PREFIX)
-                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+                  and (not complete_only or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -84,8 +97,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_version(df: DataFrame, path: str) -> str:
-    """Write ``df`` as the next version of the table at ``path``; returns the version path."""
-    versions = _versions(df.sparkSession, path)
+    """Write ``df`` as the next version of the table at ``path``; returns the version path.
+
+    The number follows every existing version directory, complete or not, so a
+    retry after a failed write never collides with the partial directory
+    (readers skip it: it has no ``_SUCCESS``).
+    """
+    versions = _versions(df.sparkSession, path, complete_only=False)
     n = int(versions[-1][len(VERSION_PREFIX):]) + 1 if versions else 1
     out = os.path.join(path, f"{VERSION_PREFIX}{n:06d}")
     df.write.mode("errorifexists").parquet(out)

@@ -156,3 +156,15 @@ def test_currency_upsert_updates_rate_by_code(spark):
     merged = sinks.upsert(current, sinks.latest_per_key(updates, ["currency_cd"], ["seq"]).drop("seq"),
                           ["currency_cd"])
     assert {r.currency_cd: float(r.multiplier) for r in merged.collect()} == {"RMB": 1.0, "USD": 7.31, "EUR": 7.9}
+
+
+def test_failed_version_is_skipped_by_readers_and_retries(spark):
+    path = scratch_path(spark, "t_versions")
+    sinks.write_version(spark.createDataFrame([(1,)], "k int"), path)
+    # A partial directory without _SUCCESS, as a failed write leaves it.
+    spark.createDataFrame([(9,)], "k int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs",
+                                                         "false").parquet(f"{path}/version=000002")
+    assert _rows(sinks.read_table(spark, path)) == [(1,)]
+    out = sinks.write_version(spark.createDataFrame([(2,)], "k int"), path)
+    assert out.endswith("version=000003")
+    assert _rows(sinks.read_table(spark, path)) == [(2,)]
