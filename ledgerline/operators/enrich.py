@@ -34,10 +34,10 @@ def gold(silver: DataFrame, city_dim: DataFrame, district_dim: DataFrame, curren
     map-only stage over the silver rows.
     """
     city = bounded_broadcast(city_dim.select(
-        F.col("ship_to_city_cd").alias("_c_key"), "ship_to_city_cd_eng"))
+        F.col("ship_to_city_cd").alias("_c_key"), "ship_to_city_cd_eng"), basis=city_dim)
     district = bounded_broadcast(district_dim.select(
-        F.col("ship_to_district_name").alias("_d_key"), "ship_to_district_name_eng"))
-    rates = bounded_broadcast(currency.select(F.col("currency_cd").alias("_r_key"), "multiplier"))
+        F.col("ship_to_district_name").alias("_d_key"), "ship_to_district_name_eng"), basis=district_dim)
+    rates = bounded_broadcast(currency.select(F.col("currency_cd").alias("_r_key"), "multiplier"), basis=currency)
     p = silver
     merged = (p.join(city, p.ship_to_city_cd == city._c_key, "left")
               .join(district, p.ship_to_district_name == district._d_key, "left")

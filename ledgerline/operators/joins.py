@@ -22,11 +22,15 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return _CHECKED[key]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      basis: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast for ``df`` only if it holds at most ``max_rows`` rows.
 
-    Callers pass frames that are cheap to count (materialised dimensions or
-    tiny inputs); beyond the bound the frame is returned unhinted and the
-    planner shuffles both sides (AQE may still convert at run time).
+    ``basis`` is a frame whose row count bounds ``df`` (``df`` is a
+    projection, filter or distinct of it); the check then runs once per base
+    dimension instead of once per projection.  Callers pass frames that are
+    cheap to count (stored dimensions or small inputs); beyond the bound the
+    frame is returned unhinted and the planner shuffles both sides (AQE may
+    still convert at run time).
     """
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df if basis is None else basis, max_rows) else df

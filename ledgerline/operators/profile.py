@@ -52,7 +52,7 @@ def feed_overlap(feed1: DataFrame, feed2: DataFrame, key: str = "order_id") -> D
 
 def unmapped_rows(feed: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Feed rows whose key is not in the dimension (a NULL key counts as unmapped)."""
-    keys = bounded_broadcast(dim.select(F.col(key).alias("_dim_key")).distinct())
+    keys = bounded_broadcast(dim.select(F.col(key).alias("_dim_key")).distinct(), basis=dim)
     return feed.join(keys, feed[key] == keys["_dim_key"], "left_anti")
 
 
@@ -87,7 +87,7 @@ def contains_match(values: DataFrame, names: DataFrame, value_col: str, name_col
     are produced.
     """
     distinct_values = values.select(value_col).distinct()
-    name_list = bounded_broadcast(names.select(F.col(name_col).alias("_name")), 200_000)
+    name_list = bounded_broadcast(names.select(F.col(name_col).alias("_name")), 200_000, basis=names)
     cond = F.col("_name").contains(F.col(value_col))
     hit = distinct_values.join(name_list, cond, "left_semi").withColumn("city_match", F.lit(True))
     miss = distinct_values.join(name_list, cond, "left_anti").withColumn("city_match", F.lit(False))

@@ -37,7 +37,7 @@ def with_membership(feed: DataFrame, dim: DataFrame, key: str, flag: str,
     multiplied.  Unmatched non-null keys get FALSE.
     """
     feed_key = feed_key or key
-    known = bounded_broadcast(_known_keys(dim, key, flag, feed_key))
+    known = bounded_broadcast(_known_keys(dim, key, flag, feed_key), basis=dim)
     joined = feed.join(known, feed[feed_key] == known[f"_k_{flag}"], "left")
     return joined.drop(f"_k_{flag}").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 

@@ -18,7 +18,8 @@ def resolve_places(qualified_1: DataFrame, mapping: DataFrame) -> DataFrame:
     The mapping is a dimension; it is broadcast after a size check, so the
     order feed is streamed through a hash join without a shuffle.
     """
-    dim = bounded_broadcast(mapping.select("city_district_id", "ship_to_city_cd", "ship_to_district_name"))
+    dim = bounded_broadcast(mapping.select("city_district_id", "ship_to_city_cd", "ship_to_district_name"),
+                            basis=mapping)
     q = qualified_1.alias("q")
     joined = q.join(dim.alias("m"), F.col("q.city_district_id") == F.col("m.city_district_id"), "left")
     return joined.select("q.order_id", "q.order_time_pst", "m.ship_to_city_cd", "m.ship_to_district_name",

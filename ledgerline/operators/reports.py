@@ -34,7 +34,7 @@ def _top(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def _city_province(city_dim: DataFrame) -> DataFrame:
-    return bounded_broadcast(city_dim.select("ship_to_city_cd", "province"))
+    return bounded_broadcast(city_dim.select("ship_to_city_cd", "province"), basis=city_dim)
 
 
 # ---------------------------------------------------------------- A1, A2, A8
@@ -50,7 +50,8 @@ def province_spend(gold: DataFrame, city_dim: DataFrame, district_dim: DataFrame
     the fact rows is needed.
     """
     cities = _city_province(city_dim)
-    districts = bounded_broadcast(district_dim.select(F.col("ship_to_district_name").alias("d_name")))
+    districts = bounded_broadcast(district_dim.select(F.col("ship_to_district_name").alias("d_name")),
+                                  basis=district_dim)
     c = gold.select("ship_to_city_cd", "ship_to_district_name", "rmb_dollars")
     joined = (c.join(cities, "ship_to_city_cd")
               .join(districts, F.col("ship_to_district_name") == F.col("d_name"), "left"))
@@ -175,7 +176,8 @@ def best_district_per_city(gold: DataFrame, k: int = 10) -> DataFrame:
 def city_gdp_spend(gold: DataFrame, city_dim: DataFrame) -> DataFrame:
     """Spend of translated cities that have both a per-capita GDP and a province."""
     dim = bounded_broadcast(city_dim.where(F.col("per_capita_usd").isNotNull() & F.col("province").isNotNull())
-                            .select("ship_to_city_cd", "ship_to_city_cd_eng", "per_capita_usd", "province"))
+                            .select("ship_to_city_cd", "ship_to_city_cd_eng", "per_capita_usd", "province"),
+                            basis=city_dim)
     per_city = (gold.select("ship_to_city_cd", "rmb_dollars")
                 .groupBy("ship_to_city_cd").agg(F.sum("rmb_dollars").alias("total_spend")))
     joined = per_city.join(dim, "ship_to_city_cd")

@@ -25,7 +25,7 @@ def city_totals(gold: DataFrame, city_dim: DataFrame) -> DataFrame:
     totals = (gold.where(F.col("ship_to_city_cd").isNotNull())
               .groupBy("ship_to_city_cd").agg(F.sum("rmb_dollars").alias("total")))
     attrs = bounded_broadcast(city_dim.select("ship_to_city_cd", "ship_to_city_cd_eng", "province",
-                                              "per_capita_usd"))
+                                              "per_capita_usd"), basis=city_dim)
     return (totals.join(attrs, "ship_to_city_cd", "left")
             .select("ship_to_city_cd", F.col("total").cast("double").alias("rmb_dollars"),
                     "ship_to_city_cd_eng", "province", "per_capita_usd"))

@@ -41,7 +41,7 @@ def _segment_code(segment: Column) -> Column:
 
 
 def _nations(t: Tables) -> DataFrame:
-    return bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000)
+    return bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000, basis=t.nation)
 
 
 def customer_geo(t: Tables) -> DataFrame:
@@ -160,7 +160,7 @@ def city_translation_source(t: Tables) -> DataFrame:
     )
     metadata = F.map_from_entries(F.filter(entries, lambda e: e.isNotNull()))
     return (n.where(nk != UNTRANSLATED_NATION)
-            .join(bounded_broadcast(r, 100_000), n.n_regionkey == r.r_regionkey)
+            .join(bounded_broadcast(r, 100_000, basis=t.region), n.n_regionkey == r.r_regionkey)
             .select(F.col("n_name").alias("ship_to_city_cd"), eng.alias("ship_to_city_cd_eng"),
                     metadata.alias("metadata")))
 
