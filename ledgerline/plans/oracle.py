@@ -308,8 +308,8 @@ errs AS (
 _q("exceptions_all_errors", "SELECT * FROM errs", _ERRORS)
 _q("exceptions_json", """
 SELECT order_id,
-       to_json(list(struct_pack(field := field, message := message, n := n) ORDER BY field, message, n))
-         AS error_message
+       CAST(to_json(list(struct_pack(field := field, message := message, n := n) ORDER BY field, message, n))
+         AS VARCHAR) AS error_message
 FROM (SELECT order_id, field, message, COUNT(*) AS n FROM errs GROUP BY order_id, field, message)
 GROUP BY order_id""", _ERRORS)
 
@@ -352,7 +352,7 @@ SELECT d.ship_to_city_cd, d.ship_to_city_cd_eng,
 FROM city_dim d JOIN city_kv k ON d.ship_to_city_cd = k.ship_to_city_cd""")
 _q("district_dimension", """
 SELECT ship_to_district_name, ship_to_district_name_eng,
-       to_json(MAP {'Segment': ship_to_district_name}) AS metadata
+       CAST(to_json(MAP {'Segment': ship_to_district_name}) AS VARCHAR) AS metadata
 FROM district_dim""")
 _q("metadata_explode", "SELECT ship_to_city_cd, meta_key, meta_value FROM city_meta")
 
@@ -373,8 +373,10 @@ _q("unmapped_ids", """
 SELECT * FROM raw_dataset_1 r
 WHERE NOT EXISTS (SELECT 1 FROM raw_mapping m WHERE m.city_district_id = r.city_district_id)""")
 _q("unjoinable_reasons", """
-SELECT COUNT_IF(NOT c_ok OR NOT d_ok) AS unjoinable_rows, COUNT_IF(NOT d_ok) AS due_to_district,
-       COUNT_IF(NOT c_ok) AS due_to_city, COUNT_IF(NOT c_ok AND NOT d_ok) AS due_to_both
+SELECT CAST(COUNT_IF(NOT c_ok OR NOT d_ok) AS BIGINT) AS unjoinable_rows,
+       CAST(COUNT_IF(NOT d_ok) AS BIGINT) AS due_to_district,
+       CAST(COUNT_IF(NOT c_ok) AS BIGINT) AS due_to_city,
+       CAST(COUNT_IF(NOT c_ok AND NOT d_ok) AS BIGINT) AS due_to_both
 FROM (SELECT COALESCE(ship_to_city_cd IN (SELECT ship_to_city_cd FROM raw_mapping), FALSE) AS c_ok,
              COALESCE(ship_to_district_name IN (SELECT ship_to_district_name FROM raw_mapping), FALSE) AS d_ok
       FROM raw_dataset_2)""")
@@ -407,10 +409,13 @@ def _failure_counts(feed: str) -> str:
     q = "TRY_CAST(order_qty AS DOUBLE)"
     a = "TRY_CAST(rptg_amt AS DOUBLE)"
     return f"""SELECT '{feed}' AS feed, COUNT(*) AS n_rows,
-  COUNT_IF(CASE WHEN {q} IS NULL OR isnan({q}) THEN TRUE WHEN {q} >= 1 THEN {q} <> floor({q}) END) AS not_integer_qty,
-  COUNT_IF(currency_cd IS DISTINCT FROM 'RMB') AS not_rmb_currency,
-  COUNT_IF(NOT COALESCE({a} IS NOT NULL AND round({a}, 2) = {a} AND {a} > 0, FALSE)) AS invalid_amount,
-  COUNT_IF(NOT COALESCE(regexp_full_match(CAST(order_time_pst AS VARCHAR), '[0-9]+'), FALSE)) AS non_numeric_time
+  CAST(COUNT_IF(CASE WHEN {q} IS NULL OR isnan({q}) THEN TRUE WHEN {q} >= 1 THEN {q} <> floor({q}) END)
+       AS BIGINT) AS not_integer_qty,
+  CAST(COUNT_IF(currency_cd IS DISTINCT FROM 'RMB') AS BIGINT) AS not_rmb_currency,
+  CAST(COUNT_IF(NOT COALESCE({a} IS NOT NULL AND round({a}, 2) = {a} AND {a} > 0, FALSE)) AS BIGINT)
+       AS invalid_amount,
+  CAST(COUNT_IF(NOT COALESCE(regexp_full_match(CAST(order_time_pst AS VARCHAR), '[0-9]+'), FALSE)) AS BIGINT)
+       AS non_numeric_time
 FROM {feed}"""
 
 
@@ -462,7 +467,7 @@ SELECT *, ROUND((rmb_dollars - AVG(rmb_dollars) OVER ()) / STDDEV_POP(rmb_dollar
 FROM city_totals""", _TOTALS)
 _q("city_tiers_ntile", """
 SELECT ship_to_city_cd, rmb_dollars,
-       NTILE(3) OVER (ORDER BY rmb_dollars ASC NULLS LAST, ship_to_city_cd ASC NULLS LAST) AS tier
+       CAST(NTILE(3) OVER (ORDER BY rmb_dollars ASC NULLS LAST, ship_to_city_cd ASC NULLS LAST) AS INTEGER) AS tier
 FROM city_totals""", _TOTALS)
 
 # ------------------------------------------------------------------ page facts
@@ -475,10 +480,10 @@ SELECT page_id,
     '- Wikipedia', ''), '^\s+|\s+$', '', 'g') AS title
 FROM pages WHERE regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""")
 _q("page_failures", """
-SELECT 10000000 + n_nationkey AS page_id, 'no title in page' AS error_message
+SELECT CAST(10000000 + n_nationkey AS BIGINT) AS page_id, 'no title in page' AS error_message
 FROM nation WHERE n_nationkey NOT IN (SELECT nk FROM city_src)""")
 _q("page_infobox", """
-SELECT 10000000 + s.nk AS page_id, m.meta_key, m.meta_value
+SELECT CAST(10000000 + s.nk AS BIGINT) AS page_id, m.meta_key, m.meta_value
 FROM city_meta m JOIN city_src s ON m.ship_to_city_cd = s.ship_to_city_cd""")
 _q("page_city_dimension", "SELECT ship_to_city_cd, ship_to_city_cd_eng, province, per_capita_usd, total_gdp_usd "
                           "FROM city_dim")

@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import canon, duck  # noqa: E402
+from oracle_check import canon, duck, type_mismatches  # noqa: E402
 
 from conftest import SMALL  # noqa: E402
 
@@ -28,6 +28,7 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     expected = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    assert type_mismatches(df, res) == []
     assert len(rows) == len(expected)
     assert canon(df.columns, rows) == canon(cols, expected)
 
