@@ -21,21 +21,15 @@ PARSED_SCHEMA = ("page_id long, title string, has_title boolean, "
                  "pairs array<struct<pos:int,key:string,value:string>>")
 
 
-class _TitleDone(Exception):
-    """Raised to stop tokenizing once the title is complete (titles-only mode)."""
-
-
 class _PageParser(HTMLParser):
     """Title text and (th, td) text pairs of rows inside ``<table class="... infobox ...">``.
 
     Like a DOM walk: every ``<tr>`` under an infobox table (nested ones too)
     yields the full text of its first ``th`` and first ``td`` when both exist.
-    With ``titles_only`` the parser stops at the end of the first title.
     """
 
-    def __init__(self, titles_only: bool = False):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.titles_only = titles_only
         self.title: list[str] | None = None
         self._in_title = False
         self._title_done = False
@@ -63,8 +57,6 @@ class _PageParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "title" and self._in_title:
             self._in_title, self._title_done = False, True
-            if self.titles_only:
-                raise _TitleDone
         elif tag in ("th", "td") and self._rows and tag in self._rows[-1]["open"]:
             self._rows[-1]["open"].remove(tag)
         elif tag == "tr" and self._rows:
@@ -82,29 +74,22 @@ class _PageParser(HTMLParser):
                 row[cell].append(data)
 
 
-def parse_page(html: str | None, titles_only: bool = False) -> tuple[str | None, bool, list[tuple[str, str]]]:
-    """(title text, whether a title exists, infobox pairs in document order).
-
-    ``titles_only`` stops at the end of the first title (no pairs); an
-    unterminated title runs to the end of the page, as a full parse would.
-    """
+def parse_page(html: str | None) -> tuple[str | None, bool, list[tuple[str, str]]]:
+    """(title text, whether a title exists, infobox pairs in document order); the whole page is read."""
     if not html:
         return None, False, []
-    p = _PageParser(titles_only)
-    try:
-        p.feed(html)
-        p.close()
-    except _TitleDone:
-        pass
+    p = _PageParser()
+    p.feed(html)
+    p.close()
     title = None if p.title is None else "".join(p.title)
     return title, p.title is not None, p.pairs
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame], titles_only: bool = False) -> Iterator[pd.DataFrame]:
+def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = {"page_id": [], "title": [], "has_title": [], "pairs": []}
         for pid, html in zip(pdf["page_id"], pdf["html"]):
-            title, has_title, pairs = parse_page(html, titles_only)
+            title, has_title, pairs = parse_page(html)
             out["page_id"].append(pid)
             out["title"].append(title)
             out["has_title"].append(has_title)
@@ -112,11 +97,19 @@ def _parse_batches(batches: Iterator[pd.DataFrame], titles_only: bool = False) -
         yield pd.DataFrame(out)
 
 
-def parse_pages(pages: DataFrame, titles_only: bool = False) -> DataFrame:
-    """H1 tokenizing step: one output row per page, Arrow-batched in the Python workers."""
-    def run(batches):
-        return _parse_batches(batches, titles_only)
-    return pages.select("page_id", "html").mapInPandas(run, PARSED_SCHEMA)
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """H1 tokenizing step: one output row per page, Arrow-batched in the Python workers.
+
+    Parsing is CPU-bound Python, so when the scan yields fewer splits than the
+    cluster has cores (a single large file or row group) the pages are first
+    spread round-robin over the available cores; inputs that already have
+    that many splits are parsed where they are read, with no shuffle.
+    """
+    src = pages.select("page_id", "html")
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < cores:
+        src = src.repartition(cores)
+    return src.mapInPandas(_parse_batches, PARSED_SCHEMA)
 
 
 def page_titles(parsed: DataFrame) -> DataFrame:

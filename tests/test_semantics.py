@@ -178,13 +178,6 @@ def test_infobox_facts_follow_dict_semantics(spark):
     assert failures == [2, 3]
 
 
-def test_titles_only_parse_agrees_with_full_parse():
-    pages = [PAGE, "<html><title>a &lt;b&gt;</title><title>second</title></html>", "<title>open", "<p>x</p>"]
-    for html in pages:
-        full, quick = pagefacts.parse_page(html), pagefacts.parse_page(html, titles_only=True)
-        assert full[:2] == quick[:2]
-
-
 def test_place_rules_are_optional_and_flag_unknown_places(spark):
     assert [r.field for r in rules.feed2_contract()] == ["order_time_pst", "rptg_amt", "currency_cd", "order_qty"]
     feed = spark.createDataFrame(
