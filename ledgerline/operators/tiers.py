@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.sources.sinks import materialize
 
-# Bound on the number of cities a tier query accepts (rows of the totals frame).
-MAX_CITIES = 1_000_000
-
-
 def city_totals(gold: DataFrame, city_dim: DataFrame) -> DataFrame:
     """A13 + J12: total spend per (non-null) city with its translation attributes."""
     totals = (gold.where(F.col("ship_to_city_cd").isNotNull())

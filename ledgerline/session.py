@@ -23,6 +23,34 @@ DEFAULT_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Sizing for a run over ``input_bytes`` of input on ``total_cores`` executor cores.
+
+    Shuffles start with enough partitions for ~256 MB each (at least two
+    waves of the cores) and AQE coalesces the small ones; scans split files
+    at 256 MB, so every task's input and shuffle block fits executor memory
+    and spills stay rare.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    size = f"{TARGET_PARTITION_BYTES // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int) -> None:
+    """Set the runtime SQL options of :func:`scale_conf` on an existing session."""
+    for key, value in scale_conf(input_bytes, total_cores).items():
+        spark.conf.set(key, value)
+
+
 def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
               app: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks; on a cluster use the given session."""

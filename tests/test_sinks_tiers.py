@@ -168,3 +168,12 @@ def test_failed_version_is_skipped_by_readers_and_retries(spark):
     out = sinks.write_version(spark.createDataFrame([(2,)], "k int"), path)
     assert out.endswith("version=000003")
     assert _rows(sinks.read_table(spark, path)) == [(2,)]
+
+
+def test_scale_conf_sizes_partitions_from_input():
+    from ledgerline.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert small["spark.sql.files.maxPartitionBytes"] == "256m"
