@@ -529,3 +529,17 @@ def _describe(table: str, cols: list[str]) -> str:
 
 _q("describe_columns", _describe("raw_dataset_1", ["city_district_id", "rptg_amt"]) + "\nUNION ALL\n"
    + _describe("raw_dataset_2", ["order_time_pst", "rptg_amt", "order_qty"]))
+_q("translation_worklist_districts", """
+SELECT ship_to_district_name FROM (
+  SELECT DISTINCT ship_to_district_name FROM (
+    SELECT ship_to_district_name FROM raw_dataset_2 UNION ALL SELECT ship_to_district_name FROM raw_mapping)) u
+WHERE NOT EXISTS (SELECT 1 FROM district_dim d WHERE d.ship_to_district_name = u.ship_to_district_name)""")
+_q("gold_orders_float_rate", """
+SELECT p.order_id, CAST(p.order_time_pst AS INTEGER) AS order_time_pst, p.ship_to_city_cd,
+       p.ship_to_district_name, td.ship_to_district_name_eng, tc.ship_to_city_cd_eng,
+       CAST(CAST(p.rptg_amt AS FLOAT) * CAST(cc.multiplier AS FLOAT) AS DECIMAL(18,2)) AS rmb_dollars,
+       CAST(p.order_qty AS INTEGER) AS order_qty
+FROM silver p
+LEFT JOIN city_dim tc ON p.ship_to_city_cd = tc.ship_to_city_cd
+LEFT JOIN district_dim td ON p.ship_to_district_name = td.ship_to_district_name
+LEFT JOIN currency cc ON p.currency_cd = cc.currency_cd""")

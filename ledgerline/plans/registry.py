@@ -115,7 +115,7 @@ register("rule_failure_counts")(lambda w: profile.rule_failure_counts(w.raw_data
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline import schemas  # noqa: E402
-from ledgerline.operators import pagefacts, refine, tiers  # noqa: E402
+from ledgerline.operators import enrich, pagefacts, refine, tiers  # noqa: E402
 from ledgerline.session import scratch_path  # noqa: E402
 from ledgerline.sources import files, fixtures, sinks  # noqa: E402
 
@@ -214,13 +214,17 @@ register("page_city_dimension")(lambda w: dimensions.city_dimension(
     w.province_policy).drop("metadata"))
 
 
-@register("translation_worklist")
-def _worklist(w: Warehouse) -> DataFrame:
-    """H2: distinct city codes of feed 2 and the mapping that have no translation yet."""
-    ids = (w.raw_dataset_2.select("ship_to_city_cd")
-           .unionByName(w.raw_mapping.select("ship_to_city_cd")).distinct())
-    done = w.city_dim.select(F.col("ship_to_city_cd").alias("_done"))
-    return ids.join(done, ids.ship_to_city_cd == done._done, "left_anti")
+def _worklist(w: Warehouse, key: str, dim: DataFrame) -> DataFrame:
+    """H2: distinct identifiers of feed 2 and the mapping that have no translation yet."""
+    ids = w.raw_dataset_2.select(key).unionByName(w.raw_mapping.select(key)).distinct()
+    done = dim.select(F.col(key).alias("_done"))
+    return ids.join(done, ids[key] == done["_done"], "left_anti")
+
+
+register("translation_worklist")(lambda w: _worklist(w, "ship_to_city_cd", w.city_dim))
+register("translation_worklist_districts")(lambda w: _worklist(w, "ship_to_district_name", w.district_dim))
+register("gold_orders_float_rate")(lambda w: enrich.gold(
+    w.silver, w.city_dim, w.district_dim, w.currency, "float"))
 
 # ------------------------------------------------------------------ streaming
 from ledgerline.streaming import ingest  # noqa: E402
