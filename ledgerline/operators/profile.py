@@ -37,12 +37,14 @@ def feed_overlap(feed1: DataFrame, feed2: DataFrame, key: str = "order_id") -> D
     """The rows of either feed whose key also occurs in the other feed (expected empty).
 
     The shared keys are the intersection of the two distinct key sets (each
-    reduced by a partial aggregate), and each feed is semi-joined with them,
+    reduced by a partial aggregate), written once and broadcast when their
+    size check passes; each feed is semi-joined with them,
     so a key repeated in both feeds yields its rows once each, never the
     cross product of its rows.  Rows are tagged with their feed and carry the
     columns both feeds have (as text where the types differ).
     """
-    shared = feed1.select(key).distinct().join(feed2.select(key).distinct(), key, "inner")
+    shared = bounded_broadcast(materialize(
+        feed1.select(key).distinct().join(feed2.select(key).distinct(), key, "inner"), "shared_keys"), 5_000_000)
 
     def rows(feed: DataFrame, name: str) -> DataFrame:
         return feed.join(shared, key, "left_semi").select(

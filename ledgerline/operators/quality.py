@@ -142,7 +142,7 @@ def dq_not_null(df: DataFrame, table: str, column: str) -> DataFrame:
 
 def relationships_rows(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """T3 failing rows: non-null child keys without a parent row."""
-    keys = parent.select(F.col(field).alias("_parent_key")).distinct()
+    keys = bounded_broadcast(parent.select(F.col(field).alias("_parent_key")).distinct(), basis=parent)
     c = child.where(F.col(column).isNotNull())
     return c.join(keys, c[column] == keys["_parent_key"], "left_anti")
 
