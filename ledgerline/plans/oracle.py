@@ -543,3 +543,4 @@ FROM silver p
 LEFT JOIN city_dim tc ON p.ship_to_city_cd = tc.ship_to_city_cd
 LEFT JOIN district_dim td ON p.ship_to_district_name = td.ship_to_district_name
 LEFT JOIN currency cc ON p.currency_cd = cc.currency_cd""")
+_q("window_read_pruned", "SELECT *, '20240723' AS dt, 'window2' AS load_window FROM s2", _SILVER_PARTS)

@@ -171,6 +171,18 @@ def _window_overwrite(w: Warehouse) -> DataFrame:
     return w.spark.read.schema(schema).parquet(path)
 
 
+@register("window_read_pruned")
+def _window_read(w: Warehouse) -> DataFrame:
+    """S14 read side: only the files of one (dt, load_window) partition are listed and scanned."""
+    path = scratch_path(w.spark, "silver_windows_read")
+    part1, part2 = refine.silver_parts(w.qualified_1, w.qualified_2, w.raw_mapping)
+    both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
+    sinks.overwrite_windows(both, path, ("dt", "load_window"))
+    schema = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
+    return (w.spark.read.schema(schema).parquet(path)
+            .where((F.col("dt") == LOAD_DATE) & (F.col("load_window") == "window2")))
+
+
 @register("upsert_orders")
 def _upsert_orders(w: Warehouse) -> DataFrame:
     """Feed-2 rows upserted on order_id into the feed-1 rows (later load wins)."""

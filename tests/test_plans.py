@@ -83,3 +83,9 @@ def test_global_window_detector(spark):
     from pyspark.sql import functions as F
     df = spark.range(10).withColumn("t", F.ntile(3).over(Window.orderBy("id")))
     assert len(global_windows(plan(df))) == 1
+
+
+def test_window_read_prunes_partitions(spark):
+    p = plan(q(spark, "window_read_pruned"))
+    filters = re.findall(r"PartitionFilters: \[([^\n]*)\]", p)
+    assert filters and "load_window" in filters[0] and "dt" in filters[0]
