@@ -97,18 +97,16 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out)
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, spread: int | None = None) -> DataFrame:
     """H1 tokenizing step: one output row per page, Arrow-batched in the Python workers.
 
-    Parsing is CPU-bound Python, so when the scan yields fewer splits than the
-    cluster has cores (a single large file or row group) the pages are first
-    spread round-robin over the available cores; inputs that already have
-    that many splits are parsed where they are read, with no shuffle.
+    Pages are parsed where they are read (one task per input split, no
+    shuffle).  ``spread`` redistributes them round-robin over that many tasks
+    first, for inputs stored as a few very large splits.
     """
     src = pages.select("page_id", "html")
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < cores:
-        src = src.repartition(cores)
+    if spread:
+        src = src.repartition(spread)
     return src.mapInPandas(_parse_batches, PARSED_SCHEMA)
 
 

@@ -163,7 +163,7 @@ def _with_window(df: DataFrame, window: str) -> DataFrame:
 def _window_overwrite(w: Warehouse) -> DataFrame:
     """Load both windows, then re-run window1 (backfill); the table must be unchanged."""
     path = scratch_path(w.spark, "silver_windows")
-    part1, part2 = refine.silver_parts(w.qualified_1, w.qualified_2, w.raw_mapping)
+    part1, part2 = w.silver_parts
     both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
     sinks.overwrite_windows(both, path, ("dt", "load_window"))
     sinks.overwrite_windows(_with_window(part1, "window1"), path, ("dt", "load_window"))
@@ -175,7 +175,7 @@ def _window_overwrite(w: Warehouse) -> DataFrame:
 def _window_read(w: Warehouse) -> DataFrame:
     """S14 read side: only the files of one (dt, load_window) partition are listed and scanned."""
     path = scratch_path(w.spark, "silver_windows_read")
-    part1, part2 = refine.silver_parts(w.qualified_1, w.qualified_2, w.raw_mapping)
+    part1, part2 = w.silver_parts
     both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
     sinks.overwrite_windows(both, path, ("dt", "load_window"))
     schema = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
@@ -186,7 +186,7 @@ def _window_read(w: Warehouse) -> DataFrame:
 @register("upsert_orders")
 def _upsert_orders(w: Warehouse) -> DataFrame:
     """Feed-2 rows upserted on order_id into the feed-1 rows (later load wins)."""
-    part1, part2 = refine.silver_parts(w.qualified_1, w.qualified_2, w.raw_mapping)
+    part1, part2 = w.silver_parts
     return sinks.upsert(part1, part2, ["order_id"])
 
 

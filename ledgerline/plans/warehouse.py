@@ -2,14 +2,14 @@
 
 Each layer is a DataFrame; Catalyst fuses the chain between two written
 layers into one plan.  Bronze (the landed feeds and the mapping, which is
-derived from the large customer table) and gold are written once to the
-shared checkpoint folder and read back, as a medallion pipeline stores
+derived from the large customer table), silver and gold are written once to
+the shared checkpoint folder and read back, as a medallion pipeline stores
 them: reports scan the gold files
 (only the columns they need) instead of re-running the feed joins, the
 lineage is cut (a lost executor does not re-run upstream stages), and
-broadcast size checks on dimensions are cheap reads.  Silver, the
-qualified feeds and the translation dimensions (built from small record
-sets) are projections that stay lazy.
+broadcast size checks on dimensions are cheap reads.  The qualified feeds
+and the translation dimensions (built from small record sets) are
+projections that stay lazy.
 """
 
 from __future__ import annotations
@@ -52,10 +52,11 @@ class Warehouse:
         return _CACHE[key]
 
     def build(self) -> "Warehouse":
-        """Write the stored layers: mapping first, both feeds as concurrent jobs, then gold."""
+        """Write the stored layers: mapping, both feeds (concurrent jobs), silver, gold."""
         _ = self.raw_mapping
         with ThreadPoolExecutor(max_workers=2) as pool:
             list(pool.map(lambda name: getattr(self, name), ["raw_dataset_1", "raw_dataset_2"]))
+        _ = self.silver_parts
         _ = self.gold
         return self
 
@@ -116,9 +117,16 @@ class Warehouse:
         return quality.exceptions_first(self.flagged_1, R.feed1_rules())
 
     # ------------------------------------------------------------ silver, gold
+    @cached_property
+    def silver_parts(self) -> tuple[DataFrame, DataFrame]:
+        """PROCESSED_DATASET stored as its two feed parts (the keyed loads use them separately)."""
+        part1, part2 = refine.silver_parts(self.qualified_1, self.qualified_2, self.raw_mapping)
+        return self._stored(part1, "processed_feed1"), self._stored(part2, "processed_feed2")
+
     @cached_property
     def silver(self) -> DataFrame:
-        return refine.silver(self.qualified_1, self.qualified_2, self.raw_mapping)
+        part1, part2 = self.silver_parts
+        return part1.unionByName(part2)
 
     @cached_property
     def gold(self) -> DataFrame:
