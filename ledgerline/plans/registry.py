@@ -253,7 +253,8 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
     files.write_feed2_json(staged.where(~even | F.col("event_hour").isNull()).drop("event_hour"),
                            f"{landing}/window=2")
     table = scratch_path(w.spark, "feed2_streamed")
-    q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"))
+    q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"),
+                                  exceptions_path=table + "_exceptions")
     q.awaitTermination()
     return sinks.read_table(w.spark, table)
 

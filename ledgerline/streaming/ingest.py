@@ -2,10 +2,11 @@
 
 New window folders of the denormalised order feed land as JSON files; a
 file-source stream validates each micro-batch with the same rule list as the
-batch layer and upserts it by order id into a versioned table.  A replayed
-micro-batch (after a failure) upserts the same rows again, which leaves the
-table unchanged, so the sink is effectively exactly-once; progress is kept
-in a checkpoint folder on shared storage.
+batch layer, upserts it by order id into a versioned table and logs its
+row-contract errors.  A replayed micro-batch (after a failure) upserts the
+same rows again, which leaves the table unchanged, and rewrites its own log
+partition, so both sinks are effectively exactly-once; progress is kept in
+a checkpoint folder on shared storage.
 """
 
 from __future__ import annotations
@@ -30,14 +31,28 @@ def feed2_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
 
 
 def start_feed2_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
-                       available_now: bool = True) -> StreamingQuery:
-    """Validate each micro-batch (null replacement) and upsert it into ``table_path`` by order id."""
-    validated = quality.qualify(feed2_stream(spark, landing_dir), R.feed2_rules())
+                       available_now: bool = True, exceptions_path: str | None = None) -> StreamingQuery:
+    """Validate each micro-batch (null replacement) and upsert it into ``table_path`` by order id.
 
-    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        sinks.upsert_table(batch.sparkSession, table_path, batch, ["order_id"])
+    With ``exceptions_path`` the row-contract errors of each batch (one row
+    per order and failing field) are written to ``exceptions_path/epoch=<id>``;
+    a replayed epoch overwrites its own partition, so the log never holds a
+    batch twice.
+    """
+    raw = feed2_stream(spark, landing_dir)
 
-    writer = (validated.writeStream.foreachBatch(upsert_batch)
+    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()  # read once from the landed files, used by both sinks
+        try:
+            validated = quality.qualify(batch, R.feed2_rules())
+            sinks.upsert_table(batch.sparkSession, table_path, validated, ["order_id"])
+            if exceptions_path:
+                errors = quality.exceptions_all(batch, R.feed2_contract(), source="feed2")
+                errors.write.mode("overwrite").parquet(f"{exceptions_path}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = (raw.writeStream.foreachBatch(upsert_batch)
               .option("checkpointLocation", checkpoint_location)
               .queryName(f"feed2_ingest_{abs(hash(table_path)) % 10**8}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -116,10 +116,17 @@ def test_streaming_ingest_replays_to_same_table(spark):
     files.write_feed2_json(w.raw_dataset_2.where("order_time_pst < 120000"), f"{landing}/window=1")
     files.write_feed2_json(w.raw_dataset_2, f"{landing}/window=2")
     table, ckpt = scratch_path(spark, "t_stream_table"), scratch_path(spark, "t_stream_ckpt")
-    q = ingest.start_feed2_ingest(spark, landing, table, ckpt)
+    q = ingest.start_feed2_ingest(spark, landing, table, ckpt, exceptions_path=table + "_exc")
     q.awaitTermination()
     got = sinks.read_table(spark, table)
     assert got.count() == w.raw_dataset_2.select("order_id").distinct().count()
+    from ledgerline.functions import rules as R
+    from ledgerline.operators import quality
+    logged = spark.read.parquet(table + "_exc").drop("epoch")
+    batch_errors = quality.exceptions_all(w.raw_dataset_2.where("order_time_pst < 120000"), R.feed2_contract(),
+                                          source="feed2").unionByName(
+        quality.exceptions_all(w.raw_dataset_2, R.feed2_contract(), source="feed2"))
+    assert _rows(logged) == _rows(batch_errors)
     # A restart on the same checkpoint finds nothing new and leaves the table as it is.
     q2 = ingest.start_feed2_ingest(spark, landing, table, ckpt)
     q2.awaitTermination()
