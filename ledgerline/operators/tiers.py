@@ -92,14 +92,8 @@ def kmeans_tiers(totals: DataFrame, k: int = 3) -> DataFrame:
                     "normalized_sales", F.col("cluster").cast("int").alias("cluster"), "tier"))
 
 
-def global_row_number(df: DataFrame, order: list, partitions: int | None = None) -> DataFrame:
-    """Exact 1-based row number in ``order`` without moving all rows to one task.
-
-    Rows are range-partitioned on the order (sampled bounds), numbered within
-    their partition, and shifted by the row count of all earlier partitions;
-    the per-partition counts are one small aggregate that is broadcast back.
-    The ordered frame is written once so the partition ids are stable.
-    """
+def _numbered(df: DataFrame, order: list, partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` with an exact 1-based ``_rn`` in ``order``, and the total row count."""
     parts = partitions or df.sparkSession.sparkContext.defaultParallelism
     ranged = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                          .withColumn("_pid", F.spark_partition_id()), "ordered_rows")
@@ -113,21 +107,35 @@ def global_row_number(df: DataFrame, order: list, partitions: int | None = None)
     spark = df.sparkSession
     earlier = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _offset bigint")
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
-    return (ranged.join(F.broadcast(earlier), "_pid")
-            .withColumn("_rn", F.col("_offset") + local).drop("_pid", "_offset"))
+    numbered = (ranged.join(F.broadcast(earlier), "_pid")
+                .withColumn("_rn", F.col("_offset") + local).drop("_pid", "_offset"))
+    return numbered, running
+
+
+def global_row_number(df: DataFrame, order: list, partitions: int | None = None) -> DataFrame:
+    """Exact 1-based row number ``_rn`` in ``order`` without moving all rows to one task.
+
+    Rows are range-partitioned on the order (sampled bounds), numbered within
+    their partition, and shifted by the row count of all earlier partitions;
+    the per-partition counts are one small aggregate broadcast back.  The
+    ordered frame is written once so partition ids are stable on recompute.
+    """
+    return _numbered(df, order, partitions)[0]
 
 
 def ntile_tiers(totals: DataFrame, n: int = 3) -> DataFrame:
     """M5: ``n`` tiers of equal city count by spend (ties broken by city code), SQL NTILE semantics.
 
-    With N rows, q = N // n and r = N % n, the first r tiers hold q + 1 rows.
+    With N rows, q = N // n and r = N % n, the first r tiers hold q + 1 rows;
+    N comes from the partition counts of the numbering step.
     """
     order = [F.col("rmb_dollars").asc_nulls_last(), F.col("ship_to_city_cd").asc_nulls_last()]
-    numbered = global_row_number(totals.select("ship_to_city_cd", "rmb_dollars"), order)
-    total = totals.agg(F.count(F.lit(1)).alias("_N"))
-    q, r = F.floor(F.col("_N") / n), F.col("_N") % n
+    numbered, total = _numbered(totals.select("ship_to_city_cd", "rmb_dollars"), order)
+    q, r = total // n, total % n
     big = r * (q + 1)
     rn = F.col("_rn")
-    tier = F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1)
-    joined = numbered.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-    return joined.select("ship_to_city_cd", "rmb_dollars", tier.cast("int").alias("tier"))
+    if q == 0:  # fewer rows than tiers: row i is tier i
+        tier = rn
+    else:
+        tier = F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1)
+    return numbered.select("ship_to_city_cd", "rmb_dollars", tier.cast("int").alias("tier"))
