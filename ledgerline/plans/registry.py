@@ -1,17 +1,31 @@
-"""Named queries: ``name -> (spark, data_dir) -> DataFrame``."""
+"""Named queries: ``name -> (spark, data_dir) -> DataFrame``.
+
+Each query takes the layered plan of one input directory (``Warehouse``) and
+returns a lazy DataFrame; queries that exercise a sink write their data first
+and return what they read back.
+"""
 
 from __future__ import annotations
 
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.operators import reports
+from ledgerline import schemas
+from ledgerline.functions import rules as R
+from ledgerline.operators import dimensions, enrich, pagefacts, profile, quality, refine, reports, tiers
 from ledgerline.plans.warehouse import Warehouse
+from ledgerline.session import scratch_path
+from ledgerline.sources import files, fixtures, sinks
+from ledgerline.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+ACCEPTED_CURRENCIES = ["USD", "RMB"]
+LOAD_DATE = "20240723"
+
 
 def register(name: str):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
@@ -20,14 +34,33 @@ def register(name: str):
     return deco
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # ------------------------------------------------------------------ layers
 register("qualify_feed1")(lambda w: w.qualified_1)
 register("qualify_feed2")(lambda w: w.qualified_2)
 register("exceptions_first_error")(lambda w: w.exceptions)
 register("silver_orders")(lambda w: w.silver)
 register("gold_orders")(lambda w: w.gold)
+register("gold_orders_float_rate")(lambda w: enrich.gold(w.silver, w.city_dim, w.district_dim, w.currency, "float"))
 
-# ------------------------------------------------------------------ reports
+
+@register("silver_orders_contract")
+def _silver_contract(w: Warehouse) -> DataFrame:
+    """Row-contract variant of silver: feed 1 repaired by its contract rules, feed 2 only
+    validated (values kept), both upserted by order id with the feed-2 load winning."""
+    q1 = quality.qualify(w.flagged_1, R.feed1_contract())
+    q2 = quality.qualify(w.raw_dataset_2, R.feed2_contract(), mode="log")
+    part1, part2 = refine.silver_parts(q1, q2, w.raw_mapping)
+    return sinks.upsert(part1, part2, ["order_id"])
+
+
+# ------------------------------------------------------------------ analyst reports
 register("province_spend")(lambda w: reports.province_spend(w.gold, w.city_dim, w.district_dim))
 register("top_provinces")(lambda w: reports.top_provinces(w.gold, w.city_dim))
 register("distinct_provinces")(lambda w: reports.distinct_provinces(w.city_dim))
@@ -35,23 +68,26 @@ register("top_cities_spend")(lambda w: reports.top_cities_spend(w.gold))
 register("top_cities_orders")(lambda w: reports.top_cities_orders(w.gold))
 register("top_transactions")(lambda w: reports.top_transactions(w.gold))
 register("top_city_per_hour")(lambda w: reports.top_city_per_hour(w.gold))
+register("top_city_per_hour_english")(lambda w: reports.top_city_per_hour_english(w.gold))
 register("top_city_hour_pairs")(lambda w: reports.top_city_hour_pairs(w.gold))
+register("top_city_hour_pairs_english")(lambda w: reports.top_city_hour_pairs_english(w.gold, 5))
 register("spend_per_hour")(lambda w: reports.spend_per_hour(w.gold))
 register("best_district_per_city")(lambda w: reports.best_district_per_city(w.gold))
 register("city_gdp_spend")(lambda w: reports.city_gdp_spend(w.gold, w.city_dim))
 register("spend_gdp_corr")(lambda w: reports.spend_gdp_corr(w.gold, w.city_dim))
+
+
+def _identifiers(w: Warehouse, key: str) -> DataFrame:
+    """Every occurrence of an identifier in feed 2 and the mapping (U2 input)."""
+    return w.raw_dataset_2.select(key).unionByName(w.raw_mapping.select(key))
+
+
 register("coverage_cities")(lambda w: reports.translation_coverage(
-    w.raw_dataset_2.select("ship_to_city_cd").unionByName(w.raw_mapping.select("ship_to_city_cd")),
-    w.city_dim, "ship_to_city_cd"))
+    _identifiers(w, "ship_to_city_cd"), w.city_dim, "ship_to_city_cd"))
 register("coverage_districts")(lambda w: reports.translation_coverage(
-    w.raw_dataset_2.select("ship_to_district_name").unionByName(w.raw_mapping.select("ship_to_district_name")),
-    w.district_dim, "ship_to_district_name"))
+    _identifiers(w, "ship_to_district_name"), w.district_dim, "ship_to_district_name"))
 
-# ------------------------------------------------------------------ quality
-from ledgerline.functions import rules as R  # noqa: E402
-from ledgerline.operators import dimensions, profile, quality  # noqa: E402
-
-ACCEPTED_CURRENCIES = ["USD", "RMB"]
+# ------------------------------------------------------------------ exception logs and table tests
 
 
 def _all_errors(w: Warehouse) -> DataFrame:
@@ -65,18 +101,11 @@ register("exceptions_all_errors")(_all_errors)
 register("exceptions_json")(lambda w: quality.exceptions_json(_all_errors(w)))
 
 
-def _layers(w: Warehouse):
+def _layers(w: Warehouse) -> list[tuple[str, DataFrame]]:
     return [("qualified_dataset_1", w.qualified_1), ("qualified_dataset_2", w.qualified_2),
             ("processed_dataset", w.silver), ("curated_dataset", w.gold)]
 
 
-def _union(frames):
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 register("dq_unique")(lambda w: _union([quality.dq_unique(df, n, "order_id") for n, df in _layers(w)]))
 register("dq_not_null")(lambda w: _union(
     [quality.dq_not_null(df, n, "order_id") for n, df in _layers(w)]
@@ -97,7 +126,18 @@ register("district_dimension")(lambda w: dimensions.metadata_json(w.district_dim
 register("metadata_explode")(lambda w: dimensions.explode_metadata(w.city_dim))
 register("city_mapping_preview")(lambda w: dimensions.preview(dimensions.metadata_json(w.city_dim), 10))
 
-# ------------------------------------------------------------------ profile
+
+def _worklist(w: Warehouse, key: str, dim: DataFrame) -> DataFrame:
+    """H2: distinct identifiers of feed 2 and the mapping that have no translation yet."""
+    ids = _identifiers(w, key).distinct()
+    done = dim.select(F.col(key).alias("_done"))
+    return ids.join(done, ids[key] == done["_done"], "left_anti")
+
+
+register("translation_worklist")(lambda w: _worklist(w, "ship_to_city_cd", w.city_dim))
+register("translation_worklist_districts")(lambda w: _worklist(w, "ship_to_district_name", w.district_dim))
+
+# ------------------------------------------------------------------ profiling
 register("duplicate_orders")(lambda w: profile.duplicate_rows(w.silver, "order_id"))
 register("feed_overlap")(lambda w: profile.feed_overlap(w.raw_dataset_1, w.raw_dataset_2))
 register("unmapped_ids")(lambda w: profile.unmapped_rows(w.raw_dataset_1, w.raw_mapping, "city_district_id"))
@@ -108,18 +148,13 @@ register("city_name_contains_match")(lambda w: profile.contains_match(
     w.raw_dataset_2, w.city_source, "ship_to_city_cd", "ship_to_city_cd"))
 register("profile_columns")(lambda w: profile.column_profile(w.raw_dataset_1, "raw_dataset_1")
                             .unionByName(profile.column_profile(w.raw_dataset_2, "raw_dataset_2")))
+register("describe_columns")(lambda w: profile.describe_numeric(
+    w.raw_dataset_1, "raw_dataset_1", ["city_district_id", "rptg_amt"]).unionByName(profile.describe_numeric(
+        w.raw_dataset_2, "raw_dataset_2", ["order_time_pst", "rptg_amt", "order_qty"])))
 register("rule_failure_counts")(lambda w: profile.rule_failure_counts(w.raw_dataset_1, "raw_dataset_1")
                                 .unionByName(profile.rule_failure_counts(w.raw_dataset_2, "raw_dataset_2")))
 
 # ------------------------------------------------------------------ sources and sinks
-from pyspark.sql import functions as F  # noqa: E402
-
-from ledgerline import schemas  # noqa: E402
-from ledgerline.operators import enrich, pagefacts, refine, tiers  # noqa: E402
-from ledgerline.session import scratch_path  # noqa: E402
-from ledgerline.sources import files, fixtures, sinks  # noqa: E402
-
-LOAD_DATE = "20240723"
 
 
 @register("csv_roundtrip")
@@ -159,27 +194,30 @@ def _with_window(df: DataFrame, window: str) -> DataFrame:
     return df.withColumn("dt", F.lit(LOAD_DATE)).withColumn("load_window", F.lit(window))
 
 
+def _write_windows(w: Warehouse, path: str) -> None:
+    part1, part2 = w.silver_parts
+    both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
+    sinks.overwrite_windows(both, path, ("dt", "load_window"))
+
+
+WINDOWED_SCHEMA = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
+
+
 @register("window_overwrite")
 def _window_overwrite(w: Warehouse) -> DataFrame:
     """Load both windows, then re-run window1 (backfill); the table must be unchanged."""
     path = scratch_path(w.spark, "silver_windows")
-    part1, part2 = w.silver_parts
-    both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
-    sinks.overwrite_windows(both, path, ("dt", "load_window"))
-    sinks.overwrite_windows(_with_window(part1, "window1"), path, ("dt", "load_window"))
-    schema = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
-    return w.spark.read.schema(schema).parquet(path)
+    _write_windows(w, path)
+    sinks.overwrite_windows(_with_window(w.silver_parts[0], "window1"), path, ("dt", "load_window"))
+    return w.spark.read.schema(WINDOWED_SCHEMA).parquet(path)
 
 
 @register("window_read_pruned")
 def _window_read(w: Warehouse) -> DataFrame:
     """S14 read side: only the files of one (dt, load_window) partition are listed and scanned."""
     path = scratch_path(w.spark, "silver_windows_read")
-    part1, part2 = w.silver_parts
-    both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
-    sinks.overwrite_windows(both, path, ("dt", "load_window"))
-    schema = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
-    return (w.spark.read.schema(schema).parquet(path)
+    _write_windows(w, path)
+    return (w.spark.read.schema(WINDOWED_SCHEMA).parquet(path)
             .where((F.col("dt") == LOAD_DATE) & (F.col("load_window") == "window2")))
 
 
@@ -198,7 +236,23 @@ def _load_metrics(w: Warehouse) -> DataFrame:
                                      "raw_mapping": w.raw_mapping}, root)
 
 
-# ------------------------------------------------------------------ tiers
+@register("stream_ingest_feed2")
+def _stream_ingest(w: Warehouse) -> DataFrame:
+    """Feed 2 landed as two window folders, ingested by the streaming job, read back."""
+    landing = scratch_path(w.spark, "landing_feed2")
+    staged = w.raw_dataset_2.withColumn("event_hour", F.floor(F.col("order_time_pst") / 10000))
+    even = F.col("event_hour") % 2 == 0
+    files.write_feed2_json(staged.where(even).drop("event_hour"), f"{landing}/window=1")
+    files.write_feed2_json(staged.where(~even | F.col("event_hour").isNull()).drop("event_hour"),
+                           f"{landing}/window=2")
+    table = scratch_path(w.spark, "feed2_streamed")
+    q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"),
+                                  exceptions_path=table + "_exceptions")
+    q.awaitTermination()
+    return sinks.read_table(w.spark, table)
+
+
+# ------------------------------------------------------------------ spend tiers
 def _totals(w: Warehouse) -> DataFrame:
     return tiers.city_totals(w.gold, w.city_dim)
 
@@ -213,64 +267,19 @@ register("city_tiers_ntile")(lambda w: tiers.ntile_tiers(_totals(w), 3))
 
 
 def _all_pages(w: Warehouse) -> DataFrame:
+    """The driver's raw pages plus the rendered city pages."""
     return w.t.pages.select("page_id", "url", "html").unionByName(
         fixtures.city_pages(w.t).select("page_id", "url", "html"))
 
 
+def _page_city_dimension(w: Warehouse) -> DataFrame:
+    """H1 end to end: city pages -> parsed records -> city dimension (must equal the direct build)."""
+    pages = fixtures.city_pages(w.t)
+    records = pagefacts.translation_records(pagefacts.parse_pages(pages), pages.select("page_id", "ship_to_city_cd"))
+    return dimensions.city_dimension(records, w.province_policy).drop("metadata")
+
+
 register("page_titles")(lambda w: pagefacts.page_titles(pagefacts.parse_pages(w.t.pages)))
 register("page_failures")(lambda w: pagefacts.page_failures(pagefacts.parse_pages(_all_pages(w))))
 register("page_infobox")(lambda w: pagefacts.infobox_facts(pagefacts.parse_pages(_all_pages(w))))
-register("page_city_dimension")(lambda w: dimensions.city_dimension(
-    pagefacts.translation_records(pagefacts.parse_pages(fixtures.city_pages(w.t)),
-                                  fixtures.city_pages(w.t).select("page_id", "ship_to_city_cd")),
-    w.province_policy).drop("metadata"))
-
-
-def _worklist(w: Warehouse, key: str, dim: DataFrame) -> DataFrame:
-    """H2: distinct identifiers of feed 2 and the mapping that have no translation yet."""
-    ids = w.raw_dataset_2.select(key).unionByName(w.raw_mapping.select(key)).distinct()
-    done = dim.select(F.col(key).alias("_done"))
-    return ids.join(done, ids[key] == done["_done"], "left_anti")
-
-
-register("translation_worklist")(lambda w: _worklist(w, "ship_to_city_cd", w.city_dim))
-register("translation_worklist_districts")(lambda w: _worklist(w, "ship_to_district_name", w.district_dim))
-register("gold_orders_float_rate")(lambda w: enrich.gold(
-    w.silver, w.city_dim, w.district_dim, w.currency, "float"))
-
-# ------------------------------------------------------------------ streaming
-from ledgerline.streaming import ingest  # noqa: E402
-
-
-@register("stream_ingest_feed2")
-def _stream_ingest(w: Warehouse) -> DataFrame:
-    """Feed 2 landed as two window folders, ingested by the streaming job, read back."""
-    landing = scratch_path(w.spark, "landing_feed2")
-    raw = w.raw_dataset_2
-    even = F.col("event_hour") % 2 == 0
-    staged = raw.withColumn("event_hour", F.floor(F.col("order_time_pst") / 10000))
-    files.write_feed2_json(staged.where(even).drop("event_hour"), f"{landing}/window=1")
-    files.write_feed2_json(staged.where(~even | F.col("event_hour").isNull()).drop("event_hour"),
-                           f"{landing}/window=2")
-    table = scratch_path(w.spark, "feed2_streamed")
-    q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"),
-                                  exceptions_path=table + "_exceptions")
-    q.awaitTermination()
-    return sinks.read_table(w.spark, table)
-
-# ------------------------------------------------------------------ variants
-register("top_city_per_hour_english")(lambda w: reports.top_city_per_hour_english(w.gold))
-
-
-@register("silver_orders_contract")
-def _silver_contract(w: Warehouse) -> DataFrame:
-    """Row-contract variant of silver: feed 1 repaired by its contract rules, feed 2 only
-    validated (values kept), both upserted by order id with the feed-2 load winning."""
-    q1 = quality.qualify(w.flagged_1, R.feed1_contract())
-    q2 = quality.qualify(w.raw_dataset_2, R.feed2_contract(), mode="log")
-    part1, part2 = refine.silver_parts(q1, q2, w.raw_mapping)
-    return sinks.upsert(part1, part2, ["order_id"])
-register("top_city_hour_pairs_english")(lambda w: reports.top_city_hour_pairs_english(w.gold, 5))
-register("describe_columns")(lambda w: profile.describe_numeric(
-    w.raw_dataset_1, "raw_dataset_1", ["city_district_id", "rptg_amt"]).unionByName(profile.describe_numeric(
-        w.raw_dataset_2, "raw_dataset_2", ["order_time_pst", "rptg_amt", "order_qty"])))
+register("page_city_dimension")(_page_city_dimension)
