@@ -184,3 +184,13 @@ def test_scale_conf_sizes_partitions_from_input():
     small = scale_conf(10 * 1024 ** 2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert small["spark.sql.files.maxPartitionBytes"] == "256m"
+
+
+def test_command_line_runs_reports(spark, capsys):
+    from ledgerline.__main__ import main
+    assert main(["list"]) == 0
+    assert "top_city_per_hour" in capsys.readouterr().out.split()
+    out = scratch_path(spark, "t_cli")
+    assert main(["run", "--data", SMALL, "--out", out, "spend_per_hour", "top_provinces"]) == 0
+    got = spark.read.parquet(os.path.join(out, "spend_per_hour"))
+    assert set(got.columns) == {"rounded_order_hour", "total_sales"} and got.count() > 0
