@@ -194,3 +194,16 @@ def test_command_line_runs_reports(spark, capsys):
     assert main(["run", "--data", SMALL, "--out", out, "spend_per_hour", "top_provinces"]) == 0
     got = spark.read.parquet(os.path.join(out, "spend_per_hour"))
     assert set(got.columns) == {"rounded_order_hour", "total_sales"} and got.count() > 0
+
+
+def test_cluster_results_csv_handoff(spark):
+    """S6 -> S5/S10: tier results written as a headed CSV and loaded back with the declared schema."""
+    w = Warehouse.of(spark, SMALL)
+    tiers_df = tiers.kmeans_tiers(tiers.city_totals(w.gold, w.city_dim), 3).drop("tier")
+    path = scratch_path(spark, "t_clusters_csv")
+    (tiers_df.select(*[F.col(c).alias(c.upper() if c not in ("normalized_sales", "cluster") else c)
+                       for c in tiers_df.columns])
+     .write.option("header", True).csv(path))
+    back = files.read_cluster_results(spark, path)
+    assert back.columns == [f.name for f in __import__("ledgerline.schemas", fromlist=["x"]).CITY_CLUSTERS.fields]
+    assert _rows(back.select("ship_to_city_cd", "cluster")) == _rows(tiers_df.select("ship_to_city_cd", "cluster"))
