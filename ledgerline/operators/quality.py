@@ -23,7 +23,7 @@ from ledgerline.operators.joins import bounded_broadcast
 FLAGS = (ID_KNOWN, CITY_KNOWN, DISTRICT_KNOWN)
 
 
-def _known_keys(dim: DataFrame, key: str, flag: str, feed_key: str) -> DataFrame:
+def _known_keys(dim: DataFrame, key: str, flag: str) -> DataFrame:
     return (dim.select(F.col(key).alias(f"_k_{flag}")).where(F.col(f"_k_{flag}").isNotNull())
             .distinct().withColumn(flag, F.lit(True)))
 
@@ -37,7 +37,7 @@ def with_membership(feed: DataFrame, dim: DataFrame, key: str, flag: str,
     multiplied.  Unmatched non-null keys get FALSE.
     """
     feed_key = feed_key or key
-    known = bounded_broadcast(_known_keys(dim, key, flag, feed_key), basis=dim)
+    known = bounded_broadcast(_known_keys(dim, key, flag), basis=dim)
     joined = feed.join(known, feed[feed_key] == known[f"_k_{flag}"], "left")
     return joined.drop(f"_k_{flag}").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
