@@ -8,6 +8,8 @@ joined back on a constant key; k-means runs on Spark ML over the totals.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -60,21 +62,21 @@ def fit_kmeans(df: DataFrame, k: int, col: str = "normalized_sales", seeds=(1, 7
     return best
 
 
-def elbow(df: DataFrame, ks=range(1, 10), col: str = "normalized_sales") -> DataFrame:
-    """M2: SSE for each k; k = 1 is n * population variance (Spark ML rejects k = 1)."""
+def elbow(df: DataFrame, ks=range(1, 10), col: str = "normalized_sales", parallelism: int = 4) -> DataFrame:
+    """M2: SSE for each k; k = 1 is n * population variance (Spark ML rejects k = 1).
+
+    The fits for different k are independent, so they run as concurrent Spark
+    jobs (like Spark ML's ``CrossValidator(parallelism=...)``).
+    """
     spark = df.sparkSession
     df = _iteration_input(df)
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.var_pop(col).alias("v")).first()
     n = int(stats["n"])
-    rows = []
-    for k in ks:
-        if k == 1:
-            sse = float(stats["v"] or 0.0) * n
-        elif k > n:
-            break
-        else:
-            sse = float(fit_kmeans(df, k, col)[1])
-        rows.append((int(k), sse))
+    fitted = [k for k in ks if 2 <= k <= n]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        sse = dict(zip(fitted, pool.map(lambda k: float(fit_kmeans(df, k, col)[1]), fitted)))
+    rows = [(1, float(stats["v"] or 0.0) * n)] if 1 in ks else []
+    rows += [(int(k), sse[k]) for k in fitted]
     return spark.createDataFrame(rows, "k int, sse double")
 
 
