@@ -121,7 +121,10 @@ class Warehouse:
     def silver_parts(self) -> tuple[DataFrame, DataFrame]:
         """PROCESSED_DATASET stored as its two feed parts (the keyed loads use them separately)."""
         part1, part2 = refine.silver_parts(self.qualified_1, self.qualified_2, self.raw_mapping)
-        return self._stored(part1, "processed_feed1"), self._stored(part2, "processed_feed2")
+        with ThreadPoolExecutor(max_workers=2) as pool:  # two independent writes, concurrent jobs
+            stored = list(pool.map(lambda p: self._stored(*p), [(part1, "processed_feed1"),
+                                                                (part2, "processed_feed2")]))
+        return stored[0], stored[1]
 
     @cached_property
     def silver(self) -> DataFrame:
