@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions import rules as R
 from ledgerline.operators import dimensions, enrich, quality, refine
+from ledgerline.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 from ledgerline.sources import fixtures
 from ledgerline.sources.sinks import materialize
 from ledgerline.sources.tables import Tables
@@ -52,10 +53,15 @@ class Warehouse:
         return _CACHE[key]
 
     def build(self) -> "Warehouse":
-        """Write the stored layers: mapping, both feeds (concurrent jobs), silver, gold."""
+        """Write the stored layers: mapping; then both feeds and the dimension size checks as
+        concurrent jobs; then silver and gold."""
         _ = self.raw_mapping
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            list(pool.map(lambda name: getattr(self, name), ["raw_dataset_1", "raw_dataset_2"]))
+        with ThreadPoolExecutor(max_workers=5) as pool:
+            tasks = [pool.submit(getattr, self, "raw_dataset_1"), pool.submit(getattr, self, "raw_dataset_2")]
+            tasks += [pool.submit(fits, dim, DEFAULT_BROADCAST_ROWS)
+                      for dim in (self.city_dim, self.district_dim, self.currency)]
+            for task in tasks:
+                task.result()
         _ = self.silver_parts
         _ = self.gold
         return self
