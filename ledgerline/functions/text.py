@@ -80,7 +80,7 @@ def clean_text(text: Column) -> Column:
 
 def strip_bullet(key: Column) -> Column:
     """remove a leading '-' or '•' and the whitespace after it."""
-    return F.regexp_replace(key, r"(?U)^[-•]\s*", "")
+    return F.regexp_replace(key, "(?U)" + BULLET_PATTERN, "")
 
 
 def clean_title(title: Column) -> Column:
