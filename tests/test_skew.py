@@ -68,3 +68,33 @@ def test_hot_order_error_array_stays_bounded(spark):
     out = {r.order_id: r.error_message for r in quality.exceptions_json(errors).collect()}
     assert out["HOT"] == '[{"field":"order_qty","message":"bad","n":5},{"field":"rptg_amt","message":"bad","n":1000}]'
     assert out["A1"] == '[{"field":"rptg_amt","message":"bad","n":1}]'
+
+
+def test_pipeline_with_a_customer_holding_a_third_of_orders(spark, tmp_path):
+    """Skewed inputs: one customer owns every third order and event; Spark matches the SQL oracle."""
+    import os
+    import sys
+
+    import duckdb
+
+    import __spark_entry__ as E
+    from conftest import SMALL
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from oracle_check import canon, duck
+
+    out = str(tmp_path)
+    con = duckdb.connect()
+    hot = con.execute(f"SELECT min(c_custkey) FROM '{SMALL}/customer.parquet'").fetchone()[0]
+    for name in ["region", "nation", "customer", "pages"]:
+        con.execute(f"COPY (SELECT * FROM '{SMALL}/{name}.parquet') TO '{out}/{name}.parquet' (FORMAT PARQUET)")
+    con.execute(f"COPY (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN {hot} ELSE o_custkey END AS o_custkey)"
+                f" FROM '{SMALL}/orders.parquet') TO '{out}/orders.parquet' (FORMAT PARQUET)")
+    con.execute(f"COPY (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN {hot} ELSE user_id END AS user_id)"
+                f" FROM '{SMALL}/events.parquet') TO '{out}/events.parquet' (FORMAT PARQUET)")
+    oracle = duck(out)
+    for name in ["gold_orders", "top_city_per_hour", "province_spend", "best_district_per_city",
+                 "duplicate_orders", "upsert_orders", "coverage_cities", "city_tiers_ntile"]:
+        df = E.queries()[name](spark, out)
+        res = oracle.execute(E.oracle_sql()[name])
+        cols = [d[0] for d in res.description]
+        assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(cols, res.fetchall()), name
