@@ -207,3 +207,14 @@ def test_cluster_results_csv_handoff(spark):
     back = files.read_cluster_results(spark, path)
     assert back.columns == [f.name for f in __import__("ledgerline.schemas", fromlist=["x"]).CITY_CLUSTERS.fields]
     assert _rows(back.select("ship_to_city_cd", "cluster")) == _rows(tiers_df.select("ship_to_city_cd", "cluster"))
+
+
+def test_layer_count_invariants(spark):
+    """Union count = sum of feed counts; unmapped + mapped = feed 1; gold keeps every silver row."""
+    w = Warehouse.of(spark, SMALL)
+    n1, n2 = w.raw_dataset_1.count(), w.raw_dataset_2.count()
+    assert w.silver.count() == n1 + n2 == w.gold.count()
+    from ledgerline.operators import profile
+    unmapped = profile.unmapped_rows(w.raw_dataset_1, w.raw_mapping, "city_district_id").count()
+    mapped = w.raw_dataset_1.join(w.raw_mapping.select("city_district_id"), "city_district_id", "left_semi").count()
+    assert unmapped + mapped == n1 and unmapped > 0
