@@ -218,3 +218,35 @@ def test_layer_count_invariants(spark):
     unmapped = profile.unmapped_rows(w.raw_dataset_1, w.raw_mapping, "city_district_id").count()
     mapped = w.raw_dataset_1.join(w.raw_mapping.select("city_district_id"), "city_district_id", "left_semi").count()
     assert unmapped + mapped == n1 and unmapped > 0
+
+
+def optimal_1d_sse(xs, k):
+    """Exact 1-D k-means SSE by dynamic programming over sorted points (brute-force reference)."""
+    xs = sorted(xs)
+    n = len(xs)
+    pre, pre2 = [0.0], [0.0]
+    for x in xs:
+        pre.append(pre[-1] + x)
+        pre2.append(pre2[-1] + x * x)
+
+    def cost(i, j):  # points i..j-1
+        s, s2, m = pre[j] - pre[i], pre2[j] - pre2[i], j - i
+        return s2 - s * s / m
+    inf = float("inf")
+    dp = [[inf] * (n + 1) for _ in range(k + 1)]
+    dp[0][0] = 0.0
+    for c in range(1, k + 1):
+        for j in range(c, n + 1):
+            dp[c][j] = min(dp[c - 1][i] + cost(i, j) for i in range(c - 1, j))
+    return dp[k][n]
+
+
+def test_kmeans_close_to_exact_optimum(spark):
+    w = Warehouse.of(spark, SMALL)
+    z = tiers.zscores(tiers.city_totals(w.gold, w.city_dim))
+    xs = [r.normalized_sales for r in z.collect()]
+    sse = {r.k: r.sse for r in tiers.elbow(z, ks=range(1, 5)).collect()}
+    for k in (2, 3, 4):
+        best = optimal_1d_sse(xs, k)
+        assert best - 1e-9 <= sse[k] <= best * 1.10 + 1e-9, (k, sse[k], best)
+    assert abs(sse[1] - optimal_1d_sse(xs, 1)) < 1e-6
