@@ -32,6 +32,7 @@ def city_totals(gold: DataFrame, city_dim: DataFrame) -> DataFrame:
 def zscores(totals: DataFrame, col: str = "rmb_dollars", out: str = "normalized_sales") -> DataFrame:
     """M1: (x - mean) / population standard deviation (what a standard scaler computes)."""
     stats = totals.agg(F.avg(col).alias("_mu"), F.stddev_pop(col).alias("_sigma")).withColumn("_one", F.lit(1))
+    # ``stats`` is a global aggregate: exactly one row, so the broadcast size is proven.
     joined = totals.withColumn("_one", F.lit(1)).join(F.broadcast(stats), "_one")
     z = F.when(F.col("_sigma") == 0, F.lit(0.0)).otherwise((F.col(col) - F.col("_mu")) / F.col("_sigma"))
     return joined.withColumn(out, z).drop("_one", "_mu", "_sigma")
@@ -90,7 +91,7 @@ def kmeans_tiers(totals: DataFrame, k: int = 3) -> DataFrame:
     order = sorted(range(k), key=lambda i: float(model.clusterCenters()[i][0]))
     ranked = spark.createDataFrame([(cluster, tier) for tier, cluster in enumerate(order)], "cluster int, tier int")
     pred = model.transform(_features(z, "normalized_sales")).withColumnRenamed("prediction", "cluster")
-    return (pred.join(F.broadcast(ranked), "cluster")
+    return (pred.join(F.broadcast(ranked), "cluster")  # k rows
             .select("ship_to_city_cd", "rmb_dollars", "ship_to_city_cd_eng", "province", "per_capita_usd",
                     "normalized_sales", F.col("cluster").cast("int").alias("cluster"), "tier"))
 
@@ -110,7 +111,7 @@ def _numbered(df: DataFrame, order: list, partitions: int | None = None) -> tupl
     spark = df.sparkSession
     earlier = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _offset bigint")
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
-    numbered = (ranged.join(F.broadcast(earlier), "_pid")
+    numbered = (ranged.join(F.broadcast(earlier), "_pid")  # one row per partition
                 .withColumn("_rn", F.col("_offset") + local).drop("_pid", "_offset"))
     return numbered, running
 
