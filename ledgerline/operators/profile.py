@@ -72,10 +72,17 @@ def unjoinable_reasons(feed: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def missing_values(feed: DataFrame, dim: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct values of each column that the dimension lacks (EXCEPT DISTINCT)."""
+    """Distinct values of each column that the dimension lacks (EXCEPT DISTINCT).
+
+    The feed's values are reduced to distinct ones (partial aggregation) and
+    anti-joined with the dimension's values, broadcast after a size check;
+    NULL matches NULL, as in EXCEPT.
+    """
     out = None
     for c in columns:
-        diff = (feed.select(F.col(c).alias("value")).subtract(dim.select(F.col(c).alias("value")))
+        values = feed.select(F.col(c).alias("value")).distinct()
+        known = bounded_broadcast(dim.select(F.col(c).alias("_known")).distinct(), basis=dim)
+        diff = (values.join(known, values["value"].eqNullSafe(known["_known"]), "left_anti")
                 .select(F.lit(c).alias("column_name"), "value"))
         out = diff if out is None else out.unionByName(diff)
     return out

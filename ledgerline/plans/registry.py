@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.functions import rules as R
 from ledgerline.operators import dimensions, enrich, pagefacts, profile, quality, refine, reports, tiers
+from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.session import scratch_path
 from ledgerline.sources import files, fixtures, sinks
@@ -130,7 +131,7 @@ register("city_mapping_preview")(lambda w: dimensions.preview(dimensions.metadat
 def _worklist(w: Warehouse, key: str, dim: DataFrame) -> DataFrame:
     """H2: distinct identifiers of feed 2 and the mapping that have no translation yet."""
     ids = _identifiers(w, key).distinct()
-    done = dim.select(F.col(key).alias("_done"))
+    done = bounded_broadcast(dim.select(F.col(key).alias("_done")), basis=dim)
     return ids.join(done, ids[key] == done["_done"], "left_anti")
 
 
