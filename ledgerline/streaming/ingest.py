@@ -31,7 +31,8 @@ def feed2_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: i
 
 
 def start_feed2_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
-                       available_now: bool = True, exceptions_path: str | None = None) -> StreamingQuery:
+                       available_now: bool = True, exceptions_path: str | None = None,
+                       max_files_per_trigger: int = 1000) -> StreamingQuery:
     """Validate each micro-batch (null replacement) and upsert it into ``table_path`` by order id.
 
     With ``exceptions_path`` the row-contract errors of each batch (one row
@@ -39,7 +40,7 @@ def start_feed2_ingest(spark: SparkSession, landing_dir: str, table_path: str, c
     a replayed epoch overwrites its own partition, so the log never holds a
     batch twice.
     """
-    raw = feed2_stream(spark, landing_dir)
+    raw = feed2_stream(spark, landing_dir, max_files_per_trigger)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()  # read once from the landed files, used by both sinks
