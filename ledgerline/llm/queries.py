@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, secrets, warc
+from . import decontaminate, minhash, mixing, secrets, warc
 from .common import table
 
 
@@ -22,11 +22,15 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, over=85, under=100)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op7_secrets, op8_decontaminate, op10_mixing)}
+    f.__name__: f for f in (op3_warc, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
 
-ORACLE: dict[str, str] = {"op8_decontaminate": decontaminate.ORACLE, "op10_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op8_decontaminate": decontaminate.ORACLE, "op9_minhash": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
