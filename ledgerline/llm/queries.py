@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, minhash, mixing, secrets, warc
+from . import decontaminate, embeddings, language, minhash, mixing, secrets, warc
 from .common import table
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -35,6 +39,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_warc, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
+    f.__name__: f for f in (op2_language, op3_warc, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
 
 ORACLE: dict[str, str] = {"op6_embeddings": embeddings.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_minhash": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
