@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, language, minhash, mixing, secrets, warc
+from . import decontaminate, embeddings, language, minhash, mixing, quality, secrets, toxicity, warc
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -39,6 +47,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language, op3_warc, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
+    f.__name__: f for f in (op2_language, op3_warc, op4_toxicity, op5_quality, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
 
 ORACLE: dict[str, str] = {"op6_embeddings": embeddings.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_minhash": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
