@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, language, minhash, mixing, quality, secrets, toxicity, warc
+from . import decontaminate, embeddings, language, minhash, mixing, quality, secrets, suffixes, toxicity, warc
 from .common import table
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language, op3_warc, op4_toxicity, op5_quality, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
+    f.__name__: f for f in (
+        op1_suffixes, op2_language, op3_warc, op4_toxicity, op5_quality, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
 
 ORACLE: dict[str, str] = {"op6_embeddings": embeddings.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_minhash": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
