@@ -1,4 +1,9 @@
-"""The training-data pipeline: five stages over documents, each written and read again."""
+"""The training-data pipeline: five stages over documents, each written and read again.
+
+Every stage but the last returns the columns it was given.  Rows with null
+texts pass all stages (they are neither toxic nor duplicates, hold no benchmark
+words and no secrets); an empty table stays empty; extra columns are kept.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +11,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, mixing, secrets
+from ledgerline.llm import decontaminate, minhash, mixing, secrets, toxicity
 from ledgerline.llm.common import stage, table
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the random field does not score as toxic; it learns from the labels of the learning folds."""
+    return toxicity.drop_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: shingles of five words, similarity 0.8 or more."""
+    return minhash.drop_near_duplicates(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that hold a benchmark window."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -26,7 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("decontamination", decontaminated), ("secrets", without_secrets), ("mixing", mixed)]
+    ("toxicity", without_toxic), ("near_duplicates", deduplicated), ("decontamination", decontaminated), ("secrets", without_secrets), ("mixing", mixed)]
 
 #: The toxicity stage fits a model, which SQL cannot express.
 ORACLE_SQL = None
