@@ -23,6 +23,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct, so that helper columns cannot clash with theirs; ``select(f"{name}.*")`` unpacks."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -32,4 +37,4 @@ def crc_fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
-__all__ = ["checkpoint_root", "crc_fold", "scratch_path", "shuffle_partitions", "stage", "table"]
+__all__ = ["checkpoint_root", "crc_fold", "packed", "scratch_path", "shuffle_partitions", "stage", "table"]

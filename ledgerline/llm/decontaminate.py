@@ -96,7 +96,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns stay."""
     bad = hits(docs, benchmark, n).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_th"]), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:

@@ -245,7 +245,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int =
 def drop_near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int = 100) -> DataFrame:
     """``docs`` with one document of each group; all columns stay."""
     gone = near_duplicates(docs, size, over, under).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 ORACLE = r"""

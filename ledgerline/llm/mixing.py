@@ -8,8 +8,9 @@ copies.  Copies are put in a global pseudo-random order by a second hash.
 
 Defined results: a null source is a source of its own; a source without a
 target weight has rate 0; null ids and texts are hashed as such; an empty table
-gives an empty mix; extra columns are carried through; repeated rows draw the
-same number.
+gives an empty mix; extra columns are carried through, but for columns named
+``mix_copy`` or ``mix_key``, which are replaced; repeated rows draw the same
+number.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import packed
+
 SEED = 20240611
 #: Sources up to this many are joined by broadcast (a few dozen bytes each); beyond it by shuffle.
 BROADCAST_SOURCES = 100_000
@@ -69,16 +72,17 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, size: float |
     if weights is not None and not math.fsum(weights.values()) > 0:
         raise ValueError("target weights must sum to more than 0")
     rates = source_rates(docs, weights, size).select(
-        F.col("source").alias("_source"), F.when(F.col("rate") > 0, poisson_terms(F.col("rate"))).alias("_cdf"))
+        F.col("source").alias("of"), F.when(F.col("rate") > 0, poisson_terms(F.col("rate"))).alias("cdf"))
     rates = F.broadcast(rates) if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else rates
-    ident = (F.lit(seed), F.col("doc_id"), F.col("source"), F.length("text"))
-    drawn = docs.withColumn("_u", uniform(*ident)).join(rates, F.col("source").eqNullSafe(F.col("_source")))
-    count = F.coalesce(F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))), F.lit(0))
-    drawn = drawn.withColumn("_n", F.when(F.col("_cdf").isNull(), 0).otherwise(count)).where("_n > 0")
-    copies = drawn.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    keyed = copies.withColumn("mix_key", uniform(F.lit(f"order{seed}"), F.col("doc_id"), F.col("source"),
-                                                 F.length("text"), F.col("mix_copy")))
-    return keyed.drop("_source", "_cdf", "_u", "_n").orderBy("mix_key", "doc_id", "mix_copy")
+    ident = (F.col("doc_id"), F.col("source"), F.length("text"))
+    rows = docs.select(packed(docs), F.col("source").alias("source"), uniform(F.lit(seed), *ident).alias("u"))
+    drawn = rows.join(rates, F.col("source").eqNullSafe(F.col("of")))
+    times = F.coalesce(F.size(F.filter("cdf", lambda c: c <= F.col("u"))), F.lit(0))
+    drawn = drawn.select("row", F.when(F.col("cdf").isNull(), 0).otherwise(times).alias("n")).where("n > 0")
+    copies = drawn.select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("mix_copy"))
+    key = uniform(F.lit(f"order{seed}"), F.col("row.doc_id"), F.col("row.source"), F.length("row.text"), F.col("mix_copy"))
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_key")]
+    return copies.withColumn("mix_key", key).orderBy("mix_key", "row.doc_id", "mix_copy").select(*kept, "mix_copy", "mix_key")
 
 
 ORACLE = f"""

@@ -35,7 +35,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int,
     clean = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.min(label).alias("y"), F.max(label).alias("_top")).where("y = _top").drop("_top"))
     drawn = per_class(clean, "y", "doc_id", wanted).select(F.col("doc_id").alias("_id"), "y")
-    rows = (docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))  # at most 1.5 x wanted x 2 ids, but for chance
+    rows = (docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))  # at most 1.5 x wanted x 2 ids, but for chance
             .where(F.length("text").between(1, max_chars))
             .select("text", "y", "doc_id").dropDuplicates(["text"]).orderBy(F.xxhash64("doc_id"), "text"))
     out: list[tuple[str, int]] = []

@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import shuffle_partitions, stage
+from .common import packed, shuffle_partitions, stage
 from .runs import complete_runs
 from .tokens import _INVERSE, _ODD, _SCATTER, finish
 
@@ -367,9 +367,11 @@ def _kept(raw: bytes, low: np.ndarray, end: np.ndarray) -> tuple[bytes, int]:
 
 
 def _joined(docs: DataFrame) -> DataFrame:
+    """(row, spans): each row of ``docs`` as a struct, with the ranges to remove or null."""
     doc, th = _doc(docs)
-    spans = repeats(docs).withColumnRenamed("doc", "_doc").withColumnRenamed("th", "_th")
-    return docs.join(spans, (doc == F.col("_doc")) & (th == F.col("_th")), "left").drop("_doc", "_th")
+    spans = repeats(docs).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "spans")
+    return (docs.select(packed(docs), doc, th).join(spans, (F.col("doc") == F.col("_doc")) & (F.col("th") == F.col("_th")), "left")
+            .select("row", "spans"))
 
 
 def _ranges(spans: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
@@ -392,7 +394,7 @@ def report(docs: DataFrame) -> DataFrame:
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return _joined(docs.select("doc_id", "text")).select("doc_id", F.col("text").cast("binary").alias("raw"), "spans").mapInArrow(
+    return _joined(docs.select("doc_id", "text")).select("row.doc_id", F.col("row.text").cast("binary").alias("raw"), "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -402,9 +404,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            columns = b.column(0).flatten()
             texts = []
-            for t, found in zip(b.column(k), _ranges(b.column(b.num_columns - 1))):
+            for t, found in zip(columns[k], _ranges(b.column(1))):
                 texts.append(_kept(t.as_py().encode(), *found)[0].decode("utf-8", "replace") if found else t.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == k else c for i, c in enumerate(b.columns[:-1])],
-                                             names=b.schema.names[:-1])
+            columns[k] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
     return _joined(docs).mapInArrow(run, schema)

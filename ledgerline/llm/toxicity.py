@@ -142,7 +142,7 @@ def _tags(f: np.ndarray, n: int, document: np.ndarray, toxic: np.ndarray) -> np.
         held[1] = np.minimum(held[1], now[1])
         held[0] = now[0] if salt == 0 else np.maximum(held[0], now[0])
         total = np.minimum(total, np.bincount(label, minlength=2))
-    share = (held + 0.1) / (total[:, None] + 0.2)
+    share = (held + 0.5) / (total[:, None] + 1)
     marks = (held[1] >= max(MIN_DOCS, MIN_SHARE * total[1])) & (share[1] >= MIN_RATIO * share[0])
     return marks[f].any(1) & (toxic[document] == 1)
 
