@@ -1,8 +1,8 @@
 r"""Reference SQL (DuckDB dialect) for every registered query.
 
 Each query is the fixture derivation, the layers and a final SELECT, written
-the way the source system writes them in SQL (CASE-based null replacement,
-IN-subquery membership, UNION ALL, LEFT JOINs, GROUP BY, ROW_NUMBER, LIMIT).
+from the described semantics: dimensions are keyed, so a lookup is a scalar
+subquery; a rule list is a list of records that is filtered; sets are UNIONs.
 The Spark side is built independently with the DataFrame API; the driver
 runs both on the same parquet tables and compares results.
 
@@ -116,21 +116,22 @@ qualified_2 AS (
     CASE WHEN order_qty > 0 THEN order_qty END AS order_qty
   FROM raw_dataset_2),
 silver AS (
-  SELECT q.order_id, TRY_CAST(q.order_time_pst AS BIGINT) AS order_time_pst, q.rptg_amt, q.currency_cd,
-         TRY_CAST(q.order_qty AS INTEGER) AS order_qty, m.ship_to_city_cd, m.ship_to_district_name
-  FROM qualified_1 q LEFT JOIN raw_mapping m ON q.city_district_id = m.city_district_id
-  UNION ALL
-  SELECT order_id, order_time_pst, rptg_amt, currency_cd, order_qty, ship_to_city_cd, ship_to_district_name
-  FROM qualified_2),
+  FROM qualified_1 SELECT order_id, TRY_CAST(order_time_pst AS BIGINT) AS order_time_pst, rptg_amt, currency_cd,
+    TRY_CAST(order_qty AS INTEGER) AS order_qty,
+    (FROM raw_mapping SELECT ship_to_city_cd WHERE raw_mapping.city_district_id = qualified_1.city_district_id) AS ship_to_city_cd,
+    (FROM raw_mapping SELECT ship_to_district_name WHERE raw_mapping.city_district_id = qualified_1.city_district_id)
+      AS ship_to_district_name
+  UNION ALL BY NAME
+  FROM qualified_2 SELECT *),
 gold AS (
-  SELECT p.order_id, CAST(p.order_time_pst AS INTEGER) AS order_time_pst, p.ship_to_city_cd,
-         p.ship_to_district_name, td.ship_to_district_name_eng, tc.ship_to_city_cd_eng,
-         CAST(p.rptg_amt * cc.multiplier AS DECIMAL(18,2)) AS rmb_dollars,
-         CAST(p.order_qty AS INTEGER) AS order_qty
-  FROM silver p
-  LEFT JOIN city_dim tc ON p.ship_to_city_cd = tc.ship_to_city_cd
-  LEFT JOIN district_dim td ON p.ship_to_district_name = td.ship_to_district_name
-  LEFT JOIN currency cc ON p.currency_cd = cc.currency_cd)"""
+  FROM silver SELECT order_id, CAST(order_time_pst AS INTEGER) AS order_time_pst, ship_to_city_cd, ship_to_district_name,
+    (FROM district_dim SELECT ship_to_district_name_eng
+     WHERE district_dim.ship_to_district_name = silver.ship_to_district_name) AS ship_to_district_name_eng,
+    (FROM city_dim SELECT ship_to_city_cd_eng
+     WHERE city_dim.ship_to_city_cd = silver.ship_to_city_cd) AS ship_to_city_cd_eng,
+    CAST(rptg_amt * (FROM currency SELECT multiplier WHERE currency.currency_cd = silver.currency_cd)
+         AS DECIMAL(18,2)) AS rmb_dollars,
+    CAST(order_qty AS INTEGER) AS order_qty)"""
 
 
 def with_layers(final_select: str, extra_ctes: str = "") -> str:
@@ -149,35 +150,36 @@ def _q(name: str, final_select: str, extra_ctes: str = "") -> None:
 _q("qualify_feed1", "SELECT * FROM qualified_1")
 _q("qualify_feed2", "SELECT * FROM qualified_2")
 _q("exceptions_first_error", """
-SELECT order_id, COALESCE(
-    CASE WHEN NOT ok_time THEN 'Invalid ORDER_TIME_PST' END,
-    CASE WHEN NOT ok_id THEN 'Invalid CITY_DISTRICT_ID' END,
-    CASE WHEN NOT ok_amt THEN 'Invalid RPTG_AMT' END,
-    CASE WHEN NOT ok_cur THEN 'Invalid CURRENCY_CD' END,
-    CASE WHEN NOT ok_qty THEN 'Invalid ORDER_QTY' END) AS validation_error
-FROM checks_1
-WHERE NOT ok_time OR NOT ok_id OR NOT ok_amt OR NOT ok_cur OR NOT ok_qty""")
+FROM (FROM checks_1 SELECT order_id, [x.text FOR x IN [
+    {'good': ok_time, 'text': 'Invalid ORDER_TIME_PST'}, {'good': ok_id, 'text': 'Invalid CITY_DISTRICT_ID'},
+    {'good': ok_amt, 'text': 'Invalid RPTG_AMT'}, {'good': ok_cur, 'text': 'Invalid CURRENCY_CD'},
+    {'good': ok_qty, 'text': 'Invalid ORDER_QTY'}] IF x.good IS FALSE] AS failed)
+SELECT order_id, failed[1] AS validation_error WHERE len(failed) > 0""")
 _q("silver_orders", "SELECT * FROM silver")
 _q("gold_orders", "SELECT * FROM gold")
 
 # ------------------------------------------------------------------ reports
+# Every known city once, with its spend and the set of its known districts.
+_CITIES = """
+known_cities AS (
+  SELECT ship_to_city_cd, SUM(rmb_dollars) AS spend,
+         COALESCE(list(DISTINCT ship_to_district_name) FILTER (
+           ship_to_district_name IN (SELECT ship_to_district_name FROM district_dim)), []) AS districts
+  FROM gold WHERE ship_to_city_cd IN (SELECT ship_to_city_cd FROM city_dim)
+  GROUP BY ALL),
+provinces AS (
+  SELECT province, CAST(SUM(spend) AS DECIMAL(38,2)) AS spend, COUNT(*) AS cities,
+         CAST(len(list_distinct(flatten(list(districts)))) AS BIGINT) AS districts
+  FROM known_cities NATURAL JOIN (SELECT ship_to_city_cd, province FROM city_dim)
+  GROUP BY ALL)"""
+
 _q("province_spend", """
-SELECT province, CAST(SUM(c.rmb_dollars) AS DECIMAL(38,2)) AS total_spending,
-       COUNT(DISTINCT c.ship_to_city_cd) AS total_count_of_cities,
-       COUNT(DISTINCT d.ship_to_district_name) AS total_count_of_districts
-FROM city_dim t
-JOIN gold c ON t.ship_to_city_cd = c.ship_to_city_cd
-LEFT JOIN district_dim d ON c.ship_to_district_name = d.ship_to_district_name
-GROUP BY province""")
+SELECT province, spend AS total_spending, cities AS total_count_of_cities, districts AS total_count_of_districts
+FROM provinces""", _CITIES)
 
 _q("top_provinces", """
-SELECT province, CAST(SUM(total_sales) AS DECIMAL(38,2)) AS province_total_sales
-FROM (SELECT d.ship_to_city_cd, p.province, SUM(d.rmb_dollars) AS total_sales
-      FROM gold d JOIN city_dim p ON d.ship_to_city_cd = p.ship_to_city_cd
-      GROUP BY d.ship_to_city_cd, p.province)
-GROUP BY province
-ORDER BY province_total_sales DESC NULLS LAST, province ASC NULLS LAST
-LIMIT 10""")
+SELECT province, spend AS province_total_sales FROM provinces
+QUALIFY ROW_NUMBER() OVER (ORDER BY spend DESC NULLS LAST, province NULLS LAST) <= 10""", _CITIES)
 
 _q("distinct_provinces", "SELECT DISTINCT province FROM city_dim")
 
@@ -200,20 +202,16 @@ ORDER BY rmb_dollars DESC NULLS LAST, order_id ASC NULLS LAST, order_time_pst AS
          ship_to_district_name_eng ASC NULLS LAST, ship_to_city_cd_eng ASC NULLS LAST, order_qty ASC NULLS LAST
 LIMIT 10""")
 
+# Half an hour and more counts as the next hour: add half and cut off.
 _HOURLY = """
 hourly AS (
-  SELECT ship_to_city_cd, ROUND(CAST(order_time_pst AS BIGINT) / 10000) AS order_hour_pst,
+  SELECT ship_to_city_cd, CAST((CAST(order_time_pst AS BIGINT) + 5000) // 10000 AS DOUBLE) AS order_hour_pst,
          CAST(SUM(rmb_dollars) AS DECIMAL(38,2)) AS total_sales
-  FROM gold
-  GROUP BY ship_to_city_cd, ROUND(CAST(order_time_pst AS BIGINT) / 10000))"""
+  FROM gold GROUP BY ALL)"""
 
 _q("top_city_per_hour", """
-SELECT ship_to_city_cd, order_hour_pst, total_sales
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_hour_pst
-                                   ORDER BY total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST) AS rk
-      FROM hourly)
-WHERE rk = 1
-ORDER BY order_hour_pst ASC NULLS LAST""", _HOURLY)
+SELECT DISTINCT ON (order_hour_pst) ship_to_city_cd, order_hour_pst, total_sales FROM hourly
+ORDER BY order_hour_pst ASC NULLS LAST, total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST""", _HOURLY)
 
 _q("top_city_hour_pairs", """
 SELECT ship_to_city_cd, order_hour_pst, total_sales FROM hourly
@@ -241,38 +239,33 @@ ORDER BY avg_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST
 LIMIT 10""")
 
 _GDP = """
-total_spend AS (
-  SELECT t.ship_to_city_cd, t.ship_to_city_cd_eng, t.per_capita_usd, t.province,
-         SUM(c.rmb_dollars) AS total_spend
-  FROM city_dim t JOIN gold c ON t.ship_to_city_cd = c.ship_to_city_cd
-  GROUP BY t.ship_to_city_cd, t.ship_to_city_cd_eng, t.per_capita_usd, t.province
-  HAVING t.per_capita_usd IS NOT NULL AND t.province IS NOT NULL),
+described AS (
+  FROM city_dim SELECT ship_to_city_cd, ship_to_city_cd_eng, province,
+    CAST(list_aggregate(regexp_extract_all(per_capita_usd, '[^,]'), 'string_agg', '') AS DOUBLE) AS per_capita_usd
+  WHERE per_capita_usd IS NOT NULL AND province IS NOT NULL),
+spend_of AS (
+  FROM gold SELECT ship_to_city_cd, CAST(SUM(rmb_dollars) AS DECIMAL(38,2)) AS total_spend
+  WHERE ship_to_city_cd IN (SELECT ship_to_city_cd FROM described) GROUP BY ALL),
 city_gdp AS (
-  SELECT ship_to_city_cd_eng, CAST(total_spend AS DECIMAL(38,2)) AS total_spend,
-         CAST(replace(per_capita_usd, ',', '') AS DOUBLE) AS per_capita_usd, province
-  FROM total_spend)"""
+  SELECT ship_to_city_cd_eng, total_spend, per_capita_usd, province FROM spend_of NATURAL JOIN described)"""
 
 _q("city_gdp_spend", "SELECT * FROM city_gdp", _GDP)
 _q("spend_gdp_corr", """
 SELECT ROUND(corr(CAST(total_spend AS DOUBLE), per_capita_usd), 6) AS corr, COUNT(*) AS n_cities
 FROM city_gdp""", _GDP)
 
-_q("coverage_cities", """
-SELECT translated_count, unique_count,
-       ROUND(CAST(translated_count AS DOUBLE) / CAST(unique_count AS DOUBLE) * 100, 6) AS percentage
-FROM (SELECT COUNT(*) AS translated_count FROM city_dim),
-     (SELECT COUNT(*) AS unique_count FROM (
-        SELECT DISTINCT ship_to_city_cd FROM (
-          SELECT ship_to_city_cd FROM raw_dataset_2 UNION ALL SELECT ship_to_city_cd FROM raw_mapping)))""")
-
-_q("coverage_districts", """
-SELECT translated_count, unique_count,
-       ROUND(CAST(translated_count AS DOUBLE) / CAST(unique_count AS DOUBLE) * 100, 6) AS percentage
-FROM (SELECT COUNT(*) AS translated_count FROM district_dim),
-     (SELECT COUNT(*) AS unique_count FROM (
-        SELECT DISTINCT ship_to_district_name FROM (
-          SELECT ship_to_district_name FROM raw_dataset_2
-          UNION ALL SELECT ship_to_district_name FROM raw_mapping)))""")
+
+
+def _coverage(column: str, dim: str) -> str:
+    """Rows of the dimension against the set of values that the feed and the mapping hold."""
+    return f"""
+SELECT translated_count, unique_count, ROUND(100 * translated_count / CAST(unique_count AS DOUBLE), 6) AS percentage
+FROM (SELECT (SELECT COUNT(*) FROM {dim}) AS translated_count,
+             (SELECT COUNT(*) FROM (SELECT {column} FROM raw_dataset_2 UNION SELECT {column} FROM raw_mapping)) AS unique_count)"""
+
+
+_q("coverage_cities", _coverage("ship_to_city_cd", "city_dim"))
+_q("coverage_districts", _coverage("ship_to_district_name", "district_dim"))
 
 # ------------------------------------------------------------------ quality
 _ERRORS = r"""
@@ -284,26 +277,22 @@ checks_2 AS (
     CASE WHEN order_qty IS NULL THEN NULL ELSE COALESCE(order_qty > 0, FALSE) END AS ok_qty
   FROM raw_dataset_2),
 errs AS (
-  SELECT order_id, 'order_time_pst' AS field, 'ORDER_TIME_PST must be a numeric string' AS message, 'feed1' AS source
-    FROM checks_1 WHERE COALESCE(NOT ok_time, FALSE) OR order_time_pst IS NULL
-  UNION ALL SELECT order_id, 'city_district_id',
-    'CITY_DISTRICT_ID must be a positive integer and must exist in RAW_MAPPING', 'feed1'
-    FROM checks_1 WHERE COALESCE(NOT (city_district_id > 0 AND ok_id), FALSE) OR city_district_id IS NULL
-  UNION ALL SELECT order_id, 'rptg_amt', 'RPTG_AMT must be non-negative', 'feed1'
-    FROM checks_1 WHERE COALESCE(NOT ok_amt, FALSE) OR rptg_amt IS NULL
-  UNION ALL SELECT order_id, 'currency_cd', 'CURRENCY_CD must be one of USD, RMB', 'feed1'
-    FROM checks_1 WHERE COALESCE(NOT ok_cur, FALSE) OR currency_cd IS NULL
-  UNION ALL SELECT order_id, 'order_qty', 'ORDER_QTY must be a positive integer', 'feed1'
-    FROM checks_1 WHERE COALESCE(NOT ok_qty, FALSE) OR order_qty IS NULL
-  UNION ALL SELECT order_id, 'order_time_pst',
-    'ORDER_TIME_PST must be an integer between 50000 and 120000 (5 AM to 12 PM)', 'feed2'
-    FROM checks_2 WHERE COALESCE(NOT ok_time, FALSE) OR order_time_pst IS NULL
-  UNION ALL SELECT order_id, 'rptg_amt', 'RPTG_AMT must be non-negative', 'feed2'
-    FROM checks_2 WHERE COALESCE(NOT ok_amt, FALSE) OR rptg_amt IS NULL
-  UNION ALL SELECT order_id, 'currency_cd', 'CURRENCY_CD must be one of USD, RMB', 'feed2'
-    FROM checks_2 WHERE COALESCE(NOT ok_cur, FALSE) OR currency_cd IS NULL
-  UNION ALL SELECT order_id, 'order_qty', 'ORDER_QTY must be a positive integer', 'feed2'
-    FROM checks_2 WHERE COALESCE(NOT ok_qty, FALSE) OR order_qty IS NULL)"""
+  SELECT order_id, e.field, e.message, source FROM (
+    FROM checks_1 SELECT order_id, 'feed1' AS source, unnest([
+      {'field': 'order_time_pst', 'good': ok_time, 'message': 'ORDER_TIME_PST must be a numeric string'},
+      {'field': 'city_district_id', 'good': ok_id AND city_district_id > 0,
+       'message': 'CITY_DISTRICT_ID must be a positive integer and must exist in RAW_MAPPING'},
+      {'field': 'rptg_amt', 'good': ok_amt, 'message': 'RPTG_AMT must be non-negative'},
+      {'field': 'currency_cd', 'good': ok_cur, 'message': 'CURRENCY_CD must be one of USD, RMB'},
+      {'field': 'order_qty', 'good': ok_qty, 'message': 'ORDER_QTY must be a positive integer'}]) AS e
+    UNION ALL
+    FROM checks_2 SELECT order_id, 'feed2' AS source, unnest([
+      {'field': 'order_time_pst', 'good': ok_time,
+       'message': 'ORDER_TIME_PST must be an integer between 50000 and 120000 (5 AM to 12 PM)'},
+      {'field': 'rptg_amt', 'good': ok_amt, 'message': 'RPTG_AMT must be non-negative'},
+      {'field': 'currency_cd', 'good': ok_cur, 'message': 'CURRENCY_CD must be one of USD, RMB'},
+      {'field': 'order_qty', 'good': ok_qty, 'message': 'ORDER_QTY must be a positive integer'}]) AS e)
+  WHERE e.good IS NOT TRUE)"""
 
 _q("exceptions_all_errors", "SELECT * FROM errs", _ERRORS)
 _q("exceptions_json", """
