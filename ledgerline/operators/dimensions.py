@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +12,16 @@ from ledgerline.sources.sinks import latest_per_key
 
 
 def city_dimension(source: DataFrame, province_policy: str = "region",
-                   order_col: str | None = None) -> DataFrame:
+                   order_cols: Sequence[str] = ()) -> DataFrame:
     """TRANSLATIONS_CITY_MAPPING from (city code, English name, metadata map).
 
     ``province_policy='region'``: municipality, else Province, else
     Autonomous region, else NULL.  ``'city'``: Province, else the English name.
     Per-capita and total GDP are read from their metadata texts.  One row
-    per city code: the record with the highest ``order_col`` (load order), or
-    a deterministic pick without one, so the gold join never duplicates orders.
+    per city code: the record with the highest ``order_cols`` (load order; empty:
+    one load, told apart by content), so the gold join never duplicates orders.
     """
-    src = latest_per_key(source, ["ship_to_city_cd"], [order_col] if order_col else None)
+    src = latest_per_key(source, ["ship_to_city_cd"], order_cols)
     eng, meta = F.col("ship_to_city_cd_eng"), F.col("metadata")
     if province_policy == "region":
         province = text.province_by_region(eng, meta)
@@ -34,9 +36,9 @@ def city_dimension(source: DataFrame, province_policy: str = "region",
         text.total_gdp_usd(text.meta_get(meta, "Total")).cast("string").alias("total_gdp_usd"))
 
 
-def district_dimension(source: DataFrame, order_col: str | None = None) -> DataFrame:
+def district_dimension(source: DataFrame, order_cols: Sequence[str] = ()) -> DataFrame:
     """TRANSLATIONS_DISTRICT_MAPPING: one row per district name."""
-    src = latest_per_key(source, ["ship_to_district_name"], [order_col] if order_col else None)
+    src = latest_per_key(source, ["ship_to_district_name"], order_cols)
     return src.select("ship_to_district_name", "ship_to_district_name_eng", "metadata")
 
 
@@ -51,5 +53,5 @@ def explode_metadata(dim: DataFrame, key_col: str = "ship_to_city_cd") -> DataFr
 
 
 def preview(dim: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` rows of a dimension (no order; a preview)."""
-    return dim.limit(n)
+    """The first ``n`` rows of a dimension by its key."""
+    return dim.orderBy(dim.columns[0]).limit(n)

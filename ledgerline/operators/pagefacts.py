@@ -8,6 +8,7 @@ failure split are Spark expressions and aggregations.
 
 from __future__ import annotations
 
+from functools import partial
 from html.parser import HTMLParser
 from typing import Iterator
 
@@ -21,75 +22,95 @@ PARSED_SCHEMA = ("page_id long, title string, has_title boolean, "
                  "pairs array<struct<pos:int,key:string,value:string>>")
 
 
+class _TitleRead(Exception):
+    """Raised to stop reading a page once all that is wanted has been seen."""
+
+
 class _PageParser(HTMLParser):
     """Title text and (th, td) text pairs of rows inside ``<table class="... infobox ...">``.
 
-    Like a DOM walk: every ``<tr>`` under an infobox table (nested ones too)
-    yields the full text of its first ``th`` and first ``td`` when both exist.
+    Every row under an infobox table (nested ones too), in document order,
+    yields the text of its first ``th`` and first ``td`` when both exist.  A
+    row or cell that is not closed ends where the next one of its table starts
+    or where the table ends, so nothing crosses into another table.
     """
 
-    def __init__(self):
+    def __init__(self, titles_only: bool = False):
         super().__init__(convert_charrefs=True)
         self.title: list[str] | None = None
         self._in_title = False
-        self._title_done = False
-        self._infobox_depth = 0
-        self._table_stack: list[bool] = []
-        self._rows: list[dict] = []
-        self.pairs: list[tuple[str, str]] = []
+        self._titles_only = titles_only
+        self._tables: list[dict] = []  # open tables: whether rows count, and the open row
+        self._rows: list[dict] = []    # all rows that count, in document order
+
+    def _end_row(self):
+        self._tables[-1]["row"] = None
 
     def handle_starttag(self, tag, attrs):
-        if tag == "title" and not self._title_done and self.title is None:
+        if tag == "title" and self.title is None:
             self.title, self._in_title = [], True
         elif tag == "table":
             classes = (dict(attrs).get("class") or "").split()
-            is_box = "infobox" in classes
-            self._table_stack.append(is_box)
-            self._infobox_depth += is_box
-        elif tag == "tr" and self._infobox_depth:
-            self._rows.append({"th": None, "td": None, "open": []})
-        elif tag in ("th", "td") and self._rows:
-            row = self._rows[-1]
-            if row[tag] is None:
+            inside = bool(self._tables) and self._tables[-1]["box"]
+            self._tables.append({"box": inside or "infobox" in classes, "row": None})
+        elif tag == "tr" and self._tables:
+            self._end_row()
+            if self._tables[-1]["box"]:
+                row = {"th": None, "td": None, "open": None}
+                self._tables[-1]["row"] = row
+                self._rows.append(row)
+        elif tag in ("th", "td") and self._tables and (row := self._tables[-1]["row"]):
+            row["open"] = tag if row[tag] is None else None
+            if row["open"]:
                 row[tag] = []
-                row["open"].append(tag)
 
     def handle_endtag(self, tag):
         if tag == "title" and self._in_title:
-            self._in_title, self._title_done = False, True
-        elif tag in ("th", "td") and self._rows and tag in self._rows[-1]["open"]:
-            self._rows[-1]["open"].remove(tag)
-        elif tag == "tr" and self._rows:
-            row = self._rows.pop()
-            if row["th"] is not None and row["td"] is not None:
-                self.pairs.append(("".join(row["th"]).strip(), "".join(row["td"]).strip()))
-        elif tag == "table" and self._table_stack:
-            self._infobox_depth -= self._table_stack.pop()
+            self._in_title = False
+            if self._titles_only:
+                raise _TitleRead
+        elif tag in ("th", "td") and self._tables and (row := self._tables[-1]["row"]):
+            row["open"] = None
+        elif tag == "tr" and self._tables:
+            self._end_row()
+        elif tag == "table" and self._tables:
+            self._tables.pop()
 
     def handle_data(self, data):
         if self._in_title:
             self.title.append(data)
-        for row in self._rows:
-            for cell in row["open"]:
-                row[cell].append(data)
+        for table in self._tables:
+            if (row := table["row"]) and row["open"]:
+                row[row["open"]].append(data)
 
+    @property
+    def pairs(self) -> list[tuple[str, str]]:
+        return [("".join(r["th"]).strip(), "".join(r["td"]).strip()) for r in self._rows
+                if r["th"] is not None and r["td"] is not None]
 
-def parse_page(html: str | None) -> tuple[str | None, bool, list[tuple[str, str]]]:
-    """(title text, whether a title exists, infobox pairs in document order); the whole page is read."""
+
+def parse_page(html: str | None, titles_only: bool = False) -> tuple[str | None, bool, list[tuple[str, str]]]:
+    """(title text, whether the page has a title that is not empty, infobox pairs in document order).
+
+    The whole page is read; with ``titles_only`` reading stops where the title has closed.
+    """
     if not html:
         return None, False, []
-    p = _PageParser()
-    p.feed(html)
-    p.close()
+    p = _PageParser(titles_only)
+    try:
+        p.feed(html)
+        p.close()
+    except _TitleRead:
+        pass
     title = None if p.title is None else "".join(p.title)
-    return title, p.title is not None, p.pairs
+    return title, bool(title and title.strip()), p.pairs
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_batches(batches: Iterator[pd.DataFrame], titles_only: bool = False) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = {"page_id": [], "title": [], "has_title": [], "pairs": []}
         for pid, html in zip(pdf["page_id"], pdf["html"]):
-            title, has_title, pairs = parse_page(html)
+            title, has_title, pairs = parse_page(html, titles_only)
             out["page_id"].append(pid)
             out["title"].append(title)
             out["has_title"].append(has_title)
@@ -97,7 +118,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out)
 
 
-def parse_pages(pages: DataFrame, spread: int | None = None) -> DataFrame:
+def parse_pages(pages: DataFrame, spread: int | None = None, titles_only: bool = False) -> DataFrame:
     """H1 tokenizing step: one output row per page, Arrow-batched in the Python workers.
 
     Pages are parsed where they are read (one task per input split, no
@@ -107,7 +128,7 @@ def parse_pages(pages: DataFrame, spread: int | None = None) -> DataFrame:
     src = pages.select("page_id", "html")
     if spread:
         src = src.repartition(spread)
-    return src.mapInPandas(_parse_batches, PARSED_SCHEMA)
+    return src.mapInPandas(partial(_parse_batches, titles_only=titles_only), PARSED_SCHEMA)
 
 
 def page_titles(parsed: DataFrame) -> DataFrame:
@@ -141,7 +162,8 @@ def translation_records(parsed: DataFrame, ids: DataFrame, key: str = "ship_to_c
     """Records ``(key, key_eng, metadata)`` for pages whose id maps to an identifier.
 
     ``ids`` is (page_id, key).  The metadata map of one page is built from
-    its (bounded) infobox rows.
+    its (bounded) infobox rows.  Titles and facts both read ``parsed``: pass a
+    stored parse, so that pages are parsed once.
     """
     facts = infobox_facts(parsed)
     meta = facts.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("meta_key", "meta_value")))

@@ -16,18 +16,18 @@ from ledgerline.operators.quality import with_membership
 from ledgerline.sources.sinks import materialize
 
 
-def duplicate_rows(df: DataFrame, key: str = "order_id", max_broadcast_keys: int = 5_000_000) -> DataFrame:
+def duplicate_rows(df: DataFrame, key: str = "order_id") -> DataFrame:
     """Every row whose key occurs more than once, with the key's row count.
 
     Keys are counted with a partial (map-side) aggregate, so a key holding a
     large share of the rows never lands in one window partition.  The
-    duplicated keys are written to the shared folder; when they pass the size
-    check they are broadcast and the rows are streamed past them without a
-    second shuffle, otherwise the join shuffles (AQE splits a skewed key).
+    duplicated keys are written to the shared folder; the planner broadcasts
+    them if the files are small, otherwise the join shuffles (AQE splits a
+    skewed key).
     """
     dup = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1"),
                       "duplicate_keys")
-    return df.join(bounded_broadcast(dup, max_broadcast_keys), key, "inner")
+    return df.join(dup, key, "inner")
 
 
 OVERLAP_COLUMNS = ("order_time_pst", "rptg_amt", "currency_cd", "order_qty")
@@ -37,14 +37,13 @@ def feed_overlap(feed1: DataFrame, feed2: DataFrame, key: str = "order_id") -> D
     """The rows of either feed whose key also occurs in the other feed (expected empty).
 
     The shared keys are the intersection of the two distinct key sets (each
-    reduced by a partial aggregate), written once and broadcast when their
-    size check passes; each feed is semi-joined with them,
+    reduced by a partial aggregate), written once and joined by what the size of
+    those files suggests; each feed is semi-joined with them,
     so a key repeated in both feeds yields its rows once each, never the
     cross product of its rows.  Rows are tagged with their feed and carry the
     columns both feeds have (as text where the types differ).
     """
-    shared = bounded_broadcast(materialize(
-        feed1.select(key).distinct().join(feed2.select(key).distinct(), key, "inner"), "shared_keys"), 5_000_000)
+    shared = materialize(feed1.select(key).distinct().join(feed2.select(key).distinct(), key, "inner"), "shared_keys")
 
     def rows(feed: DataFrame, name: str) -> DataFrame:
         return feed.join(shared, key, "left_semi").select(
@@ -91,41 +90,53 @@ def missing_values(feed: DataFrame, dim: DataFrame, columns: list[str]) -> DataF
 def contains_match(values: DataFrame, names: DataFrame, value_col: str, name_col: str) -> DataFrame:
     """For each distinct value, does it occur inside any name of the list?
 
-    The name list is broadcast after a size check; semi and anti joins with a
-    ``contains`` condition stop at the first hit, so no (value, name) pairs
-    are produced.
+    Every substring of every distinct name (a name of n characters has
+    n (n + 1) / 2) is a key, so the test is one equi-join and no value meets a
+    name it is not part of.  NULL is part of nothing; the empty string is part
+    of every name.
     """
+    name = F.col("_name")
+    starts = F.sequence(F.lit(1), F.length(name))
+    parts = (names.select(F.col(name_col).alias("_name")).where(name.isNotNull()).distinct()
+             .select(F.when(F.length(name) > 0, F.flatten(F.transform(starts, lambda i: F.transform(
+                 F.sequence(F.lit(1), F.length(name) - i + 1), lambda n: F.substr(name, i, n)))))
+                 .otherwise(F.array().cast("array<string>")).alias("parts")))
+    parts = parts.select(F.explode(F.array_append("parts", F.lit(""))).alias("_part")).distinct()
     distinct_values = values.select(value_col).distinct()
-    name_list = bounded_broadcast(names.select(F.col(name_col).alias("_name")), 200_000, basis=names)
-    cond = F.col("_name").contains(F.col(value_col))
-    hit = distinct_values.join(name_list, cond, "left_semi").withColumn("city_match", F.lit(True))
-    miss = distinct_values.join(name_list, cond, "left_anti").withColumn("city_match", F.lit(False))
-    return hit.unionByName(miss)
+    return (distinct_values.join(parts, F.col(value_col) == F.col("_part"), "left")
+            .select(value_col, F.col("_part").isNotNull().alias("city_match")))
+
+
+def unjoinable_rows(feed: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The rows whose city or district is missing from the mapping, each with its reasons."""
+    flagged = with_membership(with_membership(feed, mapping, "ship_to_city_cd", CITY_KNOWN),
+                              mapping, "ship_to_district_name", DISTRICT_KNOWN)
+    return flagged.where(~F.col(CITY_KNOWN) | ~F.col(DISTRICT_KNOWN)).select(
+        *feed.columns, (~F.col(CITY_KNOWN)).alias("city_missing"), (~F.col(DISTRICT_KNOWN)).alias("district_missing"))
 
 
 # ------------------------------------------------------------------ column profile
 
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """Per column its type, non-null count, null count and distinct values.
+    """Per column its type, non-null count, null count and distinct values (NULL is one value).
 
-    Distinct counts treat NULL as one value.  All columns are profiled in one
-    pass: values are unpivoted to (column, value) and aggregated twice, the
-    first level pre-aggregating per task.
+    Counts of all columns are one aggregate with a map-side step; distinct
+    values are counted per column on a scan of that column alone, in its own
+    type, each value leaving a task once.
     """
     types = dict(df.dtypes)
-    cols = df.columns
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                               for c in cols]))
-    per_value = (df.select(pairs).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    prof = per_value.groupBy("column_name").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).cast("bigint").alias("non_null_count"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).cast("bigint").alias("null_count"),
-        F.count(F.lit(1)).alias("n_unique"))
-    type_map = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
-    return prof.select(F.lit(table).alias("table_name"), "column_name",
-                       type_map[F.col("column_name")].alias("data_type"),
-                       "non_null_count", "null_count", "n_unique")
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(c) for c in df.columns])
+    known = counts.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), F.col(c).alias("non_null_count"),
+        (F.col("_rows") - F.col(c)).alias("null_count")) for c in df.columns])))
+    unique = None
+    for c in df.columns:
+        one = df.select(c).distinct().agg(F.count(F.lit(1)).alias("n_unique")).select(F.lit(c).alias("column_name"), "n_unique")
+        unique = one if unique is None else unique.unionByName(one)
+    # One row per column on both sides.
+    return known.join(F.broadcast(unique), "column_name").select(
+        F.lit(table).alias("table_name"), "column_name", "data_type", "non_null_count", "null_count", "n_unique")
 
 
 def describe_numeric(df: DataFrame, table: str, columns: list[str]) -> DataFrame:

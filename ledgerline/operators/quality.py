@@ -136,8 +136,12 @@ def not_null_rows(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def dq_not_null(df: DataFrame, table: str, column: str) -> DataFrame:
-    return _report(table, column, "not_null", not_null_rows(df, column))
+def dq_not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
+    """T2 for one or more columns, counted in one pass over the table."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit("not_null").alias("test_name"),
+        F.col(c).cast("bigint").alias("failures")) for c in columns])))
 
 
 def relationships_rows(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:

@@ -195,20 +195,20 @@ def spend_gdp_corr(gold: DataFrame, city_dim: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- A17
 
 
-def translation_coverage(identifiers: DataFrame, translations: DataFrame, key: str) -> DataFrame:
+def translation_coverage(identifiers: DataFrame, translations: DataFrame, key: str,
+                         matched_only: bool = False) -> DataFrame:
     """Translated rows / distinct identifiers * 100 in one aggregation pass.
 
     ``identifiers`` holds every occurrence of the identifier (all feeds and
-    the mapping).  The numerator counts all translation rows, matched or not,
-    and the denominator counts a NULL identifier as one value, as in the
-    source report.
+    the mapping).  The numerator counts all translation rows, matched or not
+    (``matched_only``: those whose identifier occurs), and the denominator
+    counts a NULL identifier as one value, as in the source report.
     """
-    tagged = (identifiers.select(F.col(key).alias("_id"), F.lit(False).alias("_tr"))
-              .unionByName(translations.select(F.col(key).alias("_id"), F.lit(True).alias("_tr"))))
-    ident = F.when(~F.col("_tr"), F.col("_id"))
-    counts = tagged.agg(
-        F.count(F.when(F.col("_tr"), F.lit(1))).alias("translated_count"),
-        (F.countDistinct(ident) + F.max(F.when(~F.col("_tr") & F.col("_id").isNull(), 1).otherwise(0)))
-        .alias("unique_count"))
+    tagged = (identifiers.select(F.col(key).alias("_id"), F.lit(1).alias("_seen"), F.lit(0).alias("_tr"))
+              .unionByName(translations.select(F.col(key).alias("_id"), F.lit(0).alias("_seen"), F.lit(1).alias("_tr"))))
+    per_id = tagged.groupBy("_id").agg(F.max("_seen").alias("_seen"), F.sum("_tr").alias("_tr"))
+    translated = F.when((F.col("_seen") == 1) & F.col("_id").isNotNull(), F.col("_tr")).otherwise(0) if matched_only else F.col("_tr")
+    counts = per_id.agg(F.coalesce(F.sum(translated), F.lit(0)).cast("bigint").alias("translated_count"),
+                        F.coalesce(F.sum("_seen"), F.lit(0)).cast("bigint").alias("unique_count"))
     return counts.select("translated_count", "unique_count",
                          F.round(percent(F.col("translated_count"), F.col("unique_count")), 6).alias("percentage"))

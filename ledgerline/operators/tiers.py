@@ -43,12 +43,13 @@ def _features(df: DataFrame, col: str) -> DataFrame:
 
 
 def _iteration_input(df: DataFrame) -> DataFrame:
-    """Iterative fits read the per-city input from written files, kept in memory.
+    """Iterative fits read the per-city input from written files, kept in memory; callers unpersist it.
 
-    The frame has one row per city, so it is written as one partition: each
-    k-means iteration is then a single small task instead of many empty ones.
+    The frame has one row per city.  It is written by the tasks that computed
+    it and only the written rows are read as one partition, so that an
+    iteration is one small task.
     """
-    return materialize(df.coalesce(1), "tier_input").cache()
+    return materialize(df, "tier_input").coalesce(1).cache()
 
 
 def fit_kmeans(df: DataFrame, k: int, col: str = "normalized_sales", seeds=(1, 7, 42), max_iter: int = 50):
@@ -77,23 +78,61 @@ def elbow(df: DataFrame, ks=range(1, 10), col: str = "normalized_sales", paralle
     fitted = [k for k in ks if 2 <= k <= n]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         sse = dict(zip(fitted, pool.map(lambda k: float(fit_kmeans(df, k, col)[1]), fitted)))
+    df.unpersist()
     rows = [(1, float(stats["v"] or 0.0) * n)] if 1 in ks else []
     rows += [(int(k), sse[k]) for k in fitted]
     return spark.createDataFrame(rows, "k int, sse double")
 
 
 def kmeans_tiers(totals: DataFrame, k: int = 3) -> DataFrame:
-    """M3 + M4: k-means on z-scored spend; ``tier`` orders clusters from lowest to highest centre."""
+    """M3 + M4: k-means on z-scored spend; ``tier`` orders clusters from lowest to highest centre.
+
+    With fewer distinct totals than ``k`` there are as many tiers as centres
+    the model finds.
+    """
     z = _iteration_input(zscores(totals))
-    model, _ = fit_kmeans(z, k)
-    spark = totals.sparkSession
-    # k centres (a model parameter, not data): ranked on the driver, broadcast as a k-row table.
-    order = sorted(range(k), key=lambda i: float(model.clusterCenters()[i][0]))
-    ranked = spark.createDataFrame([(cluster, tier) for tier, cluster in enumerate(order)], "cluster int, tier int")
-    pred = model.transform(_features(z, "normalized_sales")).withColumnRenamed("prediction", "cluster")
-    return (pred.join(F.broadcast(ranked), "cluster")  # k rows
-            .select("ship_to_city_cd", "rmb_dollars", "ship_to_city_cd_eng", "province", "per_capita_usd",
-                    "normalized_sales", F.col("cluster").cast("int").alias("cluster"), "tier"))
+    try:
+        if z.select("normalized_sales").distinct().count() < 2:
+            return z.withColumn("cluster", F.lit(0)).withColumn("tier", F.lit(0)).select(*_TIER_COLUMNS)
+        model, _ = fit_kmeans(z, k)
+        spark = totals.sparkSession
+        # At most k centres (a model parameter, not data): ranked on the driver, broadcast as a small table.
+        centres = [float(c[0]) for c in model.clusterCenters()]
+        order = sorted(range(len(centres)), key=lambda i: centres[i])
+        ranked = spark.createDataFrame([(cluster, tier) for tier, cluster in enumerate(order)], "cluster int, tier int")
+        pred = model.transform(_features(z, "normalized_sales")).withColumnRenamed("prediction", "cluster")
+        out = pred.join(F.broadcast(ranked), "cluster")  # at most k rows
+        return materialize(out.select(*_TIER_COLUMNS[:-2], F.col("cluster").cast("int").alias("cluster"), "tier"), "tiers")
+    finally:
+        z.unpersist()
+
+
+_TIER_COLUMNS = ("ship_to_city_cd", "rmb_dollars", "ship_to_city_cd_eng", "province", "per_capita_usd",
+                 "normalized_sales", "cluster", "tier")
+
+
+def tier_checks(totals: DataFrame, k: int = 3) -> DataFrame:
+    """What must hold for any right set of tiers (one row): all cities tiered, SSE of one cluster, ordered and
+    disjoint tiers, labels as near to their centre as to any other, and SSE no higher than with one cluster."""
+    out = kmeans_tiers(totals, k)
+    z = zscores(totals)
+    by_tier = materialize(out.groupBy("tier").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("normalized_sales").alias("centre"),
+        F.var_pop("normalized_sales").alias("v"), F.min("normalized_sales").alias("lo"), F.max("normalized_sales").alias("hi")), "tier_stats")
+    nxt = by_tier.select((F.col("tier") - 1).alias("_t"), F.col("lo").alias("next_lo"), F.col("centre").alias("next_centre"))
+    apart = by_tier.join(nxt, F.col("tier") == F.col("_t"))  # k rows
+    sse = by_tier.agg(F.sum(F.col("n") * F.col("v")).alias("sse"), F.sum("n").alias("tiered"))
+    steps = apart.agg(F.coalesce(F.min(F.col("centre") < F.col("next_centre")), F.lit(True)).alias("tiers_ordered"),
+                      F.coalesce(F.min(F.col("hi") < F.col("next_lo")), F.lit(True)).alias("tiers_disjoint"),
+                      F.coalesce(F.min((F.col("hi") <= (F.col("centre") + F.col("next_centre")) / 2 + 1e-9)
+                                       & (F.col("next_lo") >= (F.col("centre") + F.col("next_centre")) / 2 - 1e-9)), F.lit(True))
+                      .alias("labels_nearest"))
+    one = z.agg(F.count(F.lit(1)).alias("n_cities"), F.round(F.sum(F.col("normalized_sales") ** 2), 6).alias("sse_one"))
+    # Three frames of one row each.
+    return (one.crossJoin(F.broadcast(sse)).crossJoin(F.broadcast(steps))
+            .select("n_cities", (F.col("tiered") == F.col("n_cities")).alias("all_tiered"), "sse_one",
+                    (F.col("sse") <= F.col("sse_one") + 1e-6).alias("sse_not_higher"),
+                    "tiers_ordered", "tiers_disjoint", "labels_nearest"))
 
 
 def _numbered(df: DataFrame, order: list, partitions: int | None = None) -> tuple[DataFrame, int]:

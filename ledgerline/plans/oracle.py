@@ -139,6 +139,18 @@ def with_layers(final_select: str, extra_ctes: str = "") -> str:
     return "WITH" + ctes + "\n" + final_select
 
 
+def _gold_of(source: str, amount: str = "CAST(rptg_amt * {rate} AS DECIMAL(18,2))") -> str:
+    """The gold columns of a silver-like table, by lookups in the keyed dimensions."""
+    rate = f"(FROM currency SELECT multiplier WHERE currency.currency_cd = {source}.currency_cd)"
+    return f"""
+  FROM {source} SELECT order_id, CAST(order_time_pst AS INTEGER) AS order_time_pst, ship_to_city_cd, ship_to_district_name,
+    (FROM district_dim SELECT ship_to_district_name_eng
+     WHERE district_dim.ship_to_district_name = {source}.ship_to_district_name) AS ship_to_district_name_eng,
+    (FROM city_dim SELECT ship_to_city_cd_eng
+     WHERE city_dim.ship_to_city_cd = {source}.ship_to_city_cd) AS ship_to_city_cd_eng,
+    {amount.format(rate=rate)} AS rmb_dollars, CAST(order_qty AS INTEGER) AS order_qty"""
+
+
 QUERIES: dict[str, str] = {}
 
 
@@ -415,29 +427,34 @@ _q("csv_roundtrip", "SELECT * FROM raw_dataset_1")
 _q("json_roundtrip", "SELECT * FROM raw_dataset_2")
 _q("translations_json_roundtrip", "SELECT ship_to_city_cd, ship_to_city_cd_eng, province, per_capita_usd, "
                                   "total_gdp_usd FROM city_dim")
-_q("full_refresh", """
-SELECT order_id, COALESCE(
-    CASE WHEN NOT ok_time THEN 'Invalid ORDER_TIME_PST' END,
-    CASE WHEN NOT ok_id THEN 'Invalid CITY_DISTRICT_ID' END,
-    CASE WHEN NOT ok_amt THEN 'Invalid RPTG_AMT' END,
-    CASE WHEN NOT ok_cur THEN 'Invalid CURRENCY_CD' END,
-    CASE WHEN NOT ok_qty THEN 'Invalid ORDER_QTY' END) AS validation_error
-FROM checks_1
-WHERE NOT ok_time OR NOT ok_id OR NOT ok_amt OR NOT ok_cur OR NOT ok_qty""")
+QUERIES["full_refresh"] = QUERIES["exceptions_first_error"]
+# The two feeds of silver, told apart by their place in the union.
 _SILVER_PARTS = """
 s1 AS (
-  SELECT q.order_id, TRY_CAST(q.order_time_pst AS BIGINT) AS order_time_pst, q.rptg_amt, q.currency_cd,
-         TRY_CAST(q.order_qty AS INTEGER) AS order_qty, m.ship_to_city_cd, m.ship_to_district_name
-  FROM qualified_1 q LEFT JOIN raw_mapping m ON q.city_district_id = m.city_district_id),
+  FROM qualified_1 SELECT order_id, TRY_CAST(order_time_pst AS BIGINT) AS order_time_pst, rptg_amt, currency_cd,
+    TRY_CAST(order_qty AS INTEGER) AS order_qty,
+    (FROM raw_mapping SELECT ship_to_city_cd WHERE raw_mapping.city_district_id = qualified_1.city_district_id) AS ship_to_city_cd,
+    (FROM raw_mapping SELECT ship_to_district_name WHERE raw_mapping.city_district_id = qualified_1.city_district_id)
+      AS ship_to_district_name),
 s2 AS (
-  SELECT order_id, order_time_pst, rptg_amt, currency_cd, order_qty, ship_to_city_cd, ship_to_district_name
-  FROM qualified_2)"""
+  FROM qualified_2 SELECT order_id, order_time_pst, rptg_amt, currency_cd, order_qty, ship_to_city_cd, ship_to_district_name),
+upserted AS (
+  FROM s2 UNION ALL (FROM s1 WHERE order_id NOT IN (SELECT order_id FROM s2)))"""
 _q("window_overwrite", """
 SELECT *, '20240723' AS dt, 'window1' AS load_window FROM s1
 UNION ALL SELECT *, '20240723' AS dt, 'window2' AS load_window FROM s2""", _SILVER_PARTS)
-_q("upsert_orders", """
-SELECT * FROM s1 WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE s2.order_id = s1.order_id)
-UNION ALL SELECT * FROM s2""", _SILVER_PARTS)
+_q("upsert_orders", "SELECT * FROM upserted", _SILVER_PARTS)
+_q("upsert_gold", _gold_of("upserted"), _SILVER_PARTS)
+for _feed, _amount, _qty in (("raw_dataset_1", "DECIMAL(18,2)", "VARCHAR"), ("raw_dataset_2", "DECIMAL(18,2)", "INTEGER")):
+    _q(f"upsert_raw_feed{_feed[-1]}", f"""
+SELECT * REPLACE (CASE WHEN order_id LIKE '%7' THEN CAST(0.5 AS {_amount}) ELSE rptg_amt END AS rptg_amt,
+                  CASE WHEN order_id NOT LIKE '%7' THEN order_qty END AS order_qty) FROM {_feed}""")
+_q("upsert_currency", """
+SELECT currency_cd, CAST(multiplier AS DECIMAL(10,4)) AS multiplier FROM currency
+WHERE currency_cd NOT IN (SELECT currency_cd FROM raw_dataset_1 WHERE currency_cd <> 'RMB')
+UNION ALL SELECT currency_cd, CAST(COUNT(*) / 10000 AS DECIMAL(10,4)) FROM raw_dataset_1
+WHERE currency_cd <> 'RMB' GROUP BY currency_cd""")
+_q("landed_gold_orders", "SELECT * FROM gold")
 _q("load_metrics", """
 SELECT 'raw_dataset_1' AS table_name, COUNT(*) AS num_rows FROM raw_dataset_1
 UNION ALL SELECT 'raw_dataset_2', COUNT(*) FROM raw_dataset_2
@@ -486,27 +503,24 @@ WHERE NOT EXISTS (SELECT 1 FROM city_dim d WHERE d.ship_to_city_cd = u.ship_to_c
 _q("stream_ingest_feed2", "SELECT * FROM qualified_2")
 
 # ------------------------------------------------------------------ variants
+_HOURLY_ENGLISH = """
+hourly AS (
+  SELECT ship_to_city_cd, ship_to_city_cd_eng,
+         CAST((CAST(order_time_pst AS BIGINT) + 5000) // 10000 AS DOUBLE) AS order_hour_pst,
+         CAST(SUM(rmb_dollars) AS DECIMAL(38,2)) AS total_sales
+  FROM gold GROUP BY ALL)"""
 _q("top_city_per_hour_english", """
-SELECT ship_to_city_cd, ship_to_city_cd_eng, order_hour_pst, total_sales
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_hour_pst
-                                   ORDER BY total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST) AS rk
-      FROM (SELECT ship_to_city_cd, ship_to_city_cd_eng,
-                   ROUND(CAST(order_time_pst AS BIGINT) / 10000) AS order_hour_pst,
-                   CAST(SUM(rmb_dollars) AS DECIMAL(38,2)) AS total_sales
-            FROM gold GROUP BY ship_to_city_cd, ship_to_city_cd_eng, ROUND(CAST(order_time_pst AS BIGINT) / 10000)))
-WHERE rk = 1""")
+SELECT DISTINCT ON (order_hour_pst) ship_to_city_cd, ship_to_city_cd_eng, order_hour_pst, total_sales FROM hourly
+ORDER BY order_hour_pst, total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST""", _HOURLY_ENGLISH)
 _q("silver_orders_contract", """
 SELECT * FROM s1 WHERE NOT EXISTS (SELECT 1 FROM raw_dataset_2 r WHERE r.order_id = s1.order_id)
 UNION ALL
 SELECT order_id, order_time_pst, rptg_amt, currency_cd, order_qty, ship_to_city_cd, ship_to_district_name
 FROM raw_dataset_2""", _SILVER_PARTS)
 _q("top_city_hour_pairs_english", """
-SELECT ship_to_city_cd, ship_to_city_cd_eng, ROUND(CAST(order_time_pst AS BIGINT) / 10000) AS order_hour_pst,
-       CAST(SUM(rmb_dollars) AS DECIMAL(38,2)) AS total_sales
-FROM gold GROUP BY ship_to_city_cd, ship_to_city_cd_eng, ROUND(CAST(order_time_pst AS BIGINT) / 10000)
-ORDER BY total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST, ship_to_city_cd_eng ASC NULLS LAST,
-         order_hour_pst ASC NULLS LAST
-LIMIT 5""")
+SELECT ship_to_city_cd, ship_to_city_cd_eng, order_hour_pst, total_sales FROM hourly
+QUALIFY ROW_NUMBER() OVER (ORDER BY total_sales DESC NULLS LAST, ship_to_city_cd ASC NULLS LAST,
+                           ship_to_city_cd_eng ASC NULLS LAST, order_hour_pst ASC NULLS LAST) <= 5""", _HOURLY_ENGLISH)
 
 
 def _describe(table: str, cols: list[str]) -> str:
@@ -523,13 +537,38 @@ SELECT ship_to_district_name FROM (
   SELECT DISTINCT ship_to_district_name FROM (
     SELECT ship_to_district_name FROM raw_dataset_2 UNION ALL SELECT ship_to_district_name FROM raw_mapping)) u
 WHERE NOT EXISTS (SELECT 1 FROM district_dim d WHERE d.ship_to_district_name = u.ship_to_district_name)""")
-_q("gold_orders_float_rate", """
-SELECT p.order_id, CAST(p.order_time_pst AS INTEGER) AS order_time_pst, p.ship_to_city_cd,
-       p.ship_to_district_name, td.ship_to_district_name_eng, tc.ship_to_city_cd_eng,
-       CAST(CAST(p.rptg_amt AS FLOAT) * CAST(cc.multiplier AS FLOAT) AS DECIMAL(18,2)) AS rmb_dollars,
-       CAST(p.order_qty AS INTEGER) AS order_qty
-FROM silver p
-LEFT JOIN city_dim tc ON p.ship_to_city_cd = tc.ship_to_city_cd
-LEFT JOIN district_dim td ON p.ship_to_district_name = td.ship_to_district_name
-LEFT JOIN currency cc ON p.currency_cd = cc.currency_cd""")
+_q("gold_orders_float_rate", _gold_of("silver", "CAST(CAST(rptg_amt AS FLOAT) * CAST({rate} AS FLOAT) AS DECIMAL(18,2))"))
 _q("window_read_pruned", "SELECT *, '20240723' AS dt, 'window2' AS load_window FROM s2", _SILVER_PARTS)
+
+# ------------------------------------------------------------------ further outputs
+_q("unjoinable_orders", """
+FROM (SELECT *, COALESCE(ship_to_city_cd NOT IN (SELECT ship_to_city_cd FROM raw_mapping), TRUE) AS city_missing,
+        COALESCE(ship_to_district_name NOT IN (SELECT ship_to_district_name FROM raw_mapping), TRUE) AS district_missing
+      FROM raw_dataset_2) WHERE city_missing OR district_missing""")
+_q("mapping_name_contains_match", """
+SELECT ship_to_city_cd, FALSE AS city_match FROM (SELECT DISTINCT ship_to_city_cd FROM raw_mapping) v
+WHERE NOT EXISTS (SELECT 1 FROM city_src n WHERE contains(n.ship_to_city_cd, v.ship_to_city_cd))""")
+_q("coverage_matched_only", """
+SELECT translated_count, unique_count, ROUND(100 * translated_count / CAST(unique_count AS DOUBLE), 6) AS percentage
+FROM (SELECT COUNT(*) AS unique_count,
+             CAST(COUNT_IF(ship_to_city_cd IN (SELECT ship_to_city_cd FROM city_dim)) AS BIGINT) AS translated_count
+      FROM (SELECT ship_to_city_cd FROM raw_dataset_2 UNION SELECT ship_to_city_cd FROM raw_mapping))""")
+_q("exceptions_places", """
+SELECT order_id, field, message, source FROM errs WHERE source = 'feed2'
+UNION ALL SELECT order_id, 'ship_to_city_cd', 'SHIP_TO_CITY_CD must exist in RAW_MAPPING', 'feed2' FROM raw_dataset_2
+WHERE COALESCE(ship_to_city_cd NOT IN (SELECT ship_to_city_cd FROM raw_mapping), TRUE)
+UNION ALL SELECT order_id, 'ship_to_district_name', 'SHIP_TO_DISTRICT_NAME must exist in RAW_MAPPING', 'feed2'
+FROM raw_dataset_2
+WHERE COALESCE(ship_to_district_name NOT IN (SELECT ship_to_district_name FROM raw_mapping), TRUE)""", _ERRORS)
+_q("city_mapping_preview", """
+SELECT ship_to_city_cd, ship_to_city_cd_eng, metadata, province, per_capita_usd, total_gdp_usd
+FROM city_dim NATURAL JOIN (
+  SELECT ship_to_city_cd, '{' || string_agg(to_json(meta_key) || ':' || to_json(meta_value), ',' ORDER BY list_position(
+    ['Province', 'Autonomous region', 'Per capita', 'Total'], meta_key)) || '}' AS metadata
+  FROM city_meta GROUP BY ALL)
+ORDER BY ship_to_city_cd LIMIT 10""")
+_q("page_district_dimension", "SELECT ship_to_district_name, ship_to_district_name_eng FROM district_dim")
+_q("tier_checks", """
+SELECT COUNT(*) AS n_cities, TRUE AS all_tiered, ROUND(SUM(z * z), 6) AS sse_one, TRUE AS sse_not_higher,
+       TRUE AS tiers_ordered, TRUE AS tiers_disjoint, TRUE AS labels_nearest
+FROM (SELECT (rmb_dollars - AVG(rmb_dollars) OVER ()) / STDDEV_POP(rmb_dollars) OVER () AS z FROM city_totals)""", _TOTALS)

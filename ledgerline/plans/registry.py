@@ -11,18 +11,21 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.functions import rules as R
 from ledgerline.operators import dimensions, enrich, pagefacts, profile, quality, refine, reports, tiers
 from ledgerline.operators.joins import bounded_broadcast
-from ledgerline.plans.warehouse import Warehouse
+from ledgerline.plans.warehouse import LandedFeeds, Warehouse
 from ledgerline.session import scratch_path
 from ledgerline.sources import files, fixtures, sinks
 from ledgerline.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+#: The same queries on a warehouse that the caller holds.
+ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {}
 
 ACCEPTED_CURRENCIES = ["USD", "RMB"]
 LOAD_DATE = "20240723"
@@ -30,6 +33,7 @@ LOAD_DATE = "20240723"
 
 def register(name: str):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+        ON_WAREHOUSE[name] = fn
         REGISTRY[name] = lambda spark, root: fn(Warehouse.of(spark, root))
         return fn
     return deco
@@ -58,7 +62,7 @@ def _silver_contract(w: Warehouse) -> DataFrame:
     q1 = quality.qualify(w.flagged_1, R.feed1_contract())
     q2 = quality.qualify(w.raw_dataset_2, R.feed2_contract(), mode="log")
     part1, part2 = refine.silver_parts(q1, q2, w.raw_mapping)
-    return sinks.upsert(part1, part2, ["order_id"])
+    return sinks.upsert(part1, part2, ["order_id"], ())
 
 
 # ------------------------------------------------------------------ analyst reports
@@ -87,6 +91,8 @@ register("coverage_cities")(lambda w: reports.translation_coverage(
     _identifiers(w, "ship_to_city_cd"), w.city_dim, "ship_to_city_cd"))
 register("coverage_districts")(lambda w: reports.translation_coverage(
     _identifiers(w, "ship_to_district_name"), w.district_dim, "ship_to_district_name"))
+register("coverage_matched_only")(lambda w: reports.translation_coverage(
+    _identifiers(w, "ship_to_city_cd"), w.city_dim, "ship_to_city_cd", matched_only=True))
 
 # ------------------------------------------------------------------ exception logs and table tests
 
@@ -99,6 +105,15 @@ def _all_errors(w: Warehouse) -> DataFrame:
 
 
 register("exceptions_all_errors")(_all_errors)
+@register("exceptions_places")
+def _exceptions_places(w: Warehouse) -> DataFrame:
+    """Feed 2 under its contract with the place rules on."""
+    flagged = quality.with_membership(
+        quality.with_membership(w.raw_dataset_2, w.raw_mapping, "ship_to_city_cd", R.CITY_KNOWN),
+        w.raw_mapping, "ship_to_district_name", R.DISTRICT_KNOWN)
+    return quality.exceptions_all(flagged, R.feed2_contract(True), source="feed2")
+
+
 register("exceptions_json")(lambda w: quality.exceptions_json(_all_errors(w)))
 
 
@@ -108,10 +123,10 @@ def _layers(w: Warehouse) -> list[tuple[str, DataFrame]]:
 
 
 register("dq_unique")(lambda w: _union([quality.dq_unique(df, n, "order_id") for n, df in _layers(w)]))
-register("dq_not_null")(lambda w: _union(
-    [quality.dq_not_null(df, n, "order_id") for n, df in _layers(w)]
-    + [quality.dq_not_null(df, n, "rptg_amt") for n, df in _layers(w)[:3]]
-    + [quality.dq_not_null(w.qualified_2, "qualified_dataset_2", "ship_to_district_name")]))
+register("dq_not_null")(lambda w: _union([
+    quality.dq_not_null(df, n, "order_id", *(["rptg_amt"] if "rptg_amt" in df.columns else []),
+                        *(["ship_to_district_name"] if n == "qualified_dataset_2" else []))
+    for n, df in _layers(w)]))
 register("dq_relationships")(lambda w: _union([
     quality.dq_relationships(w.qualified_1, "qualified_dataset_1", "city_district_id", w.raw_mapping,
                              "city_district_id"),
@@ -145,6 +160,9 @@ register("unmapped_ids")(lambda w: profile.unmapped_rows(w.raw_dataset_1, w.raw_
 register("unjoinable_reasons")(lambda w: profile.unjoinable_reasons(w.raw_dataset_2, w.raw_mapping))
 register("missing_dimension_values")(lambda w: profile.missing_values(
     w.raw_dataset_2, w.raw_mapping, ["ship_to_city_cd", "ship_to_district_name"]))
+register("unjoinable_orders")(lambda w: profile.unjoinable_rows(w.raw_dataset_2, w.raw_mapping))
+register("mapping_name_contains_match")(lambda w: profile.contains_match(
+    w.raw_mapping, w.city_source, "ship_to_city_cd", "ship_to_city_cd").where("NOT city_match"))
 register("city_name_contains_match")(lambda w: profile.contains_match(
     w.raw_dataset_2, w.city_source, "ship_to_city_cd", "ship_to_city_cd"))
 register("profile_columns")(lambda w: profile.column_profile(w.raw_dataset_1, "raw_dataset_1")
@@ -198,10 +216,11 @@ def _with_window(df: DataFrame, window: str) -> DataFrame:
 def _write_windows(w: Warehouse, path: str) -> None:
     part1, part2 = w.silver_parts
     both = _with_window(part1, "window1").unionByName(_with_window(part2, "window2"))
-    sinks.overwrite_windows(both, path, ("dt", "load_window"))
+    sinks.overwrite_windows(both, path, WINDOW, [(LOAD_DATE, "window1"), (LOAD_DATE, "window2")])
 
 
-WINDOWED_SCHEMA = schemas.PROCESSED.add("dt", "string").add("load_window", "string")
+WINDOW = ("dt", "load_window")
+WINDOWED_SCHEMA = T.StructType([*schemas.PROCESSED.fields, *[T.StructField(c, T.StringType()) for c in WINDOW]])
 
 
 @register("window_overwrite")
@@ -209,7 +228,7 @@ def _window_overwrite(w: Warehouse) -> DataFrame:
     """Load both windows, then re-run window1 (backfill); the table must be unchanged."""
     path = scratch_path(w.spark, "silver_windows")
     _write_windows(w, path)
-    sinks.overwrite_windows(_with_window(w.silver_parts[0], "window1"), path, ("dt", "load_window"))
+    sinks.overwrite_windows(_with_window(w.silver_parts[0], "window1"), path, WINDOW, [(LOAD_DATE, "window1")])
     return w.spark.read.schema(WINDOWED_SCHEMA).parquet(path)
 
 
@@ -226,7 +245,71 @@ def _window_read(w: Warehouse) -> DataFrame:
 def _upsert_orders(w: Warehouse) -> DataFrame:
     """Feed-2 rows upserted on order_id into the feed-1 rows (later load wins)."""
     part1, part2 = w.silver_parts
-    return sinks.upsert(part1, part2, ["order_id"])
+    return sinks.upsert(part1, part2, ["order_id"], ())
+
+
+def _redelivered(feed: DataFrame) -> DataFrame:
+    """The feed in two loads: all rows, and a second delivery of the orders whose id ends in 7 with a smaller
+    amount and no quantity."""
+    again = feed.where(F.col("order_id").endswith("7")).withColumn(
+        "rptg_amt", F.lit(0.5).cast(feed.schema["rptg_amt"].dataType)).withColumn(
+        "order_qty", F.lit(None).cast(feed.schema["order_qty"].dataType))
+    return feed.withColumn("load_seq", F.lit(1)).unionByName(again.withColumn("load_seq", F.lit(2)))
+
+
+@register("upsert_raw_feed1")
+def _upsert_raw_feed1(w: Warehouse) -> DataFrame:
+    """Feed 1 with orders delivered twice, both loads in one batch; the corrections must win."""
+    path = scratch_path(w.spark, "raw_dataset_1_keyed")
+    return sinks.upsert_table(w.spark, path, _redelivered(w.raw_dataset_1), ["order_id"], ["load_seq"]).drop("load_seq")
+
+
+@register("upsert_raw_feed2")
+def _upsert_raw_feed2(w: Warehouse) -> DataFrame:
+    """Feed 2 the same way, but loaded in two calls, the later load first."""
+    path = scratch_path(w.spark, "raw_dataset_2_keyed")
+    both = _redelivered(w.raw_dataset_2)
+    sinks.upsert_table(w.spark, path, both.where("load_seq = 2"), ["order_id"], ["load_seq"])
+    return sinks.upsert_table(w.spark, path, both.where("load_seq = 1"), ["order_id"], ["load_seq"]).drop("load_seq")
+
+
+@register("upsert_currency")
+def _upsert_currency(w: Warehouse) -> DataFrame:
+    """Rates by code, updated by a sheet made from the feed (orders per code in units of 10,000)."""
+    path = scratch_path(w.spark, "currency_keyed")
+    known = w.currency.select("currency_cd", "multiplier").withColumn("load_seq", F.lit(1))
+    sheet = (w.raw_dataset_1.where("currency_cd <> 'RMB'").groupBy("currency_cd")
+             .agg((F.count(F.lit(1)) / 10000).cast("decimal(10,4)").alias("multiplier")).withColumn("load_seq", F.lit(2)))
+    sinks.upsert_table(w.spark, path, known, ["currency_cd"], ["load_seq"])
+    return sinks.upsert_table(w.spark, path, sheet, ["currency_cd"], ["load_seq"]).drop("load_seq")
+
+
+@register("upsert_gold")
+def _upsert_gold(w: Warehouse) -> DataFrame:
+    """S9d: gold keyed by order, feed 1 and feed 2 as two loads; feed 2 wins an id that both hold."""
+    path = scratch_path(w.spark, "curated_keyed")
+    out = None
+    for seq, part in enumerate(w.silver_parts):
+        rows = enrich.gold(part, w.city_dim, w.district_dim, w.currency).withColumn("load_seq", F.lit(seq))
+        out = sinks.upsert_table(w.spark, path, rows, ["order_id"], ["load_seq"])
+    return out.drop("load_seq")
+
+
+@register("landed_gold_orders")
+def _landed_gold(w: Warehouse) -> DataFrame:
+    """All feeds written as they land (two windows, one re-delivery each), read back, refined to gold."""
+    root = scratch_path(w.spark, "landing")
+    for feed, write in (("feed1", files.write_feed1_csv), ("feed2", files.write_feed2_json)):
+        rows = w.raw_dataset_1 if feed == "feed1" else w.raw_dataset_2
+        late = F.col("order_id").endswith("7")
+        # The first window also delivers late orders, wrongly; the second has them right.
+        wrong = rows.withColumn("rptg_amt", F.when(late, F.lit(99999999.99).cast("decimal(18,2)")).otherwise(F.col("rptg_amt")))
+        write(wrong, f"{root}/{feed}/dt={LOAD_DATE}/load_window=window1")
+        write(rows.where(late), f"{root}/{feed}/dt={LOAD_DATE}/load_window=window2")
+    files.write_mapping(w.raw_mapping, f"{root}/mapping")
+    files.write_translations(w.city_source, f"{root}/cities")
+    files.write_translations(w.district_source, f"{root}/districts")
+    return Warehouse(w.spark, w.root, feeds=LandedFeeds(w.spark, root)).gold
 
 
 @register("load_metrics")
@@ -241,16 +324,14 @@ def _load_metrics(w: Warehouse) -> DataFrame:
 def _stream_ingest(w: Warehouse) -> DataFrame:
     """Feed 2 landed as two window folders, ingested by the streaming job, read back."""
     landing = scratch_path(w.spark, "landing_feed2")
-    staged = w.raw_dataset_2.withColumn("event_hour", F.floor(F.col("order_time_pst") / 10000))
-    even = F.col("event_hour") % 2 == 0
-    files.write_feed2_json(staged.where(even).drop("event_hour"), f"{landing}/window=1")
-    files.write_feed2_json(staged.where(~even | F.col("event_hour").isNull()).drop("event_hour"),
-                           f"{landing}/window=2")
+    even = F.floor(F.col("order_time_pst") / 10000) % 2 == 0
+    for k, part in enumerate((even, ~even | F.col("order_time_pst").isNull()), 1):
+        files.write_feed2_json(w.raw_dataset_2.where(part), f"{landing}/dt={LOAD_DATE}/load_window=window{k}")
     table = scratch_path(w.spark, "feed2_streamed")
     q = ingest.start_feed2_ingest(w.spark, landing, table, scratch_path(w.spark, "feed2_stream_ckpt"),
                                   exceptions_path=table + "_exceptions")
     q.awaitTermination()
-    return sinks.read_table(w.spark, table)
+    return sinks.read_table(w.spark, table).drop(*files.LOAD_ORDER)
 
 
 # ------------------------------------------------------------------ spend tiers
@@ -261,6 +342,7 @@ def _totals(w: Warehouse) -> DataFrame:
 register("city_zscores")(lambda w: tiers.zscores(_totals(w)).withColumn(
     "normalized_sales", F.round("normalized_sales", 8)))
 register("city_tiers_kmeans")(lambda w: tiers.kmeans_tiers(_totals(w), 3))
+register("tier_checks")(lambda w: tiers.tier_checks(_totals(w), 3))
 register("tier_elbow")(lambda w: tiers.elbow(tiers.zscores(_totals(w))))
 register("city_tiers_ntile")(lambda w: tiers.ntile_tiers(_totals(w), 3))
 
@@ -276,11 +358,21 @@ def _all_pages(w: Warehouse) -> DataFrame:
 def _page_city_dimension(w: Warehouse) -> DataFrame:
     """H1 end to end: city pages -> parsed records -> city dimension (must equal the direct build)."""
     pages = fixtures.city_pages(w.t)
-    records = pagefacts.translation_records(pagefacts.parse_pages(pages), pages.select("page_id", "ship_to_city_cd"))
+    parsed = sinks.materialize(pagefacts.parse_pages(pages), "parsed_city_pages")
+    records = pagefacts.translation_records(parsed, pages.select("page_id", "ship_to_city_cd"))
     return dimensions.city_dimension(records, w.province_policy).drop("metadata")
 
 
-register("page_titles")(lambda w: pagefacts.page_titles(pagefacts.parse_pages(w.t.pages)))
+def _page_district_dimension(w: Warehouse) -> DataFrame:
+    """H1 for the second identifier: district pages -> parsed records -> district dimension."""
+    pages = fixtures.district_pages(w.raw_mapping)
+    parsed = sinks.materialize(pagefacts.parse_pages(pages), "parsed_district_pages")
+    records = pagefacts.translation_records(parsed, pages.select("page_id", "ship_to_district_name"), "ship_to_district_name")
+    return dimensions.district_dimension(records).drop("metadata")
+
+
+register("page_district_dimension")(_page_district_dimension)
+register("page_titles")(lambda w: pagefacts.page_titles(pagefacts.parse_pages(w.t.pages, titles_only=True)))
 register("page_failures")(lambda w: pagefacts.page_failures(pagefacts.parse_pages(_all_pages(w))))
 register("page_infobox")(lambda w: pagefacts.infobox_facts(pagefacts.parse_pages(_all_pages(w))))
 register("page_city_dimension")(_page_city_dimension)

@@ -21,12 +21,73 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions import rules as R
 from ledgerline.operators import dimensions, enrich, quality, refine
-from ledgerline.operators.joins import DEFAULT_BROADCAST_ROWS, fits
-from ledgerline.sources import fixtures
-from ledgerline.sources.sinks import materialize
+from ledgerline.operators.joins import fits
+from ledgerline.sources import files, fixtures
+from ledgerline.sources.sinks import latest_per_key, materialize
 from ledgerline.sources.tables import Tables
 
-_CACHE: dict[tuple[str, str, tuple], "Warehouse"] = {}
+#: The latest warehouse of each (application, input directory, options), with the state of the input it was built from.
+_LATEST: dict[tuple[str, str, tuple], tuple[object, "Warehouse"]] = {}
+
+
+class DerivedFeeds:
+    """The feeds derived from the given tables (``ledgerline.sources.fixtures``)."""
+
+    translation_order = ()
+
+    def __init__(self, tables: Tables):
+        self.t = tables
+
+    def mapping(self) -> DataFrame:
+        return fixtures.raw_mapping(self.t)
+
+    def feed1(self) -> DataFrame:
+        return fixtures.raw_dataset_1(self.t)
+
+    def feed2(self) -> DataFrame:
+        return fixtures.raw_dataset_2(self.t)
+
+    def cities(self, mapping: DataFrame) -> DataFrame:
+        return fixtures.city_translation_source(self.t)
+
+    def districts(self, mapping: DataFrame) -> DataFrame:
+        return fixtures.district_translation_source(mapping)
+
+
+class LandedFeeds:
+    """Feeds as they land under one folder.
+
+    ``feed1`` (CSV) and ``feed2`` (JSON, one record a line) hold
+    ``dt=.../load_window=...`` folders, ``mapping`` a headed CSV, ``cities`` and
+    ``districts`` translation records (JSON; ``array_records`` for one array a
+    file).  Of rows delivered twice the later load wins.
+    """
+
+    translation_order = ("loaded_at", "load_file", "load_block", "load_row")
+
+    def __init__(self, spark: SparkSession, root: str, array_records: bool = False):
+        self.spark, self.root, self.array_records = spark, root, array_records
+
+    def mapping(self) -> DataFrame:
+        return files.read_mapping(self.spark, f"{self.root}/mapping")
+
+    def feed1(self) -> DataFrame:
+        rows = latest_per_key(files.read_landed_feed1(self.spark, f"{self.root}/feed1"), ["order_id"], files.LOAD_ORDER)
+        return rows.drop(*files.LOAD_ORDER)
+
+    def feed2(self) -> DataFrame:
+        rows = latest_per_key(files.read_landed_feed2(self.spark, f"{self.root}/feed2"), ["order_id"], files.LOAD_ORDER)
+        return rows.drop(*files.LOAD_ORDER)
+
+    def cities(self, mapping: DataFrame) -> DataFrame:
+        return files.read_translations(self.spark, f"{self.root}/cities", "city", self.array_records, ordered=True)
+
+    def districts(self, mapping: DataFrame) -> DataFrame:
+        return files.read_translations(self.spark, f"{self.root}/districts", "district", self.array_records, ordered=True)
+
+
+#: The tables that the stored layers are made from.
+INPUTS = ("region", "nation", "customer", "orders", "events")
 
 
 class Warehouse:
@@ -37,20 +98,24 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, rate_type: str = "decimal",
-                 province_policy: str = "region", materialize_layers: bool = True):
+                 province_policy: str = "region", materialize_layers: bool = True,
+                 feeds: DerivedFeeds | LandedFeeds | None = None):
         self.spark = spark
         self.root = root
         self.t = Tables(spark, root)
         self.rate_type = rate_type
         self.province_policy = province_policy
         self.materialize_layers = materialize_layers
+        self.feeds = feeds or DerivedFeeds(self.t)
 
     @classmethod
     def of(cls, spark: SparkSession, root: str, **options) -> "Warehouse":
+        """The warehouse of a directory; a new one if any of its input files has changed since."""
         key = (spark.sparkContext.applicationId, root.rstrip("/"), tuple(sorted(options.items())))
-        if key not in _CACHE:
-            _CACHE[key] = cls(spark, root, **options)
-        return _CACHE[key]
+        state = Tables(spark, root).state(INPUTS)
+        if key not in _LATEST or _LATEST[key][0] != state:
+            _LATEST[key] = (state, cls(spark, root, **options))
+        return _LATEST[key][1]
 
     def build(self) -> "Warehouse":
         """Write the stored layers: mapping; then both feeds and the dimension size checks as
@@ -58,7 +123,7 @@ class Warehouse:
         _ = self.raw_mapping
         with ThreadPoolExecutor(max_workers=5) as pool:
             tasks = [pool.submit(getattr, self, "raw_dataset_1"), pool.submit(getattr, self, "raw_dataset_2")]
-            tasks += [pool.submit(fits, dim, DEFAULT_BROADCAST_ROWS)
+            tasks += [pool.submit(fits, dim)
                       for dim in (self.city_dim, self.district_dim, self.currency)]
             for task in tasks:
                 task.result()
@@ -72,15 +137,15 @@ class Warehouse:
     # ------------------------------------------------------------ bronze
     @cached_property
     def raw_mapping(self) -> DataFrame:
-        return self._stored(fixtures.raw_mapping(self.t), "raw_mapping")
+        return self._stored(self.feeds.mapping(), "raw_mapping")
 
     @cached_property
     def raw_dataset_1(self) -> DataFrame:
-        return self._stored(fixtures.raw_dataset_1(self.t), "raw_dataset_1")
+        return self._stored(self.feeds.feed1(), "raw_dataset_1")
 
     @cached_property
     def raw_dataset_2(self) -> DataFrame:
-        return self._stored(fixtures.raw_dataset_2(self.t), "raw_dataset_2")
+        return self._stored(self.feeds.feed2(), "raw_dataset_2")
 
     @cached_property
     def currency(self) -> DataFrame:
@@ -88,21 +153,21 @@ class Warehouse:
 
     @cached_property
     def city_source(self) -> DataFrame:
-        return fixtures.city_translation_source(self.t)
+        return self.feeds.cities(self.raw_mapping)
 
     @cached_property
     def district_source(self) -> DataFrame:
-        return fixtures.district_translation_source(self.raw_mapping)
+        return self.feeds.districts(self.raw_mapping)
 
     # ------------------------------------------------------------ dimensions
     @cached_property
     def city_dim(self) -> DataFrame:
         # Built from the (small) translation records on each use; its broadcast check is memoised.
-        return dimensions.city_dimension(self.city_source, self.province_policy)
+        return dimensions.city_dimension(self.city_source, self.province_policy, self.feeds.translation_order)
 
     @cached_property
     def district_dim(self) -> DataFrame:
-        return dimensions.district_dimension(self.district_source)
+        return dimensions.district_dimension(self.district_source, self.feeds.translation_order)
 
     # ------------------------------------------------------------ qualified
     @cached_property

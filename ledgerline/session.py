@@ -51,13 +51,25 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int) ->
         spark.conf.set(key, value)
 
 
+def _submitted() -> bool:
+    """True if a launcher has chosen the master already (spark-submit, or submit arguments in the environment)."""
+    return ("PYSPARK_GATEWAY_PORT" in os.environ or "MASTER" in os.environ
+            or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") or "spark.master" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+
+
 def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
               app: str = "ledgerline", extra: dict | None = None) -> SparkSession:
-    """Local session for tests and benchmarks; on a cluster use the given session."""
-    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    """The session of this application.
+
+    Master, memory and partition counts are set only where no launcher has set
+    them: under spark-submit the cluster's settings hold.
+    """
+    builder = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or (8 if cores == "*" else cores))
-    conf.setdefault("spark.driver.memory", "8g")
+    if not _submitted():
+        builder = builder.master(f"local[{cores}]")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or (8 if cores == "*" else cores))
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -71,8 +83,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised tables and checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``; it is read from the
-    session.  Only when it is unset (local runs, tests) a private scratch
-    folder is created and registered.
+    session.  Only a ``local`` master, whose executors share the driver's disk,
+    may do without: a private scratch folder is then created and registered.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -83,6 +95,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

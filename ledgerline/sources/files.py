@@ -29,10 +29,56 @@ def _lower_names(df: DataFrame, renames: dict[str, str] | None = None) -> DataFr
     return df
 
 
+#: What orders the loads of a keyed table: load date and window, then the file's time and name, then the place in it.
+LOAD_ORDER = ("dt", "load_window", "loaded_at", "load_file", "load_block", "load_row")
+#: Quotes inside a field are doubled, as spreadsheet exports and other readers have it.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": False}
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """The time, name and block of the file that each row was read from."""
+    return df.select("*", F.col("_metadata.file_modification_time").alias("loaded_at"),
+                     F.col("_metadata.file_path").alias("load_file"), F.col("_metadata.file_block_start").alias("load_block"))
+
+
+def with_row_order(df: DataFrame) -> DataFrame:
+    """The place of each row in its block (rows of a block are read by one task, in order)."""
+    return df.withColumn("load_row", F.monotonically_increasing_id())
+
+
+def _landed(reader, schema: T.StructType, root: str, fmt: str) -> DataFrame:
+    """All windows under ``root`` with ``dt``, ``load_window`` and the rest of the load order."""
+    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in ("dt", "load_window")])
+    return with_row_order(with_file_order(getattr(reader.schema(full).option("mode", "FAILFAST"), fmt)(root)))
+
+
+def read_landed_feed1(spark: SparkSession, root: str) -> DataFrame:
+    """S1 + S14: feed-1 exports of all windows, with their load order."""
+    src = _upper_schema(schemas.RAW_DATASET_1, {"order_time_pst": schemas.FEED1_TIME_HEADER})
+    # The partition columns are not in the files: header checks apply to the declared file columns only.
+    df = _landed(spark.read.options(**CSV_OPTIONS).option("enforceSchema", True), src, root, "csv")
+    return _lower_names(df, {schemas.FEED1_TIME_HEADER: "order_time_pst"})
+
+
+def read_landed_feed2(spark: SparkSession, root: str, multiline: bool = False) -> DataFrame:
+    """S3 + S14: feed-2 JSON of all windows, with their load order."""
+    return _lower_names(_landed(spark.read.option("multiLine", multiline), _upper_schema(schemas.RAW_DATASET_2), root, "json"))
+
+
+def read_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """The id mapping from its headed CSV export."""
+    df = spark.read.schema(_upper_schema(schemas.RAW_MAPPING)).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+    return _lower_names(df)
+
+
+def write_mapping(df: DataFrame, path: str) -> None:
+    df.select(*[F.col(c).alias(c.upper()) for c in df.columns]).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
 def read_feed1_csv(spark: SparkSession, path: str) -> DataFrame:
     """The order feed export with header ``ORDER_TIME  (PST)`` (two spaces)."""
     src = _upper_schema(schemas.RAW_DATASET_1, {"order_time_pst": schemas.FEED1_TIME_HEADER})
-    df = spark.read.schema(src).option("header", True).option("mode", "FAILFAST").csv(path)
+    df = spark.read.schema(src).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
     return _lower_names(df, {schemas.FEED1_TIME_HEADER: "order_time_pst"})
 
 
@@ -40,7 +86,7 @@ def write_feed1_csv(df: DataFrame, path: str) -> None:
     """CSV with header, in the source's header spelling."""
     out = df.select(*[F.col(c).alias(schemas.FEED1_TIME_HEADER if c == "order_time_pst" else c.upper())
                       for c in df.columns])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_feed2_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -54,13 +100,14 @@ def write_feed2_json(df: DataFrame, path: str) -> None:
     df.select(*[F.col(c).alias(c.upper()) for c in df.columns]).write.mode("overwrite").json(path)
 
 
-def read_translations(spark: SparkSession, path: str, kind: str = "city", multiline: bool = False) -> DataFrame:
-    """Scraped translation records ``{KEY, KEY_ENG, metadata{...}}``."""
+def read_translations(spark: SparkSession, path: str, kind: str = "city", multiline: bool = False,
+                      ordered: bool = False) -> DataFrame:
+    """Scraped translation records ``{KEY, KEY_ENG, metadata{...}}``; ``ordered`` adds file time and place."""
     base = schemas.CITY_SOURCE if kind == "city" else schemas.DISTRICT_SOURCE
     src = T.StructType([T.StructField(f.name if f.name == "metadata" else f.name.upper(), f.dataType, True)
                         for f in base.fields])
     df = spark.read.schema(src).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
-    return _lower_names(df)
+    return with_row_order(with_file_order(_lower_names(df))) if ordered else _lower_names(df)
 
 
 def write_translations(df: DataFrame, path: str) -> None:
@@ -72,4 +119,4 @@ def read_cluster_results(spark: SparkSession, path: str) -> DataFrame:
     """The city tier results CSV with header and a fixed schema."""
     src = T.StructType([T.StructField(f.name.upper() if f.name not in ("normalized_sales", "cluster") else f.name,
                                       f.dataType, True) for f in schemas.CITY_CLUSTERS.fields])
-    return _lower_names(spark.read.schema(src).option("header", True).csv(path))
+    return _lower_names(spark.read.schema(src).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path))

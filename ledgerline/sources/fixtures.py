@@ -41,7 +41,7 @@ def _segment_code(segment: Column) -> Column:
 
 
 def _nations(t: Tables) -> DataFrame:
-    return bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000, basis=t.nation)
+    return bounded_broadcast(t.nation.select("n_nationkey", "n_name"), basis=t.nation)
 
 
 def customer_geo(t: Tables) -> DataFrame:
@@ -160,7 +160,7 @@ def city_translation_source(t: Tables) -> DataFrame:
     )
     metadata = F.map_from_entries(F.filter(entries, lambda e: e.isNotNull()))
     return (n.where(nk != UNTRANSLATED_NATION)
-            .join(bounded_broadcast(r, 100_000, basis=t.region), n.n_regionkey == r.r_regionkey)
+            .join(bounded_broadcast(r, basis=t.region), n.n_regionkey == r.r_regionkey)
             .select(F.col("n_name").alias("ship_to_city_cd"), eng.alias("ship_to_city_cd_eng"),
                     metadata.alias("metadata")))
 
@@ -168,7 +168,7 @@ def city_translation_source(t: Tables) -> DataFrame:
 def district_translation_source(mapping: DataFrame) -> DataFrame:
     """Scraped district translations, keyed by district name (one segment missing)."""
     name = F.col("ship_to_district_name")
-    eng = F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substring(name, 2, 1 << 20)),
+    eng = F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2))),
                    F.lit(" District"))
     return (mapping.select("ship_to_district_name").distinct()
             .where(name != UNTRANSLATED_DISTRICT)
@@ -198,22 +198,37 @@ def city_pages(t: Tables) -> DataFrame:
     nations = t.nation.select(F.col("n_name").alias("ship_to_city_cd"), "n_nationkey")
     src = nations.join(city_translation_source(t), "ship_to_city_cd", "left")
 
+    html = _page(F.col("ship_to_city_cd_eng"), F.col("metadata"))
+    # A city without a translation record stands for a failed fetch: empty page.
+    html = F.when(F.col("ship_to_city_cd_eng").isNull(), F.lit("")).otherwise(html)
+    return src.select((F.lit(CITY_PAGE_ID_BASE) + F.col("n_nationkey")).cast("bigint").alias("page_id"),
+                      F.concat(F.lit("https://pages.example/wiki/"), F.col("ship_to_city_cd")).alias("url"),
+                      html.alias("html"), "ship_to_city_cd")
+
+
+def _page(title: Column, metadata: Column) -> Column:
+    """The HTML of a page with ``metadata`` in its infobox."""
     def row(key: Column, value: Column) -> Column:
         return F.concat(F.lit("<tr><th scope=\"row\">"), key, F.lit("</th><td>"), value, F.lit("</td></tr>"))
 
-    entries = F.map_entries("metadata")
-    cells = F.transform(entries, lambda e: row(
+    cells = F.transform(F.map_entries(metadata), lambda e: row(
         F.when(e["key"] == "Per capita", F.lit("• Per capita")).otherwise(_html_escape(e["key"])),
         F.regexp_replace(_html_escape(e["value"]), " ", " \u00a0 ")))
     decoy = row(F.lit("Total"), F.lit("<span>1,234 km<sup>2</sup></span>"))
-    body = F.concat(F.lit("<table class=\"infobox ib-settlement vcard\"><tbody>"), decoy,
-                    F.array_join(cells, ""), F.lit("</tbody></table>"))
-    html = F.concat(F.lit("<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>"),
-                    _html_escape(F.col("ship_to_city_cd_eng")), F.lit(" - Wikipedia</title></head><body><h1>"),
-                    _html_escape(F.col("ship_to_city_cd_eng")), F.lit("</h1>"), body,
-                    F.lit("<p>Text of the article.</p></body></html>"))
-    # A city without a translation record stands for a failed fetch: empty page.
-    html = F.when(F.col("ship_to_city_cd_eng").isNull(), F.lit("")).otherwise(html)
-    return src.select((F.lit(CITY_PAGE_ID_BASE) + F.col("n_nationkey")).cast("bigint").alias("page_id"),
-                      F.concat(F.lit("https://pages.example/wiki/"), F.col("ship_to_city_cd")).alias("url"),
-                      html.alias("html"), "ship_to_city_cd")
+    return F.concat(F.lit("<!DOCTYPE html><html><head><meta charset=\"utf-8\"><title>"),
+                    _html_escape(title), F.lit(" - Wikipedia</title></head><body><h1>"), _html_escape(title),
+                    F.lit("</h1><table class=\"infobox ib-settlement vcard\"><tbody>"), decoy,
+                    F.array_join(cells, ""), F.lit("</tbody></table><p>Text of the article.</p></body></html>"))
+
+
+# Page ids of the rendered district pages start here.
+DISTRICT_PAGE_ID_BASE = 20_000_000
+
+
+def district_pages(mapping: DataFrame) -> DataFrame:
+    """Pages rendered from the district translation records: (page_id, url, html, ship_to_district_name)."""
+    src = district_translation_source(mapping)
+    name = F.col("ship_to_district_name")
+    return src.select((F.lit(DISTRICT_PAGE_ID_BASE) + F.pmod(F.xxhash64(name), F.lit(1 << 40))).alias("page_id"),
+                      F.concat(F.lit("https://pages.example/wiki/"), name).alias("url"),
+                      _page(F.col("ship_to_district_name_eng"), F.col("metadata")).alias("html"), name)

@@ -1,8 +1,9 @@
 """Sinks: keyed upsert, full refresh, window overwrite, load metrics.
 
-Plain parquet has no transactions, so a keyed upsert never overwrites the
-path it reads: every write goes to a new version directory and readers take
-the newest complete one (Spark writes ``_SUCCESS`` last).
+A keyed table is partitioned by a hash of its key; an upsert reads and
+rewrites only the buckets that its updates touch, by dynamic partition
+overwrite.  Every keyed load has a load order: which of two rows of a key wins
+never depends on how rows are batched.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.session import scratch_path
 
-VERSION_PREFIX = "version="
+#: Buckets of a keyed table; the number is fixed when the table is first written.
+BUCKETS = 64
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -28,7 +29,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -41,93 +42,82 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def latest_per_key(updates: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
-    """One update row per key: the highest ``order_cols`` (load order) wins.
+def latest_per_key(updates: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the highest ``order_cols``, the load order.
 
-    Without an order the remaining (orderable) columns decide, largest wins,
-    so the result is deterministic.  Written as ``max_by(row, order)`` grouped
-    by key: an aggregation with a map-side partial step, so a key holding a
-    large share of the updates is reduced before the shuffle.
+    An empty order says that all rows are of one load.  Rows of a key that tie
+    are told apart by their content (maps as JSON), so the result does not
+    depend on arrival.  Written as ``max_by(row, order)`` grouped by key: an
+    aggregation with a map-side partial step, so a key holding a large share of
+    the updates is reduced before the shuffle.
     """
     others = [c for c in updates.columns if c not in keys]
-    types = dict((f.name, f.dataType) for f in updates.schema.fields)
-    order = list(order_cols) if order_cols else [c for c in others if _orderable(types[c])]
-    if not order:
-        order = list(keys)
-    rank = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    types = {f.name: f.dataType for f in updates.schema.fields}
+    content = [F.col(c) if _orderable(types[c]) else F.to_json(F.struct(c)) for c in others if c not in order_cols]
+    rank = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate([*map(F.col, order_cols), *content, F.lit(0)])])
     best = updates.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in others]), rank).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in others]).select(*updates.columns)
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           order_cols: Sequence[str] | None = None, max_broadcast_keys: int = 5_000_000) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as a set operation.
 
-    Target rows whose key is updated are dropped (anti join) and the deduped
-    updates appended by name.  The deduped updates are written once to the
-    shared folder (so the size check and both uses read files, not a re-run
-    of the dedup), and their keys are broadcast when the check allows it:
-    the target is then streamed without a shuffle; larger update sets fall
-    back to a shuffled anti join.
+    Target rows whose key is updated are dropped (anti join) and the latest
+    updates appended by name.  The latest updates are written once to the
+    shared folder; the planner knows the size of those files and broadcasts
+    or shuffles their keys accordingly.
     """
     dedup = materialize(latest_per_key(updates, keys, order_cols), "upsert_updates")
-    upd_keys = bounded_broadcast(dedup.select(*keys), max_broadcast_keys)
-    kept = target.join(upd_keys, list(keys), "left_anti")
+    kept = target.join(dedup.select(*keys), list(keys), "left_anti")
     return kept.unionByName(dedup.select(*target.columns))
 
 
-def _versions(spark: SparkSession, path: str, complete_only: bool = True) -> list[str]:
-    """Version directories under ``path`` (by default only complete ones), on any file system."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(hpath)]
-    return sorted(n for n in names if n.startswith(VERSION_PREFIX)
-                  and (not complete_only or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))))
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a keyed table."""
+    return spark.read.parquet(path).drop("bucket")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest complete version of a versioned table, or None."""
-    versions = _versions(spark, path)
-    if not versions:
-        return None
-    return spark.read.parquet(os.path.join(path, versions[-1]))
-
-
-def write_version(df: DataFrame, path: str) -> str:
-    """Write ``df`` as the next version of the table at ``path``; returns the version path.
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
+                 order_cols: Sequence[str]) -> DataFrame:
+    """Upsert ``updates`` into the keyed table at ``path``; the order columns are stored with the rows.
 
-    The number follows every existing version directory, complete or not, so a
-    retry after a failed write never collides with the partial directory
-    (readers skip it: it has no ``_SUCCESS``).
+    Of an update and a stored row the later load wins, so the same rows in any
+    number of calls, and a call that is repeated after a failure, give the same
+    table.
     """
-    versions = _versions(df.sparkSession, path, complete_only=False)
-    n = int(versions[-1][len(VERSION_PREFIX):]) + 1 if versions else 1
-    out = os.path.join(path, f"{VERSION_PREFIX}{n:06d}")
-    df.write.mode("errorifexists").parquet(out)
-    return out
-
-
-def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-                 order_cols: Sequence[str] | None = None) -> DataFrame:
-    """Upsert ``updates`` into the versioned table at ``path`` and return the new version."""
-    current = read_table(spark, path)
-    merged = (latest_per_key(updates, keys, order_cols) if current is None
-              else upsert(current, updates, keys, order_cols))
-    return spark.read.parquet(write_version(merged, path))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    new = materialize(latest_per_key(updates, keys, order_cols).withColumn("bucket", bucket), "upsert_updates")
+    new.limit(0).write.mode("ignore").partitionBy("bucket").parquet(path)  # makes a table that is not there yet
+    touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most BUCKETS numbers
+    stored = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched))
+    merged = latest_per_key(stored.unionByName(new).drop("bucket"), keys, order_cols).withColumn("bucket", bucket)
+    (merged.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+    return spark.read.schema(new.schema).parquet(path).drop("bucket")
 
 
 def full_refresh(df: DataFrame, path: str) -> DataFrame:
-    """``DROP TABLE`` + ``CREATE`` + ``INSERT`` as an overwrite of a fresh version."""
-    return df.sparkSession.read.parquet(write_version(df, path))
+    """``DROP TABLE`` + ``CREATE`` + ``INSERT``: the table at ``path`` is replaced."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def overwrite_windows(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt", "window")) -> None:
-    """Replace only the (dt, window) partitions present in ``df``; re-runs are idempotent."""
+def overwrite_windows(df: DataFrame, path: str, partition_cols: Sequence[str],
+                      windows: Sequence[Sequence[str]]) -> None:
+    """Replace the partitions ``windows`` (values of ``partition_cols``) by the rows of ``df``.
+
+    Re-runs are idempotent; a reloaded window without rows is cleared, and rows
+    of windows that are not listed are refused.
+    """
+    given = {tuple(r) for r in df.select(*partition_cols).distinct().collect()}  # one row per window
+    if extra := given - {tuple(w) for w in windows}:
+        raise ValueError(f"rows of windows that are not reloaded: {sorted(extra)}")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
+    for window in windows:
+        if tuple(window) not in given:
+            folder = os.path.join(path, *[f"{c}={v}" for c, v in zip(partition_cols, window)])
+            df.drop(*partition_cols).limit(0).write.mode("overwrite").parquet(folder)
 
 
 def write_with_metrics(frames: dict[str, DataFrame], root: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Incremental ingest of landed feed windows with Structured Streaming.
 
-New window folders of the denormalised order feed land as JSON files; a
-file-source stream validates each micro-batch with the same rule list as the
-batch layer, upserts it by order id into a versioned table and logs its
-row-contract errors.  A replayed micro-batch (after a failure) upserts the
-same rows again, which leaves the table unchanged, and rewrites its own log
-partition, so both sinks are effectively exactly-once; progress is kept in
-a checkpoint folder on shared storage.
+Window folders (``dt=.../load_window=...``) of the denormalised order feed land
+as JSON files; a file-source stream validates each micro-batch with the same
+rule list as the batch layer, upserts it by order id into a keyed table and
+logs its row-contract errors.  Each row carries its load order (date, window,
+file time, file, place in the file), and the later load wins within a batch and
+across batches: the table is the same for any number of files per trigger.  A
+replayed micro-batch leaves the table unchanged and rewrites its own log
+partition; progress is kept in a checkpoint folder on shared storage.
 """
 
 from __future__ import annotations
@@ -18,16 +19,16 @@ from ledgerline import schemas
 from ledgerline.functions import rules as R
 from ledgerline.operators import quality
 from ledgerline.sources import sinks
-from ledgerline.sources.files import _lower_names, _upper_schema
+from ledgerline.sources.files import LOAD_ORDER, _lower_names, _upper_schema, with_file_order, with_row_order
 
 
 def feed2_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """Streaming read of feed-2 JSON files under ``landing_dir`` (declared schema)."""
-    raw = (spark.readStream.schema(_upper_schema(schemas.RAW_DATASET_2))
+    """Streaming read of feed-2 JSON files under ``landing_dir`` with the columns of their load order."""
+    schema = _upper_schema(schemas.RAW_DATASET_2).add("dt", "string").add("load_window", "string")
+    raw = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("recursiveFileLookup", True)
            .json(landing_dir))
-    return _lower_names(raw)
+    return _lower_names(with_file_order(raw))
 
 
 def start_feed2_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
@@ -43,10 +44,11 @@ def start_feed2_ingest(spark: SparkSession, landing_dir: str, table_path: str, c
     raw = feed2_stream(spark, landing_dir, max_files_per_trigger)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch = with_row_order(batch)
         batch.persist()  # read once from the landed files, used by both sinks
         try:
             validated = quality.qualify(batch, R.feed2_rules())
-            sinks.upsert_table(batch.sparkSession, table_path, validated, ["order_id"])
+            sinks.upsert_table(batch.sparkSession, table_path, validated, ["order_id"], LOAD_ORDER)
             if exceptions_path:
                 errors = quality.exceptions_all(batch, R.feed2_contract(), source="feed2")
                 errors.write.mode("overwrite").parquet(f"{exceptions_path}/epoch={epoch_id}")

@@ -68,7 +68,7 @@ def test_upsert_matches_dict_model(spark, target, updates):
     t = spark.createDataFrame(target, "k int, v string")
     u = spark.createDataFrame(updates, "k int, seq int, v string")
     dedup = sinks.latest_per_key(u, ["k"], ["seq", "v"]).drop("seq")
-    got = sorted(tuple(r) for r in sinks.upsert(t, dedup, ["k"]).collect())
+    got = sorted(tuple(r) for r in sinks.upsert(t, dedup, ["k"], ()).collect())
     model = dict(target)
     best = {}
     for k, seq, v in updates:

@@ -162,6 +162,21 @@ def test_parse_page_pairs_and_title():
     assert pairs == [("• Total", "first"), ("Area", "12\xa0 km"), ("Total", "second"), ("• Total", "third")]
 
 
+def test_rows_and_cells_that_are_not_closed():
+    box = "<title>T</title><table class=infobox>{}</table>"
+    parse = lambda rows: pagefacts.parse_page(box.format(rows) + "<table><tr><th>n</th><td>m</td></tr></table>x")[2]
+    assert parse("<tr><th>A<td>1<tr><th>B<td>2") == [("A", "1"), ("B", "2")]
+    assert parse("<tr><th>A</th><td>1<td>other</tr><tr><td>no header") == [("A", "1")]
+    assert parse("<tr><th>A<td>1<table><tr><th>in<td>2</table>after<tr><th>B<td>3") == [("A", "1in2after"), ("in", "2"), ("B", "3")]
+    assert pagefacts.parse_page("<title>T</title><table class='x infobox'><tr><th>A<td>1")[2] == [("A", "1")]
+
+
+def test_titles_only_and_empty_titles():
+    assert pagefacts.parse_page("<title>a &amp; b</title><table class=infobox><tr><th>k<td>v", True) == ("a & b", True, [])
+    assert pagefacts.parse_page("<title> \n</title>")[1] is False
+    assert pagefacts.parse_page("<p>none</p>")[:2] == (None, False)
+
+
 def test_infobox_facts_follow_dict_semantics(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, ""), (3, None)], "page_id long, html string")
     parsed = pagefacts.parse_pages(pages)

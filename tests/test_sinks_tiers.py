@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import joins, tiers
@@ -20,14 +21,14 @@ def _rows(df):
 def test_upsert_replaces_and_inserts(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     updates = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
-    assert _rows(sinks.upsert(target, updates, ["k"])) == [(1, "a"), (2, "B"), (3, "c")]
+    assert _rows(sinks.upsert(target, updates, ["k"], ())) == [(1, "a"), (2, "B"), (3, "c")]
 
 
 def test_upsert_twice_equals_once(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     updates = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
-    once = sinks.upsert(target, updates, ["k"])
-    assert _rows(sinks.upsert(once, updates, ["k"])) == _rows(once)
+    once = sinks.upsert(target, updates, ["k"], ())
+    assert _rows(sinks.upsert(once, updates, ["k"], ())) == _rows(once)
 
 
 def test_latest_per_key_uses_load_order(spark):
@@ -36,28 +37,65 @@ def test_latest_per_key_uses_load_order(spark):
     assert _rows(sinks.latest_per_key(updates, ["k"], ["seq"])) == [(1, "new", 2), (2, "y", 5)]
 
 
-def test_versioned_table_upsert(spark):
-    path = scratch_path(spark, "t_upsert")
-    first = spark.createDataFrame([(1, "a")], "k int, v string")
-    sinks.upsert_table(spark, path, first, ["k"])
-    out = sinks.upsert_table(spark, path, spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
-    assert _rows(out) == [(1, "b"), (2, "c")]
-    assert _rows(sinks.read_table(spark, path)) == [(1, "b"), (2, "c")]
+def _keyed(spark, rows):
+    return spark.createDataFrame(rows, "k int, v string, seq int")
 
 
-def test_window_overwrite_is_idempotent(spark):
-    path = scratch_path(spark, "t_windows")
+def test_keyed_table_does_not_depend_on_batches(spark):
+    """A correction to a smaller value and one to NULL win, whatever the number of calls and their order."""
+    rows = [(k, f"old{k}", 1) for k in range(200)] + [(3, "new", 2), (4, None, 2), (5, "a", 2), (500, "x", 1)]
+    want = sorted([(k, f"old{k}", 1) for k in range(200) if k not in (3, 4, 5)] + [(3, "new", 2), (4, None, 2), (5, "a", 2), (500, "x", 1)])
+    for step in (1000, 150, 101):
+        path = scratch_path(spark, "t_upsert")
+        for at in reversed(range(0, len(rows), step)):
+            out = sinks.upsert_table(spark, path, _keyed(spark, rows[at:at + step]), ["k"], ["seq"])
+        assert sorted(tuple(r) for r in out.collect()) == want, step
+    assert sorted(tuple(r) for r in sinks.read_table(spark, path).select("k", "v", "seq").collect()) == want
+
+
+def test_upsert_rewrites_only_touched_buckets(spark):
+    path = scratch_path(spark, "t_buckets")
+    sinks.upsert_table(spark, path, _keyed(spark, [(k, "a", 1) for k in range(500)]), ["k"], ["seq"])
+    before = set(spark.read.parquet(path).inputFiles())
+    sinks.upsert_table(spark, path, _keyed(spark, [(7, "b", 2)]), ["k"], ["seq"])
+    after = set(spark.read.parquet(path).inputFiles())
+    assert len({f.rsplit("/", 2)[1] for f in before - after}) == 1
+    assert sinks.read_table(spark, path).where("k = 7").first().v == "b"
+
+
+def test_ties_of_one_load_are_told_apart_by_content(spark):
+    rows = [(1, {"a": "1"}), (1, {"a": "2"}), (1, {"b": "0"})]
+    df = spark.createDataFrame(rows, "k int, m map<string,string>")
+    picks = {str(sinks.latest_per_key(spark.createDataFrame(p, df.schema), ["k"], ()).first().m)
+             for p in (rows, rows[::-1], [rows[1], rows[2], rows[0]])}
+    assert len(picks) == 1
+
+
+def test_full_refresh_replaces_the_table(spark):
+    path = scratch_path(spark, "t_refresh")
+    sinks.full_refresh(_keyed(spark, [(1, "a", 1), (2, "b", 1)]), path)
+    assert _rows(sinks.full_refresh(_keyed(spark, [(9, "z", 1)]), path)) == [(9, "z", 1)]
+
+
+def test_window_overwrite_is_idempotent_and_clears_empty_windows(spark):
+    path, cols = scratch_path(spark, "t_windows"), ("dt", "load_window")
     df = spark.createDataFrame([(1, "d", "w1"), (2, "d", "w2")], "k int, dt string, load_window string")
-    sinks.overwrite_windows(df, path, ("dt", "load_window"))
-    sinks.overwrite_windows(df.where("load_window = 'w1'"), path, ("dt", "load_window"))
-    back = spark.read.schema("k int, dt string, load_window string").parquet(path)
-    assert _rows(back) == [(1, "d", "w1"), (2, "d", "w2")]
+    sinks.overwrite_windows(df, path, cols, [("d", "w1"), ("d", "w2")])
+    sinks.overwrite_windows(df.where("load_window = 'w1'"), path, cols, [("d", "w1")])
+    read = lambda: _rows(spark.read.schema("k int, dt string, load_window string").parquet(path))
+    assert read() == [(1, "d", "w1"), (2, "d", "w2")]
+    sinks.overwrite_windows(df.where("k > 5"), path, cols, [("d", "w2")])
+    assert read() == [(1, "d", "w1")]
+    with pytest.raises(ValueError):
+        sinks.overwrite_windows(df, path, cols, [("d", "w2")])
 
 
 def test_bounded_broadcast_respects_bound(spark):
-    df = spark.range(10)
-    assert joins.bounded_broadcast(df, 5) is df
-    assert joins.bounded_broadcast(df, 50) is not df
+    df = spark.createDataFrame([(k, "x" * 100, {"a": "b"}) for k in range(10)], "k int, s string, m map<string,string>")
+    assert 1000 < joins.size_in_bytes(df) < 3000
+    assert joins.bounded_broadcast(df, 999) is df
+    assert joins.bounded_broadcast(df, 5000) is not df
+    assert joins.size_in_bytes(df.limit(0)) == 0
 
 
 def test_csv_feed_keeps_header_spelling(spark):
@@ -113,8 +151,8 @@ def test_ntile_sizes_differ_by_at_most_one(spark):
 def test_streaming_ingest_replays_to_same_table(spark):
     w = Warehouse.of(spark, SMALL)
     landing = scratch_path(spark, "t_landing")
-    files.write_feed2_json(w.raw_dataset_2.where("order_time_pst < 120000"), f"{landing}/window=1")
-    files.write_feed2_json(w.raw_dataset_2, f"{landing}/window=2")
+    files.write_feed2_json(w.raw_dataset_2.where("order_time_pst < 120000"), f"{landing}/dt=1/load_window=1")
+    files.write_feed2_json(w.raw_dataset_2, f"{landing}/dt=1/load_window=2")
     table, ckpt = scratch_path(spark, "t_stream_table"), scratch_path(spark, "t_stream_ckpt")
     q = ingest.start_feed2_ingest(spark, landing, table, ckpt, exceptions_path=table + "_exc")
     q.awaitTermination()
@@ -161,22 +199,10 @@ def test_currency_upsert_updates_rate_by_code(spark):
     updates = spark.sql("SELECT * FROM VALUES ('USD', 7.30), ('USD', 7.31), ('EUR', 7.9) "
                         "AS v(currency_cd, multiplier)").withColumn("seq", F.monotonically_increasing_id())
     merged = sinks.upsert(current, sinks.latest_per_key(updates, ["currency_cd"], ["seq"]).drop("seq"),
-                          ["currency_cd"])
+                          ["currency_cd"], ())
     assert {r.currency_cd: float(r.multiplier) for r in merged.collect()} == {"RMB": 1.0, "USD": 7.31, "EUR": 7.9}
 
 
-def test_failed_version_is_skipped_by_readers_and_retries(spark):
-    path = scratch_path(spark, "t_versions")
-    sinks.write_version(spark.createDataFrame([(1,)], "k int"), path)
-    # A partial directory without _SUCCESS, as a failed write leaves it.
-    spark.createDataFrame([(9,)], "k int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs",
-                                                         "false").parquet(f"{path}/version=000002")
-    assert _rows(sinks.read_table(spark, path)) == [(1,)]
-    out = sinks.write_version(spark.createDataFrame([(2,)], "k int"), path)
-    assert out.endswith("version=000003")
-    assert _rows(sinks.read_table(spark, path)) == [(2,)]
-
-
 def test_scale_conf_sizes_partitions_from_input():
     from ledgerline.session import scale_conf
     big = scale_conf(100 * 1024 ** 4, 8000)
@@ -252,18 +278,97 @@ def test_kmeans_close_to_exact_optimum(spark):
     assert abs(sse[1] - optimal_1d_sse(xs, 1)) < 1e-6
 
 
-def test_streaming_ingest_over_many_micro_batches(spark):
-    """One file per micro-batch: later windows update earlier keys; the table equals a one-shot upsert."""
-    w = Warehouse.of(spark, SMALL)
-    feed = w.raw_dataset_2
-    landing = scratch_path(spark, "t_landing_many")
-    files.write_feed2_json(feed.where("order_time_pst < 120000").coalesce(2), f"{landing}/window=1")
-    files.write_feed2_json(feed.coalesce(2), f"{landing}/window=2")
-    table, ckpt = scratch_path(spark, "t_stream_many"), scratch_path(spark, "t_stream_many_ckpt")
-    q = ingest.start_feed2_ingest(spark, landing, table, ckpt, max_files_per_trigger=1)
-    q.awaitTermination()
-    assert len(q.recentProgress) >= 2  # several micro-batches; window 2 re-delivers window-1 keys
-    from ledgerline.functions import rules as R
-    from ledgerline.operators import quality
-    expected = sinks.latest_per_key(quality.qualify(feed, R.feed2_rules()), ["order_id"])
-    assert _rows(sinks.read_table(spark, table)) == _rows(expected)
+ORDER = '{"ORDER_ID": "%s", "ORDER_TIME_PST": %s, "SHIP_TO_DISTRICT_NAME": "d", "SHIP_TO_CITY_CD": "c", ' \
+        '"RPTG_AMT": %s, "CURRENCY_CD": "RMB", "ORDER_QTY": %s}'
+
+
+def test_stream_table_does_not_depend_on_files_per_trigger(spark, tmp_path):
+    """Corrections to a smaller value and to NULL, over windows, over files of one window and inside a file."""
+    landing = tmp_path / "landing"
+    old, new = ("110000", "90.00", "9"), ("60000", "5.00", "null")
+    loads = [("dt=1/load_window=a", [("A", old), ("B", old), ("C", new), ("C", old)]), ("dt=1/load_window=b", [("A", new), ("D", new)]),
+             ("dt=2/load_window=a", [("B", new), ("D", old)]), ("dt=2/load_window=a", [("A", old), ("A", new)])]
+    for k, (window, rows) in enumerate(loads):
+        os.makedirs(landing / window, exist_ok=True)
+        path = landing / window / f"f{k}.json"
+        path.write_text("\n".join(ORDER % (i, *v) for i, v in rows))
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    want = [("A", 60000, "5.00", None), ("B", 60000, "5.00", None), ("C", 110000, "90.00", 9), ("D", 110000, "90.00", 9)]
+    for n in (1, 2, 1000):
+        table = scratch_path(spark, "t_stream_many")
+        q = ingest.start_feed2_ingest(spark, str(landing), table, scratch_path(spark, "t_ckpt"), max_files_per_trigger=n)
+        q.awaitTermination()
+        got = sinks.read_table(spark, table).select("order_id", "order_time_pst", F.col("rptg_amt").cast("string"), "order_qty")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == want, n
+
+
+def test_csv_fields_with_quotes_round_trip(spark):
+    rows = [("A1", '5"0', 1, None, 'say "hi", x', "1.0"), ("A2", "50000", 2, None, 'a\\b"', ",")]
+    schema = "order_id string, order_time_pst string, city_district_id int, rptg_amt decimal(18,2), currency_cd string, order_qty string"
+    path = scratch_path(spark, "t_quotes")
+    files.write_feed1_csv(spark.createDataFrame(rows, schema), path)
+    assert _rows(files.read_feed1_csv(spark, path)) == rows
+    assert '"say ""hi"", x"' in "\n".join(r[0] for r in spark.read.text(path).collect())
+
+
+def test_translations_as_one_array_and_load_order(spark, tmp_path):
+    (tmp_path / "cities.json").write_text(
+        '[{"SHIP_TO_CITY_CD": "c", "SHIP_TO_CITY_CD_ENG": "Zed", "metadata": {"Total": "1"}},\n'
+        ' {"SHIP_TO_CITY_CD": "c", "SHIP_TO_CITY_CD_ENG": "City", "metadata": {"Total": "0"}}]')
+    from ledgerline.operators.dimensions import city_dimension
+    src = files.read_translations(spark, str(tmp_path), "city", multiline=True, ordered=True)
+    dim = city_dimension(src, order_cols=("loaded_at", "load_file", "load_block", "load_row"))
+    assert [r.ship_to_city_cd_eng for r in dim.collect()] == ["City"]  # the last record of the file
+
+
+def test_layers_follow_the_input(spark, tmp_path):
+    for name in ("region", "nation", "customer", "orders", "events"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    first = Warehouse.of(spark, str(tmp_path))
+    n = first.raw_dataset_1.count()
+    assert Warehouse.of(spark, str(tmp_path)) is first
+    spark.read.parquet(f"{SMALL}/orders.parquet").limit(10).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    assert n > 10 and Warehouse.of(spark, str(tmp_path)).raw_dataset_1.count() == 10
+
+
+def test_fewer_cities_than_tiers(spark):
+    schema = "ship_to_city_cd string, rmb_dollars double, ship_to_city_cd_eng string, province string, per_capita_usd string"
+    for totals in ([], [5.0], [5.0, 5.0], [1.0, 9.0], [3.0, 3.0, 7.0, 7.0]):
+        df = spark.createDataFrame([(f"c{k}", v, None, None, None) for k, v in enumerate(totals)], schema)
+        out = {r.ship_to_city_cd: r.tier for r in tiers.kmeans_tiers(df, 3).collect()}
+        assert len(out) == len(totals) and set(out.values()) == set(range(len(set(totals))))
+        assert all((out[f"c{a}"] < out[f"c{b}"]) == (totals[a] < totals[b]) for a in range(len(totals)) for b in range(len(totals)))
+
+
+def test_substrings_match_as_contains(spark):
+    from ledgerline.operators.profile import contains_match
+    values, names = ["bc", "abcd", "x", "", None, "A"], ["abc", "xyz", None, "abc"]
+    got = {r.v: r.city_match for r in contains_match(spark.createDataFrame([(v,) for v in values + values], "v string"),
+                                                     spark.createDataFrame([(n,) for n in names], "n string"), "v", "n").collect()}
+    assert got == {v: v is not None and any(v in n for n in names if n) for v in values}
+
+
+def test_importing_queries_leaves_declared_schemas_alone():
+    from ledgerline import schemas
+    from ledgerline.plans import registry
+    assert len(schemas.PROCESSED.fields) == 7 and len(registry.WINDOWED_SCHEMA.fields) == 9
+
+
+def test_a_cluster_needs_a_shared_folder_and_keeps_its_master(monkeypatch):
+    from ledgerline import session
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
+    monkeypatch.delenv("PYSPARK_GATEWAY_PORT", raising=False)
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--master yarn pyspark-shell")
+    assert session._submitted()
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--driver-memory 1g pyspark-shell")
+    assert not session._submitted()
