@@ -39,8 +39,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from ledgerline.plans.warehouse import Warehouse
-    from ledgerline.session import checkpoint_root, get_spark
+    from ledgerline.plans.warehouse import INPUTS, Warehouse
+    from ledgerline.session import apply_scale_conf, checkpoint_root, get_spark
+    from ledgerline.sources.tables import Tables
     active = SparkSession.getActiveSession()
     spark = active or get_spark()
     checkpoint_root(spark)
@@ -48,6 +49,9 @@ def main(argv: list[str] | None = None) -> int:
         REGISTRY[args.name](spark, args.data).show(args.rows, truncate=False)
         return 0
 
+    # Partition sizes for this input, before any plan is made.
+    state = Tables(spark, args.data).state(INPUTS)
+    apply_scale_conf(spark, input_bytes=state[1] or 0, total_cores=spark.sparkContext.defaultParallelism)
     Warehouse.of(spark, args.data).build()
     for name in args.names or sorted(REGISTRY):
         t = time.perf_counter()
