@@ -28,6 +28,15 @@ def packed(df: DataFrame, name: str = "row") -> Column:
     return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(name)
 
 
+def same_key(a: Column, b: Column) -> Column:
+    """``a = b`` for a join with an aggregate over ``b`` where a value may hold a large share of the rows.
+
+    The second key makes Spark shuffle both sides for this join: the partitions
+    of an aggregate that were used as they are could not be split by AQE.
+    """
+    return (a == b) & (F.xxhash64(a) == F.xxhash64(b))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -37,4 +46,4 @@ def crc_fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
-__all__ = ["checkpoint_root", "crc_fold", "packed", "scratch_path", "shuffle_partitions", "stage", "table"]
+__all__ = ["checkpoint_root", "crc_fold", "packed", "same_key", "scratch_path", "shuffle_partitions", "stage", "table"]

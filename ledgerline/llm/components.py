@@ -10,20 +10,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stage
+from .common import same_key, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
     low = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m"))
-    return (both.where("b > a").join(low, F.col("a") == F.col("u"))
+    return (both.where("b > a").join(low, same_key(F.col("a"), F.col("u")))
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges come as (larger, smaller)."""
     low = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-    moved = (edges.join(low, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")))
+    moved = (edges.join(low, same_key(F.col("a"), F.col("u"))).select(F.col("b").alias("a"), F.col("m").alias("b")))
     return moved.union(low.select("u", "m")).where("a <> b").distinct()
 
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import shuffle_partitions, stage
+from .common import same_key, shuffle_partitions, stage
 from .components import connected_components
 from .runs import complete_runs, smallest_linked
 
@@ -112,7 +112,7 @@ def _lists(classes: DataFrame, threshold: float) -> DataFrame:
     """(value, id, n, singles): the inverted lists, each class under its rarest shared values only."""
     entries = classes.select("id", "n", F.explode("sketch").alias("value"))
     held = entries.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1").withColumnRenamed("value", "_v")
-    shared = entries.join(held, F.col("value") == F.col("_v")).drop("_v")
+    shared = entries.join(held, same_key(F.col("value"), F.col("_v"))).drop("_v")
     r = F.least(F.col("n"), F.lit(K))
     need = F.least(F.ceil(F.lit(threshold) * r - 1e-9), F.lit(shared_values(threshold)))
     by_class = Window.partitionBy("id")
@@ -216,7 +216,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int =
     lists = stage(_lists(classes, threshold), "lists")
     heads = lists.groupBy(F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("held"),
                                                          F.min_by("id", F.struct("singles", "id")).alias("pivot"))
-    entries = stage(lists.join(heads.where("held > 1"), F.col("value") == F.col("_v")).drop("_v"), "entries")
+    entries = stage(lists.join(heads.where("held > 1"), same_key(F.col("value"), F.col("_v"))).drop("_v"), "entries")
     short = entries.where(F.col("held") <= LIST).select("value", "id", "n")
     other = short.select(F.col("value").alias("_v"), F.col("id").alias("b"), F.col("n").alias("_n"))
     pairs = (short.join(other, F.col("value") == F.col("_v"))
