@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     from ledgerline.plans.warehouse import INPUTS, Warehouse
-    from ledgerline.session import apply_scale_conf, checkpoint_root, get_spark
+    from ledgerline.session import apply_scale_conf, checkpoint_root, get_spark, release_scratch
     from ledgerline.sources.tables import Tables
     active = SparkSession.getActiveSession()
     spark = active or get_spark()
@@ -57,6 +57,8 @@ def main(argv: list[str] | None = None) -> int:
         t = time.perf_counter()
         REGISTRY[name](spark, args.data).write.mode("overwrite").parquet(os.path.join(args.out, name))
         print(f"{name}\t{time.perf_counter() - t:.2f}s", file=sys.stderr)
+    if not active:  # a session of our own: the reports are written, nothing reads the layers any more
+        release_scratch(spark)
     return 0
 
 

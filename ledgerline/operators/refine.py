@@ -37,17 +37,7 @@ def _silver_types(df: DataFrame) -> DataFrame:
         "ship_to_city_cd", "ship_to_district_name")
 
 
-def fuse(fused_1: DataFrame, qualified_2: DataFrame) -> DataFrame:
-    """UNION ALL by name of both feeds with one schema (no shuffle)."""
-    return _silver_types(fused_1).unionByName(_silver_types(qualified_2))
-
-
 def silver_parts(qualified_1: DataFrame, qualified_2: DataFrame,
                  mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both feeds in the silver schema, before the union (for keyed loads)."""
+    """Both feeds in one schema, for a UNION ALL by name or for keyed loads (no shuffle)."""
     return _silver_types(resolve_places(qualified_1, mapping)), _silver_types(qualified_2)
-
-
-def silver(qualified_1: DataFrame, qualified_2: DataFrame, mapping: DataFrame) -> DataFrame:
-    """PROCESSED_DATASET."""
-    return fuse(resolve_places(qualified_1, mapping), qualified_2)

@@ -28,8 +28,6 @@ RAW_DATASET_2 = _struct(
 RAW_MAPPING = _struct(
     ("city_district_id", I), ("ship_to_city_cd", S), ("ship_to_district_name", S))
 
-EXCEPTIONS = _struct(("order_id", S), ("validation_error", S))
-
 PROCESSED = _struct(
     ("order_id", S), ("order_time_pst", L), ("rptg_amt", MONEY), ("currency_cd", S),
     ("order_qty", I), ("ship_to_city_cd", S), ("ship_to_district_name", S))
@@ -38,14 +36,6 @@ CITY_SOURCE = _struct(("ship_to_city_cd", S), ("ship_to_city_cd_eng", S), ("meta
 DISTRICT_SOURCE = _struct(
     ("ship_to_district_name", S), ("ship_to_district_name_eng", S), ("metadata", META))
 
-TRANSLATIONS_CITY = _struct(
-    ("ship_to_city_cd", S), ("ship_to_city_cd_eng", S), ("metadata", META),
-    ("province", S), ("per_capita_usd", S), ("total_gdp_usd", S))
-
-TRANSLATIONS_DISTRICT = DISTRICT_SOURCE
-
-CURRENCY = _struct(("currency_cd", S), ("multiplier", RATE), ("date_recorded", T.DateType()))
-
 CURATED = _struct(
     ("order_id", S), ("order_time_pst", I), ("ship_to_city_cd", S),
     ("ship_to_district_name", S), ("ship_to_district_name_eng", S),
@@ -55,7 +45,5 @@ CITY_CLUSTERS = _struct(
     ("ship_to_city_cd", S), ("rmb_dollars", D), ("ship_to_city_cd_eng", S),
     ("province", S), ("per_capita_usd", S), ("normalized_sales", D), ("cluster", I))
 
-PAGES = _struct(("page_id", L), ("url", S), ("html", S))
-
 # Header spelling of the workbook feed before the rename on ingest (two spaces).
 FEED1_TIME_HEADER = "ORDER_TIME  (PST)"

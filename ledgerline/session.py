@@ -102,7 +102,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return os.path.join(checkpoint_root(spark), "ledgerline", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, "ledgerline", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path under this application's part of the shared checkpoint folder."""
+    return os.path.join(_own_scratch(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; frames that read them can no longer be used."""
+    from pyarrow import fs
+    root = _own_scratch(spark)
+    store, path = fs.FileSystem.from_uri(root)
+    if store.get_file_info(path).type == fs.FileType.Directory:
+        store.delete_dir(path)

@@ -5,7 +5,8 @@ import io
 import re
 
 import __spark_entry__ as E
-from ledgerline.plans.registry import REGISTRY
+from ledgerline.plans.registry import ON_WAREHOUSE, REGISTRY
+from ledgerline.plans.warehouse import Warehouse
 
 from conftest import SMALL
 
@@ -90,3 +91,22 @@ def test_window_read_prunes_partitions(spark):
     p = plan(q(spark, "window_read_pruned"))
     filters = re.findall(r"PartitionFilters: \[([^\n]*)\]", p)
     assert filters and "load_window" in filters[0] and "dt" in filters[0]
+
+
+def test_no_pairs_and_no_single_task_over_key_sets(spark):
+    """Nested loops only meet one-row frames; key sets are not counted or gathered in one task."""
+    one_row = {"tier_checks", "city_zscores"}  # joins with frames of one row
+    skip = {"tier_elbow", "city_tiers_kmeans", "stream_ingest_feed2"}
+    for name in sorted(set(REGISTRY) - skip - one_row):
+        p = plan(q(spark, name))
+        assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name
+    for name in ("duplicate_orders", "feed_overlap", "upsert_orders", "silver_orders_contract", "city_name_contains_match"):
+        assert "SinglePartition" not in plan(q(spark, name)), name
+
+
+def test_profiles_and_table_tests_read_what_they_need(spark):
+    p = plan(q(spark, "profile_columns"))
+    assert "Expand" not in p and p.count("Generate") <= 2 * 2  # only the one-row results are unpivoted
+    assert plan(q(spark, "dq_not_null")).count("Scan parquet") <= 2 * 6  # each scan is listed in the tree and below it
+    w = Warehouse.of(spark, SMALL)
+    assert plan(ON_WAREHOUSE["page_city_dimension"](w)).count("MapInPandas") == 0  # reads the stored parse

@@ -372,3 +372,21 @@ def test_a_cluster_needs_a_shared_folder_and_keeps_its_master(monkeypatch):
     assert session._submitted()
     monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--driver-memory 1g pyspark-shell")
     assert not session._submitted()
+
+
+def test_scratch_tables_of_an_application_are_released(monkeypatch, tmp_path):
+    from ledgerline import session
+
+    class Context:
+        applicationId = "app-1"
+
+    class Session:
+        sparkContext = Context()
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
+    mine = session.scratch_path(Session(), "t")
+    os.makedirs(mine)
+    other = tmp_path / "ledgerline" / "app-2" / "t"
+    os.makedirs(other)
+    session.release_scratch(Session())
+    session.release_scratch(Session())  # nothing left: nothing to do
+    assert not os.path.exists(mine) and other.exists()
