@@ -34,6 +34,8 @@ SAMPLE, MAX_CHARS = 1500, 20_000
 BITS, RANK = 16, 8
 ROUNDS, RATE, DECAY = 60, 0.1, 1e-4
 CUT = 0.5
+#: Texts that a task scores at once.
+ROWS = 1000
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -143,8 +145,8 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                b = whole.slice(at, 4000)
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
                 s = (probability(model, inputs(b.column(2).to_pylist(), b.column(3).to_pylist())) if model
                      else np.zeros(b.num_rows))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array((s >= CUT).astype(np.int32))],

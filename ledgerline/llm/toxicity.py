@@ -47,6 +47,8 @@ PREFIXES, SUFFIXES = (4, 5, 6), (4,)
 MIN_DOCS, MIN_SHARE, MIN_RATIO, SIGNATURES = 3, 0.01, 20.0, 4
 ROUNDS, RATE, DECAY = 30, 0.5, 0.01
 CUT, LIKELY = 0.5, 0.25
+#: Texts that a task scores at once.
+ROWS = 1000
 
 
 class Model(NamedTuple):
@@ -110,14 +112,15 @@ def _node(model: Model, f: np.ndarray) -> np.ndarray:
     return out
 
 
-def _exp(node: np.ndarray) -> np.ndarray:
-    return np.exp(np.clip(node, -30, 25))
+def _sums(weights: np.ndarray, f: np.ndarray, bias: float) -> np.ndarray:
+    out = np.full(len(f), bias)
+    for k in range(f.shape[1]):
+        out += weights[f[:, k]]
+    return out
 
 
-def marginals(model: Model, f: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    ahead, behind = Chains(lengths).messages(_exp(_node(model, f)), model.change)
-    x = ahead * behind
-    return x / (1 + x)
+def _exp(node: np.ndarray) -> np.ndarray:
+    return np.exp(np.clip(node, -30, 25))
 
 
 def _signatures(word: np.ndarray, document: np.ndarray, toxic: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +140,7 @@ def _tags(f: np.ndarray, n: int, document: np.ndarray, toxic: np.ndarray) -> np.
         signature, label = _signatures(f[:, 0], document, toxic, salt)
         now = np.zeros((2, n))
         for k in range(f.shape[1]):
-            pair = np.unique(signature[document] * n + f[:, k])
+            pair = np.unique(signature[document].astype(np.int64) * n + f[:, k])
             np.add.at(now, (label[pair // n], pair % n), 1)
         held[1] = np.minimum(held[1], now[1])
         held[0] = now[0] if salt == 0 else np.maximum(held[0], now[0])
@@ -153,9 +156,14 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
     if len(np.unique(toxic)) < 2:
         return None
     parts = [(w.document, _features(w)) for _, _, w in groups([t for t, _ in sample])]
-    document, hashes = np.concatenate([d for d, _ in parts]), np.concatenate([x for _, x in parts])
-    feature, f = np.unique(hashes, return_inverse=True)
-    f, n = f.reshape(hashes.shape), len(feature)
+    document, feature, f = np.concatenate([d for d, _ in parts]), [], []
+    for k in range(parts[0][1].shape[1]):  # features of one kind at a time: less memory than all at once
+        known, number = np.unique(np.concatenate([x[:, k] for _, x in parts]), return_inverse=True)
+        f.append((number + sum(map(len, feature))).astype(np.int32))
+        feature.append(known)
+    feature, f = np.concatenate(feature), np.stack(f, 1)
+    del parts
+    n = len(feature)
     lengths = np.bincount(document, minlength=len(sample))
     tag = _tags(f, n, document, toxic).astype(np.float64)
     first = np.concatenate(([True], document[1:] != document[:-1]))
@@ -168,7 +176,7 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
     squares, bias_sq, change_sq = np.full(n, 1e-6), 1e-6, np.full((2, 2), 1e-6)
     chains = Chains(lengths)
     for _ in range(ROUNDS):
-        odds = _exp(weights[f].sum(1) + bias)
+        odds = _exp(_sums(weights, f, bias))
         ahead, behind = chains.messages(odds, change)
         p = ahead * behind / (1 + ahead * behind)
         error = tag - p
@@ -188,9 +196,10 @@ def fit(sample: list[tuple[str, int]]) -> Model | None:
         change_step = seen - expected
         change_sq += change_step ** 2
         change = change + RATE * change_step / np.sqrt(change_sq)
-    model = Model(*_table(feature, weights), bias, change, np.zeros(3))
-    p = marginals(model, hashes, lengths)
-    return model._replace(document=_logistic(_evidence(p, document, len(sample)), toxic))
+    ahead, behind = chains.messages(_exp(_sums(weights, f, bias)), change)
+    p = ahead * behind / (1 + ahead * behind)
+    return Model(*_table(feature, weights), bias, change,
+                 document=_logistic(_evidence(p, document, len(sample)), toxic))
 
 
 def _evidence(p: np.ndarray, document: np.ndarray, n: int) -> np.ndarray:
@@ -211,37 +220,36 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _spans(words: list, p: np.ndarray, texts: list[bytes]) -> list[str]:
+def _spans(document: np.ndarray, place: np.ndarray, size: np.ndarray, p: np.ndarray, texts: list[str | None]) -> list[str]:
     """Offending words of each document as start:end in code points."""
     out: list[list[str]] = [[] for _ in texts]
-    at = 0
-    for w in words:
-        hit = np.flatnonzero(p[at:at + len(w.start)] >= CUT)
-        at += len(w.start)
-        for i in hit:
-            raw, s = texts[w.document[i]], int(w.place[i])
-            e = s + int(w.end[i] - w.start[i])
-            lead = len(raw[:s].decode("utf-8", "surrogatepass"))
-            out[w.document[i]].append(f"{lead}:{lead + len(raw[s:e].decode('utf-8', 'surrogatepass'))}")
+    for i in np.flatnonzero(p >= CUT):
+        raw, s = texts[document[i]].encode("utf-8", "surrogatepass"), int(place[i])
+        lead = len(raw[:s].decode("utf-8", "surrogatepass"))
+        out[document[i]].append(f"{lead}:{lead + len(raw[s:s + int(size[i])].decode('utf-8', 'surrogatepass'))}")
     return [",".join(x) for x in out]
 
 
 def _judge(model: Model, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
-    words = [w for _, _, w in groups(texts)]
-    document = np.concatenate([w.document for w in words]) if words else np.empty(0, np.int64)
-    f = np.concatenate([_features(w) for w in words]) if words else np.empty((0, 1), np.uint64)
-    p = marginals(model, f, np.bincount(document, minlength=len(texts))) if len(document) else np.empty(0)
+    """Scores and spans; of each group of texts only the log odds of its words are kept."""
+    parts = [(w.document, w.place, w.end - w.start, _node(model, _features(w))) for _, _, w in groups(texts)]
+    if not parts:
+        parts = [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
+    document, place, size, node = (np.concatenate(c) for c in zip(*parts))
+    p = np.empty(0)
+    if len(node):
+        ahead, behind = Chains(np.bincount(document, minlength=len(texts))).messages(_exp(node), model.change)
+        p = ahead * behind / (1 + ahead * behind)
     x = _evidence(p, document, len(texts)) @ model.document
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30))), _spans(words, p, raw)
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30))), _spans(document, place, size, p, texts)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, score, predicted, spans) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                b = whole.slice(at, 4000)
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
                 texts = b.column(2).to_pylist()
                 s, spans = _judge(model, texts) if model else (np.zeros(len(texts)), [""] * len(texts))
                 yield pa.RecordBatch.from_arrays(
@@ -266,7 +274,7 @@ def drop_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                b = whole.slice(at, 4000)
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
                 yield b.filter(pa.array(_judge(model, b.column(k).to_pylist())[0] < CUT))
     return docs.mapInArrow(run, docs.schema) if model else docs
