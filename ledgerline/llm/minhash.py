@@ -142,7 +142,8 @@ def _blocks(members: DataFrame, threshold: float) -> DataFrame:
     s = sizes.select("grp", "band", "blocks")
     near = (s.join(s.select("grp", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above")), ["grp", "band"], "left")
             .join(s.select("grp", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below")), ["grp", "band"], "left"))
-    m = m.join(near, ["grp", "band"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    near = near.select(F.col("grp").alias("_g"), F.col("band").alias("_b"), "blocks", "above", "below")
+    m = m.join(near, same_key(F.col("grp"), F.col("_g")) & (F.col("band") == F.col("_b"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     # A block's number is band * 2^20 + place; pairs are (smaller, larger).
     number = lambda band, place: band * F.lit(1 << 20) + place
     own = number(F.col("band"), F.col("block"))
