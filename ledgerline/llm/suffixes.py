@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import packed, shuffle_partitions, stage
+from .common import packed, same_key, shuffle_partitions, stage
 from .runs import complete_runs
 from .tokens import _INVERSE, _ODD, _SCATTER, finish
 
@@ -54,11 +54,11 @@ LENGTH, K = 100, 24
 #: Strings of K bytes in a window.
 SPAN = LENGTH - K + 1
 #: Bytes of a group of texts that are worked on at once; longer texts are cut, with windows across the cuts kept.
-GROUP = 1 << 20
+GROUP = 1 << 19
 #: Undecided blocks of one anchor in one bucket.
 BUCKET = 2000
 NO_ID = (1 << 63) - 1
-_PLACE = 22  # bits for a place in a group
+_PLACE = 20  # bits for a place in a group
 
 
 def _doc(df: DataFrame) -> tuple[Column, Column]:
@@ -247,7 +247,6 @@ def _undecided(records: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, _FOUND)
 
 
-_BLOCK = "lead long, bucket long, doc long, th long, place long, low long, high long, bytes binary"
 
 
 def _fetched(undecided: DataFrame, docs: DataFrame) -> DataFrame:
@@ -335,7 +334,7 @@ def _across(suffixes: DataFrame) -> DataFrame:
     me = F.struct("doc", "th", "low")
     first = suffixes.groupBy(F.col("lead").alias("_l"), F.col("block").alias("_b")).agg(
         F.min(me).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return (suffixes.join(first, (F.col("lead") == F.col("_l")) & (F.col("block") == F.col("_b")))
+    return (suffixes.join(first, same_key(F.col("lead"), F.col("_l")) & (F.col("block") == F.col("_b")))
             .where(me > F.col("first")).select("doc", "th", "low", "high"))
 
 
