@@ -31,7 +31,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import scratch_path, stage
+from .common import same_key, scratch_path, stage
 
 MIN_REVISIT_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -126,7 +126,7 @@ def assign_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     keep = (pages.select("page_id", F.sha2(html, 256).alias("_k")).groupBy("_k")
             .agg(F.max("page_id").alias("_keeper")))
     other = (F.octet_length("html") >= min_bytes) & F.col("_keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_keeper"))
-    return p.join(keep, F.col("_d") == F.col("_k")).select(
+    return p.join(keep, same_key(F.col("_d"), F.col("_k"))).select(
         "page_id", "url", "html", F.when(other, F.col("_keeper")).alias("refers_to"))
 
 
@@ -205,7 +205,7 @@ def resolve(records_: DataFrame) -> DataFrame:
     """Revisits with the length of the payload they stand for, looked up by digest."""
     sizes = (records_.where("record_type = 'response'").groupBy(F.col("payload_digest").alias("_d"))
              .agg(F.max("payload_bytes").alias("_bytes")))
-    return records_.join(sizes, F.col("payload_digest") == F.col("_d")).select(
+    return records_.join(sizes, same_key(F.col("payload_digest"), F.col("_d"))).select(
         "page_id", F.col("_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
