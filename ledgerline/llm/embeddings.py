@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_partitions, stage
+from .common import same_key, shuffle_partitions, stage
 from .components import connected_components
 from .runs import complete_runs, smallest_linked
 
@@ -41,6 +41,8 @@ MIN_COSINE = 0.9
 TABLES, PROJECTIONS, WIDTH, SEED = 32, 16, 2.5, 7
 #: Vectors in a block; two blocks are multiplied at once.
 BLOCK = 512
+#: Runs of up to this many vectors are compared all together, longer ones by a matrix product each.
+SHORT = 24
 
 
 def _valid(v: np.ndarray) -> bool:
@@ -95,7 +97,7 @@ def _dealt(lsh: DataFrame) -> DataFrame:
     """(t, key, i, j, own, id): each class in the pairs of blocks of its buckets; buckets of one are left out."""
     slim = lsh.select("id", F.posexplode("keys").alias("t", "key"))
     size = (slim.groupBy(F.col("t").alias("_t"), F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    e = slim.join(size, (F.col("t") == F.col("_t")) & (F.col("key") == F.col("_k")))
+    e = slim.join(size, (F.col("t") == F.col("_t")) & same_key(F.col("key"), F.col("_k")))
     blocks = F.ceil(F.col("n") / BLOCK)
     e = e.withColumn("own", F.pmod(F.xxhash64("id"), blocks)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -103,6 +105,26 @@ def _dealt(lsh: DataFrame) -> DataFrame:
                     F.greatest("own", "other").alias("j"), "own", "id")
 
 
+def _short_pairs(rows: np.ndarray, keys: np.ndarray, cols: dict, bounds: np.ndarray,
+                 min_cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """New links (row, later row) of all runs of at most ``SHORT`` rows, by distance within the run."""
+    sizes = np.diff(bounds)
+    end = np.repeat(np.where(sizes <= SHORT, bounds[1:], 0), sizes)
+    x = rows.astype(np.float64)
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    for step in range(1, SHORT):
+        a = np.flatnonzero(np.arange(len(end)) + step < end)
+        if not len(a):
+            return
+        a = a[np.einsum("ij,ij->i", x[a], x[a + step]) >= min_cosine]
+        b = a + step
+        between = cols["i"][a] != cols["j"][a]
+        keep = ~between | (cols["own"][a] != cols["own"][b])
+        earlier = np.arange(keys.shape[1]) < cols["t"][a][:, None]
+        keep &= ~((keys[a] == keys[b]) & earlier).any(1)
+        yield a[keep], b[keep]
+
+
 def _compared(entries: DataFrame, min_cosine: float) -> DataFrame:
     """(id, links, low): links counted here and the smallest id reached, per class and run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +135,17 @@ def _compared(entries: DataFrame, min_cosine: float) -> DataFrame:
             flat_keys = keys.flatten().to_numpy().reshape(t.num_rows, -1)
             flat, at = vectors.flatten().to_numpy(zero_copy_only=False), vectors.offsets.to_numpy() - vectors.offsets[0].as_py()
             out: dict[str, list] = {"id": [], "links": [], "low": []}
-            for s, e in zip(bounds[:-1], bounds[1:]):
+            sizes = np.diff(bounds)
+            if (np.diff(at) == at[1] - at[0]).all():  # one length: the many short runs are compared together
+                for a, b in _short_pairs(flat.reshape(t.num_rows, -1), flat_keys, cols, bounds, min_cosine):
+                    ids, copies = cols["id"], cols["copies"]
+                    out["id"] += [ids[a], ids[b]]
+                    out["links"] += [copies[b], copies[a]]
+                    out["low"] += [np.minimum(ids[a], ids[b])] * 2
+                done = sizes <= SHORT
+            else:
+                done = np.zeros(len(sizes), bool)
+            for s, e in zip(bounds[:-1][~done], bounds[1:][~done]):
                 if e - s < 2:
                     continue
                 dims = np.diff(at[s:e + 1])
@@ -130,12 +162,15 @@ def _compared(entries: DataFrame, min_cosine: float) -> DataFrame:
                         continue
                     if cols["i"][s] != cols["j"][s]:
                         near &= cols["own"][g][:, None] != cols["own"][g][None, :]
-                    a, b = np.nonzero(near)
                     k, table = flat_keys[g], cols["t"][s]
-                    if table:
-                        new = ~(k[a, :table] == k[b, :table]).any(1)
-                        near[a[~new], b[~new]] = False
-                        a, b = a[new], b[new]
+                    if near.sum() > 8 * len(g):  # dense: a comparison of all rows per earlier table
+                        for t_ in range(table):
+                            near &= k[:, t_, None] != k[None, :, t_]
+                    else:
+                        a, b = np.nonzero(near)
+                        met = (k[a, :table] == k[b, :table]).any(1)
+                        near[a[met], b[met]] = False
+                    a, b = np.nonzero(near)
                     if not len(a):
                         continue
                     ids = cols["id"][g]
