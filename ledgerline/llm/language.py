@@ -7,7 +7,9 @@ text) / length of the parsed text estimates the cross entropy; the language
 with the fewest such normalised phrases wins, the alphabetically first on a tie.
 
 Automata are tables of states by letters, and thousands of pieces of text walk
-them in lockstep.  Whole texts are parsed, cut into pieces of ``PIECE`` letters
+them in lockstep.  Every letter of every script is kept apart: a table has
+columns for the ``DENSE`` most frequent symbols of its language, and moves by
+further letters are looked up by binary search.  Whole texts are parsed, cut into pieces of ``PIECE`` letters
 alike for all languages.  Letters are lower-cased; what lies between words
 counts as one space.
 
@@ -37,8 +39,9 @@ from .sampling import per_class
 FOLDS, HELD_OUT = 3, 1
 SAMPLE_ROWS, SAMPLE_LETTERS, MAX_CHARS = 100, 20_000, 10_000
 PIECE, GROUP = 256, 1 << 21
-SYMBOLS = 64
-_SPACE, _RARE, _END = 0, 62, 63
+DENSE = 63
+#: Letters that are in no sample are one symbol: they are in no language's text, so nothing tells them apart.
+_SPACE, _END, _UNKNOWN = 0, 1, 2
 
 Sample = tuple[tuple[str, str], ...]  # (language, text), sorted by language
 
@@ -61,57 +64,79 @@ def _squeezed(codes: np.ndarray, space: int = 32) -> np.ndarray:
 
 
 class Automata:
-    """Transition tables of all languages in one array; row 0 is unused, so 0 means no transition."""
+    """The automata of all languages; every letter of any sample is a symbol of its own.
+
+    A language's ``DENSE`` most frequent symbols are columns of its table; moves
+    by its other letters are looked up in a sorted list of (state, symbol).
+    """
 
     def __init__(self, sample: Sample) -> None:
         self.languages = [lang for lang, _ in sample]
-        counts = Counter("".join(text for _, text in sample))
-        alphabet = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c != " "][:_RARE - 1]
-        self.symbol = np.where(_letters(), _RARE, _SPACE).astype(np.uint8)
-        for k, c in enumerate(alphabet):
-            self.symbol[ord(c)] = k + 1
-        tables, self.root, self.bits, at = [np.zeros((1, SYMBOLS), np.int32)], [], [], 1
-        for _, text in sample:
-            t = _suffix_automaton(self.symbol[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)])
-            tables.append(np.where(t > 0, t + at, 0).astype(np.int32))  # the root, 0, is nobody's target
-            self.root.append(at)
-            self.bits.append(math.log2(max(2, len(text))))
-            at += len(t)
-        self.next = np.concatenate(tables).ravel()
-        start = self.next.reshape(-1, SYMBOLS)[self.root]
-        self.unseen = (start == 0).astype(np.int32)
-        self.unseen[:, _END] = 0  # the end of a text closes a phrase and opens none
-        self.start = np.where(start > 0, start, np.array(self.root, np.int32)[:, None])
+        codes = [np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) for _, text in sample]
+        known = np.unique(np.concatenate(codes))
+        known = known[known != 32]
+        self.symbol = np.where(_letters(), _UNKNOWN, _SPACE).astype(np.int32)
+        self.symbol[known] = np.arange(len(known)) + _UNKNOWN + 1
+        self.bits = [math.log2(max(2, len(c))) for c in codes]
+        self.walks = [_Walk(self.symbol[c], len(known) + _UNKNOWN + 1) for c in codes]
 
     def phrases(self, pieces: np.ndarray) -> np.ndarray:
         """Phrases of each piece (row, filled up with ``_END``) in each language."""
-        out = np.zeros((len(self.languages), len(pieces)), np.int32)
         steps = np.ascontiguousarray(pieces.T).astype(np.int32)
-        for k, root in enumerate(self.root):
-            state, n = np.full(len(pieces), root, np.int32), out[k]
-            for c in steps:
-                to = self.next.take(state * SYMBOLS + c)
-                stop = np.flatnonzero(to == 0)
-                if len(stop):
-                    sym = c[stop]
-                    n[stop] += (state[stop] != root) + self.unseen[k][sym]
-                    to[stop] = self.start[k][sym]
-                state = to
-            n += state != root
-        return out.T
-
-
-def _suffix_automaton(text: np.ndarray) -> np.ndarray:
-    """Transitions (state x symbol, 0: none) of the automaton of all substrings."""
-    nxt, link, length = [[0] * SYMBOLS], [-1], [0]
+        return np.stack([walk.phrases(steps) for walk in self.walks], 1)
+
+
+class _Walk:
+    """One language's automaton; state 0 is the root, which no letter leads to, so 0 means no transition."""
+
+    def __init__(self, text: np.ndarray, symbols: int) -> None:
+        state, symbol, to, states = _suffix_automaton(text)
+        often = np.argsort(-np.bincount(text, minlength=symbols), kind="stable")[:min(DENSE, len(np.unique(text)))]
+        self.width, self.symbols = len(often) + 1, symbols
+        self.column = np.zeros(symbols, np.int32)  # column 0 stays empty
+        self.column[often] = np.arange(len(often)) + 1
+        dense = self.column[symbol] > 0
+        table = np.zeros((states, self.width), np.int32)
+        table[state[dense], self.column[symbol[dense]]] = to[dense]
+        self.next = table.ravel()
+        key = state[~dense] * symbols + symbol[~dense]
+        order = np.argsort(key)
+        self.key, self.to = key[order], to[~dense][order].astype(np.int32)
+        self.start = np.zeros(symbols, np.int32)
+        self.start[symbol[state == 0]] = to[state == 0]
+        self.unseen = (self.start == 0).astype(np.int32)
+        self.unseen[_END] = 0  # the end of a text closes a phrase and opens none
+
+    def phrases(self, steps: np.ndarray) -> np.ndarray:
+        state, n = np.zeros(steps.shape[1], np.int32), np.zeros(steps.shape[1], np.int32)
+        for c in steps:
+            to = self.next.take(state * self.width + self.column.take(c))
+            stop = np.flatnonzero(to == 0)
+            if len(stop) and len(self.key):
+                key = state[stop].astype(np.int64) * self.symbols + c[stop]
+                at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+                to[stop] = np.where(self.key[at] == key, self.to[at], 0)
+                stop = stop[to[stop] == 0]
+            if len(stop):
+                sym = c[stop]
+                n[stop] += (state[stop] != 0) + self.unseen[sym]
+                to[stop] = self.start[sym]
+            state = to
+        return n + (state != 0)
+
+
+def _suffix_automaton(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Transitions (state, symbol, next state) of the automaton of all substrings, and the number of states."""
+    nxt: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
     last = 0
     for c in text.tolist():
         cur = len(nxt)
-        nxt.append([0] * SYMBOLS)
+        nxt.append({})
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and not nxt[p][c]:
+        while p >= 0 and c not in nxt[p]:
             nxt[p][c] = cur
             p = link[p]
         if p >= 0:
@@ -120,15 +145,18 @@ def _suffix_automaton(text: np.ndarray) -> np.ndarray:
                 link[cur] = q
             else:
                 clone = len(nxt)
-                nxt.append(nxt[q][:])
+                nxt.append(nxt[q].copy())
                 length.append(length[p] + 1)
                 link.append(link[q])
                 link[q] = link[cur] = clone
-                while p >= 0 and nxt[p][c] == q:
+                while p >= 0 and nxt[p].get(c) == q:
                     nxt[p][c] = clone
                     p = link[p]
         last = cur
-    return np.array(nxt, np.int32)
+    state = np.repeat(np.arange(len(nxt)), [len(x) for x in nxt])
+    symbol = np.fromiter((c for x in nxt for c in x), np.int64, len(state))
+    to = np.fromiter((q for x in nxt for q in x.values()), np.int64, len(state))
+    return state, symbol, to, len(nxt)
 
 
 @lru_cache(maxsize=1)
@@ -158,7 +186,7 @@ def _measured(texts: list[str | None], model: Automata) -> Iterator[tuple[int, n
 
     def parse() -> Iterator[tuple[int, np.ndarray, int]]:
         counts = [-(-len(s) // PIECE) for _, s in held]
-        pieces = np.full((sum(counts), PIECE), _END, np.uint8)
+        pieces = np.full((sum(counts), PIECE), _END, np.int32)
         at = np.concatenate(([0], np.cumsum(counts)))
         for (_, s), a in zip(held, at):
             pieces.reshape(-1)[a * PIECE:a * PIECE + len(s)] = s

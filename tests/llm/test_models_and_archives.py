@@ -6,6 +6,7 @@ import io
 import itertools
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -64,6 +65,28 @@ def test_language_of_odd_rows(spark):
     assert language.identify(documents(spark, [])).collect() == []
 
 
+def test_languages_of_one_large_alphabet_are_told_apart():
+    """Two scripts of 300 letters each beside 61 letters that are more frequent; word lengths say nothing."""
+    r = random.Random(8)
+    draw = lambda first, size, n: " ".join("".join(chr(first + r.randrange(size)) for _ in range(2)) for _ in range(n))
+    latin = "".join(chr(c) for c in range(0x400, 0x500) if chr(c).islower())[:61]
+    common = " ".join(r.choice(latin) + r.choice(latin) for _ in range(6000))
+    model = language.Automata((("a", draw(0xAC00, 300, 900)), ("b", draw(0xB400, 300, 900)), ("c", common)))
+    parsed = [draw(0xB400, 300, 40), draw(0xAC00, 300, 40), draw(0x4E00, 300, 40)]
+    n = np.stack([p for _, p, _ in language._measured(parsed, model)])
+    assert n[0].argmin() == 1 and n[1].argmin() == 0 and len(set(n[2].tolist())) == 1
+
+
+def test_rare_letters_are_parsed_as_greedily_as_frequent_ones():
+    r = random.Random(12)
+    letters = [chr(0x4E00 + k) for k in range(150)]
+    corpus = [" ".join("".join(r.choice(letters[:n]) for _ in range(3)) for _ in range(200)) for n in (90, 150)]
+    texts_ = ["".join(r.choice(letters + [" "]) for _ in range(50)).strip() for _ in range(20)] + [corpus[0][40:90].strip(), corpus[1][13:70].strip()]
+    model = language.Automata((("x", corpus[0]), ("y", corpus[1])))
+    got = {k: p.tolist() for k, p, _ in language._measured(texts_, model)}
+    assert [got[k] for k in range(len(texts_))] == [[greedy_phrases(re.sub(" +", " ", t), c) for c in corpus] for t in texts_]
+
+
 # --- toxicity ---
 
 def test_marginals_match_enumeration():
