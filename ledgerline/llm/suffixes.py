@@ -31,7 +31,7 @@ per task.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` lose
 nothing; rows without id come after all others, in the order of a hash of their
-text; rows that share a doc_id are told apart by 16 bits of that hash, and equal
+text; rows that share a doc_id are told apart by all 64 bits of that hash, and equal
 rows count as one document and get the same result; extra columns are ignored by
 ``report`` and kept by ``remove_repeats``; an empty table gives an empty result.
 """
@@ -64,7 +64,7 @@ _PLACE = 20  # bits for a place in a group
 def _doc(df: DataFrame) -> tuple[Column, Column]:
     """(doc, th): the order of documents, and what tells rows of one id apart."""
     return (F.coalesce(df["doc_id"].cast("long"), F.lit(NO_ID)).alias("doc"),
-            F.pmod(F.xxhash64(df["text"]), F.lit(1 << 16)).alias("th"))
+            F.xxhash64(df["text"]).alias("th"))
 
 
 @lru_cache(maxsize=1)
@@ -177,7 +177,7 @@ def _merged(doc: np.ndarray, th: np.ndarray, low: np.ndarray, high: np.ndarray)
     head = np.flatnonzero(new)
     top = np.maximum.reduceat(high, head) if len(head) else high
     doc, th, low = doc[head], th[head], low[head]
-    lead = finish(doc.astype(np.uint64) * np.uint64(3) + low.astype(np.uint64)).view(np.int64)
+    lead = finish(doc.astype(np.uint64) * np.uint64(3) + th.astype(np.uint64) + low.astype(np.uint64)).view(np.int64)
     nothing = np.full(len(doc), REPEAT, np.int64)
     return [lead, nothing, doc, th, nothing, low, top]
 
@@ -198,7 +198,7 @@ def _records(docs: DataFrame) -> DataFrame:
         for b in batches:
             doc, th = b.column(0).to_numpy(), b.column(1).to_numpy()
             for text, lead, block, place, low, high in anchors(*_strings(b.column(2))):
-                parts.append([lead, block, doc[text], th[text].astype(np.int32), place.astype(np.int32),
+                parts.append([lead, block, doc[text], th[text], place.astype(np.int32),
                               (place - low).astype(np.int8), (high - place).astype(np.int8)])
         if not parts:
             return
@@ -209,8 +209,8 @@ def _records(docs: DataFrame) -> DataFrame:
         new = np.concatenate(([True], (lead[1:] != lead[:-1]) | (block[1:] != block[:-1])))
         repeat = _later(np.cumsum(new), doc, th, place)
         low, high = place.astype(np.int64) - before, place.astype(np.int64) + after
-        yield from _emit(_merged(doc[repeat], th[repeat].astype(np.int64), low[repeat], high[repeat]))
-        yield from _emit([lead[new], block[new], doc[new], th[new].astype(np.int64), place[new].astype(np.int64), low[new], high[new]])
+        yield from _emit(_merged(doc[repeat], th[repeat], low[repeat], high[repeat]))
+        yield from _emit([lead[new], block[new], doc[new], th[new], place[new].astype(np.int64), low[new], high[new]])
     rows = docs.select(*_doc(docs), "text")
     return rows.mapInArrow(run, _FOUND)
 

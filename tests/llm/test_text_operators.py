@@ -70,6 +70,18 @@ def test_substring_dedup_empty_table_and_columns(spark):
     assert by_id[1].th.startswith("th") and len(by_id[3].text) < 40
 
 
+def test_substring_dedup_tells_many_texts_without_id_apart(spark):
+    """1,000 texts of one null id, of which some agree in 16 bits of their hash; every second one ends with a known passage."""
+    shared = " ".join(words(78, 30))
+    rows = [(1, shared)] + [(None, " ".join(words(2000 + k, 40) + ([shared] if k % 2 else []))) for k in range(1000)]
+    ends = {(len(t), hashlib.sha256(t.encode()).hexdigest()) for _, t in rows[1:] if not t.endswith(shared)}
+    out = [r for r in suffixes.report(documents(spark, rows)).collect() if r.doc_id is None]
+    clean = {(r.n_bytes, r.kept_sha256) for r in out if r.n_removed == 0}
+    cut = [r for r in out if r.n_removed]
+    assert clean == ends and len(cut) == 500
+    assert all(r.n_spans == 1 and len(shared) <= r.n_removed < len(shared) + 10 for r in cut)
+
+
 def test_multikey_sort_numbers_equal_suffixes():
     r = np.random.default_rng(3)
     buffer = r.integers(0, 2, 4000).astype(np.uint8)
