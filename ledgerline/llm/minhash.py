@@ -5,7 +5,8 @@ values of its set.  The union sketch of two documents, the ``K`` smallest of bot
 sketches together, holds their common values in proportion to their Jaccard
 similarity.
 
-1. Equal sets collapse to a class by digest; its id is the smallest doc_id.
+1. Equal sets collapse to a class by digest; its id is the smallest doc_id (for
+   ``drop_near_duplicates`` the first 60 bits of the digest).
 2. Retained values form inverted lists.  Values held by one class only are
    dropped; of the others each class enters only its rarest: two sketches that
    must share ``o`` of ``r`` values meet within the ``r - o + 1`` rarest of each
@@ -24,11 +25,13 @@ above the threshold); sets of at most ``K`` shingles are their own sketch and
 are compared without chance.
 
 Defined results: null and empty texts, and texts without words, have the empty
-set and link with nothing; a null doc_id links with nothing, its component is
-null and it is kept; rows that share a doc_id are one document, whose text is
-the one with the smallest hash, and all of them get its component; an empty
-table gives an empty result; extra columns are ignored by ``near_duplicates``
-and kept by ``drop_near_duplicates``.
+set and link with nothing, so that all such rows stay; an empty table gives an
+empty result; extra columns are ignored by ``near_duplicates`` and kept by
+``drop_near_duplicates``.  The report of ``near_duplicates`` is by doc_id: a null
+doc_id links with nothing there, its component is null and it is kept; rows that
+share a doc_id are one document, whose text is the one with words and the
+smallest hash, and all of them get its component.  ``drop_near_duplicates`` works
+on rows: every text with words is compared, whatever its id.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import same_key, shuffle_partitions, stage
+from .common import packed, same_key, shuffle_partitions, stage
 from .components import connected_components
 from .runs import complete_runs, smallest_linked
 
@@ -203,17 +206,12 @@ def links(sets: list[np.ndarray], over: int, under: int) -> np.ndarray:
     return linked
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int = 100) -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id, kept).
+def _linked(docs: DataFrame, classes: DataFrame, size: int, over: int, under: int) -> DataFrame:
+    """(id, component) of the classes that are not the smallest of their component.
 
-    ``size`` words a shingle; linked at ``under`` x intersection >= ``over`` x union.
+    ``classes`` are (id, th, digest, n, sketch); th is the hash of a text that has the class's set.
     """
-    spark, threshold = docs.sparkSession, over / under
-    sk = stage(sketches(docs, size), "sketches")
-    own = stage(sk.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min_by("digest", "th").alias("own")), "own")
-    first = own.groupBy(F.col("own").alias("digest")).agg(F.min("doc_id").alias("id"))
-    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = stage(first.join(kept, "digest"), "classes")
+    threshold = over / under
     lists = stage(_lists(classes, threshold), "lists")
     heads = lists.groupBy(F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("held"),
                                                          F.min_by("id", F.struct("singles", "id")).alias("pivot"))
@@ -226,14 +224,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int =
     stars = entries.where((F.col("held") > LIST) & (F.col("id") != F.col("pivot"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     moved = connected_components(_estimated(stage(pairs, "pairs"), classes, threshold).union(stars), "candidates")
     groups = moved.union(moved.select(F.col("component").alias("id"), "component").distinct())
-    members = stage(classes.select("id", "n").join(groups, "id").select("id", "n", F.col("component").alias("grp")), "members")
+    members = stage(classes.select("id", "n", "th").join(groups, "id").select("id", "n", "th", F.col("component").alias("grp")), "members")
     blocks = stage(_blocks(members, threshold), "blocks")
     few = members.count() <= BROADCAST_IDS
-    ids = members.select(F.col("id").alias("_id"))
-    text = (docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_id"), "left_semi")
-            .where("text IS NOT NULL").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
-    linked = _exact(blocks.join(text, F.col("id") == F.col("doc_id")), size, (over, under))
-    found = connected_components(linked, "near")
+    ids = members.select(F.col("id").alias("_id"), F.col("th").alias("_th"))
+    text = (docs.select(F.xxhash64("text").alias("th"), "text").where("text IS NOT NULL")
+            .join(F.broadcast(ids) if few else ids, F.col("th") == F.col("_th"))
+            .groupBy("_id").agg(F.min("text").alias("text")))
+    return connected_components(_exact(blocks.join(text, F.col("id") == F.col("_id")), size, (over, under)), "near")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int = 100) -> DataFrame:
+    """One row per document: (doc_id, n_shingles, component_id, kept).
+
+    ``size`` words a shingle; linked at ``under`` x intersection >= ``over`` x union.
+    """
+    sk = stage(sketches(docs, size), "sketches")
+    own = stage(sk.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min_by("digest", "th").alias("own"), F.min("th").alias("th")), "own")
+    first = own.groupBy(F.col("own").alias("digest")).agg(F.min("doc_id").alias("id"), F.min_by("th", "doc_id").alias("th"))
+    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = stage(first.join(kept, "digest"), "classes")
+    found = _linked(docs, classes, size, over, under)
     label = (classes.select("digest", "id").join(found, "id", "left")
              .select(F.col("digest").alias("_d"), F.coalesce("component", "id").alias("_c")))
     docs_own = own.join(label, F.col("own") == F.col("_d")).select(F.col("doc_id").alias("_id"), "_c")
@@ -244,9 +256,37 @@ def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int =
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int = 100) -> DataFrame:
-    """``docs`` with one document of each group; all columns stay."""
-    gone = near_duplicates(docs, size, over, under).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` with one row of each group; all columns stay.
+
+    All texts are compared, also those of a shared or null id.  Of a group's rows
+    with an id the one with the smallest id stays, of those without one the one
+    with the smallest hash of its text; repeated rows count as one.
+    """
+    sk = stage(sketches(docs, size), "sketches")
+    texts = stage(sk.where("n > 0").groupBy("doc_id", "th").agg(F.first("digest").alias("digest"), F.count(F.lit(1)).alias("rows")), "texts")
+    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("th").alias("th"))
+    number = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long")  # 60 bits of the digest
+    classes = stage(kept.select(number.alias("id"), "th", "digest", "n", "sketch"), "classes")
+    found = _linked(docs, classes, size, over, under)
+    label = (classes.select("digest", "id").join(found, "id", "left")
+             .select(F.col("digest").alias("_d"), F.coalesce("component", "id").alias("grp")))
+    # same_key: many rows may have one set, or be one group.
+    texts = stage(texts.join(label, same_key(F.col("digest"), F.col("_d"))).select("doc_id", "th", "rows", "grp", F.col("doc_id").isNull().alias("no_id")), "labelled")
+    heads = texts.groupBy(F.col("grp").alias("_g"), F.col("no_id").alias("_n")).agg(F.min(F.struct("doc_id", "th")).alias("head"))
+    judged = (texts.join(heads, same_key(F.col("grp"), F.col("_g")) & (F.col("no_id") == F.col("_n")))
+              .withColumn("first", F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("th") == F.col("head.th"))))
+    judged = stage(judged.where("NOT first OR rows > 1").select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th"), "first"), "judged")
+    th = F.xxhash64(docs["text"])
+    same = docs["doc_id"].eqNullSafe(judged["_gone"]) & (th == judged["_th"])
+    once = docs.join(judged, same, "left_anti")
+    repeated = judged.where("first").drop("first")
+    times = repeated.count()
+    if not times:
+        return once
+    again = docs.select(packed(docs), docs["doc_id"].alias("_id"), th.alias("_t")).join(
+        F.broadcast(repeated) if times <= BROADCAST_IDS else repeated, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_t") == F.col("_th")))
+    one = again.groupBy("_id", "_t").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
+    return once.union(one)
 
 
 ORACLE = r"""

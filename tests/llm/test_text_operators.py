@@ -156,6 +156,25 @@ def test_dropping_near_duplicates_keeps_one_of_each_group(spark):
     assert minhash.near_duplicates(documents(spark, [])).collect() == []
 
 
+def test_dropping_near_duplicates_compares_every_text(spark):
+    copy, other, alone = (" ".join(words(k, 60)) for k in (81, 82, 83))
+    near = copy + " more"
+    rows = [(1, copy), (1, copy), (2, near), (2, alone), (3, " "), (3, other), (4, other), (4, alone + " x"),
+            (None, other), (None, other), (None, other + " end"), (5, "no"), (5, "no"), (6, None), (6, None)]
+    kept = sorted(((r.doc_id, r.text) for r in minhash.drop_near_duplicates(documents(spark, rows)).collect()), key=repr)
+    without_id = [t for i, t in kept if i is None]
+    assert len(without_id) == 1 and without_id[0] in (other, other + " end")
+    assert [r for r in kept if r[0] is not None] == sorted([(1, copy), (2, alone), (3, " "), (3, other), (5, "no"), (6, None), (6, None)], key=repr)
+
+
+def test_a_wordless_text_does_not_hide_the_text_of_its_id(spark):
+    text = " ".join(words(84, 60))
+    blanks = [" " * k for k in range(1, 9)]
+    rows = [(1, text)] + [(2, t) for t in [*blanks, text + " end"]]
+    out = minhash.near_duplicates(documents(spark, rows), 3, 85, 100).collect()
+    assert {(r.doc_id, r.component_id) for r in out} == {(1, 1), (2, 1)}
+
+
 def test_exact_links_count_intersections():
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 60, r.integers(1, 50))) for _ in range(40)]
