@@ -13,8 +13,10 @@ further letters are looked up by binary search.  Whole texts are parsed, cut int
 alike for all languages.  Letters are lower-cased; what lies between words
 counts as one space.
 
-Fitting takes at most ``SAMPLE_ROWS`` whole labelled texts per language, and of
-these as many as fill ``SAMPLE_LETTERS`` letters: a documented, bounded sample.
+Fitting draws some ``SAMPLE_ROWS`` labelled texts per language, at least one, and
+takes of these the first ``MAX_CHARS`` letters each until ``SAMPLE_LETTERS`` are
+full: a documented, bounded sample.  The number of languages has no limit; time
+and memory grow with it.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
 rows without language, text or id are not learned from; a row without id counts
@@ -167,9 +169,10 @@ def _automata(sample: Sample) -> Automata:
 def fit(docs: DataFrame) -> Sample:
     """The bounded sample of labelled text per language, drawn from the learning folds."""
     usable = docs.where((crc_fold("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull()
-                        & F.length("text").between(1, MAX_CHARS)).select("doc_id", "lang", "text")
+                        & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
+    begin = F.substring(F.regexp_replace("text", r"[^\p{L}]+", " "), 1, MAX_CHARS)
     rows = (per_class(usable, "lang", "doc_id", SAMPLE_ROWS).groupBy("lang", F.xxhash64("text").alias("h"))
-            .agg(F.min("text").alias("text")).orderBy("lang", "h"))
+            .agg(F.min(begin).alias("text")).orderBy("lang", "h"))
     texts: dict[str, list[str]] = {}
     size: Counter = Counter()
     for r in rows.toLocalIterator():

@@ -6,8 +6,8 @@ vector of ``RANK`` numbers, and every pair of inputs adds the product of their
 vectors; the sum over all pairs is had in linear time as half of (square of the
 sum less sum of the squares), vector place by vector place.
 
-Fitting takes at most ``SAMPLE`` whole texts per label, none longer than
-``MAX_CHARS``: a documented, bounded sample.  Scoring reads whole texts.
+Fitting takes at most ``SAMPLE`` texts per label, the first ``MAX_CHARS``
+characters of each: a documented, bounded sample.  Scoring reads whole texts.
 
 Defined results: a null or empty text has no words and is scored by its
 statistics, all 0; without labels of both kinds the score is 0; a row without id

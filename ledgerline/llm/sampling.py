@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: A label column with more distinct values than this is refused.
-MAX_CLASSES = 200
+from .common import stage
+
+#: Sizes of up to this many classes are sent to the scan of the rows; beyond it the join is shuffled.
+BROADCAST_CLASSES = 100_000
 #: Drawn per wanted row, so that the hash threshold leaves enough of them.
 _SLACK = 1.5
 
@@ -13,35 +15,43 @@ _SLACK = 1.5
 def per_class(rows: DataFrame, label: str, key: str, wanted: int) -> DataFrame:
     """About ``1.5 x wanted`` rows of each class (all rows of a smaller one), drawn by a hash of ``key``.
 
-    A class of any size is thinned where it is read, before anything moves.
+    A class of any size is thinned where it is read, before anything moves; the
+    lowest hash of each class is always drawn, so that no class is left out.
     """
-    counts = rows.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = {r._class: r._rows for r in counts.limit(MAX_CLASSES + 1).collect()}
-    if len(sizes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     unit = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    if not sizes:
-        return rows.limit(0)
-    share = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, min(1.0, _SLACK * wanted / n))])
-    return rows.where(unit < share[F.col(label)])
+    sizes = stage(rows.groupBy(F.col(label).alias("_class")).agg(
+        (F.lit(_SLACK * wanted) / F.count(F.lit(1))).alias("_share"), F.min(unit).alias("_least")), "classes")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_CLASSES else sizes
+    drawn = rows.join(sizes, F.col(label) == F.col("_class"))
+    return drawn.where((unit < F.col("_share")) | (unit == F.col("_least"))).drop("_class", "_share", "_least")
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int, max_chars: int) -> list[tuple[str, int]]:
-    """(text, label) of at most ``wanted`` whole texts per class, none longer than ``max_chars``.
+    """(text, label) of at most ``wanted`` texts per class: the first ``max_chars`` characters of each, whole if not longer.
 
     Only ids are drawn from ``labels``; the bounded set of them is broadcast to
-    the scan of the texts.  Ids with contradicting labels are left out.
+    the scan of the texts.  If the ids drawn of a class have no text, ids are
+    drawn again from those that have one.  Ids with contradicting labels are left
+    out.
     """
     clean = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.min(label).alias("y"), F.max(label).alias("_top")).where("y = _top").drop("_top"))
-    drawn = per_class(clean, "y", "doc_id", wanted).select(F.col("doc_id").alias("_id"), "y")
-    rows = (docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))  # at most 1.5 x wanted x 2 ids, but for chance
-            .where(F.length("text").between(1, max_chars))
-            .select("text", "y", "doc_id").dropDuplicates(["text"]).orderBy(F.xxhash64("doc_id"), "text"))
-    out: list[tuple[str, int]] = []
-    seen = {0: 0, 1: 0}
-    for r in rows.toLocalIterator():
-        if seen[r.y] < wanted:
-            seen[r.y] += 1
-            out.append((r.text, int(r.y)))
+    usable = docs.where(F.length("text") > 0).select("doc_id", "text")
+
+    def found(ids: DataFrame) -> list[tuple[str, int]]:
+        drawn = per_class(ids, "y", "doc_id", wanted).select(F.col("doc_id").alias("_id"), "y")
+        rows = (usable.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))  # at most 1.5 x wanted x 2 ids, but for chance
+                .select("text", "y", "doc_id").dropDuplicates(["text"])
+                .select(F.substring("text", 1, max_chars).alias("text"), "y", "doc_id").orderBy(F.xxhash64("doc_id"), "text"))
+        out: list[tuple[str, int]] = []
+        seen = {0: 0, 1: 0}
+        for r in rows.toLocalIterator():
+            if seen[r.y] < wanted:
+                seen[r.y] += 1
+                out.append((r.text, int(r.y)))
+        return out
+
+    out = found(clean)
+    if len({y for _, y in out}) < 2:
+        out = found(clean.join(usable.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi"))
     return out

@@ -13,8 +13,8 @@ document give its expected number of toxic words and the strongest one; a
 logistic function of both is the score, and words at 0.5 or more are the
 offending spans.
 
-Fitting takes at most ``SAMPLE`` whole texts per label, none longer than
-``MAX_CHARS``: a documented, bounded sample.  Scoring reads whole texts.
+Fitting takes at most ``SAMPLE`` texts per label, the first ``MAX_CHARS``
+characters of each: a documented, bounded sample.  Scoring reads whole texts.
 
 Defined results: a null or empty text has no words and gets the score of a
 document without toxic words; without labels of both kinds the score is 0; a

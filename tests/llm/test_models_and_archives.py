@@ -132,6 +132,24 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(documents(spark, []), model).collect() == []
 
 
+def test_classes_of_long_texts_only_are_learned(spark):
+    long = lambda k, x: " ".join(words(k, 1200) + x + words(k + 500, 1200))
+    rows = [(k, long(k, ["nastyword"] if k % 2 else [])) for k in range(40)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    sample = sampling.labelled_texts(documents(spark, rows), labels, "toxic", 1500, 6000)
+    assert sorted(sample) == sorted((t[:6000], k % 2) for k, t in rows) and min(len(t) for _, t in rows) > 6000
+    absent = spark.createDataFrame([(k, 1, 1) for k in range(1000, 3000)], "doc_id long, quality int, toxic int")
+    few = sampling.labelled_texts(documents(spark, rows), labels.union(absent), "toxic", 2, 6000)
+    assert {y for _, y in few} == {0, 1}
+    books = documents(spark, rows).withColumn("lang", F.lit("book"))
+    assert [lang for lang, _ in language.fit(books)] == ["book"]
+
+
+def test_every_class_is_drawn(spark):
+    rows = spark.range(3000).select("id", (F.col("id") % 300).alias("c"))
+    assert sampling.per_class(rows, "c", "id", 1).select("c").distinct().count() == 300
+
+
 # --- quality ---
 
 def test_linear_time_score_is_the_sum_over_pairs():
