@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, language, minhash, mixing, quality, secrets, suffixes, toxicity, warc
+from . import decontaminate, embeddings, filteraudit, language, minhash, mixing, negatives, pieces, quality, secrets, suffixes, toxicity, warc
 from .common import table
 
 
@@ -50,8 +50,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"), "id % 50 = 0", negatives.MOVED_LABEL)
+
+
+def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path  # where the vocabulary files of the registered query lie
+    return pieces.report(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffixes, op2_language, op3_warc, op4_toxicity, op5_quality, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing)}
+        op1_suffixes, op2_language, op3_warc, op4_toxicity, op5_quality, op6_embeddings, op7_secrets, op8_decontaminate, op9_minhash, op10_mixing,
+        op11_negatives, op12_filters, op13_pieces)}
 
-ORACLE: dict[str, str] = {"op6_embeddings": embeddings.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_minhash": minhash.ORACLE, "op10_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op6_embeddings": embeddings.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op9_minhash": minhash.ORACLE, "op10_mixing": mixing.ORACLE,
+                          "op11_negatives": negatives.ORACLE, "op12_filters": filteraudit.ORACLE}
