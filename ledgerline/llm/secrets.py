@@ -1,18 +1,32 @@
 """Secret scans by assignment-aware lexing.
 
 Base spans are three fixed patterns.  The method then lexes assignments of
-source and configuration syntax (``name = literal``, ``name: literal``,
-``"name": "literal"``, ``name := a + "b"``), keeps the constants a text has
-assigned so far, follows names on the right-hand side back to the literals they
-hold, and scores each literal by how sensitive the target name is and how
-random the value looks.  Literals at or above ``MIN_SCORE`` become spans of kind
-``literal``.
+source and configuration syntax:
+
+* ``name = literal``, ``name: literal``, ``name := literal``, ``name => literal``,
+  with the name quoted or indexed, and typed declarations ``name: Type = literal``;
+* literals in single, double, triple or back quotes, with prefixes (``b"..."``),
+  bare words, and joins of them (``a + "b"``);
+* indented blocks (``name: |``) and elements (``<name>literal</name>``).
+
+A right-hand side may name constants.  They are followed back to the literals
+they hold: the last definition before the use or, if there is none, the first
+one after it.  Each literal is scored by how sensitive the name is that it ends
+up in and how random the value looks; literals at or above ``MIN_SCORE`` become
+spans of kind ``literal``.
+
+Values are not written out: a constant keeps length, shares of characters and
+the ends of its value, and refers to the constants it is made of, so that text
+which doubles a constant again and again costs no more than other text.  Only
+what ends up in a sensitive name is followed, each definition once.
 
 Each text is lexed on its own in one pass; rows never meet, so skew cannot arise.
 
-Defined results: a null or empty text has no spans; repeated rows give repeated
-results; ids may be null; extra columns are ignored by ``scan`` and kept by
-``redact``.
+Defined results: a null or empty text has no spans; an empty table gives an
+empty result; repeated rows give repeated results; ids may be null; very long
+texts, names and runs of blanks are read whole in time linear in them; a
+constant that is defined by itself alone is taken as a word; extra columns are
+ignored by ``scan`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -22,6 +36,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -43,13 +59,21 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "sec
              "auth": 0.6, "bearer": 0.8, "signingkey": 0.9, "encryptionkey": 0.9, "connectionstring": 0.7}
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|none|null|true|false|todo|example\w*|change_?me|your[\w-]*)$")
 
-_OPERATOR = re.compile(r":=|=>|(?<![=!<>:])=(?![=>~])|:(?![=:/])")
-_NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w.$-]*)["']?\]?[ \t]*$""", re.ASCII)
-_STRING = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`''')
-_IDENT = re.compile(r"\$?\{?([A-Za-z_][\w.]*)\}?(?![\w/+=@%-])", re.ASCII)
+# A run of name characters and what assigns to it; the runs are taken whole, so that none is tried from its middle.
+_ASSIGNED = re.compile(r"""(?<![\w.$-])([\w.$-]++)["'`]?\]?[ \t]*+(:=|=>|=(?![=>~])|:(?![=:/]))""", re.ASCII)
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*+)(?:\s[^<>]*+)?>([^<>]++)</", re.ASCII)
+_NOT_FIRST = "0123456789.-"  # characters that begin no name
+_TYPE = re.compile(r"[ \t]*+[A-Za-z_&*][\w.<>\[\]|?&*]*+[ \t]*+=(?![=>~])", re.ASCII)
+_BLOCK = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[ \t]*+\r?\n")
+_LINE = re.compile(r"([ \t]*+)([^\r\n]*+)\r?(?:\n|\Z)")
+_STRING = re.compile(r'''[bBrRuUfF]{0,2}(?:"""(.*?)"""|\'\'\'(.*?)\'\'\'|"((?:[^"\\\n]|\\.)*+)"|\'((?:[^\'\\\n]|\\.)*+)\'|`([^`\n]*+)`)''', re.DOTALL)
+_IDENT = re.compile(r"\$?\{?([A-Za-z_][\w.]*+)\}?(?![\w/+=@%-])", re.ASCII)
+_CALL = re.compile(r"[A-Za-z_][\w.]*+\(", re.ASCII)
 _BARE = re.compile(r"""[^\s,;"'`#(){}\[\]]+""")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*")
-_BLANK = re.compile(r"[ \t]*")
+_BLANK = re.compile(r"[ \t]*+")
+#: Values up to this length are kept as text beside their shares.
+SHORT = 1000
 
 Span = tuple[int, int, str]
 
@@ -70,6 +94,7 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     return spans, values
 
 
+@lru_cache(maxsize=100_000)
 def sensitivity(name: str) -> float:
     """0 to 1: how much a target name promises a secret."""
     parts = [p for p in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()) if p]
@@ -77,58 +102,189 @@ def sensitivity(name: str) -> float:
     return max((SENSITIVE.get(p, 0.0) for p in parts + pairs), default=0.0)
 
 
-def literal_score(name: str, value: str) -> float:
+class Value(NamedTuple):
+    """A value that may be longer than can be written down: its ends, the share of each character and, if short, the text."""
+    length: float
+    share: dict[str, float]
+    text: str | None
+    head: str
+    tail: str
+
+
+def literal(text: str) -> Value:
+    share = {c: n / len(text) for c, n in Counter(text).items()}
+    return Value(len(text), share, text if len(text) <= SHORT else None, text[:16], text[-2:])
+
+
+def joined(parts: list[Value]) -> Value:
+    if len(parts) == 1:
+        return parts[0]
+    total = sum(v.length for v in parts)
+    share: dict[str, float] = {}
+    for v in parts:
+        for c, s in v.share.items():
+            share[c] = share.get(c, 0.0) + s * v.length / total
+    text = "".join(v.text for v in parts) if total <= SHORT else None
+    head = tail = ""
+    for v in parts:
+        head += v.head if len(head) < 16 else ""
+        if v.length < 16 and len(head) < 16:
+            continue
+        break
+    for v in reversed(parts):
+        tail = v.tail + tail if len(tail) < 2 else tail
+    return Value(min(total, 1e200), share, text, head[:16], tail[-2:])
+
+
+def _placeholder(v: Value) -> bool:
+    if v.text is not None:
+        return bool(PLACEHOLDER.match(v.text))
+    if v.share.keys() <= {"x", "X"} or v.share.keys() in ({"*"}, {"."}):
+        return True
+    if v.head[0] == "<" and v.tail[-1] == ">" or v.head.startswith("${") and v.tail[-1] == "}" or v.head.startswith("{{") and v.tail == "}}":
+        return True
+    start = v.head.lower()
+    return (start.startswith(("example", "your")) and all(c.isalnum() or c == "_" or c == "-" and start[0] == "y" for c in v.share))
+
+
+def score(name: str, v: Value) -> float:
     """Sensitivity of the name, scaled by the entropy of the value; 0 for placeholders and short values."""
-    if len(value) < MIN_ASSIGN or any(c.isspace() for c in value) or PLACEHOLDER.match(value):
+    if v.length < MIN_ASSIGN or any(c.isspace() for c in v.share) or _placeholder(v):
         return 0.0
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    return sensitivity(name) * min(1.0, 0.4 + bits / 5)
+    return sensitivity(name) * min(1.0, 0.4 - sum(s * math.log2(s) for s in v.share.values() if s) / 5)
+
+
+def literal_score(name: str, value: str) -> float:
+    return score(name, literal(value)) if value else 0.0
 
 
-def _value(text: str, at: int, known: dict) -> tuple[str, list[tuple[int, int]], int]:
-    """The expression at ``at``: its value, the places of the literals it is made of, and where it ends."""
-    value, places = "", []
+class Part(NamedTuple):
+    """A literal's place, or that of a word that may name a constant."""
+    start: int
+    end: int
+    name: str | None = None
+
+
+def _expression(text: str, at: int) -> tuple[list[Part], int, bool]:
+    """The parts of the expression at ``at``, where it ends, and whether it begins with a quote."""
+    parts: list[Part] = []
+    quoted = False
     while True:
         at = _BLANK.match(text, at).end()
         if m := _STRING.match(text, at):
-            value += m[m.lastindex]
-            places.append(m.span(m.lastindex))
-        elif (m := _IDENT.match(text, at)) and m[1] in known:
-            value += known[m[1]][0]
-            places += known[m[1]][1]
+            parts.append(Part(*m.span(m.lastindex)))
+            quoted = quoted or len(parts) == 1
+        elif _CALL.match(text, at):
+            return parts, at, quoted
+        elif m := _IDENT.match(text, at):
+            parts.append(Part(*m.span(), m[1]))
         elif m := _BARE.match(text, at):
-            value += m[0]
-            places.append(m.span())
+            parts.append(Part(*m.span()))
         else:
-            return value, places, at
+            return parts, at, quoted
+        at = m.end()
+        following = _JOIN.match(text, at)
+        if not following:
+            return parts, at, quoted
+        at = following.end()
+
+
+def _indented(text: str, start: int, at: int) -> tuple[list[Part], int]:
+    """The lines from ``at`` on that are indented deeper than the line of ``start``."""
+    line = text.rfind("\n", 0, start) + 1
+    depth = _BLANK.match(text, line).end() - line
+    parts: list[Part] = []
+    while at < len(text):
+        m = _LINE.match(text, at)
+        if m[2].strip():
+            if len(m[1]) <= depth:
+                break
+            parts.append(Part(m.start(2), m.start(2) + len(m[2].rstrip())))
         at = m.end()
-        joined = _JOIN.match(text, at)
-        if not joined:
-            return value, places, at
-        at = joined.end()
+    return parts, at
+
+
+def assignments(text: str) -> list[tuple[str, list[Part]]]:
+    """(name, parts) of every assignment, in order."""
+    found: list[tuple[int, str, list[Part]]] = []
+    done = 0
+    for m in _ASSIGNED.finditer(text):
+        name, start = m[1].lstrip(_NOT_FIRST), m.end()
+        if m.start(2) < done or not name:  # inside a literal that was read
+            continue
+        if m[2] == ":":
+            if t := _TYPE.match(text, start):
+                start = t.end()
+            elif t := _BLOCK.match(text, start):
+                parts, done = _indented(text, m.start(), t.end())
+                found.append((m.start(), name, parts))
+                continue
+        parts, end, quoted = _expression(text, start)
+        done = end if quoted else start
+        found.append((m.start(), name, parts))
+    if "</" in text:
+        for m in _ELEMENT.finditer(text):
+            lead = len(m[2]) - len(m[2].lstrip())
+            found.append((m.start(), m[1], [Part(m.start(2) + lead, m.start(2) + len(m[2].rstrip()))] if m[2].strip() else []))
+        found.sort(key=lambda x: x[0])
+    return [(name, [p for p in parts if p.start < p.end]) for _, name, parts in found if parts]
 
 
 def literal_spans(text: str) -> list[Span]:
     """Literals that end up in a sensitive name, directly or through constants."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "</" not in text:
         return []
-    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
-    found: set[tuple[int, int]] = set()
-    done = 0
-    for op in _OPERATOR.finditer(text):
-        if op.start() < done:  # inside a literal that was read
-            continue
-        m = _NAME_BEFORE.search(text, max(0, op.start() - 80), op.start())
-        if not m:
-            continue
-        value, places, end = _value(text, op.end(), known)
-        if not places:
+    known = assignments(text)
+    first: dict[str, int] = {}
+    for i, (name, _) in enumerate(known):
+        first.setdefault(name, i)
+    latest: dict[str, int] = {}
+    meant: list[list[int | None]] = []  # of each part the definition that its name stands for
+    for i, (name, parts) in enumerate(known):
+        use = [None if p.name is None else latest.get(p.name, first.get(p.name)) for p in parts]
+        meant.append([None if d == i else d for d in use])
+        latest[name] = i
+
+    values: dict[int, Value] = {}
+
+    def evaluate(target: int) -> Value:
+        open_, stack = set(), [target]
+        while stack:
+            i = stack[-1]
+            if i in values:
+                stack.pop()
+                continue
+            needed = [d for d in meant[i] if d is not None and d not in values]
+            if i not in open_:
+                open_.add(i)
+                waiting = [d for d in needed if d not in open_]
+                meant[i] = [None if d in open_ and d not in values else d for d in meant[i]]  # a circle ends here
+                stack += waiting
+                if waiting:
+                    continue
+            else:
+                meant[i] = [None if d in needed else d for d in meant[i]]
+            values[i] = joined([literal(text[p.start:p.end]) if d is None else values[d] for p, d in zip(known[i][1], meant[i])])
+            stack.pop()
+        return values[target]
+
+    spans: set[tuple[int, int]] = set()
+    listed: set[int] = set()
+    for i, (name, _) in enumerate(known):
+        if not sensitivity(name) or score(name, evaluate(i)) < MIN_SCORE:
             continue
-        done = end if text[places[0][0] - 1] in "\"'`" else op.end()
-        known[m[1]] = (value, places)
-        if literal_score(m[1], value) >= MIN_SCORE:
-            found.update(p for p in places if p[0] < p[1])
-    return [(s, e, "literal") for s, e in found]
+        todo = [i]
+        while todo:
+            j = todo.pop()
+            if j in listed:
+                continue
+            listed.add(j)
+            for p, d in zip(known[j][1], meant[j]):
+                if d is None:
+                    spans.add((p.start, p.end))
+                else:
+                    todo.append(d)
+    return [(s, e, "literal") for s, e in spans]
 
 
 def _line(spans: list[Span]) -> str:
