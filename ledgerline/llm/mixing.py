@@ -3,27 +3,35 @@
 Every document is repeated k times, k drawn from a Poisson distribution whose
 mean is the repetition rate of its source: ``size x weight / count``.  The draw
 inverts the distribution at a uniform number taken from a hash of (seed,
-doc_id, source, text length), so a rerun after a lost executor gives the same
-copies.  Copies are put in a global pseudo-random order by a second hash.
+doc_id, source, text), so a rerun after a lost executor gives the same copies.
+Copies are put in a global pseudo-random order by a second hash.
+
+A source's distribution is tabled around its mean only, over some 24 standard
+deviations, so the table grows with the square root of the rate.
 
 Defined results: a null source is a source of its own; a source without a
-target weight has rate 0; null ids and texts are hashed as such; an empty table
-gives an empty mix; extra columns are carried through, but for columns named
-``mix_copy`` or ``mix_key``, which are replaced; repeated rows draw the same
-number.
+target weight has rate 0; null ids and texts are hashed as such; very long texts
+are hashed whole; an empty table gives an empty mix; extra columns are carried
+through, but for columns named ``mix_copy`` or ``mix_key``, which are replaced;
+repeated rows (same id, source and text) draw the same number.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import packed
+from .common import packed, stage
 
 SEED = 20240611
-#: Sources up to this many are joined by broadcast (a few dozen bytes each); beyond it by shuffle.
-BROADCAST_SOURCES = 100_000
+#: Entries of the sources' tables (8 bytes each) that are sent to all tasks; beyond it sources are joined by shuffle.
+BROADCAST_ENTRIES = 8_000_000
+#: Copies of a row that are made at once.
+COPIES = 10_000
 #: u < 1 - 2**-52 at most, so the inversion ends long before this many terms past the mean.
 _SPAN = 2.0 ** 52
 
@@ -34,17 +42,31 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(joined), 1, 13), 16, 10).cast("double") / F.lit(_SPAN)
 
 
-def poisson_terms(rate: Column) -> Column:
-    """Cumulative probabilities P(K <= k) for k = 0, 1, ... far past the mean.
+def poisson_table(rate: float) -> tuple[int, np.ndarray]:
+    """(k, cdf): P(K <= k), P(K <= k + 1), ... from far below the mean to far above it.
 
-    Probabilities come from logarithms, so a large mean does not underflow.
+    Probabilities are relative to that of the mode and divided by their sum, so a
+    large mean does not underflow; what lies outside is below 1e-30.
     """
-    last = (rate + F.lit(12.0) * F.sqrt(rate) + F.lit(40.0)).cast("int")
-    log_terms = F.transform(F.sequence(F.lit(1), last), lambda k: F.log(rate) - F.log(k.cast("double")))
-    log_p = F.aggregate(log_terms, F.array(-rate),
-                        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    return F.aggregate(log_p, F.array().cast("array<double>"), lambda acc, x: F.concat(
-        acc, F.array(F.exp(x) + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)))))
+    width = 12.0 * math.sqrt(rate) + 40.0
+    first, mode, last = max(0, int(rate - width)), int(rate), int(rate + width)
+    k = np.arange(first, last + 1, dtype=np.float64)
+    steps = math.log(rate) - np.log(np.maximum(k, 1.0))  # from k - 1 to k
+    log_p = np.concatenate((-np.cumsum(steps[1:mode - first + 1][::-1])[::-1], [0.0], np.cumsum(steps[mode - first + 1:])))
+    cdf = np.cumsum(np.exp(log_p))
+    return first, cdf / cdf[-1]
+
+
+def _tables(rates: DataFrame) -> DataFrame:
+    """(of, first, cdf) of the sources with a rate above 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, rate in enumerate(b.column(1).to_pylist()):
+                first, cdf = poisson_table(rate)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([first], pa.int64()), pa.array([cdf], pa.list_(pa.float64()))],
+                                                 names=["of", "first", "cdf"])
+    kind = rates.schema["source"].dataType.simpleString()
+    return rates.select("source", "rate").where("rate > 0").mapInArrow(run, f"of {kind}, first long, cdf array<double>")
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None = None,
@@ -71,16 +93,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, size: float |
     """The mixed corpus: the columns of ``docs``, ``mix_copy`` (1..k) and ``mix_key``, ordered by ``mix_key``."""
     if weights is not None and not math.fsum(weights.values()) > 0:
         raise ValueError("target weights must sum to more than 0")
-    rates = source_rates(docs, weights, size).select(
-        F.col("source").alias("of"), F.when(F.col("rate") > 0, poisson_terms(F.col("rate"))).alias("cdf"))
-    rates = F.broadcast(rates) if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else rates
-    ident = (F.col("doc_id"), F.col("source"), F.length("text"))
-    rows = docs.select(packed(docs), F.col("source").alias("source"), uniform(F.lit(seed), *ident).alias("u"))
-    drawn = rows.join(rates, F.col("source").eqNullSafe(F.col("of")))
-    times = F.coalesce(F.size(F.filter("cdf", lambda c: c <= F.col("u"))), F.lit(0))
-    drawn = drawn.select("row", F.when(F.col("cdf").isNull(), 0).otherwise(times).alias("n")).where("n > 0")
-    copies = drawn.select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("mix_copy"))
-    key = uniform(F.lit(f"order{seed}"), F.col("row.doc_id"), F.col("row.source"), F.length("row.text"), F.col("mix_copy"))
+    tables = stage(_tables(source_rates(docs, weights, size)), "poisson")
+    entries = tables.agg(F.sum(F.size("cdf").cast("long"))).first()[0] or 0
+    text = F.md5(F.col("text").cast("binary"))
+    ident = (F.col("doc_id"), F.col("source"), text)
+    rows = docs.select(packed(docs), F.col("source").alias("source"), text.alias("text"), uniform(F.lit(seed), *ident).alias("u"))
+    drawn = rows.join(F.broadcast(tables) if entries <= BROADCAST_ENTRIES else tables, F.col("source").eqNullSafe(F.col("of")))
+    # The table's last entry is 1, above every u.  At its first one the cdf is what lies below the table and nothing else.
+    n = F.col("first") + F.size(F.filter("cdf", lambda c: c <= F.col("u")))
+    drawn = drawn.select("row", "text", n.alias("n")).where("n > 0")
+    lots = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))
+    lot = drawn.select("row", "text", "n", F.explode(lots).alias("lot"))
+    within = F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col("n") - F.col("lot") * COPIES))
+    copies = lot.select("row", "text", "lot", F.explode(within).alias("place"))
+    copies = copies.select("row", "text", (F.col("lot") * COPIES + F.col("place")).cast("int").alias("mix_copy"))
+    key = uniform(F.lit(f"order{seed}"), F.col("row.doc_id"), F.col("row.source"), F.col("text"), F.col("mix_copy"))
     kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("mix_copy", "mix_key")]
     return copies.withColumn("mix_key", key).orderBy("mix_key", "row.doc_id", "mix_copy").select(*kept, "mix_copy", "mix_key")
 
@@ -90,12 +117,12 @@ WITH counts AS (SELECT source, count(*) AS n_docs FROM documents GROUP BY source
 totals AS (SELECT count(*) AS w, sum(n_docs) AS n FROM counts),
 rates AS (SELECT source, CAST(n AS DOUBLE) * 1.0 / w / n_docs AS rate FROM counts, totals),
 cdf AS (
-  SELECT r.source, k, sum(exp(-r.rate + k * ln(r.rate) - CASE WHEN k = 0 THEN 0 ELSE lgamma(k + 1) END))
-         OVER (PARTITION BY r.source ORDER BY k) AS c
-  FROM rates r, range(0, 200) t(k)),
+  SELECT source, k, sum(exp(-rate + k * ln(rate) - CASE WHEN k = 0 THEN 0 ELSE lgamma(k + 1) END))
+         OVER (PARTITION BY source ORDER BY k) AS c
+  FROM (SELECT source, rate, unnest(range(0, CAST(rate + 12 * sqrt(rate) + 41 AS BIGINT))) AS k FROM rates)),
 drawn AS (
   SELECT d.*, CAST(('0x' || substr(md5(concat_ws('|', '{SEED}', coalesce(CAST(doc_id AS VARCHAR), '~'),
-         coalesce(source, '~'), coalesce(CAST(length(text) AS VARCHAR), '~'))), 1, 13)) AS BIGINT) / {_SPAN} AS u
+         coalesce(source, '~'), coalesce(md5(text), '~'))), 1, 13)) AS BIGINT) / {_SPAN} AS u
   FROM documents d),
 counted AS (
   SELECT d.doc_id, d.source, d.lang, d.text, d.n_chars, count(*) AS n
@@ -103,6 +130,6 @@ counted AS (
   GROUP BY ALL)
 SELECT doc_id, text, lang, source, n_chars, CAST(g AS INTEGER) AS mix_copy,
        CAST(('0x' || substr(md5(concat_ws('|', 'order{SEED}', coalesce(CAST(doc_id AS VARCHAR), '~'),
-       coalesce(source, '~'), coalesce(CAST(length(text) AS VARCHAR), '~'), CAST(g AS VARCHAR))), 1, 13)) AS BIGINT) / {_SPAN} AS mix_key
+       coalesce(source, '~'), coalesce(md5(text), '~'), CAST(g AS VARCHAR))), 1, 13)) AS BIGINT) / {_SPAN} AS mix_key
 FROM counted, unnest(range(1, n + 1)) t(g)
 """
