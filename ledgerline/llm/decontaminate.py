@@ -7,9 +7,12 @@ these grams form a broadcast set; every window of every document is hashed in
 generated code and looked up, and each hit is verified on the words themselves.
 
 Everything is DataFrame code.  The gram table is broadcast only up to
-``BROADCAST_GRAMS`` rows; beyond that the same join runs shuffled.
+``BROADCAST_BYTES`` of words; beyond that the same join runs shuffled, and a
+window carries its own words only.  Which items hold a gram is joined to the
+hits afterwards.
 
-Defined results: a null or empty text has no words; a null item_id counts for
+Defined results: a null or empty text has no words; very long texts are read
+whole, a window at a time; a null item_id counts for
 hits but not as an item; rows that share a doc_id are told apart by a hash of
 their text, and equal rows get equal results; an empty benchmark hits nothing;
 empty documents give an empty result; extra columns are ignored.
@@ -22,8 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from .common import stage
 
 N_WORDS = 10
-#: 10 words and an id are a few hundred bytes: 500,000 grams are some 150 MB at most.
-BROADCAST_GRAMS = 500_000
+#: Bytes of grams that are sent to all tasks: the words, and some 100 bytes a gram besides.
+BROADCAST_BYTES = 150 * 1024 * 1024
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -47,14 +50,20 @@ def gram_items(benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
             .select(F.slice("w", F.col("at"), F.col("len")).alias("gram"), "item_id").distinct())
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
-    """(doc_id, th, at, len, item_ids): verified window hits, ``at`` counted from 0, th the hash of the text."""
-    grams = stage(gram_items(benchmark, n).groupBy("gram").agg(F.collect_set("item_id").alias("item_ids"))
-                  .select(F.xxhash64("gram").alias("h"), "gram", F.size("gram").alias("len"), "item_ids"), "grams")
-    lengths = sorted(r.len for r in grams.select("len").distinct().collect())  # at most n values
-    if not lengths:
-        lengths = [n]
-    few = grams.count() <= BROADCAST_GRAMS
+def grams_of(benchmark: DataFrame, n: int = N_WORDS) -> tuple[DataFrame, DataFrame]:
+    """The grams (g, h, gram, len), numbered as they are written, and (g, item_id)."""
+    held = stage(gram_items(benchmark, n), "gram-items")
+    grams = stage(held.select("gram").distinct().select(
+        F.monotonically_increasing_id().alias("g"), F.xxhash64("gram").alias("h"), "gram", F.size("gram").alias("len")), "grams")
+    items = held.join(grams.select("g", F.col("gram").alias("_gram")), F.col("gram") == F.col("_gram")).select("g", "item_id")
+    return grams, items
+
+
+def hits(docs: DataFrame, grams: DataFrame, n: int = N_WORDS) -> DataFrame:
+    """(doc_id, th, at, len, g): verified window hits, ``at`` counted from 0, th the hash of the text."""
+    known = grams.agg(F.collect_set("len").alias("lengths"), F.sum(F.octet_length(F.array_join("gram", " ")) + 100).alias("bytes")).first()
+    lengths = sorted(known.lengths) or [n]  # at most n values
+    few = (known.bytes or 0) <= BROADCAST_BYTES
     at = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("w"))
     # The outer form: the plain one makes Catalyst filter on size(w) first and split every text twice.
     at = at.select("doc_id", "th", "w", F.posexplode_outer("w").alias("at", "_word")).drop("_word")
@@ -64,23 +73,29 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
         at = at.withColumn("n", F.explode(F.array(*[F.lit(x) for x in lengths])))
     at = at.where(F.col("at") + F.col("n") <= F.size("w"))
     window = F.slice("w", F.col("at") + 1, F.col("n"))
-    scan = at.select("doc_id", "th", "at", "n", "w", F.xxhash64(window).alias("wh"))
-    found = scan.join(F.broadcast(grams) if few else grams, F.col("wh") == F.col("h"))
+    if few:
+        scan = at.select("doc_id", "th", "at", "n", "w", F.xxhash64(window).alias("wh"))
+        found = scan.join(F.broadcast(grams), F.col("wh") == F.col("h"))
+    else:
+        scan = at.select("doc_id", "th", "at", "n", window.alias("own"), F.xxhash64(window).alias("wh"))
+        found = scan.join(grams, F.col("wh") == F.col("h"))
+        window = F.col("own")
     # Verified as two inequalities: an equality would become a join key, and every window be copied to probe with.
     same = (window <= F.col("gram")) & (window >= F.col("gram"))
-    return found.where(same & (F.col("n") == F.col("len"))).select("doc_id", "th", "at", "len", "item_ids")
+    return found.where(same & (F.col("n") == F.col("len"))).select("doc_id", "th", "at", "len", "g")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
     """One row per document: words, hit words, items found and the contamination flag."""
-    found = stage(hits(docs, benchmark, n), "hits").distinct()
+    grams, held = grams_of(benchmark, n)
+    found = stage(hits(docs, grams, n), "hits").distinct()
     key = ("doc_id", "th")
     order = Window.partitionBy(*key).orderBy("at", "len").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("at") + F.col("len")
     fresh = F.greatest(F.lit(0), end - F.greatest(F.col("at"), F.coalesce(F.max(end).over(order), F.lit(0))))
     covered = found.select(*key, fresh.alias("fresh")).groupBy(*key).agg(F.sum("fresh").cast("long").alias("n_hit"))
-    items = (found.select(*key, "item_ids").distinct()
-             .select(*key, F.explode(F.col("item_ids").cast("array<string>")).alias("item")).distinct()
+    items = (found.select(*key, "g").distinct().join(held, "g")
+             .where("item_id IS NOT NULL").select(*key, F.col("item_id").cast("string").alias("item")).distinct()
              .groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items")))
     per_doc = (covered.join(items, [covered.doc_id.eqNullSafe(items.doc_id), covered.th == items.th], "left")
                .select(covered.doc_id.alias("_id"), covered.th.alias("_th"), "n_hit", "items"))
@@ -95,13 +110,13 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns stay."""
-    bad = hits(docs, benchmark, n).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
+    bad = hits(docs, grams_of(benchmark, n)[0], n).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_th"]), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
     """(doc_id, text, kept_words): each document's normalised words without the hit ones, as an array."""
-    found = hits(docs, benchmark, n).groupBy("doc_id", "th").agg(
+    found = hits(docs, grams_of(benchmark, n)[0], n).groupBy("doc_id", "th").agg(
         F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("at"), F.col("at") + F.col("len") - 1)))).alias("gone"))
     found = found.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "gone")
     w = docs.select("doc_id", "text", words(F.col("text")).alias("w"))
