@@ -193,8 +193,8 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, tables:
     rows = stage(identified(vectors), "vectors")
     classes = rows.where("digest IS NOT NULL AND vec_id IS NOT NULL").groupBy("digest").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
-    # Two vectors may carry one id: classes are told apart by a number of their own.
-    classes = stage(classes.withColumn("vec", F.col("id")).withColumn("id", F.xxhash64("digest")), "classes")
+    # Two vectors may carry one id: classes are told apart by a number of their own, given when they are written.
+    classes = stage(classes.withColumn("vec", F.col("id")).withColumn("id", F.monotonically_increasing_id()), "classes")
     lsh = stage(hashed(classes, tables, projections, width), "lsh")
     slim = _dealt(lsh)
     heavy = lsh.select(F.col("id").alias("_id"), "copies", "vector", "keys")

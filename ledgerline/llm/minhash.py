@@ -6,7 +6,7 @@ sketches together, holds their common values in proportion to their Jaccard
 similarity.
 
 1. Equal sets collapse to a class by digest; its id is the smallest doc_id (for
-   ``drop_near_duplicates`` the first 60 bits of the digest).
+   ``drop_near_duplicates`` a number given when the classes are written).
 2. Retained values form inverted lists.  Values held by one class only are
    dropped; of the others each class enters only its rarest: two sketches that
    must share ``o`` of ``r`` values meet within the ``r - o + 1`` rarest of each
@@ -15,9 +15,15 @@ similarity.
    and filters.  A longer list gives one link of each class to the list's
    pivot, unfiltered, so that no pair in it is lost.  The components of these
    links are candidate groups: every pair that may be similar lies in one.
-4. Within a group, in blocks of bounded size and only between neighbouring
-   bands of set size, all full sets are intersected exactly; links at or over
-   the threshold join classes, and the components of those links are the result.
+4. A group of more than one block first meets ``LEADERS`` of its classes, drawn by
+   hash, by exact comparison: classes that are linked to a leader form its family
+   and need no comparison with each other, so a family of any size costs a few
+   comparisons a class.
+5. Within a group, in blocks bounded in rows, shingles and bytes of text, only
+   between neighbouring bands of set size and not within a family, full sets are
+   intersected exactly through inverted lists; links at or over the threshold
+   join classes, and the components of those links are the result.  In a task a
+   class is not compared with those that it is joined to already.
 
 Steps 2 and 3 miss a pair at the threshold only if its union sketch holds five
 standard deviations fewer common values than expected (about 1e-6, and less
@@ -31,7 +37,8 @@ empty result; extra columns are ignored by ``near_duplicates`` and kept by
 doc_id links with nothing there, its component is null and it is kept; rows that
 share a doc_id are one document, whose text is the one with words and the
 smallest hash, and all of them get its component.  ``drop_near_duplicates`` works
-on rows: every text with words is compared, whatever its id.
+on rows: every text with words is compared, whatever its id.  Very long texts are
+compared whole, as a block of their own.
 """
 
 from __future__ import annotations
@@ -47,13 +54,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import packed, same_key, shuffle_partitions, stage
 from .components import connected_components
-from .runs import complete_runs, smallest_linked
+from .runs import complete_runs
 
 K = 64
 #: Classes in an inverted list that still gives pairs; longer lists give links to a pivot.
 LIST = 48
-#: Shingles in a block; two blocks are compared in a task's memory.
-BLOCK_SHINGLES = 200_000
+#: Shingles in a block; two blocks are compared in a task's memory.  A row counts as ``ROW_SHINGLES`` at least, and
+#: ``SHINGLE_BYTES`` of its text as one.
+BLOCK_SHINGLES, ROW_SHINGLES, SHINGLE_BYTES = 200_000, 40, 16
+#: Classes of a large group that all others meet first.
+LEADERS = 8
 #: Ids up to this many are sent to the scan of the texts; beyond it the join is shuffled.
 BROADCAST_IDS = 500_000
 
@@ -90,25 +100,27 @@ def shared_values(threshold: float) -> int:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, th, n, digest, sketch) of every document, th the hash of its text."""
+    """(doc_id, th, n, weight, digest, sketch) of every document: hash of the text, size of the set, its share of a block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                n, digests, kept = [], [], []
+                n, weight, digests, kept = [], [], [], []
                 for text in b.column(2):
-                    s = shingle_set(text.as_py(), size)
+                    t = text.as_py()
+                    s = shingle_set(t, size)
                     n.append(len(s))
+                    weight.append(max(len(s), ROW_SHINGLES, len(t or "") // SHINGLE_BYTES))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     kept.append(s[:K])
                 bounds = np.concatenate(([0], np.cumsum([len(x) for x in kept]))).astype(np.int32)
                 values = np.concatenate(kept) if kept else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+                    [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(weight, pa.int64()), pa.array(digests, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, pa.int64()))],
-                    names=["doc_id", "th", "n", "digest", "sketch"])
+                    names=["doc_id", "th", "n", "weight", "digest", "sketch"])
     return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(
-        run, "doc_id long, th long, n long, digest binary, sketch array<long>")
+        run, "doc_id long, th long, n long, weight long, digest binary, sketch array<long>")
 
 
 def _lists(classes: DataFrame, threshold: float) -> DataFrame:
@@ -133,28 +145,64 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     return both.where(hit * F.lit(K) >= F.lit(shared_values(threshold)) * F.size(union)).select("a", "b")
 
 
+def _families(big: DataFrame, text: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """(id, family, low): the classes linked to a leader of their group, the leaders' number and the smallest leader's id.
+
+    ``big`` has the classes (grp, id, chunks) of large groups; leaders that are linked to each other lead one family.
+    """
+    over, under = threshold
+    nth = F.row_number().over(Window.partitionBy("grp").orderBy(F.xxhash64("id"), "id")).cast("long")
+    leaders = big.withColumn("leader", nth).where(F.col("leader") <= LEADERS)
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+    rows = (big.select("grp", F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk"), F.lit(0).cast("long").alias("leader"), "id")
+            .union(leaders.select("grp", chunk, "leader", "id")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, bounds in complete_runs(batches, 2):
+            ids, leads, text_ = t.column("id").to_numpy(), t.column("leader").to_numpy() > 0, t.column("text")
+            found: list[tuple[int, int, int]] = []
+            for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                first = s + int(leads[s:e].sum())
+                ahead = [shingle_set(text_[i].as_py(), size) for i in range(s, first)]
+                low = smallest_joined(ahead, ids[s:first], over, under)
+                for i in range(first, e):
+                    own = shingle_set(text_[i].as_py(), size)
+                    for r, lead in enumerate(ahead):
+                        most = min(len(own), len(lead))
+                        if under * most < over * max(len(own), len(lead)):
+                            continue
+                        common = len(np.intersect1d(own, lead, assume_unique=True))
+                        if under * common >= over * (len(own) + len(lead) - common):
+                            found.append((int(ids[i]), int(np.flatnonzero(low == low[r])[0]), int(low[r])))
+                            break
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["id", "family", "low"])
+    dealt = (rows.join(text, F.col("id") == F.col("_id")).select("grp", "chunk", "leader", "id", "text")
+             .repartition(shuffle_partitions(big.sparkSession), "grp", "chunk").sortWithinPartitions("grp", "chunk", F.desc("leader"), "id"))
+    return dealt.mapInArrow(run, "id long, family long, low long")
+
+
 def _blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """(grp, i, j, band, block, id, n): each class in the pairs of blocks that it takes part in.
+    """(grp, i, j, own, id, n): each class in the pairs of blocks that it takes part in.
 
     Sizes of a similar pair differ by less than one band, so a block meets its
-    own band and the next.  A (group, band) of many shingles is dealt over
-    several blocks.
+    own band and the next ones, but not its own family (-1: no family).  The
+    classes of one group, band and family are dealt over blocks by weight.
     """
     m = members.withColumn("band", F.floor(F.log("n") / F.lit(-math.log(threshold))).cast("long"))
-    sizes = m.groupBy("grp", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    s = sizes.select("grp", "band", "blocks")
-    near = (s.join(s.select("grp", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above")), ["grp", "band"], "left")
-            .join(s.select("grp", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below")), ["grp", "band"], "left"))
-    near = near.select(F.col("grp").alias("_g"), F.col("band").alias("_b"), "blocks", "above", "below")
-    m = m.join(near, same_key(F.col("grp"), F.col("_g")) & (F.col("band") == F.col("_b"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    # A block's number is band * 2^20 + place; pairs are (smaller, larger).
-    number = lambda band, place: band * F.lit(1 << 20) + place
-    own = number(F.col("band"), F.col("block"))
-    up_to = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).otherwise(F.array().cast("array<long>"))
-    partners = F.concat(F.transform(up_to("blocks"), lambda x: number(F.col("band"), x)),
-                        F.transform(up_to("above"), lambda x: number(F.col("band") + 1, x)),
-                        F.transform(up_to("below"), lambda x: number(F.col("band") - 1, x)))
-    m = m.withColumn("own", own).withColumn("other", F.explode(partners))
+    cells = m.groupBy("grp", "band", "family").agg(F.ceil(F.sum("weight") / BLOCK_SHINGLES).alias("blocks"))
+    # A block's number is its band, family and place; pairs are (smaller, larger).
+    number = lambda band, family, place: band * F.lit(1 << 24) + (family + 1) * F.lit(1 << 20) + place
+    other = cells.select(F.col("grp").alias("_g"), F.col("band").alias("_b"), F.col("family").alias("_f"), F.col("blocks").alias("_n"))
+    near = cells.join(other, (F.col("grp") == F.col("_g")) & (F.abs(F.col("band") - F.col("_b")) <= 1)
+                      & ((F.col("family") != F.col("_f")) | (F.col("family") < 0)))
+    near = near.groupBy(F.col("grp").alias("_g"), F.col("band").alias("_b"), F.col("family").alias("_f"), "blocks").agg(
+        F.collect_list(F.struct("_b", "_f", "_n")).alias("cells"))  # three bands of at most LEADERS + 1 families
+    m = m.join(near, same_key(F.col("grp"), F.col("_g")) & (F.col("band") == F.col("_b")) & (F.col("family") == F.col("_f")))
+    own = number(F.col("band"), F.col("family"), F.pmod(F.xxhash64("id"), F.col("blocks")))
+    partners = F.flatten(F.transform("cells", lambda c: F.transform(
+        F.sequence(F.lit(0).cast("long"), c["_n"] - 1), lambda place: number(c["_b"], c["_f"], place))))
+    m = m.select("grp", "id", "n", own.alias("own"), F.explode(partners).alias("other"))
     return m.select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n")
 
 
@@ -169,7 +217,7 @@ def _exact(texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame
             for s, e in zip(bounds[:-1], bounds[1:]):
                 if e - s < 2:
                     continue
-                low = smallest_linked(links([shingle_set(text[int(i)].as_py(), size) for i in range(s, e)], over, under), ids[s:e])
+                low = smallest_joined([shingle_set(text[int(i)].as_py(), size) for i in range(s, e)], ids[s:e], over, under)
                 moved = low < ids[s:e]
                 a.append(ids[s:e][moved])
                 b.append(low[moved])
@@ -181,35 +229,46 @@ def _exact(texts: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def links(sets: list[np.ndarray], over: int, under: int) -> np.ndarray:
-    """Symmetric matrix: under * |intersection| >= over * |union|, from exact counts of common values."""
+def smallest_joined(sets: list[np.ndarray], ids: np.ndarray, over: int, under: int) -> np.ndarray:
+    """For every set the smallest id that it reaches by links: under * |intersection| >= over * |union|.
+
+    Common values are counted through inverted lists, one row against all that it
+    is not joined to yet: memory is in proportion to the values, whatever the
+    number of rows.
+    """
+    rows = len(sets)
     n = np.array([len(s) for s in sets], np.int64)
-    value, place = np.unique(np.concatenate(sets), return_inverse=True)
-    held = np.bincount(place, minlength=len(value))
-    owner = np.repeat(np.arange(len(sets)), n)
-    use = held[place] > 1
-    column = np.cumsum(held > 1) - 1
-    place, owner = column[place[use]], owner[use]
-    order = np.argsort(place, kind="stable")
-    place, owner = place[order], owner[order]
-    common = np.zeros((len(sets), len(sets)), np.float64)
-    columns = int(place[-1]) + 1 if len(place) else 0
-    width = max(1, min(columns, max(1024, (1 << 22) // max(1, len(sets)))))
-    for c in range(0, columns, width):
-        lo, hi = np.searchsorted(place, (c, c + width))
-        dense = np.zeros((len(sets), width), np.float32)
-        dense[owner[lo:hi], place[lo:hi] - c] = 1
-        common += dense @ dense.T
-    union = n[:, None] + n[None, :] - common
-    linked = under * common >= over * union
-    np.fill_diagonal(linked, False)
-    return linked
+    begin = np.concatenate(([0], np.cumsum(n)))
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.bincount(place)
+    ends = np.cumsum(held)
+    owner = np.repeat(np.arange(rows), n)[np.argsort(place, kind="stable")]  # the lists, one after the other
+    part, parts = np.arange(rows), rows
+    for r in range(rows - 1):
+        if parts == 1:
+            break
+        apart = part[r + 1:] != part[r]
+        if not apart.any():
+            continue
+        v = place[begin[r]:begin[r + 1]]
+        size = held[v]
+        before = np.cumsum(size) - size
+        met = owner[np.repeat(ends[v] - size - before, size) + np.arange(size.sum())]
+        common = np.bincount(met[met > r] - r - 1, minlength=rows - r - 1)
+        linked = apart & (under * common >= over * (n[r] + n[r + 1:] - common))
+        if linked.any():
+            joined = np.unique(part[r + 1:][linked])
+            part[np.isin(part, joined)] = part[r]
+            parts -= len(joined)
+    low = np.full(rows, np.iinfo(np.int64).max)
+    np.minimum.at(low, part, ids)
+    return low[part]
 
 
 def _linked(docs: DataFrame, classes: DataFrame, size: int, over: int, under: int) -> DataFrame:
     """(id, component) of the classes that are not the smallest of their component.
 
-    ``classes`` are (id, th, digest, n, sketch); th is the hash of a text that has the class's set.
+    ``classes`` are (id, th, digest, n, weight, sketch); th is the hash of a text that has the class's set.
     """
     threshold = over / under
     lists = stage(_lists(classes, threshold), "lists")
@@ -224,14 +283,29 @@ def _linked(docs: DataFrame, classes: DataFrame, size: int, over: int, under: in
     stars = entries.where((F.col("held") > LIST) & (F.col("id") != F.col("pivot"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     moved = connected_components(_estimated(stage(pairs, "pairs"), classes, threshold).union(stars), "candidates")
     groups = moved.union(moved.select(F.col("component").alias("id"), "component").distinct())
-    members = stage(classes.select("id", "n", "th").join(groups, "id").select("id", "n", "th", F.col("component").alias("grp")), "members")
-    blocks = stage(_blocks(members, threshold), "blocks")
+    members = stage(classes.select("id", "n", "weight", "th").join(groups, "id").select(
+        "id", "n", "weight", "th", F.col("component").alias("grp")), "members")
     few = members.count() <= BROADCAST_IDS
     ids = members.select(F.col("id").alias("_id"), F.col("th").alias("_th"))
     text = (docs.select(F.xxhash64("text").alias("th"), "text").where("text IS NOT NULL")
             .join(F.broadcast(ids) if few else ids, F.col("th") == F.col("_th"))
             .groupBy("_id").agg(F.min("text").alias("text")))
-    return connected_components(_exact(blocks.join(text, F.col("id") == F.col("_id")), size, (over, under)), "near")
+    chunks = F.ceil(F.col("weight") / BLOCK_SHINGLES)
+    large = stage(members.groupBy(F.col("grp").alias("_g")).agg(F.sum("weight").alias("weight")).where(chunks > 1)
+                  .select("_g", chunks.alias("chunks")), "large-groups")
+    led = None
+    if large.limit(1).count():
+        text = stage(text, "candidate-texts")  # read twice
+        big = members.join(large, same_key(F.col("grp"), F.col("_g"))).select("grp", "id", "chunks")
+        led = stage(_families(big, text, size, (over, under)), "families")
+        members = members.join(led.select("id", "family"), "id", "left").fillna(-1, ["family"])
+    else:
+        members = members.withColumn("family", F.lit(-1).cast("long"))
+    blocks = stage(_blocks(members, threshold), "blocks")
+    near = _exact(blocks.join(text, F.col("id") == F.col("_id")), size, (over, under))
+    if led is not None:
+        near = near.union(led.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    return connected_components(near, "near")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int = 100) -> DataFrame:
@@ -243,7 +317,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int =
     own = stage(sk.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min_by("digest", "th").alias("own"), F.min("th").alias("th")), "own")
     first = own.groupBy(F.col("own").alias("digest")).agg(F.min("doc_id").alias("id"), F.min_by("th", "doc_id").alias("th"))
-    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.max("weight").alias("weight"), F.first("sketch").alias("sketch"))
     classes = stage(first.join(kept, "digest"), "classes")
     found = _linked(docs, classes, size, over, under)
     label = (classes.select("digest", "id").join(found, "id", "left")
@@ -258,22 +332,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int =
 def drop_near_duplicates(docs: DataFrame, size: int = 5, over: int = 80, under: int = 100) -> DataFrame:
     """``docs`` with one row of each group; all columns stay.
 
-    All texts are compared, also those of a shared or null id.  Of a group's rows
-    with an id the one with the smallest id stays, of those without one the one
-    with the smallest hash of its text; repeated rows count as one.
+    All texts are compared, also those of a shared or null id.  Of a group the row
+    with the smallest id stays, in a group without ids the one with the smallest
+    hash of its text; repeated rows count as one.
     """
     sk = stage(sketches(docs, size), "sketches")
     texts = stage(sk.where("n > 0").groupBy("doc_id", "th").agg(F.first("digest").alias("digest"), F.count(F.lit(1)).alias("rows")), "texts")
-    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("th").alias("th"))
-    number = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long")  # 60 bits of the digest
-    classes = stage(kept.select(number.alias("id"), "th", "digest", "n", "sketch"), "classes")
+    kept = sk.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.max("weight").alias("weight"),
+                                                   F.first("sketch").alias("sketch"), F.min("th").alias("th"))
+    classes = stage(kept.withColumn("id", F.monotonically_increasing_id()), "classes")
     found = _linked(docs, classes, size, over, under)
     label = (classes.select("digest", "id").join(found, "id", "left")
              .select(F.col("digest").alias("_d"), F.coalesce("component", "id").alias("grp")))
     # same_key: many rows may have one set, or be one group.
-    texts = stage(texts.join(label, same_key(F.col("digest"), F.col("_d"))).select("doc_id", "th", "rows", "grp", F.col("doc_id").isNull().alias("no_id")), "labelled")
-    heads = texts.groupBy(F.col("grp").alias("_g"), F.col("no_id").alias("_n")).agg(F.min(F.struct("doc_id", "th")).alias("head"))
-    judged = (texts.join(heads, same_key(F.col("grp"), F.col("_g")) & (F.col("no_id") == F.col("_n")))
+    texts = stage(texts.join(label, same_key(F.col("digest"), F.col("_d"))).select("doc_id", "th", "rows", "grp"), "labelled")
+    heads = texts.groupBy(F.col("grp").alias("_g")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("head"))
+    judged = (texts.join(heads, same_key(F.col("grp"), F.col("_g")))
               .withColumn("first", F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("th") == F.col("head.th"))))
     judged = stage(judged.where("NOT first OR rows > 1").select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th"), "first"), "judged")
     th = F.xxhash64(docs["text"])
