@@ -1,4 +1,4 @@
-"""Exact substring dedup: sampled suffixes, range-partitioned and sorted in buckets.
+"""Exact substring dedup: equal blocks by digest, all other suffixes range-partitioned and sorted in buckets.
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts earlier is
 removed (earlier: smaller doc_id, or same document and earlier start).
@@ -10,24 +10,24 @@ windows have their anchor at the same place, and neighbouring windows mostly
 share one, so that one record in some 39 bytes stands for all windows.
 
 1. ``anchors``: a task finds the anchors of its texts.  A record is the hash of
-   the anchor's leading bytes, a digest of all bytes of its windows (the block),
-   and where it is.  Of equal blocks in a task only the first goes on; the
-   others are repeats.
-2. Records meet by leading bytes.  Of equal blocks the first stays; an anchor
-   with one block only has no repeat.  What is left, one block of each kind where
-   an anchor has several, is undecided.
-3. The undecided blocks are fetched from the texts and range-partitioned by
-   their anchor's leading bytes, with splitters sampled by Spark.  In a bucket
-   all suffixes at window starts are sorted to ``LENGTH`` bytes by a multikey
-   quicksort (8 bytes a round, only groups still tied go on); of equal ones all
-   but the first are repeats.  An anchor with very many blocks is spread over
-   several buckets, whose distinct suffixes are then compared across the
-   boundaries by digest.
+   the anchor's leading bytes, a digest of all bytes of its windows (the block;
+   64 bits each, which together name a block), and where it is.  Of equal blocks
+   in a task only the first goes on; the others are repeats.
+2. Equal blocks of different tasks meet, and the first stays.  Then the blocks of
+   each anchor are counted: one with a single block has no repeat, the blocks of
+   the others are undecided.
+3. The undecided blocks are fetched from the texts and range-partitioned by the
+   ``K`` leading bytes of their anchors, with splitters sampled by Spark.  In a
+   bucket all suffixes at window starts are sorted to ``LENGTH`` bytes by a
+   multikey quicksort (8 bytes a round, only groups still tied go on); of equal
+   ones all but the first are repeats.  An anchor with very many blocks is spread
+   over neighbouring buckets, whose distinct suffixes are then compared across
+   the boundaries by 128-bit digest.
 4. The repeats of a document are merged, joined to its text and cut out.
 
-No text leaves its row but as an undecided block; no step holds more than a
-task's anchors, and a string that a third of all rows share arrives at most once
-per task.
+No text leaves its row but as an undecided block.  What meets in one place is a
+block, at most once per task, or a bucket of ``BUCKET`` blocks or so; anchors are
+counted with a map-side step.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` lose
 nothing; rows without id come after all others, in the order of a hash of their
@@ -215,13 +215,10 @@ def _records(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _FOUND)
 
 
-def _undecided(records: DataFrame) -> DataFrame:
-    """Step 2: repeats, and one block of each kind where an anchor has several; ``block`` is then its bucket.
-
-    Buckets count from 0; a bucket number with 2^32 added belongs to an anchor with several.
-    """
+def _once(records: DataFrame) -> DataFrame:
+    """Step 2: the first of equal blocks, and the others as repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, _ in complete_runs(batches, 1):
+        for t, _ in complete_runs(batches, 2):
             lead, block, doc, th, place, low, high = (t.column(c).to_numpy() for c in _NAMES)
             told = place == REPEAT
             if told.any():
@@ -229,24 +226,26 @@ def _undecided(records: DataFrame) -> DataFrame:
                 lead, block, doc, th, place, low, high = (c[~told] for c in (lead, block, doc, th, place, low, high))
             if not len(lead):
                 continue
-            other = np.concatenate(([True], lead[1:] != lead[:-1]))
-            new = other.copy()
-            new[1:] |= block[1:] != block[:-1]
+            new = np.concatenate(([True], (lead[1:] != lead[:-1]) | (block[1:] != block[:-1])))
             repeat = _later(np.cumsum(new), doc, th, place)
             if repeat.any():
                 yield from _emit(_merged(doc[repeat], th[repeat], low[repeat], high[repeat]))
-            kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(other))
-            group = np.cumsum(other) - 1
-            rank = np.cumsum(new) - 1 - (np.cumsum(kinds) - kinds)[group]
-            ship = new & (kinds[group] > 1)
-            bucket = rank // BUCKET + np.where(kinds[group] > BUCKET, 1 << 32, 0)
-            if ship.any():
-                yield from _emit([c[ship] for c in (lead, bucket, doc, th, place, low, high)])
-    dealt = records.repartition(shuffle_partitions(records.sparkSession), "lead").sortWithinPartitions(
-        "lead", "block", "doc", "th", "place")
+            yield from _emit([c[new] for c in (lead, block, doc, th, place, low, high)])
+    keys = ("lead", "block")
+    dealt = records.repartition(shuffle_partitions(records.sparkSession), *keys).sortWithinPartitions(*keys, "doc", "th", "place")
     return dealt.mapInArrow(run, _FOUND)
 
 
+def _several(blocks: DataFrame) -> DataFrame:
+    """The blocks of anchors that have several, ``block`` being their bucket.
+
+    Buckets count from 0; a number with 2^32 added belongs to an anchor with several buckets.
+    """
+    kinds = blocks.groupBy(F.col("lead").alias("_lead")).agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    buckets = F.ceil(F.col("kinds") / BUCKET)
+    spread = F.pmod(F.xxhash64("block"), buckets) + F.lit(1 << 32)
+    return (blocks.join(kinds, same_key(F.col("lead"), F.col("_lead")))
+            .withColumn("block", F.when(buckets > 1, spread).otherwise(F.lit(0).cast("long"))).select(*_NAMES))
 
 
 def _fetched(undecided: DataFrame, docs: DataFrame) -> DataFrame:
@@ -254,10 +253,11 @@ def _fetched(undecided: DataFrame, docs: DataFrame) -> DataFrame:
     per_doc = undecided.groupBy("doc", "th").agg(F.collect_list(F.struct("lead", F.col("block").alias("bucket"), "place", "low", "high")).alias("b"))
     doc, th = _doc(docs)
     texts = docs.select(doc.alias("_doc"), th.alias("_th"), F.col("text").cast("binary").alias("raw"))
-    found = per_doc.join(texts, (F.col("doc") == F.col("_doc")) & (F.col("th") == F.col("_th")))
+    found = per_doc.join(texts, same_key(F.col("doc"), F.col("_doc")) & (F.col("th") == F.col("_th")))
     cut = found.select("doc", "th", "raw", F.explode("b").alias("b")).select("b.lead", "b.bucket", "doc", "th", "b.place", "b.low", "b.high", "raw")
-    return cut.select("lead", "bucket", "doc", "th", "place", "low", "high",
-                      F.substring("raw", F.col("low").cast("int") + 1, (F.col("high") - F.col("low")).cast("int") + LENGTH).alias("bytes")).distinct()
+    bytes_ = F.substring("raw", F.col("low").cast("int") + 1, (F.col("high") - F.col("low")).cast("int") + LENGTH)
+    leading = F.substring("raw", F.col("place").cast("int") + 1, F.lit(K))
+    return cut.select("lead", "bucket", "doc", "th", "place", "low", "high", bytes_.alias("bytes"), leading.alias("leading")).distinct()
 
 
 def multikey_sort(buffer: np.ndarray, start: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -314,8 +314,10 @@ def _sorted_buckets(blocks: DataFrame) -> DataFrame:
                 s = np.flatnonzero(spread)
                 part, digest = _digest_parts(buffer, begin[row[s]] + step[s])
                 yield from _emit([part, digest, doc[row[s]], th[row[s]], place[row[s]] - window[s], window[s], window[s]])
-    dealt = blocks.repartitionByRange(shuffle_partitions(blocks.sparkSession), "lead", "bucket").sortWithinPartitions("lead", "bucket", "doc", "th", "low")
-    return dealt.mapInArrow(run, _FOUND)
+    # Equal leading bytes have equal leads, so a run of both is a bucket's part of one anchor.
+    dealt = blocks.repartitionByRange(shuffle_partitions(blocks.sparkSession), "leading", "bucket").sortWithinPartitions(
+        "leading", "bucket", "doc", "th", "low")
+    return dealt.drop("leading").mapInArrow(run, _FOUND)
 
 
 def _digest_parts(buffer: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -340,8 +342,9 @@ def _across(suffixes: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc, th, spans): ranges of bytes to remove, [start, end) and not yet merged, per document that has any."""
-    found = stage(_undecided(_records(docs)), "anchors")
-    blocks = stage(_fetched(found.where(F.col("place") != REPEAT), docs), "blocks")
+    found = stage(_once(_records(docs)), "anchors")
+    undecided = stage(_several(found.where(F.col("place") != REPEAT)), "undecided")
+    blocks = stage(_fetched(undecided, docs), "blocks")
     ordered = stage(_sorted_buckets(blocks), "suffixes")
     is_repeat = F.col("place") == REPEAT
     cols = ("doc", "th", "low", "high")
@@ -369,7 +372,7 @@ def _joined(docs: DataFrame) -> DataFrame:
     """(row, spans): each row of ``docs`` as a struct, with the ranges to remove or null."""
     doc, th = _doc(docs)
     spans = repeats(docs).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "spans")
-    return (docs.select(packed(docs), doc, th).join(spans, (F.col("doc") == F.col("_doc")) & (F.col("th") == F.col("_th")), "left")
+    return (docs.select(packed(docs), doc, th).join(spans, same_key(F.col("doc"), F.col("_doc")) & (F.col("th") == F.col("_th")), "left")
             .select("row", "spans"))
 
 
