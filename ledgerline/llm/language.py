@@ -14,8 +14,8 @@ alike for all languages.  Letters are lower-cased; what lies between words
 counts as one space.
 
 Fitting draws some ``SAMPLE_ROWS`` labelled texts per language, at least one, and
-takes of these the first ``MAX_CHARS`` letters each until ``SAMPLE_LETTERS`` are
-full: a documented, bounded sample.  The number of languages has no limit; time
+takes of each a window of ``WINDOW`` letters, at a place drawn by a hash from the
+whole text, until ``SAMPLE_LETTERS`` are full: a documented, bounded sample.  The number of languages has no limit; time
 and memory grow with it.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
@@ -39,7 +39,7 @@ from .common import crc_fold
 from .sampling import per_class
 
 FOLDS, HELD_OUT = 3, 1
-SAMPLE_ROWS, SAMPLE_LETTERS, MAX_CHARS = 100, 20_000, 10_000
+SAMPLE_ROWS, SAMPLE_LETTERS, WINDOW = 100, 20_000, 2_000
 PIECE, GROUP = 256, 1 << 21
 DENSE = 63
 #: Letters that are in no sample are one symbol: they are in no language's text, so nothing tells them apart.
@@ -170,9 +170,11 @@ def fit(docs: DataFrame) -> Sample:
     """The bounded sample of labelled text per language, drawn from the learning folds."""
     usable = docs.where((crc_fold("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull()
                         & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    begin = F.substring(F.regexp_replace("text", r"[^\p{L}]+", " "), 1, MAX_CHARS)
+    whole = F.regexp_replace("text", r"[^\p{L}]+", " ")
+    start = 1 + F.pmod(F.xxhash64("doc_id", F.lit("window")), F.greatest(F.lit(1), F.length(whole) - WINDOW + 1))
+    window = F.substr(whole, start.cast("int"), F.lit(WINDOW))
     rows = (per_class(usable, "lang", "doc_id", SAMPLE_ROWS).groupBy("lang", F.xxhash64("text").alias("h"))
-            .agg(F.min(begin).alias("text")).orderBy("lang", "h"))
+            .agg(F.min(window).alias("text")).orderBy("lang", "h"))
     texts: dict[str, list[str]] = {}
     size: Counter = Counter()
     for r in rows.toLocalIterator():

@@ -6,13 +6,14 @@ vector of ``RANK`` numbers, and every pair of inputs adds the product of their
 vectors; the sum over all pairs is had in linear time as half of (square of the
 sum less sum of the squares), vector place by vector place.
 
-Fitting takes at most ``SAMPLE`` texts per label, the first ``MAX_CHARS``
-characters of each: a documented, bounded sample.  Scoring reads whole texts.
+Fitting takes whole texts of each label until ``SAMPLE`` texts or ``SAMPLE_CHARS``
+characters are full: a documented, bounded sample.  Scoring reads whole texts.
 
 Defined results: a null or empty text has no words and is scored by its
 statistics, all 0; without labels of both kinds the score is 0; a row without id
 counts as held out; labels other than 0 and 1 and contradicting ones are not
-learned from; a null ``n_chars`` counts as 0; repeated rows get equal results;
+learned from; an ``n_chars`` that is null or no number counts
+as 0; repeated rows get equal results;
 extra columns are ignored.
 """
 
@@ -30,7 +31,7 @@ from .sampling import labelled_texts
 from .tokens import groups
 
 FOLDS, HELD_OUT = 3, 1
-SAMPLE, MAX_CHARS = 1500, 20_000
+SAMPLE, SAMPLE_CHARS = 1500, 6_000_000
 BITS, RANK = 16, 8
 ROUNDS, RATE, DECAY = 60, 0.1, 1e-4
 CUT = 0.5
@@ -152,11 +153,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array((s >= CUT).astype(np.int32))],
                                                  names=["doc_id", "held_out", "score", "predicted"])
     held_out = F.coalesce(crc_fold("doc_id", FOLDS) == HELD_OUT, F.lit(True))
-    size = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.length("text").cast("long")
+    size = F.col("n_chars").try_cast("long") if "n_chars" in docs.columns else F.length("text").cast("long")
     return docs.select("doc_id", held_out.alias("held_out"), "text", size.alias("size")).mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     learn = labels.where(crc_fold("doc_id", FOLDS) != HELD_OUT)
-    return score(docs, fit(labelled_texts(docs, learn, "quality", SAMPLE, MAX_CHARS)))
+    return score(docs, fit(labelled_texts(docs, learn, "quality", SAMPLE, SAMPLE_CHARS)))

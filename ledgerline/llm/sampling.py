@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import stage
 
@@ -26,30 +26,29 @@ def per_class(rows: DataFrame, label: str, key: str, wanted: int) -> DataFrame:
     return drawn.where((unit < F.col("_share")) | (unit == F.col("_least"))).drop("_class", "_share", "_least")
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int, max_chars: int) -> list[tuple[str, int]]:
-    """(text, label) of at most ``wanted`` texts per class: the first ``max_chars`` characters of each, whole if not longer.
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int, chars: int) -> list[tuple[str, int]]:
+    """(text, label): whole texts of each class in hash order, until ``wanted`` texts or ``chars`` characters are full.
 
-    Only ids are drawn from ``labels``; the bounded set of them is broadcast to
-    the scan of the texts.  If the ids drawn of a class have no text, ids are
-    drawn again from those that have one.  Ids with contradicting labels are left
-    out.
+    The shortest text drawn of a class is always taken.  Only ids are drawn from
+    ``labels``; the bounded set of them is broadcast to the scan of the texts.  If
+    the ids drawn of a class have no text, ids are drawn again from those that
+    have one.  Ids with contradicting labels are left out.
     """
     clean = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.min(label).alias("y"), F.max(label).alias("_top")).where("y = _top").drop("_top"))
     usable = docs.where(F.length("text") > 0).select("doc_id", "text")
+    # The drawn rows only: at most some 1.5 x wanted of a class.
+    by_class = Window.partitionBy("y")
+    in_order = by_class.orderBy(F.xxhash64("doc_id"), "text")
 
     def found(ids: DataFrame) -> list[tuple[str, int]]:
         drawn = per_class(ids, "y", "doc_id", wanted).select(F.col("doc_id").alias("_id"), "y")
         rows = (usable.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))  # at most 1.5 x wanted x 2 ids, but for chance
-                .select("text", "y", "doc_id").dropDuplicates(["text"])
-                .select(F.substring("text", 1, max_chars).alias("text"), "y", "doc_id").orderBy(F.xxhash64("doc_id"), "text"))
-        out: list[tuple[str, int]] = []
-        seen = {0: 0, 1: 0}
-        for r in rows.toLocalIterator():
-            if seen[r.y] < wanted:
-                seen[r.y] += 1
-                out.append((r.text, int(r.y)))
-        return out
+                .select("text", "y", "doc_id").dropDuplicates(["text"]).withColumn("_n", F.length("text"))
+                .withColumn("_sum", F.sum("_n").over(in_order)).withColumn("_rank", F.row_number().over(in_order))
+                .withColumn("_short", F.row_number().over(by_class.orderBy("_n", F.xxhash64("doc_id"), "text"))))
+        rows = rows.where(((F.col("_sum") <= chars) & (F.col("_rank") <= wanted)) | (F.col("_short") == 1))
+        return [(r.text, int(r.y)) for r in rows.orderBy(F.xxhash64("doc_id"), "text").select("text", "y").toLocalIterator()]
 
     out = found(clean)
     if len({y for _, y in out}) < 2:

@@ -13,8 +13,8 @@ document give its expected number of toxic words and the strongest one; a
 logistic function of both is the score, and words at 0.5 or more are the
 offending spans.
 
-Fitting takes at most ``SAMPLE`` texts per label, the first ``MAX_CHARS``
-characters of each: a documented, bounded sample.  Scoring reads whole texts.
+Fitting takes whole texts of each label until ``SAMPLE`` texts or ``SAMPLE_CHARS``
+characters are full: a documented, bounded sample.  Scoring reads whole texts.
 
 Defined results: a null or empty text has no words and gets the score of a
 document without toxic words; without labels of both kinds the score is 0; a
@@ -26,6 +26,7 @@ ignored by ``score`` and kept by ``drop_toxic``.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -38,7 +39,7 @@ from .sampling import labelled_texts
 from .tokens import finish, groups
 
 FOLDS, HELD_OUT = 5, 0
-SAMPLE, MAX_CHARS = 1500, 6000
+SAMPLE, SAMPLE_CHARS = 1500, 4_000_000
 #: The fitted weights lie in a table of 2 ** BITS places; each place also holds 16 bits of its feature's hash.
 BITS = 20
 PREFIXES, SUFFIXES = (4, 5, 6), (4,)
@@ -222,16 +223,19 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _spans(document: np.ndarray, place: np.ndarray, size: np.ndarray, p: np.ndarray, texts: list[str | None]) -> list[str]:
     """Offending words of each document as start:end in code points."""
-    out: list[list[str]] = [[] for _ in texts]
-    for i in np.flatnonzero(p >= CUT):
-        raw, s = texts[document[i]].encode("utf-8", "surrogatepass"), int(place[i])
-        lead = len(raw[:s].decode("utf-8", "surrogatepass"))
-        out[document[i]].append(f"{lead}:{lead + len(raw[s:s + int(size[i])].decode('utf-8', 'surrogatepass'))}")
-    return [",".join(x) for x in out]
+    out = [""] * len(texts)
+    hit = np.flatnonzero(p >= CUT)
+    for d in np.unique(document[hit]).tolist():
+        own = hit[document[hit] == d] if len(texts) > 1 else hit
+        raw = np.frombuffer(texts[d].encode("utf-8", "surrogatepass"), np.uint8)
+        before = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))  # characters that begin before each byte
+        ends = np.stack([before[place[own]], before[place[own] + size[own]]], 1)
+        out[d] = ",".join(f"{s}:{e}" for s, e in ends.tolist())
+    return out
 
 
-def _judge(model: Model, texts: list[str | None]) -> tuple[np.ndarray, list[str]]:
-    """Scores and spans; of each group of texts only the log odds of its words are kept."""
+def _judge(model: Model, texts: list[str | None], spans: bool = True) -> tuple[np.ndarray, list[str]]:
+    """Scores and, if wanted, spans; of each group of texts only the log odds of its words are kept."""
     parts = [(w.document, w.place, w.end - w.start, _node(model, _features(w))) for _, _, w in groups(texts)]
     if not parts:
         parts = [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
@@ -241,7 +245,7 @@ def _judge(model: Model, texts: list[str | None]) -> tuple[np.ndarray, list[str]
         ahead, behind = Chains(np.bincount(document, minlength=len(texts))).messages(_exp(node), model.change)
         p = ahead * behind / (1 + ahead * behind)
     x = _evidence(p, document, len(texts)) @ model.document
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30))), _spans(document, place, size, p, texts)
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30))), _spans(document, place, size, p, texts) if spans else []
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -261,7 +265,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    return fit(labelled_texts(docs, labels.where(crc_fold("doc_id", FOLDS) != HELD_OUT), "toxic", SAMPLE, MAX_CHARS))
+    return fit(labelled_texts(docs, labels.where(crc_fold("doc_id", FOLDS) != HELD_OUT), "toxic", SAMPLE, SAMPLE_CHARS))
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -269,12 +273,15 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` without the rows that score 0.5 or more; all columns stay."""
+    """``docs`` without the rows that score 0.5 or more; all columns stay.  Without a model all rows stay, with a warning."""
+    if model is None:
+        warnings.warn("no labelled texts of both kinds: no document is dropped as toxic", stacklevel=2)
+        return docs
     k = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
-                yield b.filter(pa.array(_judge(model, b.column(k).to_pylist())[0] < CUT))
-    return docs.mapInArrow(run, docs.schema) if model else docs
+                yield b.filter(pa.array(_judge(model, b.column(k).to_pylist(), spans=False)[0] < CUT))
+    return docs.mapInArrow(run, docs.schema)
