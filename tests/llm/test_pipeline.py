@@ -34,7 +34,7 @@ def test_every_stage_matches_brute_force(spark, tmp_path):
         elif name == "near_duplicates":
             gone = {x[0] for x in brute_near(now, 5, 80, 100) if not x[3]}
             assert gone >= {2, 3, 13}
-            now = [(i, t) for i, t in now if i not in gone]
+            now = [(i, t) for i, t in now if i not in gone and (i is not None or t != texts()[0][1])]
         elif name == "decontamination":
             now = [r for r in now if not brute_hits([r], items)[0][5]]
             assert 501 not in dict(now)
@@ -61,6 +61,6 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
 
 
-def test_all_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
