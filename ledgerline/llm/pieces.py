@@ -12,9 +12,11 @@ texts, and reads the tokens off the table backwards.
 A place where no piece can lie across is an exact cut: around a character that
 no piece holds and, if no piece has a space mark behind another character,
 before every such mark.  The chunks between cuts are words, so the task keeps
-the tokens of the ``WORDS`` last seen ones; longer chunks go through the table
-directly.  The table is linear in the chunk.  Texts are encoded whole, each in
-the task that reads it; there is no shuffle, and rows never meet.
+the tokens of the ``WORDS`` last seen ones.  The new words of a batch fill their
+tables in lockstep, a place at a time, on a table of the automaton's moves;
+longer chunks and those with rare characters go through an automaton one by one.
+Either is linear in the chunk.  Texts are encoded whole, each in the task that
+reads it; there is no shuffle, and rows never meet.
 
 The model file is read on the driver and sent with the code (a vocabulary of
 fixed size).  Supported are merge-type models that map no characters and have
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import re
 import struct
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -46,6 +49,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 SPACE = "▁"
 #: Words and pairs kept in a task: of words two stores of this size, of which the older one goes when the newer is full.
 WORDS, PAIRS = 200_000, 400_000
+#: Characters with a column in the table of moves.
+COMMON = 192
 #: Chunks of more characters are not kept.
 LONGEST_WORD = 64
 #: Rows encoded at once.
@@ -133,7 +138,9 @@ class PrefixTable:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == BYTE}
         self.symbols = [*model.pieces, *sorted(characters - ids.keys())]
         self.sizes = [len(p) for p in self.symbols]
+        self.size_of = np.array(self.sizes)
         ids.update({p: i for i, p in enumerate(self.symbols) if i >= len(model.pieces)})
+        self.ids = ids
         self.character = {c: ids[c] for c in characters}
         self.automaton = ahocorasick.Automaton()
         for p, i in ids.items():
@@ -145,7 +152,10 @@ class PrefixTable:
         self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
         marked_inside = any(SPACE in p.lstrip(SPACE) for p in self.score)
-        self.chunk = re.compile(r"(?s).+" if marked_inside else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.lockstep = Lockstep(self)
+        known = "".join(map(re.escape, sorted(characters | {SPACE})))
+        others = "".join(map(re.escape, sorted(characters - {SPACE})))
+        self.chunk = re.compile(f"[{known}]+|[^{known}]" if marked_inside else f"{SPACE}*[{others}]+|{SPACE}+|[^{known}]")
 
     def _merged(self, first: str, second: str) -> bool:
         """Whether merging the characters of both texts ends with just these two (with one, if the first is empty)."""
@@ -211,24 +221,148 @@ class PrefixTable:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
-        if not text:
-            return np.zeros(0, np.int32)
-        marked = (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
-        chunks = self.chunk.findall(marked)
-        found = list(map(self.words.get, chunks))
-        if None in found:
-            missing = {c: self.older.get(c) for c, f in zip(chunks, found) if f is None}
-            unseen = [c for c, f in missing.items() if f is None]
-            missing.update(zip(unseen, self.tokens(unseen)))
-            found = [missing[c] if f is None else f for c, f in zip(chunks, found)]
-            if len(self.words) + len(missing) > WORDS:
-                self.words, self.older = {}, self.words
-            self.words.update((c, f) for c, f in missing.items() if len(c) <= LONGEST_WORD)
-        ids = np.fromiter(chain.from_iterable(found), np.int32)
-        if not self.model.byte_fallback:  # neighbouring unknown characters are one token
-            again = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
-            ids = ids[np.concatenate(([True], ~again))]
-        return ids
+        return next(iter(self.encode_all([text])))
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of whole texts."""
+        lead = SPACE if self.model.dummy_prefix else ""
+        chunks = [self.chunk.findall(lead + t.replace(" ", SPACE)) if t else [] for t in texts]
+        found = [list(map(self.words.get, c)) for c in chunks]
+        missing = {c: self.older.get(c) for cs, fs in zip(chunks, found) if None in fs for c, f in zip(cs, fs) if f is None}
+        unseen = [c for c, f in missing.items() if f is None]
+        missing.update(self.lockstep.tokens(unseen))
+        rest = [c for c in unseen if missing[c] is None]
+        missing.update(zip(rest, self.tokens(rest)))
+        for cs, fs in zip(chunks, found):
+            if None in fs:
+                fs = [missing[c] if f is None else f for c, f in zip(cs, fs)]
+            ids = np.fromiter(chain.from_iterable(fs), np.int32)
+            if not self.model.byte_fallback and len(ids):  # neighbouring unknown characters are one token
+                again = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
+                ids = ids[np.concatenate(([True], ~again))]
+            yield ids
+        if len(self.words) + len(missing) > WORDS:
+            self.words, self.older = {}, self.words
+        self.words.update((c, f) for c, f in missing.items() if len(c) <= LONGEST_WORD)
+
+
+class Lockstep:
+    """The table of last tokens of many words at once.
+
+    The automaton of the pieces of several characters, made of common characters
+    only, is a table of states by characters; each state knows the longest piece
+    that ends there, and each piece the next shorter one.
+    """
+
+    def __init__(self, table: PrefixTable):
+        self.table = table
+        counts = Counter(c for p in table.score for c in p if c in table.score)
+        common = [c for c, _ in counts.most_common(COMMON)]
+        column = {c: k for k, c in enumerate(common)}
+        self.column = np.full(0x110000, -1, np.int16)
+        self.column[[ord(c) for c in common]] = np.arange(len(common))
+        self.single = np.array([table.character[c] for c in common], np.int32)
+        nodes: list[dict[int, int]] = [{}]
+        piece, depth = [-1], [0]
+        for p in table.score:
+            if len(p) < 2 or not all(c in column for c in p):
+                continue
+            at = 0
+            for c in p:
+                at = nodes[at].setdefault(column[c], len(nodes))
+                if at == len(nodes):
+                    nodes.append({})
+                    piece.append(-1)
+                    depth.append(0)
+            piece[at], depth[at] = table.ids[p], len(p)
+        self.piece, self.depth = np.array(piece, np.int32), np.array(depth, np.int32)
+        self.move = np.zeros((len(nodes), len(common)), np.int32)
+        fail = np.zeros(len(nodes), np.int32)
+        #: The longest piece that ends in a state (a state), and the next shorter one that ends in a piece's state.
+        self.longest, self.shorter = np.full(len(nodes), -1, np.int32), np.full(len(nodes), -1, np.int32)
+        queue = [0]
+        for at in queue:  # by depth, so that what a state falls back to is complete
+            self.move[at] = self.move[fail[at]]
+            before = self.longest[fail[at]] if at else -1
+            self.longest[at] = at if piece[at] >= 0 else before
+            self.shorter[at] = before
+            for c, to in nodes[at].items():
+                fail[to] = self.move[fail[at], c] if at else 0
+                self.move[at, c] = to
+                queue.append(to)
+        self.keys, self.good = np.empty(0, np.int64), np.empty(0, bool)
+
+    def _compatible(self, pairs: np.ndarray, fresh: dict[int, bool]) -> np.ndarray:
+        """Whether pairs are compatible: those of earlier batches from a sorted list, others are tested."""
+        out = np.zeros(len(pairs), bool)
+        at = np.searchsorted(self.keys, pairs)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == pairs[known]
+        out[known] = self.good[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            test = self.table.compatible
+            for i, pair in zip(new.tolist(), pairs[new].tolist()):
+                found = fresh.get(pair)
+                if found is None:
+                    found = fresh[pair] = test(pair)
+                out[i] = found
+        return out
+
+    def tokens(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        """The tokens of the words that are short and of common characters."""
+        words = [w for w in words if len(w) <= LONGEST_WORD]
+        if not words:
+            return {}
+        size = np.array([len(w) for w in words])
+        column = self.column[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        use = np.minimum.reduceat(column, np.cumsum(size) - size) >= 0
+        order = np.flatnonzero(use)[np.argsort(-size[use], kind="stable")]  # longest first: the words of a step lie in front
+        if not len(order):
+            return {}
+        start, size = (np.cumsum(size) - size)[order], size[order]
+        n, longest = len(order), int(size[0])
+        last = np.full((n, longest + 1), -1, np.int32)
+        state = np.zeros(n, np.int32)
+        count = np.searchsorted(-size, -np.arange(1, longest + 1), "right")
+        tokens_, fresh = len(self.table.symbols), {}
+        for end in range(1, longest + 1):
+            m = count[end - 1]
+            c = column[start[:m] + end - 1]
+            state[:m] = self.move[state[:m], c]
+            best = self.single[c]
+            piece = self.longest[state[:m]]
+            todo = np.flatnonzero(piece >= 0)
+            piece = piece[todo]
+            while len(todo):
+                pair = (last[todo, end - self.depth[piece]].astype(np.int64) + 1) * tokens_ + self.piece[piece]
+                right = self._compatible(pair, fresh)
+                best[todo[right]] = self.piece[piece[right]]
+                todo, piece = todo[~right], self.shorter[piece[~right]]
+                todo, piece = todo[piece >= 0], piece[piece >= 0]
+            last[:m, end] = best
+        self._remember(fresh)
+        sizes, back, at = self.table.size_of, [], size.copy()
+        rows = np.arange(n)
+        while len(rows):
+            token = last[rows, at[rows]]
+            back.append((rows, token))
+            at[rows] -= sizes[token]
+            rows = rows[at[rows] > 0]
+        row, token = (np.concatenate(x) for x in zip(*back))
+        step = np.repeat(np.arange(len(back)), [len(r) for r, _ in back])
+        forward = np.lexsort((-step, row))
+        token, cut = token[forward].tolist(), np.cumsum(np.bincount(row, minlength=n)).tolist()
+        return {words[w]: tuple(token[s:e]) for w, s, e in zip(order.tolist(), [0, *cut], cut)}
+
+    def _remember(self, fresh: dict[int, bool]) -> None:
+        if not fresh:
+            return
+        keep = len(self.keys) + len(fresh) <= PAIRS
+        keys = np.concatenate([self.keys if keep else self.keys[:0], np.fromiter(fresh, np.int64, len(fresh))])
+        good = np.concatenate([self.good if keep else self.good[:0], np.fromiter(fresh.values(), bool, len(fresh))])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.good = keys[order], good[order]
 
 
 class Decoder:
@@ -240,24 +374,37 @@ class Decoder:
                         model.unknown_surface.encode() if k == UNKNOWN else p.replace(SPACE, " ").encode()
                         for p, k in zip(model.pieces, model.kinds)]
         self.is_byte = np.array([k == BYTE for k in model.kinds])
+        self.length = np.array([len(x) for x in self.surface])
+        self.begin = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(self.surface), np.uint8)
         self.controls = [i for i, k in enumerate(model.kinds) if k == CONTROL]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids; the space put before a text is taken off again."""
-        parts = [self.surface[i] for i in ids]
-        if self.model.dummy_prefix:
-            for k, i in enumerate(ids):  # the first token with a text, unless it comes from bytes or is unknown
-                if self.model.kinds[i] == NORMAL:
-                    parts[k] = parts[k].removeprefix(b" ")
-                if self.model.kinds[i] != CONTROL:
-                    break
+        ids = np.asarray(ids, np.int64)
+        length = self.length[ids]
+        raw = self.flat[np.repeat(self.begin[ids] - (np.cumsum(length) - length), length) + np.arange(length.sum())].tobytes()
+        lead = self._lead(ids)
         try:
             if not np.isin(ids, self.controls).any():  # they part the bytes of a character
-                return b"".join(parts).decode()
+                return raw[lead:].decode()
         except UnicodeDecodeError:
             pass
+        parts = [self.surface[i] for i in ids.tolist()]
+        if lead:
+            parts[int(np.flatnonzero(length)[0])] = parts[int(np.flatnonzero(length)[0])][lead:]
         return "".join(self._run_by_run(ids, parts))
 
+    def _lead(self, ids: np.ndarray) -> int:
+        """1 if the first token with a text is a piece (no byte, no unknown one) that begins with a space."""
+        if self.model.dummy_prefix:
+            for i in ids.tolist():
+                if self.model.kinds[i] == NORMAL:
+                    return int(self.surface[i].startswith(b" "))
+                if self.model.kinds[i] != CONTROL:
+                    break
+        return 0
+
     def _run_by_run(self, ids: np.ndarray, parts: list[bytes]) -> Iterator[str]:
         cuts = np.flatnonzero(np.diff(self.is_byte[ids])) + 1
         bounds = [0, *cuts.tolist(), len(ids)]
@@ -308,7 +455,7 @@ def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids")
     """``docs`` with the column ``ids``: the tokens of each whole text."""
     def convert(column: pa.Array) -> pa.Array:
         table = _encoder(model)
-        return _lists(table.encode(t.as_py() or "") for t in column)
+        return _lists(table.encode_all([t or "" for t in column.to_pylist()]))
     return _mapped(docs, text, StructField(ids, ArrayType(IntegerType(), False)), convert)
 
 

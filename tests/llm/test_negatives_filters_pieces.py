@@ -207,7 +207,7 @@ def test_stores_may_overflow(library, monkeypatch):
     table = pieces.PrefixTable(pieces.read_model(MODEL))
     text = " ".join(words(31, 300))
     assert table.encode(text).tolist() == library.encode(text)
-    assert len(table.words) <= 300 and len(table.pairs) <= 3
+    assert len(table.words) <= 300 and len(table.pairs) <= 3 and len(table.lockstep.keys) <= 2000
 
 
 def test_long_chunk_in_linear_time(table, library):
