@@ -26,8 +26,8 @@ def to_rmb(amount, multiplier, rate_type: str = "decimal"):
 
 
 def gold(silver: DataFrame, city_dim: DataFrame, district_dim: DataFrame, currency: DataFrame,
-         rate_type: str = "decimal") -> DataFrame:
-    """CURATED_DATASET: three LEFT JOINs on checked, broadcast dimensions.
+         rate_type: str = "decimal", keep: tuple[str, ...] = ()) -> DataFrame:
+    """CURATED_DATASET: three LEFT JOINs on checked, broadcast dimensions; columns ``keep`` of silver stay.
 
     Every dimension is keyed (one row per key), so no order row is duplicated;
     an unknown currency gives a NULL amount.  The whole layer is one
@@ -43,7 +43,7 @@ def gold(silver: DataFrame, city_dim: DataFrame, district_dim: DataFrame, curren
               .join(district, p.ship_to_district_name == district._d_key, "left")
               .join(rates, p.currency_cd == rates._r_key, "left"))
     return merged.select(
-        "order_id",
+        *keep, "order_id",
         F.col("order_time_pst").try_cast("int").alias("order_time_pst"),
         "ship_to_city_cd", "ship_to_district_name", "ship_to_district_name_eng", "ship_to_city_cd_eng",
         to_rmb(F.col("rptg_amt"), F.col("multiplier"), rate_type).alias("rmb_dollars"),

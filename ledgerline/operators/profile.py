@@ -16,6 +16,10 @@ from ledgerline.operators.quality import with_membership
 from ledgerline.sources.sinks import materialize
 
 
+#: Characters in a part of the substring index.
+GRAM = 3
+
+
 def duplicate_rows(df: DataFrame, key: str = "order_id") -> DataFrame:
     """Every row whose key occurs more than once, with the key's row count.
 
@@ -87,24 +91,42 @@ def missing_values(feed: DataFrame, dim: DataFrame, columns: list[str]) -> DataF
     return out
 
 
-def contains_match(values: DataFrame, names: DataFrame, value_col: str, name_col: str) -> DataFrame:
+def _grams(text: Column, size: int) -> Column:
+    """The distinct parts of ``size`` characters, one starting at every character."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, F.lit(size)))))
+
+
+def contains_match(values: DataFrame, names: DataFrame, value_col: str, name_col: str, size: int = GRAM) -> DataFrame:
     """For each distinct value, does it occur inside any name of the list?
 
-    Every substring of every distinct name (a name of n characters has
-    n (n + 1) / 2) is a key, so the test is one equi-join and no value meets a
-    name it is not part of.  NULL is part of nothing; the empty string is part
-    of every name.
+    The names' parts of ``size`` characters form an index, a row per part and
+    name.  A value asks for the names that hold its rarest part, and only these
+    are searched; a value with a part that no name holds is in none.  Shorter
+    values are looked up among the names' parts of their length.  Both are
+    equi-joins, and the rows grow with the length of names and values.  NULL is
+    part of nothing; the empty string is part of every name.
     """
-    name = F.col("_name")
-    starts = F.sequence(F.lit(1), F.length(name))
-    parts = (names.select(F.col(name_col).alias("_name")).where(name.isNotNull()).distinct()
-             .select(F.when(F.length(name) > 0, F.flatten(F.transform(starts, lambda i: F.transform(
-                 F.sequence(F.lit(1), F.length(name) - i + 1), lambda n: F.substr(name, i, n)))))
-                 .otherwise(F.array().cast("array<string>")).alias("parts")))
-    parts = parts.select(F.explode(F.array_append("parts", F.lit(""))).alias("_part")).distinct()
-    distinct_values = values.select(value_col).distinct()
-    return (distinct_values.join(parts, F.col(value_col) == F.col("_part"), "left")
-            .select(value_col, F.col("_part").isNotNull().alias("city_match")))
+    value, name = F.col(value_col), F.col("_name")
+    asked = materialize(values.select(value_col).distinct(), "asked_values")
+    listed = materialize(names.select(F.col(name_col).alias("_name")).where(name.isNotNull()).distinct()
+                         .withColumn("_id", F.monotonically_increasing_id()), "listed_names")
+    index = materialize(listed.select("_id", F.explode(_grams(name, size)).alias("_gram")), "name_parts")
+    held_by = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_names"))
+
+    parts = asked.where(F.length(value) >= size).select(value_col, F.explode(_grams(value, size)).alias("_part"))
+    rare = (parts.join(held_by, F.col("_part") == F.col("_gram"), "left").groupBy(value_col)
+            .agg(F.min(F.struct(F.coalesce("_names", F.lit(0)).alias("n"), F.col("_part").alias("part"))).alias("_rarest"))
+            .where("_rarest.n > 0").select(value.alias("_value"), F.col("_rarest.part").alias("_part")))
+    probed = rare.join(index, F.col("_part") == F.col("_gram")).select("_value", "_id").join(listed, "_id")
+    found = probed.where(F.contains("_name", "_value")).select("_value")
+
+    short = [listed.select(F.explode(_grams(name, n)).alias("_value")) for n in range(1, size)]
+    for part in [*short, listed.select(F.lit("").alias("_value"))]:
+        found = found.unionByName(part)
+    found = found.distinct()
+    return (asked.join(found, value == F.col("_value"), "left")
+            .select(value_col, F.col("_value").isNotNull().alias("city_match")))
 
 
 def unjoinable_rows(feed: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@
 * ``exceptions_first``    P8: first failing rule per row, in rule order.
 * ``exceptions_all``      P9/P10/U4: every failing rule per row, one row per (order, field).
 * ``exceptions_json``     A12: the all-errors log folded to one JSON array per order.
+* ``tagged``              P1, P8, P9: cleaned rows, first errors and all errors from one pass over a feed.
 * ``dq_*``                T1-T4: unique, not_null, relationships, accepted_values.
+* ``test_report``         T1-T4 for a declared list: two scans a table, whatever the number of tests.
 
 All of them are projections or small aggregations over the feed; the only
 join is the membership flag against a (checked, broadcast) dimension.
@@ -12,7 +14,8 @@ join is the membership flag against a (checked, broadcast) dimension.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from functools import reduce
+from typing import Iterable, NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +113,33 @@ def exceptions_json(errors: DataFrame, key: str = "order_id") -> DataFrame:
                  .alias("error_message")))
 
 
+#: Tags of the outputs of one pass.
+CLEAN, FIRST_ERROR, ALL_ERRORS = "clean", "first_error", "all_errors"
+
+
+def tagged(feed: DataFrame, rules: Sequence[Rule], contract: Sequence[Rule]) -> DataFrame:
+    """P1 + P8 + P9 in one pass: every row gives its cleaned row, its first error by ``rules`` and all by ``contract``.
+
+    Returns (tag, field, message, the feed's columns); an error row holds only
+    the order id of the feed's columns.
+    """
+    columns = [c for c in feed.columns if c not in FLAGS]
+    by_field = {r.field: r for r in rules}
+    none = {c: F.lit(None).cast(feed.schema[c].dataType) for c in columns}
+    text = F.lit(None).cast("string")
+
+    def row(tag: str, field: Column, message: Column, values: dict[str, Column]) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), field.alias("field"), message.alias("message"),
+                        *[values[c].alias(c) for c in columns])
+    clean = {c: F.when(by_field[c].valid(), F.col(c)) if c in by_field else F.col(c) for c in columns}
+    known = {**none, "order_id": F.col("order_id")}
+    first = F.coalesce(*[F.when(_failure(r, False), F.lit(r.message)) for r in rules])
+    outputs = F.concat(F.array(row(CLEAN, text, text, clean)),
+                       F.filter(F.array(F.when(first.isNotNull(), row(FIRST_ERROR, text, first, known))), lambda x: x.isNotNull()),
+                       F.transform(error_array(contract), lambda e: row(ALL_ERRORS, e["field"], e["message"], known)))
+    return feed.select(F.inline(outputs))
+
+
 # --------------------------------------------------------------------------
 # Declarative table tests (T1-T4).  Each returns (table, column, test, failures)
 # so several tests union into one report; failing rows are available from the
@@ -164,3 +194,84 @@ def accepted_values_rows(df: DataFrame, column: str, values: Iterable[str]) -> D
 def dq_accepted_values(df: DataFrame, table: str, column: str, values: Iterable[str]) -> DataFrame:
     """T4: the number of distinct non-null values outside the accepted list."""
     return _report(table, column, "accepted_values", accepted_values_rows(df, column, values))
+
+
+class Test(NamedTuple):
+    """A declared test of a column: ``unique``, ``not_null``, ``relationships`` (to a table's column) or ``accepted_values``."""
+    table: str
+    column: str
+    kind: str
+    to: tuple[str, str] | None = None
+    values: tuple[str, ...] = ()
+
+
+def _with_parents(df: DataFrame, tests: Sequence[Test], tables: dict[str, DataFrame]) -> DataFrame:
+    """``df`` with a flag per relationships test: the key is in the parent."""
+    for i, t in enumerate(tests):
+        if t.kind == "relationships":
+            parent, field = t.to
+            df = with_membership(df, tables[parent], field, f"_parent_{i}", t.column)
+    return df
+
+
+def _failing(t: Test, i: int) -> Column:
+    """Whether a row fails a test that looks at one row."""
+    c = F.col(t.column)
+    if t.kind == "not_null":
+        return c.isNull()
+    if t.kind == "accepted_values":
+        return c.isNotNull() & ~c.isin(*t.values)
+    return c.isNotNull() & ~F.col(f"_parent_{i}")
+
+
+def _by_table(tests: Sequence[Test]) -> dict[str, tuple[list[Test], list[Test]]]:
+    """Tests of each table: those that look at one row, and ``unique``."""
+    out: dict[str, tuple[list[Test], list[Test]]] = {}
+    for t in tests:
+        out.setdefault(t.table, ([], []))[t.kind == "unique"].append(t)
+    return out
+
+
+def test_report(tables: dict[str, DataFrame], tests: Sequence[Test]) -> DataFrame:
+    """(table_name, column_name, test_name, failures) of every declared test.
+
+    All tests of a table that look at one row are one aggregate on one scan; each
+    ``unique`` column is a keyed aggregate on a scan of that column.
+    """
+    reports = []
+    for name, (rowwise, unique) in _by_table(tests).items():
+        if rowwise:
+            flagged = _with_parents(tables[name], rowwise, tables)
+            # Values that are not accepted count once each, all other failures by row.
+            counts = flagged.agg(*[(F.count_distinct(F.when(_failing(t, i), F.col(t.column))) if t.kind == "accepted_values"
+                                    else F.count_if(_failing(t, i))).alias(f"t{i}") for i, t in enumerate(rowwise)])
+            reports.append(counts.select(F.inline(F.array(*[F.struct(
+                F.lit(name).alias("table_name"), F.lit(t.column).alias("column_name"), F.lit(t.kind).alias("test_name"),
+                F.col(f"t{i}").cast("bigint").alias("failures")) for i, t in enumerate(rowwise)]))))
+        reports += [dq_unique(tables[name], name, t.column) for t in unique]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def failing_rows(tables: dict[str, DataFrame], tests: Sequence[Test], key: str = "order_id") -> DataFrame:
+    """(table_name, column_name, test_name, row_key, failing_value, n_records): what fails the declared tests.
+
+    A row per failing row, and per value that is not unique or not accepted
+    (those have no single row).  One scan a table for all tests that look at one
+    row, one for each ``unique`` column.
+    """
+    out = []
+    for name, (rowwise, unique) in _by_table(tests).items():
+        if rowwise:
+            flagged = _with_parents(tables[name], rowwise, tables)
+            found = F.filter(F.array(*[F.when(_failing(t, i), F.struct(
+                F.lit(t.column).alias("column_name"), F.lit(t.kind).alias("test_name"),
+                F.when(F.lit(t.kind != "accepted_values"), F.col(key)).cast("string").alias("row_key"),
+                F.col(t.column).cast("string").alias("failing_value"))) for i, t in enumerate(rowwise)]), lambda x: x.isNotNull())
+            rows = flagged.select(F.inline(found))
+            # Partial counts: a value that many rows hold leaves a task once.
+            rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_records"))
+            out.append(rows.select(F.lit(name).alias("table_name"), *rows.columns))
+        out += [unique_rows(tables[name], t.column).select(
+            F.lit(name).alias("table_name"), F.lit(t.column).alias("column_name"), F.lit("unique").alias("test_name"),
+            F.lit(None).cast("string").alias("row_key"), F.col(t.column).cast("string").alias("failing_value"), "n_records") for t in unique]
+    return reduce(DataFrame.unionByName, out)

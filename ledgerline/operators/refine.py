@@ -22,13 +22,13 @@ def resolve_places(qualified_1: DataFrame, mapping: DataFrame) -> DataFrame:
                             basis=mapping)
     q = qualified_1.alias("q")
     joined = q.join(dim.alias("m"), F.col("q.city_district_id") == F.col("m.city_district_id"), "left")
-    return joined.select("q.order_id", "q.order_time_pst", "m.ship_to_city_cd", "m.ship_to_district_name",
-                         "q.rptg_amt", "q.currency_cd", "q.order_qty")
+    return joined.select("q.*", "m.ship_to_city_cd", "m.ship_to_district_name").drop("city_district_id")
 
 
-def _silver_types(df: DataFrame) -> DataFrame:
-    """Explicit casts before the union: validated digit text -> BIGINT time, quantity -> INT."""
+def silver_types(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Explicit casts before the union: validated digit text -> BIGINT time, quantity -> INT; columns ``keep`` stay."""
     return df.select(
+        *keep,
         "order_id",
         F.col("order_time_pst").try_cast("bigint").alias("order_time_pst"),
         F.col("rptg_amt").cast("decimal(18,2)").alias("rptg_amt"),
@@ -40,4 +40,4 @@ def _silver_types(df: DataFrame) -> DataFrame:
 def silver_parts(qualified_1: DataFrame, qualified_2: DataFrame,
                  mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both feeds in one schema, for a UNION ALL by name or for keyed loads (no shuffle)."""
-    return _silver_types(resolve_places(qualified_1, mapping)), _silver_types(qualified_2)
+    return silver_types(resolve_places(qualified_1, mapping)), silver_types(qualified_2)

@@ -3,21 +3,29 @@
 City totals are an aggregate of the fact table with one row per city, so
 their size is bounded by the geography dimension, not by the data volume.
 The statistics (mean, population standard deviation) are one aggregation
-joined back on a constant key; k-means runs on Spark ML over the totals.
+joined back on a constant key.  Tiers and the elbow are exact: in one dimension
+the clusters of least squared error are runs of the sorted totals, and dynamic
+programming finds their cuts, without seeds.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.sources.sinks import materialize
 
+#: Ends of clusters that a task works on at least.
+ENDS_PER_TASK = 2000
+
+
 def city_totals(gold: DataFrame, city_dim: DataFrame) -> DataFrame:
     """A13 + J12: total spend per (non-null) city with its translation attributes."""
     totals = (gold.where(F.col("ship_to_city_cd").isNotNull())
@@ -38,73 +46,98 @@ def zscores(totals: DataFrame, col: str = "rmb_dollars", out: str = "normalized_
     return joined.withColumn(out, z).drop("_one", "_mu", "_sigma")
 
 
-def _features(df: DataFrame, col: str) -> DataFrame:
-    return VectorAssembler(inputCols=[col], outputCol="features").transform(df)
-
+class Totals(NamedTuple):
+    """Sorted distinct values and, up to each of them, how many cities there are, their sum and their sum of squares."""
+    values: np.ndarray
+    n: np.ndarray
+    sums: np.ndarray
+    squares: np.ndarray
 
-def _iteration_input(df: DataFrame) -> DataFrame:
-    """Iterative fits read the per-city input from written files, kept in memory; callers unpersist it.
-
-    The frame has one row per city.  It is written by the tasks that computed
-    it and only the written rows are read as one partition, so that an
-    iteration is one small task.
-    """
-    return materialize(df, "tier_input").coalesce(1).cache()
+    def error(self, cut: np.ndarray, end: int) -> np.ndarray:
+        """Squared error of one cluster of the values from each ``cut`` up to ``end``."""
+        n, s = self.n[end] - self.n[cut], self.sums[end] - self.sums[cut]
+        return np.maximum(self.squares[end] - self.squares[cut] - s * s / n, 0.0)
 
 
-def fit_kmeans(df: DataFrame, k: int, col: str = "normalized_sales", seeds=(1, 7, 42), max_iter: int = 50):
-    """M3: best of several seeded k-means fits by training cost (SSE); the fits run as concurrent jobs."""
-    feats = _features(df, col)
+def sorted_totals(df: DataFrame, col: str) -> Totals:
+    """The distinct values of ``col`` in order (at most one per city: a frame of the size of the geography dimension)."""
+    rows = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(col).collect()
+    x, n = np.array([r[0] for r in rows], float), np.array([r.n for r in rows], float)
+    return Totals(x, *(np.concatenate(([0.0], np.cumsum(c))) for c in (n, n * x, n * x * x)))
 
-    def fit(seed):
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-6, featuresCol="features").fit(feats)
-        return model, model.summary.trainingCost
 
-    with ThreadPoolExecutor(max_workers=len(seeds)) as pool:
-        fits = list(pool.map(fit, seeds))
-    return min(fits, key=lambda mc: mc[1])  # first seed wins a tie: deterministic
+def best_cuts(t: Totals, before: np.ndarray, k: int, first: int, last: int) -> Iterator[tuple[int, float, int]]:
+    """(end, least error, last cut) of ``k`` clusters of the first ``end`` values, for all ends from ``first`` to ``last``.
 
-
-def elbow(df: DataFrame, ks=range(1, 10), col: str = "normalized_sales", parallelism: int = 4) -> DataFrame:
-    """M2: SSE for each k; k = 1 is n * population variance (Spark ML rejects k = 1).
-
-    The fits for different k are independent, so they run as concurrent Spark
-    jobs (like Spark ML's ``CrossValidator(parallelism=...)``).
+    ``before`` holds the least errors with one cluster less.  The best last cut
+    never moves left as the end moves right, so the middle end's cut halves the
+    cuts to try for the ends on either side of it.
     """
-    spark = df.sparkSession
-    df = _iteration_input(df)
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.var_pop(col).alias("v")).first()
-    n = int(stats["n"])
-    fitted = [k for k in ks if 2 <= k <= n]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        sse = dict(zip(fitted, pool.map(lambda k: float(fit_kmeans(df, k, col)[1]), fitted)))
-    df.unpersist()
-    rows = [(1, float(stats["v"] or 0.0) * n)] if 1 in ks else []
-    rows += [(int(k), sse[k]) for k in fitted]
-    return spark.createDataFrame(rows, "k int, sse double")
+    todo = [(first, last, k - 1, last - 1)]
+    while todo:
+        lo, hi, low_cut, high_cut = todo.pop()
+        if lo > hi:
+            continue
+        end = (lo + hi) // 2
+        cuts = np.arange(low_cut, min(high_cut, end - 1) + 1)
+        errors = before[cuts] + t.error(cuts, end)
+        at = int(errors.argmin())
+        yield end, float(errors[at]), int(cuts[at])
+        todo += [(lo, end - 1, low_cut, int(cuts[at])), (end + 1, hi, int(cuts[at]), high_cut)]
+
+
+def clusterings(df: DataFrame, col: str, most: int) -> tuple[Totals, list[np.ndarray], list[np.ndarray]]:
+    """For 1 to ``most`` clusters, the least errors and last cuts of the first values; index 0 is no cluster.
+
+    Each number of clusters is one step of parallel tasks, a range of ends each;
+    the errors of the step before travel with the task.
+    """
+    spark, t = df.sparkSession, sorted_totals(df, col)
+    n = len(t.values)
+    errors, cuts = [np.concatenate(([0.0], np.full(n, np.inf)))], [np.zeros(n + 1, int)]
+    for k in range(1, min(most, n) + 1):
+        before = errors[-1]
+
+        def solve(batches: Iterator[pa.RecordBatch], k: int = k, before: np.ndarray = before) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for first, last in zip(*(c.to_pylist() for c in b.columns)):
+                    ends, least, cut = zip(*best_cuts(t, before, k, first, last))
+                    yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array(least), pa.array(cut, pa.int64())],
+                                                     names=["end", "error", "cut"])
+        parts = max(1, min(spark.sparkContext.defaultParallelism, (n - k + 1) // ENDS_PER_TASK))
+        bounds = np.linspace(k, n + 1, parts + 1).astype(int).tolist()
+        jobs = spark.createDataFrame([(a, b - 1) for a, b in zip(bounds, bounds[1:]) if a < b], "first long, last long")
+        rows = jobs.repartition(parts, "first").mapInArrow(solve, "end long, error double, cut long").collect()  # one per distinct total
+        errors.append(np.full(n + 1, np.inf))
+        cuts.append(np.zeros(n + 1, int))
+        for r in rows:
+            errors[k][r.end], cuts[k][r.end] = r.error, r.cut
+    return t, errors, cuts
+
+
+def elbow(df: DataFrame, ks=range(1, 10), col: str = "normalized_sales") -> DataFrame:
+    """M2: the least squared error of k clusters, for every k up to the number of rows."""
+    df = materialize(df.select(col), "tier_input")
+    t, errors, _ = clusterings(df, col, max(ks))
+    n, rows = len(t.values), int(t.n[-1])
+    sse = [(int(k), round(float(errors[min(k, n)][n]), 6)) for k in ks if k <= rows]
+    return df.sparkSession.createDataFrame(sse, "k int, sse double")
 
 
 def kmeans_tiers(totals: DataFrame, k: int = 3) -> DataFrame:
-    """M3 + M4: k-means on z-scored spend; ``tier`` orders clusters from lowest to highest centre.
+    """M3 + M4: the ``k`` clusters of least squared error on z-scored spend; ``cluster`` and ``tier`` count from the lowest spend.
 
-    With fewer distinct totals than ``k`` there are as many tiers as centres
-    the model finds.
+    Equal totals are in one tier; with fewer distinct totals than ``k`` there are
+    as many tiers as totals.
     """
-    z = _iteration_input(zscores(totals))
-    try:
-        if z.select("normalized_sales").distinct().count() < 2:
-            return z.withColumn("cluster", F.lit(0)).withColumn("tier", F.lit(0)).select(*_TIER_COLUMNS)
-        model, _ = fit_kmeans(z, k)
-        spark = totals.sparkSession
-        # At most k centres (a model parameter, not data): ranked on the driver, broadcast as a small table.
-        centres = [float(c[0]) for c in model.clusterCenters()]
-        order = sorted(range(len(centres)), key=lambda i: centres[i])
-        ranked = spark.createDataFrame([(cluster, tier) for tier, cluster in enumerate(order)], "cluster int, tier int")
-        pred = model.transform(_features(z, "normalized_sales")).withColumnRenamed("prediction", "cluster")
-        out = pred.join(F.broadcast(ranked), "cluster")  # at most k rows
-        return materialize(out.select(*_TIER_COLUMNS[:-2], F.col("cluster").cast("int").alias("cluster"), "tier"), "tiers")
-    finally:
-        z.unpersist()
+    z = materialize(zscores(totals), "tier_input")  # written: a total that is computed again may differ in its last bit
+    t, _, cuts = clusterings(z, "normalized_sales", k)
+    starts, end = [], len(t.values)
+    for c in range(min(k, end), 1, -1):
+        end = int(cuts[c][end])
+        starts.append(float(t.values[end]))
+    tier = reduce(lambda a, b: a + b, [(F.col("normalized_sales") >= x).cast("int") for x in starts], F.lit(0))
+    return z.withColumn("cluster", tier).withColumn("tier", tier).select(*_TIER_COLUMNS)
 
 
 _TIER_COLUMNS = ("ship_to_city_cd", "rmb_dollars", "ship_to_city_cd_eng", "province", "per_capita_usd",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from ledgerline.functions import rules as R
 from ledgerline.operators import dimensions, enrich, pagefacts, profile, quality, refine, reports, tiers
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.plans.warehouse import LandedFeeds, Warehouse
+from ledgerline.plans.windows import WindowedLayers
 from ledgerline.session import scratch_path
 from ledgerline.sources import files, fixtures, sinks
 from ledgerline.streaming import ingest
@@ -135,6 +136,31 @@ register("dq_relationships")(lambda w: _union([
 register("dq_accepted_values")(lambda w: _union(
     [quality.dq_accepted_values(df, n, "currency_cd", ACCEPTED_CURRENCIES) for n, df in _layers(w)[:3]]))
 
+#: The tests that the tables declare.
+DECLARED_TESTS = [
+    *[quality.Test(t, "order_id", kind) for t in ("qualified_dataset_1", "qualified_dataset_2", "processed_dataset", "curated_dataset")
+      for kind in ("unique", "not_null")],
+    *[quality.Test(t, c, kind, None, tuple(values)) for t in ("qualified_dataset_1", "qualified_dataset_2", "processed_dataset")
+      for c, kind, values in (("rptg_amt", "not_null", ()), ("currency_cd", "accepted_values", ACCEPTED_CURRENCIES))],
+    quality.Test("qualified_dataset_2", "ship_to_district_name", "not_null"),
+    *[quality.Test(t, "city_district_id", "relationships", ("raw_mapping", "city_district_id"))
+      for t in ("qualified_dataset_1", "raw_dataset_1")]]
+
+
+def _tested(w: Warehouse) -> dict[str, DataFrame]:
+    return {**dict(_layers(w)), "raw_dataset_1": w.raw_dataset_1, "raw_mapping": w.raw_mapping}
+
+
+register("dq_report")(lambda w: quality.test_report(_tested(w), DECLARED_TESTS))
+register("dq_failing_rows")(lambda w: quality.failing_rows(_tested(w), DECLARED_TESTS))
+
+
+@register("feed1_outputs")
+def _feed1_outputs(w: Warehouse) -> DataFrame:
+    """The three outputs of feed 1, written in one pass and read back."""
+    read = sinks.write_tagged(quality.tagged(w.flagged_1, R.feed1_rules(), R.feed1_contract()), scratch_path(w.spark, "feed1_outputs"))
+    return _union([read(tag).withColumn("tag", F.lit(tag)) for tag in (quality.CLEAN, quality.FIRST_ERROR, quality.ALL_ERRORS)])
+
 # ------------------------------------------------------------------ dimensions
 register("city_dimension_d")(lambda w: w.city_dim.drop("metadata"))
 register("city_dimension_s")(lambda w: dimensions.city_dimension(w.city_source, "city").drop("metadata"))
@@ -219,7 +245,7 @@ def _write_windows(w: Warehouse, path: str) -> None:
     sinks.overwrite_windows(both, path, WINDOW, [(LOAD_DATE, "window1"), (LOAD_DATE, "window2")])
 
 
-WINDOW = ("dt", "load_window")
+WINDOW = files.WINDOW
 WINDOWED_SCHEMA = T.StructType([*schemas.PROCESSED.fields, *[T.StructField(c, T.StringType()) for c in WINDOW]])
 
 
@@ -295,23 +321,62 @@ def _upsert_gold(w: Warehouse) -> DataFrame:
     return out.drop("load_seq")
 
 
+def _wrong_amounts(rows: DataFrame, which: Column) -> DataFrame:
+    """``rows`` with a wrong amount where ``which`` holds."""
+    wrong = F.lit(99999999.99).cast(schemas.MONEY)
+    return rows.withColumn("rptg_amt", F.when(which, wrong).otherwise(F.col("rptg_amt")))
+
+
+def _land_window(w: Warehouse, root: str, window: str, make: Callable[[DataFrame], DataFrame], array_records: bool = False) -> None:
+    """Both feeds as one window delivers them: the rows that ``make`` gives of a feed."""
+    folder = f"dt={LOAD_DATE}/load_window={window}"
+    files.write_feed1_csv(make(w.raw_dataset_1), f"{root}/feed1/{folder}")
+    files.write_feed2_json(make(w.raw_dataset_2), f"{root}/feed2/{folder}", array_records)
+
+
+def _land_dimensions(w: Warehouse, root: str, array_records: bool = False) -> None:
+    files.write_mapping(w.raw_mapping, f"{root}/mapping")
+    files.write_translations(w.city_source, f"{root}/cities", array_records)
+    files.write_translations(w.district_source, f"{root}/districts", array_records)
+
+
 @register("landed_gold_orders")
 def _landed_gold(w: Warehouse) -> DataFrame:
     """All feeds written as they land (two windows, one re-delivery each), read back, refined to gold."""
-    root = scratch_path(w.spark, "landing")
-    for feed, write in (("feed1", files.write_feed1_csv), ("feed2", files.write_feed2_json)):
-        rows = w.raw_dataset_1 if feed == "feed1" else w.raw_dataset_2
-        late = F.col("order_id").endswith("7")
-        # The first window also delivers late orders, wrongly; the second has them right.
-        wrong = rows.withColumn("rptg_amt", F.when(late, F.lit(99999999.99).cast("decimal(18,2)")).otherwise(F.col("rptg_amt")))
-        write(wrong, f"{root}/{feed}/dt={LOAD_DATE}/load_window=window1")
-        write(rows.where(late), f"{root}/{feed}/dt={LOAD_DATE}/load_window=window2")
-    files.write_mapping(w.raw_mapping, f"{root}/mapping")
-    files.write_translations(w.city_source, f"{root}/cities")
-    files.write_translations(w.district_source, f"{root}/districts")
+    root, late = scratch_path(w.spark, "landing"), F.col("order_id").endswith("7")
+    # The first window delivers late orders wrongly; the second has them right.
+    _land_window(w, root, "window1", lambda rows: _wrong_amounts(rows, late))
+    _land_window(w, root, "window2", lambda rows: rows.where(late))
+    _land_dimensions(w, root)
     return Warehouse(w.spark, w.root, feeds=LandedFeeds(w.spark, root)).gold
 
 
+@register("landed_array_gold_orders")
+def _landed_array_gold(w: Warehouse) -> DataFrame:
+    """S3: the same with feed 2 and the translations as JSON arrays, each file read by several tasks."""
+    root, late = scratch_path(w.spark, "landing_arrays"), F.col("order_id").endswith("7")
+    _land_window(w, root, "window2", lambda rows: _wrong_amounts(rows, late), True)
+    _land_window(w, root, "window10", lambda rows: rows.where(late), True)
+    _land_dimensions(w, root, True)
+    return Warehouse(w.spark, w.root, feeds=LandedFeeds(w.spark, root, array_records=True)).gold
+
+
+@register("backfill_window_gold")
+def _backfill_window(w: Warehouse) -> DataFrame:
+    """window10 first delivers right corrections and, wrongly, orders that end in 3; it is landed and loaded again
+    without the latter, which then count as window2 delivered them."""
+    root = scratch_path(w.spark, "landing_windows")
+    late, stray = F.col("order_id").endswith("7"), F.col("order_id").endswith("3")
+    _land_window(w, root, "window2", lambda rows: _wrong_amounts(rows, late))
+    _land_window(w, root, "window10", lambda rows: _wrong_amounts(rows.where(late | stray), stray))
+    _land_dimensions(w, root)
+    layers = WindowedLayers(Warehouse(w.spark, w.root, feeds=LandedFeeds(w.spark, root)), scratch_path(w.spark, "window_layers"))
+    layers.reload([(LOAD_DATE, "window2"), (LOAD_DATE, "window10")])
+    _land_window(w, root, "window10", lambda rows: rows.where(late))
+    layers.reload([(LOAD_DATE, "window10")])
+    return layers.current()
+
+
 @register("load_metrics")
 def _load_metrics(w: Warehouse) -> DataFrame:
     """Bronze tables written once, row counts observed during the write."""
@@ -334,6 +399,23 @@ def _stream_ingest(w: Warehouse) -> DataFrame:
     return sinks.read_table(w.spark, table).drop(*files.LOAD_ORDER)
 
 
+@register("stream_load_metrics")
+def _stream_metrics(w: Warehouse) -> DataFrame:
+    """S13 of a streamed load: feed 2 in two windows, a file a trigger; the second delivers some orders again."""
+    landing, table = scratch_path(w.spark, "landing_metrics"), scratch_path(w.spark, "feed2_metered")
+    files.write_feed2_json(w.raw_dataset_2.coalesce(1), f"{landing}/dt={LOAD_DATE}/load_window=window1")
+    ckpt, metrics = scratch_path(w.spark, "metered_ckpt"), table + "_metrics"
+
+    def run() -> None:
+        ingest.start_feed2_ingest(w.spark, landing, table, ckpt, metrics_path=metrics).awaitTermination()
+    run()
+    again = w.raw_dataset_2.where(F.col("order_id").endswith("7"))
+    files.write_feed2_json(again, f"{landing}/dt={LOAD_DATE}/load_window=window2")
+    run()
+    return w.spark.read.parquet(metrics).select(F.col("epoch").cast("bigint").alias("epoch"), "rows_read", "rows_rejected",
+                                                "keys_inserted", "keys_replaced", "keys_outdated")
+
+
 # ------------------------------------------------------------------ spend tiers
 def _totals(w: Warehouse) -> DataFrame:
     return tiers.city_totals(w.gold, w.city_dim)
@@ -341,7 +423,8 @@ def _totals(w: Warehouse) -> DataFrame:
 
 register("city_zscores")(lambda w: tiers.zscores(_totals(w)).withColumn(
     "normalized_sales", F.round("normalized_sales", 8)))
-register("city_tiers_kmeans")(lambda w: tiers.kmeans_tiers(_totals(w), 3))
+register("city_tiers_kmeans")(lambda w: tiers.kmeans_tiers(_totals(w), 3).withColumn(
+    "normalized_sales", F.round("normalized_sales", 8)))
 register("tier_checks")(lambda w: tiers.tier_checks(_totals(w), 3))
 register("tier_elbow")(lambda w: tiers.elbow(tiers.zscores(_totals(w))))
 register("city_tiers_ntile")(lambda w: tiers.ntile_tiers(_totals(w), 3))

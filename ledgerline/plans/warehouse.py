@@ -14,6 +14,7 @@ projections that stay lazy.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -57,10 +58,10 @@ class DerivedFeeds:
 class LandedFeeds:
     """Feeds as they land under one folder.
 
-    ``feed1`` (CSV) and ``feed2`` (JSON, one record a line) hold
-    ``dt=.../load_window=...`` folders, ``mapping`` a headed CSV, ``cities`` and
-    ``districts`` translation records (JSON; ``array_records`` for one array a
-    file).  Of rows delivered twice the later load wins.
+    ``feed1`` (CSV) and ``feed2`` (JSON) hold ``dt=.../load_window=...`` folders,
+    ``mapping`` a headed CSV, ``cities`` and ``districts`` translation records
+    (JSON).  JSON files hold a record a line or, with ``array_records``, one array.
+    Of rows delivered twice the later load wins.
     """
 
     translation_order = ("loaded_at", "load_file", "load_block", "load_row")
@@ -71,12 +72,18 @@ class LandedFeeds:
     def mapping(self) -> DataFrame:
         return files.read_mapping(self.spark, f"{self.root}/mapping")
 
+    def landed_feed1(self, windows: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+        return files.read_landed_feed1(self.spark, f"{self.root}/feed1", windows)
+
+    def landed_feed2(self, windows: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+        return files.read_landed_feed2(self.spark, f"{self.root}/feed2", self.array_records, windows)
+
     def feed1(self) -> DataFrame:
-        rows = latest_per_key(files.read_landed_feed1(self.spark, f"{self.root}/feed1"), ["order_id"], files.LOAD_ORDER)
+        rows = latest_per_key(self.landed_feed1(), ["order_id"], files.LOAD_ORDER)
         return rows.drop(*files.LOAD_ORDER)
 
     def feed2(self) -> DataFrame:
-        rows = latest_per_key(files.read_landed_feed2(self.spark, f"{self.root}/feed2"), ["order_id"], files.LOAD_ORDER)
+        rows = latest_per_key(self.landed_feed2(), ["order_id"], files.LOAD_ORDER)
         return rows.drop(*files.LOAD_ORDER)
 
     def cities(self, mapping: DataFrame) -> DataFrame:
