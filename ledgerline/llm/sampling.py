@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stage
 
@@ -26,9 +26,22 @@ def per_class(rows: DataFrame, label: str, key: str, wanted: int) -> DataFrame:
     return drawn.where((unit < F.col("_share")) | (unit == F.col("_least"))).drop("_class", "_share", "_least")
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int, chars: int) -> list[tuple[str, int]]:
-    """(text, label): whole texts of each class in hash order, until ``wanted`` texts or ``chars`` characters are full.
+#: Stretches that stand for a long text.
+STRETCHES = 6
 
+
+def stretches(text: Column, key: Column, most: int) -> Column:
+    """A text of up to ``most`` characters whole; of a longer one ``STRETCHES`` stretches spread over all of it, placed by a hash."""
+    size = most // STRETCHES
+    unit = F.pmod(F.xxhash64(key, F.lit("stretch")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    starts = [1 + F.floor((F.length(text) - size) * (unit + k) / STRETCHES).cast("int") for k in range(STRETCHES)]
+    return F.when(F.length(text) <= most, text).otherwise(F.concat_ws("\n", *[F.substr(text, s, F.lit(size)) for s in starts]))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int, chars: int, most: int | None = None) -> list[tuple[str, int]]:
+    """(text, label): texts of each class in hash order, until ``wanted`` texts or ``chars`` characters are full.
+
+    Texts are whole or, with ``most``, long ones by stretches of all of them.
     The shortest text drawn of a class is always taken.  Only ids are drawn from
     ``labels``; the bounded set of them is broadcast to the scan of the texts.  If
     the ids drawn of a class have no text, ids are drawn again from those that
@@ -44,7 +57,9 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted: int,
     def found(ids: DataFrame) -> list[tuple[str, int]]:
         drawn = per_class(ids, "y", "doc_id", wanted).select(F.col("doc_id").alias("_id"), "y")
         rows = (usable.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))  # at most 1.5 x wanted x 2 ids, but for chance
-                .select("text", "y", "doc_id").dropDuplicates(["text"]).withColumn("_n", F.length("text"))
+                .groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.min_by("y", "doc_id").alias("y"))  # the same ones in every run
+                .withColumn("text", F.col("text") if most is None else stretches(F.col("text"), F.col("doc_id"), most))
+                .withColumn("_n", F.length("text"))
                 .withColumn("_sum", F.sum("_n").over(in_order)).withColumn("_rank", F.row_number().over(in_order))
                 .withColumn("_short", F.row_number().over(by_class.orderBy("_n", F.xxhash64("doc_id"), "text"))))
         rows = rows.where(((F.col("_sum") <= chars) & (F.col("_rank") <= wanted)) | (F.col("_short") == 1))

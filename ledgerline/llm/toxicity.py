@@ -13,8 +13,9 @@ document give its expected number of toxic words and the strongest one; a
 logistic function of both is the score, and words at 0.5 or more are the
 offending spans.
 
-Fitting takes whole texts of each label until ``SAMPLE`` texts or ``SAMPLE_CHARS``
-characters are full: a documented, bounded sample.  Scoring reads whole texts.
+Fitting takes texts of each label until ``SAMPLE`` texts or ``SAMPLE_CHARS``
+characters are full, of a text longer than ``MOST_CHARS`` stretches spread over
+all of it: a documented, bounded sample.  Scoring reads whole texts.
 
 Defined results: a null or empty text has no words and gets the score of a
 document without toxic words; without labels of both kinds the score is 0; a
@@ -39,13 +40,13 @@ from .sampling import labelled_texts
 from .tokens import finish, groups
 
 FOLDS, HELD_OUT = 5, 0
-SAMPLE, SAMPLE_CHARS = 1500, 4_000_000
+SAMPLE, SAMPLE_CHARS, MOST_CHARS = 1500, 9_000_000, 6000
 #: The fitted weights lie in a table of 2 ** BITS places; each place also holds 16 bits of its feature's hash.
 BITS = 20
 PREFIXES, SUFFIXES = (4, 5, 6), (4,)
 #: A feature marks a word as toxic if this many toxic documents hold it, at least this share of all toxic ones, and
 #: this many times the share of clean ones.  Documents with one signature (near copies) count once.
-MIN_DOCS, MIN_SHARE, MIN_RATIO, SIGNATURES = 3, 0.01, 20.0, 4
+MIN_DOCS, MIN_SHARE, MIN_RATIO, SIGNATURES = 3, 0.02, 20.0, 4
 ROUNDS, RATE, DECAY = 30, 0.5, 0.01
 CUT, LIKELY = 0.5, 0.25
 #: Texts that a task scores at once.
@@ -265,7 +266,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    return fit(labelled_texts(docs, labels.where(crc_fold("doc_id", FOLDS) != HELD_OUT), "toxic", SAMPLE, SAMPLE_CHARS))
+    return fit(labelled_texts(docs, labels.where(crc_fold("doc_id", FOLDS) != HELD_OUT), "toxic", SAMPLE, SAMPLE_CHARS, MOST_CHARS))
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
