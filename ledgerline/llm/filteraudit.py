@@ -32,7 +32,7 @@ from math import factorial
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import same_key, stage
+from .common import same_key, shuffle_partitions, stage
 
 # The filters and their bounds.
 FILTERS = "ABCDE"
@@ -154,7 +154,9 @@ def interactions(postings: DataFrame) -> DataFrame:
                 part, n = b.column("part")[i].as_py(), b.column("n")[i].as_py()
                 rows = [(part, f, before, n, len(lists[f]), *sizes) for f, before, *sizes in _sizes(lists)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
-    sizes = postings.mapInArrow(run, "part string, filter string, before string, " + ", ".join(f"{c} long" for c in counts))
+    # Dealt by a stated number: little data, much work, so AQE must not merge the tasks.
+    dealt = postings.repartition(shuffle_partitions(postings.sparkSession), "part", "range")
+    sizes = dealt.mapInArrow(run, "part string, filter string, before string, " + ", ".join(f"{c} long" for c in counts))
     return sizes.groupBy("part", "filter", "before").agg(*[F.sum(c).alias(c) for c in counts])
 
 
