@@ -136,10 +136,19 @@ def test_classes_of_long_texts_only_are_learned(spark):
     long = lambda k, x: " ".join(words(k, 1200) + x + words(k + 500, 1200))
     rows = [(k, long(k, ["nastyword"] if k % 2 else [])) for k in range(40)]
     labels = spark.createDataFrame([(k, 1, k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
-    sample = sampling.labelled_texts(documents(spark, rows), labels, "toxic", 1500, 6000)
-    assert sorted(sample) == sorted((t[:6000], k % 2) for k, t in rows) and min(len(t) for _, t in rows) > 6000
+    sample = sampling.labelled_texts(documents(spark, rows), labels, "toxic", 1500, 10_000_000)
+    assert sorted(sample) == sorted((t, k % 2) for k, t in rows) and min(len(t) for _, t in rows) > 6000
+    one_each = sampling.labelled_texts(documents(spark, rows), labels, "toxic", 1500, 10)  # no text fits: the shortest of each
+    assert sorted(one_each) == sorted((min((t for k, t in rows if k % 2 == y), key=len), y) for y in (0, 1))
+    cut = sampling.labelled_texts(documents(spark, rows), labels, "toxic", 1500, 10_000_000, 6000)
+    assert all(len(t) == 6000 + sampling.STRETCHES - 1 for t, _ in cut) and len(cut) == 40
+    for t, y in cut:
+        stretches = t.split("\n")
+        whole = next(w for k, w in rows if stretches[0] in w)
+        places = [whole.index(x) for x in stretches]
+        assert places == sorted(places) and places[0] < len(whole) / 6 and places[-1] > len(whole) / 2
     absent = spark.createDataFrame([(k, 1, 1) for k in range(1000, 3000)], "doc_id long, quality int, toxic int")
-    few = sampling.labelled_texts(documents(spark, rows), labels.union(absent), "toxic", 2, 6000)
+    few = sampling.labelled_texts(documents(spark, rows), labels.union(absent), "toxic", 2, 100_000)
     assert {y for _, y in few} == {0, 1}
     books = documents(spark, rows).withColumn("lang", F.lit("book"))
     assert [lang for lang, _ in language.fit(books)] == ["book"]
@@ -192,7 +201,10 @@ def test_long_texts_are_read_whole_and_in_pieces(monkeypatch):
 def test_samples_are_bounded(spark):
     rows = [(k, f"text {k}") for k in range(2000)]
     labels = spark.createDataFrame([(k, int(k % 20 == 0)) for k in range(2000)], "doc_id long, quality int")
-    got = sampling.labelled_texts(documents(spark, rows), labels, "quality", 60, 100)
+    some = sampling.labelled_texts(documents(spark, rows), labels, "quality", 60, 100)
+    assert all(sum(len(t) for t, v in some if v == y) <= 110 for y in (0, 1)) and len(some) > 15
+    assert some == sampling.labelled_texts(documents(spark, rows).repartition(5), labels, "quality", 60, 100)
+    got = sampling.labelled_texts(documents(spark, rows), labels, "quality", 60, 100_000)
     assert {y: sum(v == y for _, v in got) for y in (0, 1)}[0] <= 60 and sum(v for _, v in got) >= 40
 
 
