@@ -2,7 +2,13 @@
 
 Every stage but the last returns the columns it was given.  Rows with null
 texts pass all stages (they are neither toxic nor duplicates, hold no benchmark
-words and no secrets); an empty table stays empty; extra columns are kept.
+words and no secrets); an empty table stays empty; extra columns are kept.  Of
+rows that are copies one stays: the one with the smallest id, among rows without
+id the one with the smallest hash of its text; repeated rows count as one, unless
+they have no words.  Ties are broken by id and text, so a rerun gives the same
+rows.  Very long texts are read whole, in time and memory linear in them.  Where
+no text is labelled toxic or none clean, no document goes as toxic, with a
+warning.
 """
 
 from __future__ import annotations
