@@ -343,8 +343,7 @@ def _across(suffixes: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc, th, spans): ranges of bytes to remove, [start, end) and not yet merged, per document that has any."""
     found = stage(_once(_records(docs)), "anchors")
-    undecided = stage(_several(found.where(F.col("place") != REPEAT)), "undecided")
-    blocks = stage(_fetched(undecided, docs), "blocks")
+    blocks = stage(_fetched(_several(found.where(F.col("place") != REPEAT)), docs), "blocks")
     ordered = stage(_sorted_buckets(blocks), "suffixes")
     is_repeat = F.col("place") == REPEAT
     cols = ("doc", "th", "low", "high")
