@@ -12,14 +12,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Spark's own switch: shuffle files go when the execution that made them has ended, not when the driver next collects garbage.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str, free_shuffles: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage and keeps what was computed when an executor is lost.
+    Cuts the lineage and keeps what was computed when an executor is lost.  With
+    ``free_shuffles`` the shuffle files of ``df`` are removed once it is written;
+    a frame below it that is run again shuffles again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, str(free_shuffles or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -342,9 +342,10 @@ def _across(suffixes: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc, th, spans): ranges of bytes to remove, [start, end) and not yet merged, per document that has any."""
-    found = stage(_once(_records(docs)), "anchors")
-    blocks = stage(_fetched(_several(found.where(F.col("place") != REPEAT)), docs), "blocks")
-    ordered = stage(_sorted_buckets(blocks), "suffixes")
+    found = stage(_once(_records(docs)), "anchors", free_shuffles=True)
+    undecided = stage(_several(found.where(F.col("place") != REPEAT)), "undecided", free_shuffles=True)
+    blocks = stage(_fetched(undecided, docs), "blocks", free_shuffles=True)
+    ordered = stage(_sorted_buckets(blocks), "suffixes", free_shuffles=True)
     is_repeat = F.col("place") == REPEAT
     cols = ("doc", "th", "low", "high")
     marks = (found.where(is_repeat).select(*cols).union(ordered.where(is_repeat).select(*cols))
