@@ -7,12 +7,13 @@ no group is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.rules import CITY_KNOWN, DISTRICT_KNOWN
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.operators.quality import with_membership
+from ledgerline.operators.tiers import global_row_number
 from ledgerline.sources.sinks import materialize
 
 
@@ -161,6 +162,39 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"), "column_name", "data_type", "non_null_count", "null_count", "n_unique")
 
 
+def value_bitmaps(df: DataFrame, part: str, columns: list[str]) -> DataFrame:
+    """A14 by part: (column_name, part, bucket, bitmap), exact sets of the values of each column, told apart by their text.
+
+    One scan leaves the distinct values of each part.  The distinct values of all
+    parts are numbered in order, column by column, so that the numbers of a column
+    are dense; a bitmap holds 32,768 of them.  NULL is no value.
+    """
+    cells = materialize(df.select(F.col(part).alias("part"), F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])))
+        .where(F.col("value").isNotNull()).distinct(), "cells")
+    numbers = global_row_number(cells.select("column_name", "value").distinct(),
+                                [F.col("column_name").asc(), F.col("value").asc()])
+    return (cells.join(numbers, ["column_name", "value"])
+            .groupBy("column_name", "part", F.bitmap_bucket_number("_rn").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_rn")).alias("bitmap")))
+
+
+def new_values(df: DataFrame, table: str, part: str, columns: list[str]) -> DataFrame:
+    """Per column and part: its distinct values, and those that no earlier part holds.
+
+    The bitmaps of the parts up to each part are merged per bucket, so that no
+    value is looked at again; parts are few, and a bucket has one row per part.
+    """
+    so_far = Window.partitionBy("column_name", "bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("column_name", "bucket").orderBy("part")
+    merged = materialize(value_bitmaps(df, part, columns), "value_bitmaps").select(
+        "column_name", "part", "bucket", F.bitmap_count("bitmap").alias("own"),
+        F.bitmap_count(F.bitmap_or_agg("bitmap").over(so_far)).alias("seen"))
+    return (merged.withColumn("fresh", F.col("seen") - F.lag("seen", 1, 0).over(before))
+            .groupBy("column_name", F.col("part").alias(part)).agg(F.sum("own").alias("n_unique"), F.sum("fresh").alias("n_new"))
+            .select(F.lit(table).alias("table_name"), "column_name", part, "n_unique", "n_new"))
+
+
 def describe_numeric(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Count, mean, sample standard deviation, min and max of numeric columns, one pass.
 

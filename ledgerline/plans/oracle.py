@@ -428,6 +428,17 @@ _q("profile_columns", "\nUNION ALL\n".join(
     for t, cols in _FEED_COLUMNS.items() for c, ty in cols))
 
 
+_q("new_values_by_hour", """
+SELECT 'raw_dataset_2' AS table_name, column_name, hour, COUNT(*) AS n_unique,
+  CAST(COUNT_IF(hour = first_hour) AS BIGINT) AS n_new
+FROM seen GROUP BY column_name, hour""", """
+hours AS (SELECT *, COALESCE(CAST(floor(order_time_pst / 10000) AS INTEGER), -1) AS hour FROM raw_dataset_2),
+cells AS (""" + " UNION ".join(
+    f"SELECT hour, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM hours WHERE {c} IS NOT NULL"
+    for c, _ in _FEED_COLUMNS["raw_dataset_2"]) + """),
+seen AS (SELECT *, MIN(hour) OVER (PARTITION BY column_name, value) AS first_hour FROM cells)""")
+
+
 def _failure_counts(feed: str) -> str:
     q = "TRY_CAST(order_qty AS DOUBLE)"
     a = "TRY_CAST(rptg_amt AS DOUBLE)"

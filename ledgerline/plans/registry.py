@@ -193,6 +193,9 @@ register("city_name_contains_match")(lambda w: profile.contains_match(
     w.raw_dataset_2, w.city_source, "ship_to_city_cd", "ship_to_city_cd"))
 register("profile_columns")(lambda w: profile.column_profile(w.raw_dataset_1, "raw_dataset_1")
                             .unionByName(profile.column_profile(w.raw_dataset_2, "raw_dataset_2")))
+register("new_values_by_hour")(lambda w: profile.new_values(
+    w.raw_dataset_2.withColumn("hour", F.coalesce(F.floor(F.col("order_time_pst") / 10000).cast("int"), F.lit(-1))),
+    "raw_dataset_2", "hour", w.raw_dataset_2.columns))
 register("describe_columns")(lambda w: profile.describe_numeric(
     w.raw_dataset_1, "raw_dataset_1", ["city_district_id", "rptg_amt"]).unionByName(profile.describe_numeric(
         w.raw_dataset_2, "raw_dataset_2", ["order_time_pst", "rptg_amt", "order_qty"])))

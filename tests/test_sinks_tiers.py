@@ -425,3 +425,29 @@ def test_scratch_tables_of_an_application_are_released(monkeypatch, tmp_path):
     session.release_scratch(Session())
     session.release_scratch(Session())  # nothing left: nothing to do
     assert not os.path.exists(mine) and other.exists()
+
+
+def test_bitmaps_count_values_of_parts_exactly(spark):
+    """Merged bitmaps against Python sets: values over a bucket's size, nulls, a part that repeats another, numbers and text."""
+    from ledgerline.operators import profile
+    rows = [(p, i % m if i % 11 else None, f"{i % (m // 7)}") for p, (m, n) in enumerate([(70, 200), (40_000, 45_000), (40_000, 45_000), (49, 60)]) for i in range(n)]
+    got = {(r.column_name, r.p): (r.n_unique, r.n_new) for r in profile.new_values(
+        spark.createDataFrame(rows, "p int, a long, b string"), "t", "p", ["a", "b"]).collect()}
+    want = {}
+    for k, c in enumerate("ab", 1):
+        known = set()
+        for p in range(4):
+            own = {r[k] for r in rows if r[0] == p and r[k] is not None}
+            want[c, p] = len(own), len(own - known)
+            known |= own
+    assert got == want
+
+
+def test_profile_of_nulls_zeros_and_no_rows(spark):
+    from ledgerline.operators import profile
+    rows = [(None, -0.0), (None, 0.0), ("", float("nan")), ("a", float("nan")), ("a", None)]
+    frame = spark.createDataFrame(rows, "t string, x double")
+    read = lambda f: {r.column_name: (r.non_null_count, r.null_count, r.n_unique) for r in profile.column_profile(f, "t").collect()}
+    assert read(frame) == {"t": (3, 2, 3), "x": (4, 1, 3)}
+    assert read(frame.limit(0)) == {"t": (0, 0, 0), "x": (0, 0, 0)}
+    assert profile.new_values(frame.where("false"), "t", "t", ["x"]).collect() == []
